@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.names import require_distinct
 from stratalake.layers import BATCH_COLUMN
+from stratalake.sinks import storage
 from stratalake.sinks.catalog import refresh_table, require_database, table_name
 
 
@@ -36,5 +37,6 @@ def save_raw(
         .parquet(path)
     )
     if database is not None:
-        written = [{BATCH_COLUMN: batch_date}]
+        stored = storage.exists(spark, f"{path.rstrip('/')}/{BATCH_COLUMN}={batch_date}")
+        written = [{BATCH_COLUMN: batch_date}] if stored else []
         refresh_table(spark, table_name(database, table), path, batch.schema, [BATCH_COLUMN], written)

@@ -78,13 +78,24 @@ def partition_values(directory: str) -> dict[str, str | None]:
     return {unquote(name): None if value == _NULL_DIRECTORY else unquote(value) for name, _, value in levels}
 
 
-def data_files(spark: SparkSession, path: str) -> list[int] | None:
-    """The sizes of the data files directly in ``path``, or None if it does not exist."""
+def usage(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """How many files ``path`` holds and their bytes, or None if it does not exist."""
     fs, where = _open(spark, path)
     if not fs.exists(where):
         return None
-    return [
-        status.getLen()
-        for status in fs.listStatus(where)
-        if status.isFile() and not status.getPath().getName().startswith(("_", "."))
-    ]
+    summary = fs.getContentSummary(where)
+    return summary.getFileCount(), summary.getLength()
+
+
+def is_partitioned(spark: SparkSession, path: str) -> bool | None:
+    """Whether a dataset lies in partition directories, or None if there is no data."""
+    fs, where = _open(spark, path)
+    if not fs.exists(where):
+        return None
+    entries = fs.listStatusIterator(where)
+    while entries.hasNext():
+        entry = entries.next()
+        name = entry.getPath().getName()
+        if "=" in name or not name.startswith(("_", ".")):
+            return entry.isDirectory()
+    return None

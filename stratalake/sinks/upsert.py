@@ -81,7 +81,7 @@ def upsert(
     if target is None:
         return staged.schema, staging.publish(spark, staged_at, path, partitions, options, publish)
 
-    _require_compatible(target.schema, staged.schema)
+    _require_compatible(target.schema, staged.schema, widen=not partitions)
     merged = merge_newest(
         target,
         staged,
@@ -146,34 +146,37 @@ def _read_touched(
     and read. They are as many as the write will replace, so a list of them is small.
     """
     root = path.rstrip("/")
-    loose = storage.data_files(spark, root)
-    if loose is None:
+    partitioned = storage.is_partitioned(spark, root)
+    if partitioned is None:
         return None, False
-    if bool(loose) == bool(partitions) and any(storage.partition_directories(spark, root, 1)) != bool(partitions):
-        raise ValueError(f"{path} is not partitioned by {partitions}, write it anew to change that")
+    if partitioned != bool(partitions):
+        raise ValueError(f"{path} is not stored by partitions {partitions}; replace it to change that")
     if not partitions:
         return staging.read_typed(spark, [root], root, {}), False
-    directories, sizes = [], []
+    directories, files, size = [], 0, 0
     for directory in storage.partition_directories(spark, staged_at, len(partitions)):
-        files = storage.data_files(spark, f"{root}/{directory}")
-        if files:
+        used = storage.usage(spark, f"{root}/{directory}")
+        if used and used[0]:
             directories.append(f"{root}/{directory}")
-            sizes += files
+            files, size = files + used[0], size + used[1]
     if not directories:
         return None, False
     types = {p: staged.schema[p].dataType for p in partitions}
-    fragmented = len(sizes) > 2 * len(directories) and sum(sizes) < SMALL_FILE_BYTES * len(sizes)
+    fragmented = files > 2 * len(directories) and size < SMALL_FILE_BYTES * files
     return staging.read_typed(spark, directories, root, types, merge=True), fragmented
 
 
-def _require_compatible(stored: StructType, incoming: StructType) -> None:
-    """Columns may come and go and numbers may widen, but text does not become a date."""
+def _require_compatible(stored: StructType, incoming: StructType, widen: bool) -> None:
+    """Columns may come and go, but one that stays keeps its type.
+
+    Only a dataset that is rewritten as a whole may ``widen`` its numbers.
+    """
     clashes = []
     for field in incoming:
         name = find_name(stored.names, field.name)
         if name is None or stored[name].dataType == field.dataType:
             continue
-        if not (isinstance(stored[name].dataType, NumericType) and isinstance(field.dataType, NumericType)):
+        if not (widen and all(isinstance(f.dataType, NumericType) for f in (stored[name], field))):
             clashes.append(f"{name}: {stored[name].dataType.simpleString()} and {field.dataType.simpleString()}")
     if clashes:
         raise ValueError(f"stored and incoming columns differ in type: {clashes}")
