@@ -10,6 +10,7 @@ Readers of the dataset may see it half published: there is no transaction log.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ def merge_stage(path: str) -> str:
     return path.rstrip("/") + _STAGES[1]
 
 
-def write_stage(df: DataFrame, stage: str, partitions: Sequence[str], options: dict | None = None) -> None:
+def write_stage(df: DataFrame, stage: str, partitions: Sequence[str], options: Mapping | None = None) -> None:
     df.write.mode("overwrite").options(**(options or {})).partitionBy(*partitions).parquet(stage)
 
 
@@ -45,7 +46,7 @@ def publish(
     stage: str,
     path: str,
     partitions: Sequence[str],
-    options: dict | None = None,
+    options: Mapping | None = None,
     how: str = AUTO,
 ) -> list[str]:
     """Put the staged data in place and return the partition directories it has.
@@ -54,13 +55,19 @@ def publish(
     has. Where a rename moves directories in place nothing is copied; elsewhere (object
     stores) Spark writes the staged data once more.
     """
-    if not storage.exists(spark, stage + _MARK):
-        storage.touch(spark, stage + _MARK)
+    storage.write_text(spark, stage + _MARK, json.dumps(list(partitions)))
+    return _put_in_place(spark, stage, path, partitions, options or {}, how)
+
+
+def _put_in_place(
+    spark: SparkSession, stage: str, path: str, partitions: Sequence[str], options: Mapping, how: str
+) -> list[str]:
     directories = list(storage.partition_directories(spark, stage, len(partitions))) if partitions else []
     if how == RENAME or (how == AUTO and storage.renames_in_place(spark, path)):
         _rename(spark, stage, path, partitions, directories)
     else:
-        _rewrite(spark, stage, path, partitions, options or {})
+        _rewrite(spark, stage, path, partitions, options)
+    # The marker goes first: without it a stage that is only half deleted is not taken up again.
     storage.delete(spark, stage + _MARK)
     storage.delete(spark, stage)
     return directories
@@ -76,7 +83,7 @@ def _rename(
         storage.replace_directory(spark, f"{stage}/{directory}", f"{path.rstrip('/')}/{directory}")
 
 
-def _rewrite(spark: SparkSession, stage: str, path: str, partitions: Sequence[str], options: dict) -> None:
+def _rewrite(spark: SparkSession, stage: str, path: str, partitions: Sequence[str], options: Mapping) -> None:
     staged = read_typed(spark, [stage], stage, {p: StringType() for p in partitions})
     if staged is None:
         return
@@ -89,18 +96,36 @@ def _rewrite(spark: SparkSession, stage: str, path: str, partitions: Sequence[st
     )
 
 
-def recover(
-    spark: SparkSession, path: str, partitions: Sequence[str], options: dict | None = None, how: str = AUTO
-) -> None:
+def recover(spark: SparkSession, path: str, options: Mapping | None = None, how: str = AUTO) -> None:
     """Finish what an earlier run left whole but not published, drop what it left unfinished."""
     for stage in (batch_stage(path), merge_stage(path)):
-        if storage.exists(spark, stage + _MARK):
-            if storage.exists(spark, stage):
-                publish(spark, stage, path, partitions, options, how)
-            storage.delete(spark, stage + _MARK)
+        partitions = _marked_partitions(spark, stage)
+        if partitions is not None and storage.exists(spark, stage):
+            _put_in_place(spark, stage, path, partitions, options or {}, how)
+    discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Drop what an earlier run left, for a write that replaces the dataset anyway."""
+    for stage in (batch_stage(path), merge_stage(path)):
+        storage.delete(spark, stage + _MARK)
         storage.delete(spark, stage)
 
 
+def _marked_partitions(spark: SparkSession, stage: str) -> list[str] | None:
+    """The partition columns a marked stage was written with, None for one that is not whole.
+
+    They are taken from the marker, not from the run at hand, whose job may have changed.
+    A marker that broke off was written by a run that had not moved anything yet.
+    """
+    if not storage.exists(spark, stage + _MARK):
+        return None
+    try:
+        return json.loads(storage.read_text(spark, stage + _MARK))
+    except json.JSONDecodeError:
+        return None
+
+
 def read_typed(
     spark: SparkSession, paths: Sequence[str], base: str, types: Mapping[str, DataType], merge: bool = False
 ) -> DataFrame | None:

@@ -35,9 +35,16 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
-def touch(spark: SparkSession, path: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, where = _open(spark, path)
-    fs.create(where, True).close()
+    out = fs.create(where, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    row = spark.read.text(path, wholetext=True).first()
+    return row["value"] if row else ""
 
 
 def renames_in_place(spark: SparkSession, path: str) -> bool:

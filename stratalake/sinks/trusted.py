@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from stratalake.functions.names import column, require_distinct, require_name
+from stratalake.sinks import staging
 from stratalake.sinks.catalog import create_table, refresh_table, require_database, table_name
 from stratalake.sinks.storage import partition_values
 from stratalake.sinks.upsert import NEWEST_WINS, upsert
@@ -42,6 +43,10 @@ def save_trusted(
         return
 
     in_part = kind == REPLACE_PARTITION and bool(partitions)
+    if in_part:
+        staging.recover(spark, path, options)
+    else:
+        staging.discard(spark, path)
     _overwrite(df, path, partitions, options, "dynamic" if in_part else "static")
     if not name:
         return

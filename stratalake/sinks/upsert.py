@@ -41,7 +41,7 @@ def upsert(
     order: Sequence[str],
     partitions: Sequence[str] = (),
     stale: str = NEWEST_WINS,
-    options: dict | None = None,
+    options: Mapping | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     publish: str = staging.AUTO,
 ) -> tuple[StructType, list[str]]:
@@ -62,7 +62,7 @@ def upsert(
     keys, order, partitions = ([require_name(batch, c) for c in names] for names in (keys, order, partitions))
     batch = _with_directory_nulls(batch, partitions)
     match = list(dict.fromkeys([*partitions, *keys]))
-    staging.recover(spark, path, partitions, options, publish)
+    staging.recover(spark, path, options, publish)
 
     staged_at = staging.batch_stage(path)
     winners = latest_per_key(batch, match, order)

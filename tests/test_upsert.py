@@ -333,7 +333,7 @@ THIRD = [(4, 3, "a")]
 
 @pytest.mark.parametrize("publish", ["rename", "rewrite"])
 @pytest.mark.parametrize("partitions", [[], ["p"]])
-@pytest.mark.parametrize("where", ["_rename", "_rewrite", "write_stage", "touch"])
+@pytest.mark.parametrize("where", ["_rename", "_rewrite", "write_stage", "write_text"])
 def test_a_run_that_dies_is_made_good_by_the_next(spark, path, monkeypatch, publish, partitions, where):
     """Whether the dead run's batch counts depends on how far it came, its rows are never halved."""
 
@@ -343,8 +343,8 @@ def test_a_run_that_dies_is_made_good_by_the_next(spark, path, monkeypatch, publ
     run(FIRST)
     before = rows(spark.read.parquet(path), "k", "o")
     with monkeypatch.context() as broken:
-        if where == "touch":
-            broken.setattr(storage, "touch", die)
+        if where == "write_text":
+            broken.setattr(storage, "write_text", die)
         elif where == "write_stage":
             whole = staging.write_stage
 
@@ -363,7 +363,7 @@ def test_a_run_that_dies_is_made_good_by_the_next(spark, path, monkeypatch, publ
     if died:
         assert rows(spark.read.parquet(path), "k", "o") == before
     run(THIRD)
-    counted = FIRST + THIRD if where in ("write_stage", "touch") else FIRST + SECOND + THIRD
+    counted = FIRST + THIRD if where in ("write_stage", "write_text") else FIRST + SECOND + THIRD
     newest = {}
     for k, o, p in counted:
         newest[(k, p) if partitions else k] = (k, o)
@@ -412,6 +412,56 @@ def test_dying_between_delete_and_move(spark, path, monkeypatch):
     assert rows(spark.read.parquet(path), "k", "o") == [(1, 1), (2, 2), (3, 2), (4, 3)]
 
 
+def left_unpublished(spark, path, monkeypatch, values, partitions):
+    with monkeypatch.context() as broken:
+        broken.setattr(staging, "_rename", die)
+        with pytest.raises(Died):
+            upsert(in_parts(spark, *values), path, ["k"], ["o"], partitions, publish="rename")
+
+
+def test_recovery_keeps_the_layout_of_the_run_that_died(spark, path, monkeypatch):
+    """The next run has another idea of the partitions; untouched partitions must not go."""
+    upsert(in_parts(spark, *FIRST), path, ["k"], ["o"], ["p"])
+    left_unpublished(spark, path, monkeypatch, [(2, 2, "b")], ["p"])
+    with pytest.raises(ValueError, match="not stored by partitions"):
+        upsert(in_parts(spark, *THIRD), path, ["k"], ["o"])
+    assert stored(spark, path) == [(1, 1, "a"), (2, 2, "b")]
+
+
+def test_all_moved_but_still_marked(spark, path):
+    upsert(in_parts(spark, *FIRST), path, ["k"], ["o"], ["p"])
+    stage = staging.merge_stage(path)
+    Path(stage).mkdir()
+    storage.write_text(spark, stage + "__ready", '["p"]')
+    upsert(in_parts(spark, (9, 1, "z")), path, ["k"], ["o"], ["p"])
+    assert stored(spark, path) == [(1, 1, "a"), (2, 1, "b"), (9, 1, "z")]
+    assert beside(path) == {"t"}
+
+
+def test_a_marker_that_broke_off_counts_as_none(spark, path):
+    upsert(in_parts(spark, *FIRST), path, ["k"], ["o"])
+    stage = staging.merge_stage(path)
+    in_parts(spark, (5, 5, "a")).write.parquet(stage)
+    storage.write_text(spark, stage + "__ready", "")
+    upsert(in_parts(spark, *THIRD), path, ["k"], ["o"])
+    assert rows(spark.read.parquet(path), "k", "o") == [(1, 1), (2, 1), (4, 3)]
+
+
+def test_a_replace_is_not_undone_by_a_run_that_died_before_it(spark, path, monkeypatch):
+    upsert(in_parts(spark, *FIRST), path, ["k"], ["o"])
+    left_unpublished(spark, path, monkeypatch, SECOND, [])
+    save_trusted(in_parts(spark, (7, 7, "x")), path, {"ingest_type": "Replace"})
+    upsert(in_parts(spark, *THIRD), path, ["k"], ["o"])
+    assert rows(spark.read.parquet(path), "k", "o") == [(4, 3), (7, 7)]
+
+
+def test_a_partition_replace_comes_after_a_run_that_died_before_it(spark, path, monkeypatch):
+    upsert(in_parts(spark, *FIRST), path, ["k"], ["o"], ["p"])
+    left_unpublished(spark, path, monkeypatch, SECOND, ["p"])
+    save_trusted(in_parts(spark, (7, 7, "b")), path, {"ingest_type": "ReplacePartition", "partitions": ["p"]})
+    assert rows(spark.read.parquet(path), "k", "o") == [(1, 1), (2, 2), (7, 7)]
+
+
 # As a job stores it
 
 
