@@ -30,8 +30,9 @@ INCOMING_WINS = "incoming_wins"
 # Keys of a batch are broadcast up to this many bytes, joined by a shuffle beyond it.
 BROADCAST_BYTES = 128 << 20
 
-# A touched partition made of smaller files than this is compacted when it is rewritten.
-SMALL_FILE_BYTES = 32 << 20
+# Touched partitions whose files are smaller than this on average are compacted when they
+# are rewritten. Well below what a compaction leaves, or it would be repeated every time.
+SMALL_FILE_BYTES = 8 << 20
 
 
 def upsert(
@@ -82,16 +83,11 @@ def upsert(
         return staged.schema, staging.publish(spark, staged_at, path, partitions, options, publish)
 
     _require_compatible(target.schema, staged.schema, widen=not partitions)
-    merged = merge_newest(
-        target,
-        staged,
-        keys,
-        order,
-        partitions,
-        stale,
-        oldest=facts["oldest"],
-        broadcast_keys=facts["key_bytes"] <= broadcast_bytes,
-    )
+    small = facts["key_bytes"] <= broadcast_bytes
+    if stale == NEWEST_WINS and facts["oldest"] is not None:
+        if _stored_after(target, staged, order, facts["oldest"]).isEmpty():
+            stale = INCOMING_WINS
+    merged = merge_newest(target, staged, keys, order, partitions, stale, facts["oldest"], small)
     schema = merged.schema
     if fragmented:
         merged = merged.hint("rebalance", *partitions)
@@ -198,29 +194,30 @@ def merge_newest(
     columns alone, so with the batch's keys broadcast the stored rows are never
     shuffled, and without it Spark may split a skewed stored key. ``oldest``, the
     smallest order value in the batch, keeps older stored rows out of the search for
-    newer ones: for a batch newer than everything that search reads file footers only.
+    newer ones. With ``incoming_wins`` there is no such search.
     """
     match = list(dict.fromkeys([*partitions, *keys]))
-    target = _with_columns(target, batch, [*match, *order])
-    names = {c: f"__b{i}" for i, c in enumerate(dict.fromkeys([*match, *order]))}
+    newest_wins = stale == NEWEST_WINS
+    compared = list(dict.fromkeys([*match, *order])) if newest_wins else match
+    target = _with_columns(target, batch, compared)
+    names = {c: f"__b{i}" for i, c in enumerate(compared)}
     incoming = batch.select(*[column(c).alias(b) for c, b in names.items()])
     if broadcast_keys:
         incoming = F.broadcast(incoming)
     same_key = _equal(names, keys, partitions)
-    if stale == INCOMING_WINS:
+    if not newest_wins:
         kept = target.join(incoming, same_key, "left_anti")
         return kept.unionByName(batch, allowMissingColumns=True)
 
     stored_is_newer = _rank(column(c) for c in order) > _rank(F.col(names[c]) for c in order)
     kept = target.join(incoming, same_key & ~stored_is_newer, "left_anti")
 
-    candidates = target.select(*[column(c) for c in names])
-    if oldest is not None:
-        bound = F.lit(oldest).cast(batch.schema[order[0]].dataType)
-        candidates = candidates.filter(column(order[0]) >= bound if order[1:] else column(order[0]) > bound)
+    candidates = target if oldest is None else _stored_after(target, batch, order, oldest)
     held = {c: f"__h{i}" for i, c in enumerate(match)}
-    held_back = candidates.join(incoming, same_key & stored_is_newer).select(
-        *[F.col(names[c]).alias(h) for c, h in held.items()]
+    held_back = (
+        candidates.select(*[column(c) for c in compared])
+        .join(incoming, same_key & stored_is_newer)
+        .select(*[F.col(names[c]).alias(h) for c, h in held.items()])
     )
     if broadcast_keys:
         # No more rows than the batch's keys, which were measured.
@@ -229,6 +226,19 @@ def merge_newest(
     return kept.unionByName(not_held, allowMissingColumns=True)
 
 
+def _stored_after(target: DataFrame, batch: DataFrame, order: Sequence[str], oldest: str) -> DataFrame:
+    """Stored rows that may be newer than the oldest row of the batch.
+
+    The filter reaches the scan. Where batches come in the order of time, Parquet
+    statistics alone tell that there are none, and the batch needs no look at what it
+    replaces.
+    """
+    target = _with_columns(target, batch, order)
+    bound = F.lit(oldest).cast(batch.schema[order[0]].dataType)
+    first = column(order[0])
+    return target.filter(first >= bound if order[1:] else first > bound)
+
+
 def _equal(names: Mapping[str, str], keys: Sequence[str], partitions: Sequence[str]) -> Column:
     """Same key, in the same partition; a partition value may be NULL, a key may not."""
     same = [column(p).eqNullSafe(F.col(names[p])) for p in partitions if p not in keys]
