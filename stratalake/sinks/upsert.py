@@ -89,7 +89,8 @@ def upsert(
             stale = INCOMING_WINS
     merged = merge_newest(target, staged, keys, order, partitions, stale, facts["oldest"], small)
     schema = merged.schema
-    if fragmented:
+    if partitions and (fragmented or not small):
+        # A shuffle by key leaves rows of every partition in every task, and so a file each.
         merged = merged.hint("rebalance", *partitions)
     merged_at = staging.merge_stage(path)
     staging.write_stage(merged, merged_at, partitions, options)

@@ -261,6 +261,18 @@ def test_files_do_not_pile_up(spark, path, tmp_path):
     assert len(stored(spark, path)) == 80
 
 
+def test_a_shuffled_merge_does_not_scatter_partitions(spark, path, tmp_path):
+    df = spark.range(3000).selectExpr("id AS k", "1 AS o", "concat('p', id % 3) AS p")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for order in (1, 2):
+            upsert(df.withColumn("o", F.lit(order)), path, ["k"], ["o"], ["p"], broadcast_bytes=0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(list((tmp_path / "trusted" / "t").glob("p=*/*.parquet"))) == 3
+
+
 # Ways to join and to publish
 
 
