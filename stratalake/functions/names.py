@@ -9,9 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A name as it stands in SQL, also when it has dots or spaces."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def column(name: str) -> Column:
-    """A column by its exact name, also when the name has dots or spaces."""
-    return F.col(f"`{name.replace('`', '``')}`")
+    """A column by its exact name."""
+    return F.col(quoted(name))
 
 
 def find_name(columns: Iterable[str], name: str) -> str | None:

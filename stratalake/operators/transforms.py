@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DateType, MapType, StringType, StructType, VariantType
+from pyspark.sql.types import ArrayType, DataType, DateType, MapType, StructType, VariantType
 
 from stratalake.functions.casts import lenient_cast
 from stratalake.functions.dates import parse_date

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructField, StructType
 
+from stratalake.functions.names import find_name, quoted
 from stratalake.sinks import storage
 
 # Partitions added by one statement.
@@ -14,7 +15,7 @@ _CHUNK = 200
 
 
 def table_name(database: str, table: str) -> str:
-    return f"`{database}`.`{table}`"
+    return f"{quoted(database)}.{quoted(table)}"
 
 
 def require_database(spark: SparkSession, database: str | None) -> None:
@@ -28,7 +29,7 @@ def create_table(
 ) -> None:
     """Register the dataset anew, with its newest schema and all partitions found."""
     columns = StructType([StructField(f.name, f.dataType) for f in schema]).toDDL()
-    partitioned = f"PARTITIONED BY ({', '.join(map(_quoted, partitions))})" if partitions else ""
+    partitioned = f"PARTITIONED BY ({', '.join(map(quoted, partitions))})" if partitions else ""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} LOCATION {_text(path)}")
     if partitions:
@@ -57,6 +58,17 @@ def refresh_table(
     spark.catalog.refreshTable(name)
 
 
+def with_table_columns(spark: SparkSession, name: str, path: str, schema: StructType) -> StructType:
+    """``schema`` and the columns only the dataset's table has.
+
+    A merge sees the partitions it touches; others may have columns of their own.
+    """
+    if not spark.catalog.tableExists(name) or not _is_at(spark, name, path):
+        return schema
+    others = [f for f in spark.table(name).schema if find_name(schema.names, f.name) is None]
+    return StructType([*schema, *others])
+
+
 def _is_registered(
     spark: SparkSession, name: str, path: str, schema: StructType, partitions: Sequence[str]
 ) -> bool:
@@ -67,20 +79,20 @@ def _is_registered(
         return False
     if list(partitions) != table.columns[len(table.columns) - len(partitions) :]:
         return False
+    return _is_at(spark, name, path)
+
+
+def _is_at(spark: SparkSession, name: str, path: str) -> bool:
     described = spark.sql(f"DESCRIBE FORMATTED {name}")
     location = described.filter("col_name = 'Location'").first()["data_type"]
     return storage.qualified(spark, location) == storage.qualified(spark, path)
 
 
 def _partition_spec(values: Mapping[str, str | None]) -> str:
-    parts = [f"{_quoted(name)}={'NULL' if value is None else _text(value)}" for name, value in values.items()]
+    parts = [f"{quoted(name)}={'NULL' if value is None else _text(value)}" for name, value in values.items()]
     return f"PARTITION ({', '.join(parts)})"
 
 
-def _quoted(name: str) -> str:
-    return f"`{name.replace('`', '``')}`"
-
-
 def _text(value: str) -> str:
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"

@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from stratalake.functions.names import column, require_distinct, require_name
+from stratalake.operators.gather import gather
 from stratalake.sinks import staging
-from stratalake.sinks.catalog import create_table, refresh_table, require_database, table_name
+from stratalake.sinks.catalog import create_table, refresh_table, require_database, table_name, with_table_columns
 from stratalake.sinks.storage import partition_values
 from stratalake.sinks.upsert import NEWEST_WINS, upsert
 
@@ -39,6 +40,7 @@ def save_trusted(
             df, path, as_list(trusted["key_column"]), as_list(trusted["order_column"]), partitions, stale, options
         )
         if name:
+            schema = with_table_columns(spark, name, path, schema)
             refresh_table(spark, name, path, schema, partitions, map(partition_values, written))
         return
 
@@ -59,16 +61,10 @@ def save_trusted(
 
 
 def _overwrite(df: DataFrame, path: str, partitions: Sequence[str], options: Mapping, mode: str) -> None:
-    """Overwrite the dataset, or in ``dynamic`` mode the partitions ``df`` has.
-
-    Rows are gathered by partition first, or every task would leave a file in every
-    partition. Spark splits a large partition over several tasks, so one that holds
-    most of the rows is no single task's work.
-    """
-    if partitions:
-        df = df.hint("rebalance", *partitions)
+    """Overwrite the dataset, or in ``dynamic`` mode the partitions ``df`` has."""
     (
-        df.write.mode("overwrite")
+        gather(df, partitions)
+        .write.mode("overwrite")
         .options(**options)
         .option("partitionOverwriteMode", mode)
         .partitionBy(*partitions)

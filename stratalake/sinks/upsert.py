@@ -21,6 +21,7 @@ from pyspark.sql.types import (
 )
 
 from stratalake.functions.names import column, find_name, require_name
+from stratalake.operators.gather import gather
 from stratalake.operators.latest import latest_per_key
 from stratalake.sinks import staging, storage
 
@@ -66,9 +67,7 @@ def upsert(
     staging.recover(spark, path, options, publish)
 
     staged_at = staging.batch_stage(path)
-    winners = latest_per_key(batch, match, order)
-    if partitions:
-        winners = winners.hint("rebalance", *partitions)
+    winners = gather(latest_per_key(batch, match, order), partitions)
     staging.write_stage(winners, staged_at, partitions, options)
     staged = staging.read_as(spark, [staged_at], staged_at, batch.schema)
     facts = _measure(staged, keys, match, order)
@@ -89,9 +88,9 @@ def upsert(
             stale = INCOMING_WINS
     merged = merge_newest(target, staged, keys, order, partitions, stale, facts["oldest"], small)
     schema = merged.schema
-    if partitions and (fragmented or not small):
+    if fragmented or not small:
         # A shuffle by key leaves rows of every partition in every task, and so a file each.
-        merged = merged.hint("rebalance", *partitions)
+        merged = gather(merged, partitions)
     merged_at = staging.merge_stage(path)
     staging.write_stage(merged, merged_at, partitions, options)
     written = staging.publish(spark, merged_at, path, partitions, options, publish)

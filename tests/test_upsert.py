@@ -500,6 +500,35 @@ def test_registered_with_partitions(spark, path, database):
     assert rows(spark.table(f"{database}.t")) == [(1, 1, None), (1, 2, "it's"), (1, 2, "x=1"), (2, 1, None)]
 
 
+def test_table_keeps_columns_of_partitions_a_batch_does_not_touch(spark, path, database):
+    trusted = {
+        "ingest_type": "Upsert",
+        "database": database,
+        "key_column": ["k"],
+        "order_column": "o",
+        "partitions": ["p"],
+    }
+    save_trusted(in_parts(spark, (1, 1, "a")).withColumn("w", F.lit(7)), path, trusted, "t")
+    save_trusted(in_parts(spark, (1, 1, "b")), path, trusted, "t")
+    save_trusted(in_parts(spark, (2, 1, "b")).withColumn("x", F.lit(8)), path, trusted, "t")
+    table = spark.table(f"{database}.t")
+    assert rows(table, "k", "p", "w", "x") == [(1, "a", 7, None), (1, "b", None, None), (2, "b", None, 8)]
+
+
+def test_odd_column_names(spark, path, database):
+    trusted = {
+        "ingest_type": "Upsert",
+        "database": database,
+        "key_column": ["the key"],
+        "order_column": "o.o",
+        "partitions": ["part 1"],
+    }
+    for order in (1, 2):
+        odd = spark.createDataFrame([(1, order, "a b"), (2, order, "c")], "`the key` int, `o.o` int, `part 1` string")
+        save_trusted(odd, path, trusted, "t")
+    assert rows(spark.table(f"{database}.t")) == [(1, 2, "a b"), (2, 2, "c")]
+
+
 def test_upsert_onto_a_replaced_dataset(spark, path):
     save_trusted(in_parts(spark, (1, 1, "a"), (2, 1, "b")), path, {"ingest_type": "Replace", "partitions": ["p"]})
     upsert(in_parts(spark, (1, 2, "a")), path, ["k"], ["o"], ["p"])
