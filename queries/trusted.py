@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queries.tables import database, layers, scratch, table
-from stratalake import run_raw, run_trusted, save_trusted
+from stratalake import get_job, load_jobs, run_job, run_raw, run_trusted, save_trusted
 
 
 def _orders_job(trusted: dict, conditions: list[dict] | None = None) -> dict:
@@ -68,6 +70,56 @@ def trusted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{name}.lineitem")
 
 
+def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered table that is replaced by a batch with another schema."""
+    name = database(spark)
+    path = f"{scratch(spark)}/trusted/part"
+    trusted = {"ingest_type": "Replace", "database": name}
+    part = table(spark, sf_dir, "part")
+    save_trusted(part, path, trusted, "part")
+    save_trusted(part.drop("p_name").withColumn("large", F.col("p_size") > 25), path, trusted, "part")
+    return spark.table(f"{name}.part")
+
+
+def job_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job from a file of jobs, both steps run from arguments given as text."""
+    where = layers(spark, sf_dir)
+    jobs = [
+        _orders_job({"ingest_type": "Replace"}),
+        {
+            "job_name": "customer",
+            "system": "crm",
+            "source": {
+                "type": "parquet",
+                "path": "customer.parquet",
+                "conditions": [{"filter_date": "absent", "days": 0, "compare": "="}],
+            },
+            "destination": {
+                "path": "crm/customer/",
+                "trusted": {
+                    "ingest_type": "ReplacePartition",
+                    "partitions": ["SEGMENT"],
+                    "transformations": [
+                        {
+                            "name": "RenameCast",
+                            "parameters": [
+                                {"column_name": "C_MKTSEGMENT", "new_column_name": "SEGMENT", "data_type": "String"},
+                                {"column_name": "C_ACCTBAL", "new_column_name": "BALANCE", "data_type": "Integer"},
+                            ],
+                        }
+                    ],
+                },
+            },
+        },
+    ]
+    file = f"{where['raw']}-jobs"
+    spark.createDataFrame([(json.dumps(jobs),)], "value string").coalesce(1).write.text(file)
+    job = get_job(load_jobs(spark, file), "customer")
+    run_job(spark, job, where, "raw", "20240131", incremental="False")
+    run_job(spark, job, where, "trusted", "20240131")
+    return spark.read.parquet(f"{where['trusted']}/crm/customer")
+
+
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = {
         "job_name": "events",
@@ -101,5 +153,14 @@ CHECKS = {
         trusted_table,
         "SELECT * REPLACE (CASE WHEN l_returnflag = 'A' THEN l_tax ELSE 0.5 END AS l_tax) FROM lineitem",
     ),
+    "replace_table": (
+        replace_table,
+        "SELECT p_partkey, p_brand, p_type, p_size, p_retailprice, p_size > 25 AS large FROM part",
+    ),
+    "job_run": (
+        job_run,
+        'SELECT c_custkey AS "C_CUSTKEY", c_name AS "C_NAME", c_nationkey AS "C_NATIONKEY", '
+        'trunc(c_acctbal)::INTEGER AS "BALANCE", c_mktsegment AS "SEGMENT", 20240131 AS "DT_IMPORT" FROM customer',
+    ),
     "batch_metrics": (batch_metrics, "SELECT '20240131' AS batch_date, count(*) AS rows FROM events"),
 }

@@ -79,8 +79,10 @@ def _rename(
     if not partitions or not storage.exists(spark, path):
         storage.replace_directory(spark, stage, path)
         return
-    for directory in directories:
-        storage.replace_directory(spark, f"{stage}/{directory}", f"{path.rstrip('/')}/{directory}")
+    root = path.rstrip("/")
+    storage.for_each(
+        lambda directory: storage.replace_directory(spark, f"{stage}/{directory}", f"{root}/{directory}"), directories
+    )
 
 
 def _rewrite(spark: SparkSession, stage: str, path: str, partitions: Sequence[str], options: Mapping) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -13,12 +15,24 @@ _RENAMES_IN_PLACE = ("hdfs", "viewfs", "file", "abfs", "abfss")
 # Fixed value: the directory name of a NULL partition value.
 _NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
 
+# Directories handled at once.
+_AT_A_TIME = 16
+
+T = TypeVar("T")
+R = TypeVar("R")
+
 
 def _open(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def for_each(work: Callable[[T], R], items: Iterable[T]) -> list[R]:
+    """Do ``work`` for many directories, some at a time: each call waits for the file system."""
+    with ThreadPoolExecutor(_AT_A_TIME) as pool:
+        return list(pool.map(work, items))
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path in full, for comparing two."""
     fs, where = _open(spark, path)

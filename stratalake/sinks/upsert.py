@@ -149,14 +149,13 @@ def _read_touched(
         raise ValueError(f"{path} is not stored by partitions {partitions}; replace it to change that")
     if not partitions:
         return staging.read_typed(spark, [root], root, {}), False
-    directories, files, size = [], 0, 0
-    for directory in storage.partition_directories(spark, staged_at, len(partitions)):
-        used = storage.usage(spark, f"{root}/{directory}")
-        if used and used[0]:
-            directories.append(f"{root}/{directory}")
-            files, size = files + used[0], size + used[1]
+    touched = [f"{root}/{d}" for d in storage.partition_directories(spark, staged_at, len(partitions))]
+    used = storage.for_each(lambda directory: storage.usage(spark, directory), touched)
+    stored = {directory: usage for directory, usage in zip(touched, used, strict=True) if usage and usage[0]}
+    directories = list(stored)
     if not directories:
         return None, False
+    files, size = (sum(counts) for counts in zip(*stored.values(), strict=True))
     types = {p: staged.schema[p].dataType for p in partitions}
     fragmented = files > 2 * len(directories) and size < SMALL_FILE_BYTES * files
     return staging.read_typed(spark, directories, root, types, merge=True), fragmented
