@@ -65,6 +65,7 @@ def _put_in_place(
     directories = list(storage.partition_directories(spark, stage, len(partitions))) if partitions else []
     if how == RENAME or (how == AUTO and storage.renames_in_place(spark, path)):
         _rename(spark, stage, path, partitions, directories)
+        spark.catalog.refreshByPath(path)
     else:
         _rewrite(spark, stage, path, partitions, options)
     # The marker goes first: without it a stage that is only half deleted is not taken up again.

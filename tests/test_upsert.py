@@ -213,6 +213,37 @@ def test_partition_values_that_look_like_other_types(spark, path, tmp_path):
     assert rows(got) == sorted([(1, 2, v) for v in values], key=repr)
 
 
+@pytest.mark.parametrize(
+    ("dtype", "one", "other"),
+    [
+        ("int", "7", "-1"),
+        ("bigint", "7", str(2**40)),
+        ("date", "2024-01-01", "1999-12-31"),
+        ("timestamp", "2024-01-01 10:00:00.5", "2024-01-01 00:00:00"),
+        ("timestamp_ntz", "2024-01-01 10:00:00.5", "2024-01-01 00:00:00"),
+        ("decimal(10,2)", "1.50", "2.00"),
+        ("boolean", "true", "false"),
+        ("double", "1.5", "2.0"),
+    ],
+)
+def test_partitions_of_any_type(spark, path, dtype, one, other):
+    def typed(*values):
+        return in_parts(spark, *values).withColumn("p", F.col("p").cast(dtype))
+
+    upsert(typed((1, 1, one), (2, 1, other), (3, 1, None)), path, ["k"], ["o"], ["p"])
+    upsert(typed((1, 2, one), (2, 2, one), (3, 2, None)), path, ["k"], ["o"], ["p"])
+    got = spark.read.schema(f"k int, o int, p {dtype}").parquet(path)
+    assert rows(got) == rows(typed((1, 2, one), (2, 1, other), (2, 2, one), (3, 2, None)))
+
+
+def test_a_cached_frame_sees_the_publish(spark, path):
+    upsert(in_parts(spark, (1, 1, "a")), path, ["k"], ["o"], ["p"])
+    cached = spark.read.parquet(path).cache()
+    assert cached.count() == 1
+    upsert(in_parts(spark, (2, 1, "a")), path, ["k"], ["o"], ["p"])
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_null_and_empty_partition_values_are_one(spark, path):
     upsert(in_parts(spark, (1, 1, None), (2, 1, "a")), path, ["k"], ["o"], ["p"])
     upsert(in_parts(spark, (1, 2, None), (1, 3, ""), (2, 2, "a")), path, ["k"], ["o"], ["p"])
