@@ -21,7 +21,9 @@ from stratalake.sinks import storage
 from stratalake.sources.files import read_parquet
 
 # Beside the target and so on its file system, where a rename can reach it.
-_STAGES = ("__batch", "__merged")
+_BATCH = "__batch"
+_MERGED = "__merged"
+_KNOWN = "__known"
 _MARK = "__ready"
 
 AUTO = "auto"
@@ -30,11 +32,15 @@ REWRITE = "rewrite"
 
 
 def batch_stage(path: str) -> str:
-    return path.rstrip("/") + _STAGES[0]
+    return path.rstrip("/") + _BATCH
 
 
 def merge_stage(path: str) -> str:
-    return path.rstrip("/") + _STAGES[1]
+    return path.rstrip("/") + _MERGED
+
+
+def known_stage(path: str) -> str:
+    return path.rstrip("/") + _KNOWN
 
 
 def write_stage(df: DataFrame, stage: str, partitions: Sequence[str], options: Mapping | None = None) -> None:
@@ -110,7 +116,7 @@ def recover(spark: SparkSession, path: str, options: Mapping | None = None, how:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Drop what an earlier run left, for a write that replaces the dataset anyway."""
-    for stage in (batch_stage(path), merge_stage(path)):
+    for stage in (batch_stage(path), merge_stage(path), known_stage(path)):
         storage.delete(spark, stage + _MARK)
         storage.delete(spark, stage)
 

@@ -28,7 +28,8 @@ from stratalake.sinks import staging, storage
 NEWEST_WINS = "newest_wins"
 INCOMING_WINS = "incoming_wins"
 
-# Keys of a batch are broadcast up to this many bytes, joined by a shuffle beyond it.
+# Keys of a batch, or else those of them that are stored, are broadcast up to this many
+# bytes; beyond it they are joined by a shuffle.
 BROADCAST_BYTES = 128 << 20
 
 # Touched partitions whose files are smaller than this on average are compacted when they
@@ -82,11 +83,14 @@ def upsert(
         return staged.schema, staging.publish(spark, staged_at, path, partitions, options, publish)
 
     _require_compatible(target.schema, staged.schema, widen=not partitions)
-    small = facts["key_bytes"] <= broadcast_bytes
     if stale == NEWEST_WINS and facts["oldest"] is not None:
         if _stored_after(target, staged, order, facts["oldest"]).isEmpty():
             stale = INCOMING_WINS
-    merged = merge_newest(target, staged, keys, order, partitions, stale, facts["oldest"], small)
+    known, small = staged, facts["key_bytes"] <= broadcast_bytes
+    if not small:
+        known = _known_keys(target, staged, keys, order, partitions, staging.known_stage(path))
+        small = _measure(known, keys, match, order)["key_bytes"] <= broadcast_bytes
+    merged = merge_newest(target, staged, keys, order, partitions, stale, facts["oldest"], known, small)
     schema = merged.schema
     if fragmented or not small:
         # A shuffle by key leaves rows of every partition in every task, and so a file each.
@@ -94,7 +98,7 @@ def upsert(
     merged_at = staging.merge_stage(path)
     staging.write_stage(merged, merged_at, partitions, options)
     written = staging.publish(spark, merged_at, path, partitions, options, publish)
-    storage.delete(spark, staged_at)
+    staging.discard(spark, path)
     return schema, written
 
 
@@ -133,6 +137,23 @@ def _width(df: DataFrame, name: str) -> Column:
     return F.coalesce(F.octet_length(column(name).cast("string")), F.lit(0)) + F.lit(16)
 
 
+def _known_keys(
+    target: DataFrame, staged: DataFrame, keys: list[str], order: list[str], partitions: list[str], stage: str
+) -> DataFrame:
+    """The key and order columns of batch rows whose keys are stored.
+
+    A large batch is often mostly new rows. Joining key columns alone tells, and may spare
+    the stored rows a shuffle of all their columns.
+    """
+    match = list(dict.fromkeys([*partitions, *keys]))
+    names = {c: f"__t{i}" for i, c in enumerate(match)}
+    target = _with_columns(target, staged, match)
+    stored = target.select(*[column(c).alias(t) for c, t in names.items()])
+    wanted = staged.select(*[column(c) for c in dict.fromkeys([*match, *order])])
+    staging.write_stage(wanted.join(stored, _equal(names, keys, partitions), "left_semi"), stage, ())
+    return staging.read_as(staged.sparkSession, [stage], stage, wanted.schema)
+
+
 def _read_touched(
     spark: SparkSession, path: str, staged_at: str, staged: DataFrame, partitions: list[str]
 ) -> tuple[DataFrame | None, bool]:
@@ -185,6 +206,7 @@ def merge_newest(
     partitions: Sequence[str] = (),
     stale: str = NEWEST_WINS,
     oldest: str | None = None,
+    known: DataFrame | None = None,
     broadcast_keys: bool = False,
 ) -> DataFrame:
     """Stored rows the batch does not replace, and batch rows no newer stored row holds back.
@@ -193,14 +215,15 @@ def merge_newest(
     columns alone, so with the batch's keys broadcast the stored rows are never
     shuffled, and without it Spark may split a skewed stored key. ``oldest``, the
     smallest order value in the batch, keeps older stored rows out of the search for
-    newer ones. With ``incoming_wins`` there is no such search.
+    newer ones. With ``incoming_wins`` there is no such search. ``known`` stands for the
+    batch in the joins: it may leave out rows whose keys are not stored.
     """
     match = list(dict.fromkeys([*partitions, *keys]))
     newest_wins = stale == NEWEST_WINS
     compared = list(dict.fromkeys([*match, *order])) if newest_wins else match
     target = _with_columns(target, batch, compared)
     names = {c: f"__b{i}" for i, c in enumerate(compared)}
-    incoming = batch.select(*[column(c).alias(b) for c, b in names.items()])
+    incoming = (batch if known is None else known).select(*[column(c).alias(b) for c, b in names.items()])
     if broadcast_keys:
         incoming = F.broadcast(incoming)
     same_key = _equal(names, keys, partitions)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake import latest_per_key, save_trusted, upsert
 from stratalake.sinks import staging, storage
+from stratalake.sinks import upsert as upsert_module
 from stratalake.sinks.upsert import merge_newest
 from tests.conftest import rows
 
@@ -342,6 +343,25 @@ def test_stored_rows_are_not_shuffled_for_a_small_batch(spark, parquet):
     assert "PushedFilters: [IsNotNull(o), GreaterThan(o,2), IsNotNull(k)], ReadSchema: struct<k:bigint,o:int>" in plan
 
 
+@pytest.mark.parametrize("partitions", [[], ["p"]])
+def test_a_large_batch_of_mostly_new_keys_spares_the_shuffle(spark, path, monkeypatch, partitions):
+    taken = []
+    merge = upsert_module.merge_newest
+
+    def watched(target, batch, keys, order, partitions, stale, oldest, known, small):
+        taken.append((known.count(), small))
+        return merge(target, batch, keys, order, partitions, stale, oldest, known, small)
+
+    monkeypatch.setattr(upsert_module, "merge_newest", watched)
+    upsert(in_parts(spark, *[(i, i % 4, "a") for i in range(50)]), path, ["k"], ["o"], partitions)
+    changes = in_parts(spark, *[(i, 2, "a") for i in range(40, 400)])
+    upsert(changes, path, ["k"], ["o"], partitions, broadcast_bytes=2000)
+    assert taken == [(10, True)]
+    want = [(i, i % 4 if i < 40 or (i < 50 and i % 4 > 2) else 2) for i in range(400)]
+    assert rows(spark.read.parquet(path), "k", "o") == sorted(want, key=repr)
+    assert beside(path) == {"t"}
+
+
 def test_a_large_batch_joins_by_shuffle(spark, parquet):
     """Nothing is broadcast on the library's word; the session's own limit decides."""
     target = parquet("target", spark.range(1000).selectExpr("id AS k", "1 AS o"))
