@@ -30,7 +30,7 @@ INCOMING_WINS = "incoming_wins"
 
 # Keys of a batch, or else those of them that are stored, are broadcast up to this many
 # bytes; beyond it they are joined by a shuffle.
-BROADCAST_BYTES = 128 << 20
+BROADCAST_BYTES = 256 << 20
 
 # Touched partitions whose files are smaller than this on average are compacted when they
 # are rewritten. Well below what a compaction leaves, or it would be repeated every time.
