@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(root / "warehouse"))
-        .config("spark.checkpoint.dir", str(root / "checkpoint"))
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
