@@ -24,6 +24,7 @@ from stratalake.sources.files import read_parquet
 _BATCH = "__batch"
 _MERGED = "__merged"
 _KNOWN = "__known"
+_KEPT = "__kept"
 _MARK = "__ready"
 
 AUTO = "auto"
@@ -43,6 +44,10 @@ def known_stage(path: str) -> str:
     return path.rstrip("/") + _KNOWN
 
 
+def kept_stage(path: str) -> str:
+    return path.rstrip("/") + _KEPT
+
+
 def write_stage(df: DataFrame, stage: str, partitions: Sequence[str], options: Mapping | None = None) -> None:
     df.write.mode("overwrite").options(**(options or {})).partitionBy(*partitions).parquet(stage)
 
@@ -116,7 +121,7 @@ def recover(spark: SparkSession, path: str, options: Mapping | None = None, how:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Drop what an earlier run left, for a write that replaces the dataset anyway."""
-    for stage in (batch_stage(path), merge_stage(path), known_stage(path)):
+    for stage in (batch_stage(path), merge_stage(path), known_stage(path), kept_stage(path)):
         storage.delete(spark, stage + _MARK)
         storage.delete(spark, stage)
 

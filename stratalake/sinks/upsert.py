@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import operator
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,13 +24,13 @@ from pyspark.sql.types import (
 from stratalake.functions.names import column, find_name, require_name
 from stratalake.operators.gather import gather
 from stratalake.operators.latest import latest_per_key
+from stratalake.operators.merge import Rule, kept_keys, known_keys, merge_newest, stored_after
 from stratalake.sinks import staging, storage
 
 NEWEST_WINS = "newest_wins"
 INCOMING_WINS = "incoming_wins"
 
-# Keys of a batch, or else those of them that are stored, are broadcast up to this many
-# bytes; beyond it they are joined by a shuffle.
+# Keys are broadcast up to this many bytes; beyond it they are joined by a shuffle.
 BROADCAST_BYTES = 256 << 20
 
 # Touched partitions whose files are smaller than this on average are compacted when they
@@ -64,14 +65,14 @@ def upsert(
     spark = batch.sparkSession
     keys, order, partitions = ([require_name(batch, c) for c in names] for names in (keys, order, partitions))
     batch = _with_directory_nulls(batch, partitions)
-    match = list(dict.fromkeys([*partitions, *keys]))
+    rule = Rule(keys, order, partitions, stale == NEWEST_WINS)
     staging.recover(spark, path, options, publish)
 
     staged_at = staging.batch_stage(path)
-    winners = gather(latest_per_key(batch, match, order), partitions)
+    winners = gather(latest_per_key(batch, rule.match, order), partitions)
     staging.write_stage(winners, staged_at, partitions, options)
     staged = staging.read_as(spark, [staged_at], staged_at, batch.schema)
-    facts = _measure(staged, keys, match, order)
+    facts = _measure(staged, rule)
     if facts["null_keys"] or not facts["rows"]:
         storage.delete(spark, staged_at)
         if facts["null_keys"]:
@@ -83,16 +84,9 @@ def upsert(
         return staged.schema, staging.publish(spark, staged_at, path, partitions, options, publish)
 
     _require_compatible(target.schema, staged.schema, widen=not partitions)
-    if stale == NEWEST_WINS and facts["oldest"] is not None:
-        if _stored_after(target, staged, order, facts["oldest"]).isEmpty():
-            stale = INCOMING_WINS
-    known, small = staged, facts["key_bytes"] <= broadcast_bytes
-    if not small:
-        known = _known_keys(target, staged, keys, order, partitions, staging.known_stage(path))
-        small = _measure(known, keys, match, order)["key_bytes"] <= broadcast_bytes
-    merged = merge_newest(target, staged, keys, order, partitions, stale, facts["oldest"], known, small)
+    merged, shuffled = _merge(target, staged, rule, facts, path, broadcast_bytes)
     schema = merged.schema
-    if fragmented or not small:
+    if fragmented or shuffled:
         # A shuffle by key leaves rows of every partition in every task, and so a file each.
         merged = gather(merged, partitions)
     merged_at = staging.merge_stage(path)
@@ -102,6 +96,34 @@ def upsert(
     return schema, written
 
 
+def _merge(
+    target: DataFrame, staged: DataFrame, rule: Rule, facts: Mapping, path: str, broadcast_bytes: int
+) -> tuple[DataFrame, bool]:
+    """The merged rows, and whether getting them shuffles the stored rows.
+
+    Whatever is small enough to broadcast spares that shuffle: the batch's keys, those of
+    them that are stored, or the stored keys that stay. Each is measured before it is used.
+    """
+    oldest = facts["oldest"]
+    if rule.newest_wins and oldest is not None and stored_after(target, staged, rule, oldest).isEmpty():
+        rule = replace(rule, newest_wins=False)
+    if facts["key_bytes"] <= broadcast_bytes:
+        return merge_newest(target, staged, rule, oldest, broadcast_known=True), False
+    known = _aside(known_keys(target, staged, rule), staging.known_stage(path))
+    if _key_bytes(known) <= broadcast_bytes:
+        return merge_newest(target, staged, rule, oldest, known, broadcast_known=True), False
+    kept = _aside(kept_keys(target, known, rule), staging.kept_stage(path))
+    if _key_bytes(kept) <= broadcast_bytes:
+        return merge_newest(target, staged, rule, oldest, known, kept=kept), False
+    return merge_newest(target, staged, rule, oldest, known), True
+
+
+def _aside(df: DataFrame, stage: str) -> DataFrame:
+    """Write keys next to the dataset, to be measured and joined without finding them again."""
+    staging.write_stage(df, stage, ())
+    return staging.read_as(df.sparkSession, [stage], stage, df.schema)
+
+
 # Order types that come back from text unchanged, for a filter that reaches the scan.
 _PUSHABLE = (IntegralType, DecimalType, StringType, DateType, TimestampType, TimestampNTZType)
 
@@ -114,22 +136,31 @@ def _with_directory_nulls(batch: DataFrame, partitions: Sequence[str]) -> DataFr
     return batch
 
 
-def _measure(staged: DataFrame, keys: list[str], match: list[str], order: list[str]) -> dict:
+def _measure(staged: DataFrame, rule: Rule) -> dict:
     """Rows, NULL keys, the oldest order value and the size of the keys, in one pass over those columns."""
-    key_null = reduce(operator.or_, [column(k).isNull() for k in keys])
-    first = column(order[0])
-    pushable = isinstance(staged.schema[order[0]].dataType, _PUSHABLE)
-    width = reduce(operator.add, [_width(staged, c) for c in dict.fromkeys([*match, *order])])
+    key_null = reduce(operator.or_, [column(k).isNull() for k in rule.keys])
+    first = column(rule.order[0])
+    pushable = isinstance(staged.schema[rule.order[0]].dataType, _PUSHABLE)
     facts = staged.agg(
         F.count("*").alias("rows"),
         F.count_if(key_null).alias("null_keys"),
         F.count_if(first.isNull()).alias("null_orders"),
         (F.min(first).cast("string") if pushable else F.lit(None)).alias("oldest"),
-        F.coalesce(F.sum(width + F.lit(64)), F.lit(0)).alias("key_bytes"),
+        _total_width(staged, [*rule.match, *rule.order]).alias("key_bytes"),
     ).first()
     return {**facts.asDict(), "oldest": None if facts["null_orders"] else facts["oldest"]}
 
 
+def _key_bytes(keys: DataFrame) -> int:
+    return keys.agg(_total_width(keys, keys.columns)).first()[0]
+
+
+def _total_width(df: DataFrame, names: Iterable[str]) -> Column:
+    """Bytes these columns take in a join's hash table, rather too many than too few."""
+    row = reduce(operator.add, [_width(df, c) for c in dict.fromkeys(names)]) + F.lit(64)
+    return F.coalesce(F.sum(row), F.lit(0))
+
+
 def _width(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     if isinstance(dtype, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)):
@@ -137,23 +168,6 @@ def _width(df: DataFrame, name: str) -> Column:
     return F.coalesce(F.octet_length(column(name).cast("string")), F.lit(0)) + F.lit(16)
 
 
-def _known_keys(
-    target: DataFrame, staged: DataFrame, keys: list[str], order: list[str], partitions: list[str], stage: str
-) -> DataFrame:
-    """The key and order columns of batch rows whose keys are stored.
-
-    A large batch is often mostly new rows. Joining key columns alone tells, and may spare
-    the stored rows a shuffle of all their columns.
-    """
-    match = list(dict.fromkeys([*partitions, *keys]))
-    names = {c: f"__t{i}" for i, c in enumerate(match)}
-    target = _with_columns(target, staged, match)
-    stored = target.select(*[column(c).alias(t) for c, t in names.items()])
-    wanted = staged.select(*[column(c) for c in dict.fromkeys([*match, *order])])
-    staging.write_stage(wanted.join(stored, _equal(names, keys, partitions), "left_semi"), stage, ())
-    return staging.read_as(staged.sparkSession, [stage], stage, wanted.schema)
-
-
 def _read_touched(
     spark: SparkSession, path: str, staged_at: str, staged: DataFrame, partitions: list[str]
 ) -> tuple[DataFrame | None, bool]:
@@ -196,85 +210,3 @@ def _require_compatible(stored: StructType, incoming: StructType, widen: bool) -
             clashes.append(f"{name}: {stored[name].dataType.simpleString()} and {field.dataType.simpleString()}")
     if clashes:
         raise ValueError(f"stored and incoming columns differ in type: {clashes}")
-
-
-def merge_newest(
-    target: DataFrame,
-    batch: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    partitions: Sequence[str] = (),
-    stale: str = NEWEST_WINS,
-    oldest: str | None = None,
-    known: DataFrame | None = None,
-    broadcast_keys: bool = False,
-) -> DataFrame:
-    """Stored rows the batch does not replace, and batch rows no newer stored row holds back.
-
-    ``batch`` has one row per key, within its partition. Both sides meet in joins on those
-    columns alone, so with the batch's keys broadcast the stored rows are never
-    shuffled, and without it Spark may split a skewed stored key. ``oldest``, the
-    smallest order value in the batch, keeps older stored rows out of the search for
-    newer ones. With ``incoming_wins`` there is no such search. ``known`` stands for the
-    batch in the joins: it may leave out rows whose keys are not stored.
-    """
-    match = list(dict.fromkeys([*partitions, *keys]))
-    newest_wins = stale == NEWEST_WINS
-    compared = list(dict.fromkeys([*match, *order])) if newest_wins else match
-    target = _with_columns(target, batch, compared)
-    names = {c: f"__b{i}" for i, c in enumerate(compared)}
-    incoming = (batch if known is None else known).select(*[column(c).alias(b) for c, b in names.items()])
-    if broadcast_keys:
-        incoming = F.broadcast(incoming)
-    same_key = _equal(names, keys, partitions)
-    if not newest_wins:
-        kept = target.join(incoming, same_key, "left_anti")
-        return kept.unionByName(batch, allowMissingColumns=True)
-
-    stored_is_newer = _rank(column(c) for c in order) > _rank(F.col(names[c]) for c in order)
-    kept = target.join(incoming, same_key & ~stored_is_newer, "left_anti")
-
-    candidates = target if oldest is None else _stored_after(target, batch, order, oldest)
-    held = {c: f"__h{i}" for i, c in enumerate(match)}
-    held_back = (
-        candidates.select(*[column(c) for c in compared])
-        .join(incoming, same_key & stored_is_newer)
-        .select(*[F.col(names[c]).alias(h) for c, h in held.items()])
-    )
-    if broadcast_keys:
-        # No more rows than the batch's keys, which were measured.
-        held_back = F.broadcast(held_back.distinct())
-    not_held = batch.join(held_back, _equal(held, keys, partitions), "left_anti")
-    return kept.unionByName(not_held, allowMissingColumns=True)
-
-
-def _stored_after(target: DataFrame, batch: DataFrame, order: Sequence[str], oldest: str) -> DataFrame:
-    """Stored rows that may be newer than the oldest row of the batch.
-
-    The filter reaches the scan. Where batches come in the order of time, Parquet
-    statistics alone tell that there are none, and the batch needs no look at what it
-    replaces.
-    """
-    target = _with_columns(target, batch, order)
-    bound = F.lit(oldest).cast(batch.schema[order[0]].dataType)
-    first = column(order[0])
-    return target.filter(first >= bound if order[1:] else first > bound)
-
-
-def _equal(names: Mapping[str, str], keys: Sequence[str], partitions: Sequence[str]) -> Column:
-    """Same key, in the same partition; a partition value may be NULL, a key may not."""
-    same = [column(p).eqNullSafe(F.col(names[p])) for p in partitions if p not in keys]
-    return reduce(operator.and_, same + [column(k) == F.col(names[k]) for k in keys])
-
-
-def _rank(columns: Iterable[Column]) -> Column:
-    """Order columns as one value; within a struct NULL counts as lowest."""
-    return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(columns)])
-
-
-def _with_columns(target: DataFrame, batch: DataFrame, needed: Sequence[str]) -> DataFrame:
-    """Give stored rows the columns a merge compares, NULL where they never had them."""
-    for name in needed:
-        if find_name(target.columns, name) is None:
-            target = target.withColumn(name, F.lit(None).cast(batch.schema[name].dataType))
-    return target

@@ -6,9 +6,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratalake import latest_per_key, save_trusted, upsert
+from stratalake.operators.merge import Rule, merge_newest
 from stratalake.sinks import staging, storage
 from stratalake.sinks import upsert as upsert_module
-from stratalake.sinks.upsert import merge_newest
 from tests.conftest import rows
 
 
@@ -336,7 +336,7 @@ def parquet(spark, tmp_path):
 def test_stored_rows_are_not_shuffled_for_a_small_batch(spark, parquet):
     target = parquet("target", spark.range(1000).selectExpr("id AS k", "1 AS o", "'x' AS payload"))
     changes = parquet("changes", spark.range(10).selectExpr("id AS k", "2 AS o", "'y' AS payload"))
-    merged = merge_newest(target, changes, ["k"], ["o"], oldest="2", broadcast_keys=True)
+    merged = merge_newest(target, changes, Rule(["k"], ["o"]), oldest="2", broadcast_known=True)
     plan = merged._jdf.queryExecution().executedPlan().toString()
     kept = plan[: plan.index("LeftAnti") + plan[plan.index("LeftAnti") + 1 :].index("LeftAnti")]
     assert "Exchange hashpartitioning" not in kept
@@ -344,24 +344,55 @@ def test_stored_rows_are_not_shuffled_for_a_small_batch(spark, parquet):
 
 
 @pytest.mark.parametrize("partitions", [[], ["p"]])
-def test_a_large_batch_of_mostly_new_keys_spares_the_shuffle(spark, path, monkeypatch, partitions):
+@pytest.mark.parametrize("stale", ["newest_wins", "incoming_wins"])
+@pytest.mark.parametrize(
+    ("first", "last", "broadcast_bytes", "way"),
+    [
+        (190, 210, 10_000, "keys broadcast"),
+        (190, 900, 10_000, "known broadcast"),
+        (10, 190, 10_000, "kept broadcast"),
+        (0, 200, 10_000, "kept broadcast"),
+        (100, 300, 5_000, "shuffle"),
+    ],
+)
+def test_what_is_small_is_broadcast(
+    spark, path, monkeypatch, first, last, broadcast_bytes, way, partitions, stale
+):
+    """A few keys, many new keys, and nearly all keys again each spare the stored rows a shuffle."""
     taken = []
     merge = upsert_module.merge_newest
 
-    def watched(target, batch, keys, order, partitions, stale, oldest, known, small):
-        taken.append((known.count(), small))
-        return merge(target, batch, keys, order, partitions, stale, oldest, known, small)
+    def watched(target, batch, rule, oldest, known=None, broadcast_known=False, kept=None):
+        if broadcast_known:
+            taken.append("keys broadcast" if known is None else "known broadcast")
+        else:
+            taken.append("shuffle" if kept is None else "kept broadcast")
+        return merge(target, batch, rule, oldest, known, broadcast_known, kept)
 
     monkeypatch.setattr(upsert_module, "merge_newest", watched)
-    upsert(in_parts(spark, *[(i, i % 4, "a") for i in range(50)]), path, ["k"], ["o"], partitions)
-    changes = in_parts(spark, *[(i, 2, "a") for i in range(40, 400)])
-    upsert(changes, path, ["k"], ["o"], partitions, broadcast_bytes=2000)
-    assert taken == [(10, True)]
-    want = [(i, i % 4 if i < 40 or (i < 50 and i % 4 > 2) else 2) for i in range(400)]
-    assert rows(spark.read.parquet(path), "k", "o") == sorted(want, key=repr)
+    upsert(in_parts(spark, *[(i, 3 if i % 50 == 0 else 1, "a") for i in range(200)]), path, ["k"], ["o"], partitions)
+    changes = in_parts(spark, *[(i, 2, "a") for i in range(first, last)])
+    upsert(changes, path, ["k"], ["o"], partitions, stale=stale, broadcast_bytes=broadcast_bytes)
+    assert taken == [way]
+    want = {i: 3 if i % 50 == 0 else 1 for i in range(200)}
+    want.update({i: 2 for i in range(first, last) if stale == "incoming_wins" or want.get(i, 0) < 3})
+    assert rows(spark.read.parquet(path), "k", "o") == sorted(want.items(), key=repr)
     assert beside(path) == {"t"}
 
 
+def test_stored_rows_with_null_or_repeated_keys_stay_or_go_as_they_should(spark, path):
+    """A dataset that was not written by upserts may have both."""
+    save_trusted(
+        in_parts(spark, (None, 1, "a"), (None, None, "a"), (1, 1, "a"), (1, 5, "a"), (2, 1, "a"), (2, 1, "a")),
+        path,
+        {"ingest_type": "Replace"},
+    )
+    changes = in_parts(spark, *[(i, 2, "a") for i in [1, *range(10, 60)]])
+    upsert(changes, path, ["k"], ["o"], broadcast_bytes=1000)
+    want = [(None, 1), (None, None), (1, 5), (2, 1), (2, 1)] + [(i, 2) for i in range(10, 60)]
+    assert rows(spark.read.parquet(path), "k", "o") == sorted(want, key=repr)
+
+
 def test_a_large_batch_joins_by_shuffle(spark, parquet):
     """Nothing is broadcast on the library's word; the session's own limit decides."""
     target = parquet("target", spark.range(1000).selectExpr("id AS k", "1 AS o"))
@@ -369,7 +400,7 @@ def test_a_large_batch_joins_by_shuffle(spark, parquet):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        merged = merge_newest(target, changes, ["k"], ["o"], broadcast_keys=False)
+        merged = merge_newest(target, changes, Rule(["k"], ["o"]))
         plan = merged._jdf.queryExecution().executedPlan().toString()
         assert "Broadcast" not in plan
         assert plan.count("SortMergeJoin") == 3
