@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegralType, StringType
 
-# Holds every bigint, with 18 digits left behind the point.
-_WIDE_DECIMAL = "decimal(38,18)"
+_NUMBER = r"^\s*[+-]?[0-9]+(\.[0-9]*)?\s*$"
+_BARE_FRACTION = r"^\s*[+-]?\.[0-9]+\s*$"
 
 
 def lenient_cast(col: Column, source: DataType, target: DataType) -> Column:
@@ -18,6 +18,9 @@ def lenient_cast(col: Column, source: DataType, target: DataType) -> Column:
     """
     name = target.simpleString()
     if isinstance(source, StringType) and isinstance(target, IntegralType):
-        number = F.when(~F.contains(F.lower(col), F.lit("e")), col)
-        return number.try_cast(_WIDE_DECIMAL).try_cast(name)
+        # A try_cast of text that is no number costs an exception per row, a look at it first does not.
+        return F.coalesce(
+            F.when(col.rlike(_NUMBER), F.substring_index(col, ".", 1).try_cast(name)),
+            F.when(col.rlike(_BARE_FRACTION), F.lit(0).cast(name)),
+        )
     return col.try_cast(name)

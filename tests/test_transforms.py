@@ -79,9 +79,11 @@ def test_cast_date_of_fractions_is_an_error(spark):
 
 def test_cast_to_whole_numbers_drops_the_fraction(spark):
     texts = ["2.5", "-2.9", "x", "99999999999", "7", " 8 ", "-0.5", "1e3", "1.9999999999", "", None]
+    texts += ["+3", "4.", ".9", "-.9", ".", "-", "1.2.3", "5 6", "0x10", "1,5", "12d", "\t9.1\n", "000000000012"]
     df = spark.createDataFrame([(t, t) for t in texts], "t string, n string")
     got = apply_transforms(df, [rename_cast(("n", "n", "Integer"))])
     want = [2, -2, None, None, 7, 8, 0, None, 1, None, None]
+    want += [3, 4, 0, 0, None, None, None, None, None, None, None, 9, 12]
     assert dict((r.t, r.n) for r in got.collect()) == dict(zip(texts, want, strict=True))
 
 
