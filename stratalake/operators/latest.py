@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,26 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn(_RANK, F.row_number().over(newest_first)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that more than one row has, found from the key columns alone."""
+    counted = df.groupBy(*map(column, keys)).agg(F.count("*").alias(_RANK))
+    return counted.filter(F.col(_RANK) > 1).drop(_RANK)
+
+
+def latest_of_repeated(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], repeated: DataFrame
+) -> DataFrame:
+    """The result of :func:`latest_per_key`, given the few ``repeated`` keys, which are broadcast.
+
+    Only rows of these keys are compared; all others are passed on where they are.
+    """
+    names = {k: f"__r{i}" for i, k in enumerate(keys)}
+    few = F.broadcast(repeated.select(*[column(k).alias(r) for k, r in names.items()]))
+    same = reduce(operator.and_, [column(k).eqNullSafe(F.col(r)) for k, r in names.items()])
+    alone = df.join(few, same, "left_anti")
+    return alone.unionByName(latest_per_key(df.join(few, same, "left_semi"), keys, order))
+
+
 def _orderable(col: Column, dtype: DataType) -> Column:
     """Maps and variants have no order of their own, their text has."""
     return F.to_json(F.struct(col)) if _has_unordered(dtype) else col

@@ -76,7 +76,7 @@ def run_trusted(
     _log.info("batch %s of %s has %d rows", batch_date, raw_path, rows)
     if rows:
         batch = apply_transforms(batch, trusted.get("transformations", []), transform_mode)
-        save_trusted(batch, path, trusted, destination.get("table_name"), stale)
+        save_trusted(batch, path, trusted, destination.get("table_name"), stale, rows)
     return BatchResult(path, batch_date, rows)
 
 

@@ -23,6 +23,7 @@ from stratalake.sources.files import read_parquet
 # Beside the target and so on its file system, where a rename can reach it.
 _BATCH = "__batch"
 _MERGED = "__merged"
+_REPEATED = "__repeated"
 _KNOWN = "__known"
 _KEPT = "__kept"
 _MARK = "__ready"
@@ -40,6 +41,10 @@ def merge_stage(path: str) -> str:
     return path.rstrip("/") + _MERGED
 
 
+def repeated_stage(path: str) -> str:
+    return path.rstrip("/") + _REPEATED
+
+
 def known_stage(path: str) -> str:
     return path.rstrip("/") + _KNOWN
 
@@ -121,7 +126,8 @@ def recover(spark: SparkSession, path: str, options: Mapping | None = None, how:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Drop what an earlier run left, for a write that replaces the dataset anyway."""
-    for stage in (batch_stage(path), merge_stage(path), known_stage(path), kept_stage(path)):
+    for suffix in (_BATCH, _MERGED, _REPEATED, _KNOWN, _KEPT):
+        stage = path.rstrip("/") + suffix
         storage.delete(spark, stage + _MARK)
         storage.delete(spark, stage)
 

@@ -21,9 +21,17 @@ INGEST_TYPES = (*REPLACE, REPLACE_PARTITION, UPSERT)
 
 
 def save_trusted(
-    df: DataFrame, path: str, trusted: Mapping, table: str | None = None, stale: str = NEWEST_WINS
+    df: DataFrame,
+    path: str,
+    trusted: Mapping,
+    table: str | None = None,
+    stale: str = NEWEST_WINS,
+    rows: int | None = None,
 ) -> None:
-    """Store a batch the way ``trusted["ingest_type"]`` says and register it if it has a database."""
+    """Store a batch the way ``trusted["ingest_type"]`` says and register it if it has a database.
+
+    ``rows`` is how many it has, if that is known: see :func:`stratalake.sinks.upsert.upsert`.
+    """
     kind = trusted["ingest_type"]
     if kind not in INGEST_TYPES:
         raise ValueError(f"ingest type must be one of {INGEST_TYPES}, not {kind!r}")
@@ -36,9 +44,8 @@ def save_trusted(
     name = table_name(database, table) if database is not None else None
 
     if kind == UPSERT:
-        schema, written = upsert(
-            df, path, as_list(trusted["key_column"]), as_list(trusted["order_column"]), partitions, stale, options
-        )
+        keys, order = as_list(trusted["key_column"]), as_list(trusted["order_column"])
+        schema, written = upsert(df, path, keys, order, partitions, stale, options, rows=rows)
         if name:
             schema = with_table_columns(spark, name, path, schema)
             refresh_table(spark, name, path, schema, partitions, map(partition_values, written))

@@ -23,7 +23,7 @@ from pyspark.sql.types import (
 
 from stratalake.functions.names import column, find_name, require_name
 from stratalake.operators.gather import gather
-from stratalake.operators.latest import latest_per_key
+from stratalake.operators.latest import latest_of_repeated, latest_per_key, repeated_keys
 from stratalake.operators.merge import Rule, kept_keys, known_keys, merge_newest, stored_after
 from stratalake.sinks import staging, storage
 
@@ -33,6 +33,11 @@ INCOMING_WINS = "incoming_wins"
 # Keys are broadcast up to this many bytes; beyond it they are joined by a shuffle.
 BROADCAST_BYTES = 256 << 20
 
+# From this many rows on, and this many columns to each key column, a batch is searched
+# for repeated keys first.
+LARGE_BATCH_ROWS = 10_000_000
+COLUMNS_PER_KEY_COLUMN = 4
+
 # Touched partitions whose files are smaller than this on average are compacted when they
 # are rewritten. Well below what a compaction leaves, or it would be repeated every time.
 SMALL_FILE_BYTES = 8 << 20
@@ -48,6 +53,7 @@ def upsert(
     options: Mapping | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     publish: str = staging.AUTO,
+    rows: int | None = None,
 ) -> tuple[StructType, list[str]]:
     """Merge ``batch`` into the dataset at ``path``; return its schema and the partitions written.
 
@@ -56,6 +62,9 @@ def upsert(
     always replaces. With ``partitions`` a key is unique within its partition, and only
     partitions the batch has rows for are read and rewritten.
 
+    ``rows``, where the caller knows how many rows the batch has and that reading it again
+    gives the same, lets a large batch be searched for repeated keys before it is shuffled.
+
     One run at a time may write a path, see :mod:`stratalake.sinks.staging`.
     """
     if stale not in (NEWEST_WINS, INCOMING_WINS):
@@ -69,19 +78,21 @@ def upsert(
     staging.recover(spark, path, options, publish)
 
     staged_at = staging.batch_stage(path)
-    winners = gather(latest_per_key(batch, rule.match, order), partitions)
-    staging.write_stage(winners, staged_at, partitions, options)
+    winners = _one_per_key(batch, rule, path, broadcast_bytes, rows)
+    staging.write_stage(gather(winners, partitions), staged_at, partitions, options)
     staged = staging.read_as(spark, [staged_at], staged_at, batch.schema)
     facts = _measure(staged, rule)
     if facts["null_keys"] or not facts["rows"]:
-        storage.delete(spark, staged_at)
+        staging.discard(spark, path)
         if facts["null_keys"]:
             raise ValueError(f"the batch has rows with NULL in a key column, of {keys}")
         return batch.schema, []
 
     target, fragmented = _read_touched(spark, path, staged_at, staged, partitions)
     if target is None:
-        return staged.schema, staging.publish(spark, staged_at, path, partitions, options, publish)
+        written = staging.publish(spark, staged_at, path, partitions, options, publish)
+        staging.discard(spark, path)
+        return staged.schema, written
 
     _require_compatible(target.schema, staged.schema, widen=not partitions)
     merged, shuffled = _merge(target, staged, rule, facts, path, broadcast_bytes)
@@ -96,6 +107,24 @@ def upsert(
     return schema, written
 
 
+def _one_per_key(batch: DataFrame, rule: Rule, path: str, broadcast_bytes: int, rows: int | None) -> DataFrame:
+    """The newest row of every key in the batch.
+
+    Most batches have no key twice. In a large one whose keys are a small part of its
+    columns, finding those that are costs a shuffle of the keys and spares one of the rows.
+    """
+    large = rows is not None and rows >= LARGE_BATCH_ROWS
+    if not large or len(batch.columns) < COLUMNS_PER_KEY_COLUMN * len(rule.match):
+        return latest_per_key(batch, rule.match, rule.order)
+    repeated = _aside(repeated_keys(batch, rule.match), staging.repeated_stage(path))
+    size = _key_bytes(repeated)
+    if size == 0:
+        return batch
+    if size > broadcast_bytes:
+        return latest_per_key(batch, rule.match, rule.order)
+    return latest_of_repeated(batch, rule.match, rule.order, repeated)
+
+
 def _merge(
     target: DataFrame, staged: DataFrame, rule: Rule, facts: Mapping, path: str, broadcast_bytes: int
 ) -> tuple[DataFrame, bool]:
@@ -109,12 +138,18 @@ def _merge(
         rule = replace(rule, newest_wins=False)
     if facts["key_bytes"] <= broadcast_bytes:
         return merge_newest(target, staged, rule, oldest, broadcast_known=True), False
-    known = _aside(known_keys(target, staged, rule), staging.known_stage(path))
-    if _key_bytes(known) <= broadcast_bytes:
-        return merge_newest(target, staged, rule, oldest, known, broadcast_known=True), False
-    kept = _aside(kept_keys(target, known, rule), staging.kept_stage(path))
-    if _key_bytes(kept) <= broadcast_bytes:
-        return merge_newest(target, staged, rule, oldest, known, kept=kept), False
+    # A batch of half the table or more is likely the table again; the count reads footers.
+    again = facts["rows"] > target.count() // 2
+    known = staged
+    for few in ("kept", "known") if again else ("known", "kept"):
+        if few == "known":
+            known = _aside(known_keys(target, staged, rule), staging.known_stage(path))
+            if _key_bytes(known) <= broadcast_bytes:
+                return merge_newest(target, staged, rule, oldest, known, broadcast_known=True), False
+        else:
+            kept = _aside(kept_keys(target, known, rule), staging.kept_stage(path))
+            if _key_bytes(kept) <= broadcast_bytes:
+                return merge_newest(target, staged, rule, oldest, known, kept=kept), False
     return merge_newest(target, staged, rule, oldest, known), True
 
 

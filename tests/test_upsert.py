@@ -61,6 +61,43 @@ def test_a_hot_key_shuffles_one_row_per_task(spark):
     assert latest.filter("k = 0").first().o == 99_999
 
 
+@pytest.mark.parametrize("partitions", [[], ["p"]])
+@pytest.mark.parametrize(
+    ("values", "broadcast_bytes", "way"),
+    [
+        ([(i, 1, "a", i, i, i, i, i) for i in range(30)], 10_000, "as they are"),
+        ([(i % 25, i, "a", i, i, i, i, i) for i in range(30)], 10_000, "repeated ones"),
+        ([(0 if i % 3 else i, 1, "a", i, i, i, i, i) for i in range(30)], 10_000, "repeated ones"),
+        ([(i % 15, i, "a", i, i, i, i, i) for i in range(30)], 100, "all"),
+    ],
+)
+def test_a_large_batch_is_searched_for_repeated_keys(
+    spark, path, monkeypatch, values, broadcast_bytes, way, partitions
+):
+    df = batch(spark, *values, schema="k int, o int, p string, c1 int, c2 int, c3 int, c4 int, c5 int")
+    want = rows(latest_per_key(df, ["k"], ["o"]), *df.columns)
+    taken = []
+
+    def watched(name, function):
+        return lambda *given: taken.append(name) or function(*given)
+
+    monkeypatch.setattr(upsert_module, "LARGE_BATCH_ROWS", 30)
+    for name, function in (("repeated ones", "latest_of_repeated"), ("all", "latest_per_key")):
+        monkeypatch.setattr(upsert_module, function, watched(name, getattr(upsert_module, function)))
+    upsert(df, path, ["k"], ["o"], partitions, broadcast_bytes=broadcast_bytes, rows=30)
+    assert (taken or ["as they are"]) == [way]
+    assert rows(spark.read.parquet(path), *df.columns) == want
+    assert beside(path) == {"t"}
+
+
+def test_null_keys_in_a_large_batch(spark, path, monkeypatch):
+    monkeypatch.setattr(upsert_module, "LARGE_BATCH_ROWS", 0)
+    wide = batch(spark, (1, 1, "a"), (None, 1, "b"), (None, 2, "c")).withColumn("w", F.lit(1))
+    with pytest.raises(ValueError, match="NULL in a key column"):
+        upsert(wide, path, ["k"], ["o"], rows=3)
+    assert not Path(path).parent.exists() or beside(path) == set()
+
+
 # Merging
 
 
