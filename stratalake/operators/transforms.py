@@ -93,7 +93,10 @@ _TRANSFORMS: dict[str, Transform] = {
 
 
 def register_transform(name: str, transform: Transform) -> None:
-    """Offer ``transform(df, parameters) -> DataFrame`` to jobs as ``name``."""
+    """Offer ``transform(df, parameters) -> DataFrame`` to jobs as ``name``.
+
+    It must give the same rows each time it runs, as Spark may run it more than once.
+    """
     _TRANSFORMS[name] = transform
 
 

@@ -18,10 +18,22 @@ def table_name(database: str, table: str) -> str:
     return f"{quoted(database)}.{quoted(table)}"
 
 
-def require_database(spark: SparkSession, database: str | None) -> None:
-    """Fail before any file is written if the table could not be registered."""
-    if database is not None and not spark.catalog.databaseExists(database):
+def require_registrable(spark: SparkSession, database: str | None, table: str | None) -> None:
+    """Fail before any file is written if the dataset could not be registered as this table.
+
+    A managed table of that name owns its files, and a new registration would delete them.
+    """
+    if database is None:
+        return
+    if not spark.catalog.databaseExists(database):
         raise ValueError(f"no such database: {database!r}")
+    if table is None:
+        raise ValueError(f"no table name for database {database!r}")
+    name = table_name(database, table)
+    if spark.catalog.tableExists(name):
+        kind = spark.catalog.getTable(name).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{name} exists and is not an external table but {kind}")
 
 
 def create_table(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.names import require_distinct
 from stratalake.layers import BATCH_COLUMN
 from stratalake.sinks import storage
-from stratalake.sinks.catalog import refresh_table, require_database, table_name
+from stratalake.sinks.catalog import refresh_table, require_registrable, table_name
 
 
 def stamp_batch(df: DataFrame, batch_date: str) -> DataFrame:
@@ -28,7 +28,7 @@ def save_raw(
     reads. A run with no rows writes nothing and leaves an earlier run's rows.
     """
     spark = df.sparkSession
-    require_database(spark, database)
+    require_registrable(spark, database, table)
     batch = stamp_batch(df, batch_date)
     (
         batch.write.mode("overwrite")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from stratalake.functions.names import column, require_distinct, require_name
 from stratalake.operators.gather import gather
 from stratalake.sinks import staging
-from stratalake.sinks.catalog import create_table, refresh_table, require_database, table_name, with_table_columns
+from stratalake.sinks.catalog import create_table, refresh_table, require_registrable, table_name, with_table_columns
 from stratalake.sinks.storage import partition_values
 from stratalake.sinks.upsert import NEWEST_WINS, upsert
 
@@ -37,7 +37,7 @@ def save_trusted(
         raise ValueError(f"ingest type must be one of {INGEST_TYPES}, not {kind!r}")
     spark = df.sparkSession
     database = trusted.get("database")
-    require_database(spark, database)
+    require_registrable(spark, database, table)
     require_distinct(df.columns)
     partitions = [require_name(df, p) for p in trusted.get("partitions", [])]
     options = trusted.get("options", {})

@@ -105,6 +105,19 @@ def test_unknown_database_fails_before_the_write(spark, tmp_path):
     assert not (tmp_path / "raw").exists()
 
 
+def test_a_managed_table_is_left_alone(spark, tmp_path, database):
+    numbers(spark, 7).write.saveAsTable(f"{database}.t")
+    with pytest.raises(ValueError, match="not an external table but MANAGED"):
+        save_raw(numbers(spark, 1), str(tmp_path / "raw"), "20240101", database, "t")
+    assert not (tmp_path / "raw").exists()
+    assert rows(spark.table(f"{database}.t")) == [(7,)]
+
+
+def test_a_database_needs_a_table_name(spark, tmp_path, database):
+    with pytest.raises(ValueError, match="no table name"):
+        save_raw(numbers(spark, 1), str(tmp_path / "raw"), "20240101", database)
+
+
 def test_read_batch(spark, tmp_path):
     path = str(tmp_path / "raw")
     save_raw(numbers(spark, 1), path, "20240101")
