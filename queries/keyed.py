@@ -60,6 +60,16 @@ def upsert_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def upsert_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearly the whole table again, too much to broadcast: the few stored keys that stay are, while few."""
+    path = f"{scratch(spark)}/trusted/orders"
+    orders = table(spark, sf_dir, "orders").withColumn("version", F.lit(1))
+    upsert(orders, path, ["o_orderkey"], ["version"])
+    again = orders.filter("o_orderdate >= '1995-02-01'").withColumn("version", F.lit(2))
+    upsert(again, path, ["o_orderkey"], ["version"], broadcast_bytes=500_000)
+    return spark.read.parquet(path)
+
+
 def _stale_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored orders, of which the finished ones are newer than any change."""
     version = F.when(F.col("o_orderstatus") == "F", 3).otherwise(1)
@@ -216,6 +226,10 @@ CHECKS = {
     ),
     "upsert_newer": (upsert_newer, _UPSERT_SQL),
     "upsert_shuffled": (upsert_shuffled, _UPSERT_SQL),
+    "upsert_reload": (
+        upsert_reload,
+        "SELECT *, CASE WHEN o_orderdate >= TIMESTAMP '1995-02-01' THEN 2 ELSE 1 END AS version FROM orders",
+    ),
     "upsert_stale": (
         upsert_stale,
         f"SELECT *, {_FINISHED_SQL} AS version FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01' "
