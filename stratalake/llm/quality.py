@@ -40,8 +40,8 @@ SHARES = {
     "symbols": ("n_symbols * 1000 div greatest(word_chars, 1)", 10),
     "upper": ("n_upper * 1000 div greatest(word_chars, 1)", 30),
     "punctuation": ("n_punct * 1000 div greatest(word_chars, 1)", 20),
-    "dup_lines": ("n_dup_lines * 1000 div greatest(n_lines, 1)", 40),
-    "repeats": ("n_repeat_words * 1000 div greatest(n_words, 1)", 20),
+    "dup_lines": ("n_dup_lines * 1000 div greatest(n_lines, 1)", 100),
+    "repeats": ("n_repeat_words * 1000 div greatest(n_words, 1)", 80),
     "word_length": ("word_chars * 100 div greatest(n_words, 1)", 100),
 }
 FENCES = [f"fence_{share}" for share in SHARES]

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import bpe, quality
-from stratalake.llm.shared import table
+from stratalake.llm.shared import shipped, table
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codec = bpe.Codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    codec = bpe.Codec(shipped(spark), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     docs = table(spark, sf_dir, "documents").select("doc_id", codec.encode(F.col("text")).alias("ids"))
     return docs.withColumn("raw", codec.decode(F.col("ids"))).select(
         "doc_id",
@@ -22,7 +22,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents")).select(
+    return quality.quality(table(shipped(spark), sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 

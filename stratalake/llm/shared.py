@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from functools import cache
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _archive() -> str:
+    package = Path(__file__).resolve().parent.parent
+    path = os.path.join(tempfile.mkdtemp(prefix="stratalake-"), f"{package.name}.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    return path
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """The session, after giving this package to executors, whose Python may not have it."""
+    spark.sparkContext.addPyFile(_archive())
+    return spark
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder under the shared one that the session names in ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
