@@ -3,11 +3,42 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, quality
-from stratalake.llm.shared import shipped, table
+from stratalake.llm import bpe, language, pii, quality
+from stratalake.llm.shared import fold, shipped, table
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(shipped(spark), sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
+    languages = language.Languages(spark, docs.where("not held_out").select("doc_id", "text", "lang"))
+    found = docs.select("doc_id", "held_out", languages.predict(F.col("text")).alias("found"))
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.col("found.lang").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+        F.col("found.rejected").alias("rejected"),
+    )
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(shipped(spark), sf_dir, "documents")
+    found = docs.select("doc_id", pii.personal_data(F.col("text")).alias("found"))
+
+    def of(*kinds: str) -> Column:
+        return F.filter("found", lambda s: s["kind"].isin(*kinds))
+
+    def joined(spans: Column) -> Column:
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(joined(of(*pii.BASE_KINDS)).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"),
+    )
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,4 +58,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-CHECKS = {"op9_bpe": (op9_bpe, None), "op10_quality": (op10_quality, None)}
+CHECKS = {
+    "op2_language": (op2_language, None),
+    "op5_pii": (op5_pii, None),
+    "op9_bpe": (op9_bpe, None),
+    "op10_quality": (op10_quality, None),
+}
