@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, language, pii, quality
-from stratalake.llm.shared import fold, shipped, table
+from stratalake.llm import bpe, language, pii, quality, warc
+from stratalake.llm.shared import fold, scratch, shipped, table
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,24 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(shipped(spark))
+    archives = warc.write_archives(warc.record_types(table(spark, sf_dir, "pages")), f"{folder}/crawl")
+    index = warc.normalise(archives, f"{folder}/records")
+    return warc.read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = bpe.Codec(shipped(spark), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     docs = table(spark, sf_dir, "documents").select("doc_id", codec.encode(F.col("text")).alias("ids"))
@@ -61,6 +79,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHECKS = {
     "op2_language": (op2_language, None),
     "op5_pii": (op5_pii, None),
+    "op7_warc": (op7_warc, OP7_SQL),
     "op9_bpe": (op9_bpe, None),
     "op10_quality": (op10_quality, None),
 }
