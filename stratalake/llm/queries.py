@@ -6,10 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, language, pii, quality, warc
+from stratalake.llm import bpe, language, pii, quality, toxicity, warc
 from stratalake.llm.shared import fold, scratch, shipped, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(shipped(spark), sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 4) != 2)
+    model = toxicity.Toxicity(spark, docs, labels)
+    scored = docs.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(shipped(spark), sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
     languages = language.Languages(spark, docs.where("not held_out").select("doc_id", "text", "lang"))
@@ -77,6 +85,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHECKS = {
+    "op1_toxicity": (op1_toxicity, None),
     "op2_language": (op2_language, None),
     "op5_pii": (op5_pii, None),
     "op7_warc": (op7_warc, OP7_SQL),

@@ -7,7 +7,7 @@ text, and not the Arrow batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -72,13 +72,16 @@ class Block:
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return self.runs(~SPACE[self.data])
 
-    def hashes(self, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-        """64-bit hashes of byte ranges: equal for equal bytes, wherever they stand."""
+    def hasher(self, lower: bool = False) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        """Gives 64-bit hashes of byte ranges by start and end: equal for equal bytes, wherever they stand."""
         data = LOWER[self.data] if lower else self.data
         up, down = _power(len(data) + 1)
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-        return mix((total[ends] - total[starts]) * down[starts])
+        return lambda starts, ends: mix((total[ends] - total[starts]) * down[starts])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+        return self.hasher(lower)(starts, ends)
 
 
 def blocks(column: pa.Array | pa.ChunkedArray, size: int = BLOCK) -> Iterator[Block]:
@@ -99,6 +102,11 @@ def blocks(column: pa.Array | pa.ChunkedArray, size: int = BLOCK) -> Iterator[Bl
         first = last
 
 
+def block_of(texts: list[bytes]) -> Block:
+    """A block of the given texts."""
+    return Block(0, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+
+
 def windows(hashes: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all windows of ``n`` words, and where each text's windows begin.
 
