@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, language, pii, quality, toxicity, warc
+from stratalake.llm import bpe, language, minhash, pii, quality, toxicity, warc
 from stratalake.llm.shared import fold, scratch, shipped, table
 
 
@@ -49,6 +49,34 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(shipped(spark), sf_dir, "documents"))
+
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s
+  FROM w
+), x AS (SELECT doc_id, unnest(s) AS g FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b
+  WHERE 100 * c >= 80 * (len(sa.s) + len(sb.s) - c)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r(doc_id, reached) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached
+), c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(shipped(spark))
     archives = warc.write_archives(warc.record_types(table(spark, sf_dir, "pages")), f"{folder}/crawl")
@@ -88,6 +116,7 @@ CHECKS = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_language": (op2_language, None),
     "op5_pii": (op5_pii, None),
+    "op6_minhash": (op6_minhash, OP6_SQL),
     "op7_warc": (op7_warc, OP7_SQL),
     "op9_bpe": (op9_bpe, None),
     "op10_quality": (op10_quality, None),
