@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, language, minhash, pii, quality, toxicity, warc
+from stratalake.llm import bpe, hmm, language, minhash, pii, quality, toxicity, warc
 from stratalake.llm.shared import fold, scratch, shipped, table
 
 
@@ -95,6 +95,11 @@ FROM f
 """
 
 
+def op8_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(shipped(spark), sf_dir, "documents")
+    return hmm.score(docs.select("doc_id", "text", (fold("doc_id", 5) == 1).alias("held_out")))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = bpe.Codec(shipped(spark), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     docs = table(spark, sf_dir, "documents").select("doc_id", codec.encode(F.col("text")).alias("ids"))
@@ -118,6 +123,7 @@ CHECKS = {
     "op5_pii": (op5_pii, None),
     "op6_minhash": (op6_minhash, OP6_SQL),
     "op7_warc": (op7_warc, OP7_SQL),
+    "op8_hmm": (op8_hmm, None),
     "op9_bpe": (op9_bpe, None),
     "op10_quality": (op10_quality, None),
 }
