@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, hmm, language, minhash, pii, quality, toxicity, warc
+from stratalake.llm import bpe, hmm, language, lines, minhash, pii, quality, toxicity, warc
 from stratalake.llm.shared import fold, scratch, shipped, table
 
 
@@ -31,6 +31,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_classes(table(shipped(spark), sf_dir, "documents")).drop("text_hash")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(shipped(spark), sf_dir, "documents")
     found = docs.select("doc_id", pii.personal_data(F.col("text")).alias("found"))
@@ -120,6 +124,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHECKS = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_language": (op2_language, None),
+    "op4_lines": (op4_lines, None),
     "op5_pii": (op5_pii, None),
     "op6_minhash": (op6_minhash, OP6_SQL),
     "op7_warc": (op7_warc, OP7_SQL),
