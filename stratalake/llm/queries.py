@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, hmm, language, lines, minhash, pii, quality, toxicity, warc
+from stratalake.llm import bpe, decontaminate, hmm, language, lines, minhash, pii, quality, toxicity, warc
 from stratalake.llm.shared import fold, scratch, shipped, table
 
 
@@ -31,6 +31,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(shipped(spark), sf_dir, "documents")
+    return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_classes(table(shipped(spark), sf_dir, "documents")).drop("text_hash")
 
@@ -124,6 +129,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHECKS = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_language": (op2_language, None),
+    "op3_decontaminate": (op3_decontaminate, None),
     "op4_lines": (op4_lines, None),
     "op5_pii": (op5_pii, None),
     "op6_minhash": (op6_minhash, OP6_SQL),

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.words import LOWER, SPACE, Block, block_of, blocks
+from stratalake.llm.words import Block, Members, block_of, blocks, folded
 
 #: Labelled documents to learn from.
 SAMPLE = 16_000
@@ -54,7 +54,6 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[list(b".-_~*")] = True
 _TAIL = re.compile(r"([^\w\s])\1{2,}$|[.,;:?!)\]\"']+$")
 _SALTS = np.array([0x9E3779B97F4A7C15 * (n + 1) % (1 << 64) for n in range(len(PREFIXES) + 1)], np.uint64)
-_BITS = 20
 
 
 class CharModel:
@@ -119,15 +118,6 @@ def decode(word: str, model: CharModel) -> str:
     return min((cost + model.cost(state + "$"), text) for state, (cost, text) in best.items())[1]
 
 
-def _folded(data: np.ndarray) -> np.ndarray:
-    """Lower case of A-Z and of the Latin letters U+00C0 to U+00DE."""
-    low = LOWER[data]
-    second = np.flatnonzero(low[:-1] == 0xC3) + 1
-    second = second[(low[second] <= 0x9E) & (low[second] >= 0x80) & (low[second] != 0x97)]
-    low[second] += 0x20
-    return low
-
-
 def disguised(block: Block) -> tuple[np.ndarray, list[str]]:
     """The text and the observed form of each word, or row of single letters, that looks disguised."""
     data = block.data
@@ -167,7 +157,7 @@ def _cyrillic(data: np.ndarray) -> np.ndarray:
 
 def _features(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Text and hash of each word of letters and of its beginnings."""
-    block = Block(block.first, _folded(block.data), block.offsets)
+    block = Block(block.first, folded(block.data), block.offsets)
     starts, ends, firsts = block.runs(_LETTER[block.data])
     rows = np.repeat(np.arange(block.rows), np.diff(firsts))
     hashed = block.hasher()
@@ -187,11 +177,8 @@ def features(block: Block, model: CharModel, cues: np.ndarray | None = None) ->
         own, more = _features(block_of([_restored(word, model).encode() for word in words]))
         rows, hashes = np.concatenate([rows, hidden[own]]), np.concatenate([hashes, more])
     if cues is not None:
-        near = _near(cues)[(hashes & np.uint64((1 << _BITS) - 1)).astype(np.int64)]
-        rows, hashes = rows[near], hashes[near]
-        at = np.minimum(np.searchsorted(cues, hashes), max(len(cues) - 1, 0))
-        same = cues[at] == hashes if len(cues) else np.zeros(len(hashes), bool)
-        rows, hashes = rows[same], hashes[same]
+        at, _ = _members(cues).find(hashes)
+        rows, hashes = rows[at], hashes[at]
     order = np.lexsort((hashes, rows))
     rows, hashes = rows[order], hashes[order]
     new = np.ones(len(rows), bool)
@@ -202,14 +189,11 @@ def features(block: Block, model: CharModel, cues: np.ndarray | None = None) ->
 _kept: dict[str, tuple[bytes, object]] = {}
 
 
-def _near(cues: np.ndarray) -> np.ndarray:
-    """Which low bits any cue has."""
+def _members(cues: np.ndarray) -> Members:
     key = cues.tobytes()
-    if _kept.get("near", (None,))[0] != key:
-        table = np.zeros(1 << _BITS, bool)
-        table[(cues & np.uint64((1 << _BITS) - 1)).astype(np.int64)] = True
-        _kept["near"] = (key, table)
-    return _kept["near"][1]
+    if _kept.get("cues", (None,))[0] != key:
+        _kept["cues"] = (key, Members(cues))
+    return _kept["cues"][1]
 
 
 def _model(trigrams: dict[str, int]) -> CharModel:

@@ -102,6 +102,37 @@ def blocks(column: pa.Array | pa.ChunkedArray, size: int = BLOCK) -> Iterator[Bl
         first = last
 
 
+def folded(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z and the Latin letters U+00C0 to U+00DE in lower case."""
+    low = LOWER[data]
+    second = np.flatnonzero(low[:-1] == 0xC3) + 1
+    second = second[(low[second] <= 0x9E) & (low[second] >= 0x80) & (low[second] != 0x97)]
+    low[second] += 0x20
+    return low
+
+
+class Members:
+    """Finds which hashes are in a sorted array; most that aren't are ruled out by their lowest bits."""
+
+    BITS = 20
+
+    def __init__(self, wanted: np.ndarray):
+        self.wanted = wanted
+        self.near = np.zeros(1 << self.BITS, bool)
+        self.near[self._low(wanted)] = True
+
+    def _low(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64((1 << self.BITS) - 1)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are wanted, and their places in the sorted array."""
+        at = np.flatnonzero(self.near[self._low(hashes)])
+        place = np.searchsorted(self.wanted, hashes[at])
+        place[place == len(self.wanted)] = 0
+        same = self.wanted[place] == hashes[at] if len(self.wanted) else np.zeros(0, bool)
+        return at[same], place[same]
+
+
 def block_of(texts: list[bytes]) -> Block:
     """A block of the given texts."""
     return Block(0, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
