@@ -16,7 +16,7 @@ Links are found in two exact steps, neither of which emits all pairs of a bucket
 Thus what leaves a bucket grows with its members, and a large bucket is the work of many tasks.
 
 A word is a longest run without white space, A-Z in lower case; a document's set are its distinct
-shingles of four words, or its whole sequence if it has fewer. Null texts and those without words have
+shingles of ``SHINGLE`` words (a parameter), or its whole sequence if it has fewer. Null texts and those without words have
 an empty set and are linked with nothing. Rows with equal ids count as one document for links. A null
 id joins the component of its equal set, and has none if there is no other. An empty table gives no
 rows. Extra columns are ignored.
@@ -33,7 +33,7 @@ from stratalake.llm.components import components
 from stratalake.llm.shared import size_bounded, written
 from stratalake.llm.words import Block, blocks, mix, windows
 
-SHINGLE = 4
+SHINGLE = 5
 SIMILAR_PERCENT = 80
 BANDS, ROWS = 30, 5
 #: Members of a side of a block.
@@ -82,13 +82,13 @@ def band_hashes(found: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return made
 
 
-def signed(text: Column) -> Column:
+def signed(text: Column, words: int) -> Column:
     """A struct of the size of a text's set, two hashes of the whole set, and its bands."""
 
     def of(texts: pa.Array) -> pa.Array:
         sizes, sums, others, bands = [], [], [], []
         for block in blocks(texts):
-            found, offsets = shingles(block)
+            found, offsets = shingles(block, words)
             sizes.append(np.diff(offsets))
             for sink, values in ((sums, mix(found ^ _STEP)), (others, mix(found + _STEP))):
                 total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
@@ -102,13 +102,13 @@ def signed(text: Column) -> Column:
     return F.arrow_udf(of, "struct<size: bigint, sum: bigint, other: bigint, bands: array<bigint>>")(text)
 
 
-def shingle_sets(text: Column) -> Column:
+def shingle_sets(text: Column, words: int) -> Column:
     """The full set of a text as an array of hashes."""
 
     def of(texts: pa.Array) -> pa.Array:
         values, sizes = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
         for block in blocks(texts):
-            found, offsets = shingles(block)
+            found, offsets = shingles(block, words)
             values.append(found.view(np.int64))
             sizes.append(np.diff(offsets))
         ends = np.cumsum(np.concatenate(sizes)).astype(np.int32)
@@ -117,14 +117,14 @@ def shingle_sets(text: Column) -> Column:
     return F.arrow_udf(of, "array<bigint>")(text)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
-    docs = docs.select("doc_id", "text")
-    rows = written(docs.select("doc_id", signed(F.col("text")).alias("s")).select("doc_id", "s.*"))
+def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, kept) of every row; shingles have so many words."""
+    docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    rows = written(docs.select("doc_id", "text_hash", signed(F.col("text"), words).alias("s")).select("doc_id", "text_hash", "s.*"))
     nodes = rows.where("size > 0").groupBy("size", "sum", "other").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     nodes = written(nodes)
     members = _buckets(nodes)
-    sets = _sets(docs, members)
+    sets = _sets(docs, members, words)
     first = _linked(_pivot_pairs(members), sets)
     near = components(first)
     rest = _block_links(members, near, sets)
@@ -134,8 +134,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = found.select("size", "sum", "other", F.coalesce("component", "rep").alias("component_id"))
     every = rows.drop("bands").join(found, ["size", "sum", "other"], "left")
     component = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    every = every.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))
-    return every.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    every = every.select("doc_id", "text_hash", F.col("size").alias("n_shingles"), component.alias("component_id"))
+    return every.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """The documents that are kept: of each component the one with the smallest id."""
+    dropped = near_duplicates(docs, words).where("not kept")
+    dropped = written(dropped.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
+    dropped = size_bounded(dropped, BROADCAST_ROWS)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    return docs.join(dropped, same, "left_anti")
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
@@ -156,11 +165,11 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     return written(members.drop("times").join(central, "rep"))
 
 
-def _sets(docs: DataFrame, members: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
     """(rep, shingles) of all nodes in buckets; written. Other texts are not read beyond the scan."""
     wanted = size_bounded(written(members.select(F.col("rep").alias("doc_id")).distinct()), BROADCAST_ROWS)
     chosen = docs.join(wanted, "doc_id", "left_semi")
-    return written(chosen.select(F.col("doc_id").alias("rep"), shingle_sets(F.col("text")).alias("shingles")))
+    return written(chosen.select(F.col("doc_id").alias("rep"), shingle_sets(F.col("text"), words).alias("shingles")))
 
 
 def _pivot_pairs(members: DataFrame) -> DataFrame:

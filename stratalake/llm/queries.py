@@ -59,7 +59,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(shipped(spark), sf_dir, "documents"))
+    return minhash.near_duplicates(table(shipped(spark), sf_dir, "documents"), words=4).drop("text_hash")
 
 
 OP6_SQL = r"""
