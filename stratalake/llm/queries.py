@@ -126,6 +126,71 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _op10_sql() -> str:
+    """The counts, the sketches of the three levels, their fences and the verdict."""
+    shares = {
+        "symbols": "n_symbols * 1000 // greatest(word_chars, 1)",
+        "upper": "n_upper * 1000 // greatest(word_chars, 1)",
+        "punctuation": "n_punct * 1000 // greatest(word_chars, 1)",
+        "dup_lines": "n_dup_lines * 1000 // greatest(n_lines, 1)",
+        "repeats": "n_repeat_words * 1000 // greatest(n_words, 1)",
+        "word_length": "word_chars * 100 // greatest(n_words, 1)",
+    }
+    least = {share: spread for share, (_, spread) in quality.SHARES.items()}
+    levels = {"own": "lang, source", "of_lang": "lang", "of_all": ""}
+    sketches = []
+    for level, keys in levels.items():
+        named = f"{keys}, " if keys else ""
+        group = f"{named}share"
+        sketches.append(f"""
+{level}_c AS (SELECT {group}, bucket, sum(n) AS n FROM sketch GROUP BY {group}, bucket
+), {level}_q AS (
+  SELECT {group}, CASE WHEN bucket < 32 THEN bucket ELSE (bucket % 16 + 16) << (bucket // 16 - 1) END AS edge,
+    sum(n) OVER (PARTITION BY {group}) AS docs, sum(n) OVER (PARTITION BY {group} ORDER BY bucket) AS below
+  FROM {level}_c
+), {level} AS (
+  SELECT {group}, docs, min(edge) FILTER (4 * below >= 3 * docs) AS q3, min(edge) FILTER (4 * below >= docs) AS q1,
+    q3 + {quality.FENCE} * greatest(q3 - q1, CASE share {" ".join(f"WHEN '{k}' THEN {v}" for k, v in least.items())} END) AS fence
+  FROM {level}_q GROUP BY {group}, docs
+)""")
+    return rf"""
+WITH w AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), win AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w)
+), rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1
+), cov AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest(range(0, 8)) AS k FROM rep) GROUP BY doc_id
+), c AS (
+  SELECT doc_id, lang, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+    length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS n_upper,
+    length(t) - length(translate(t, '!?;:"''()[]{{}}=+-_/\~^`@', '')) AS n_punct,
+    len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN cov USING (doc_id)
+), m AS (
+  SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM c
+), s AS ({" UNION ALL ".join(f"SELECT doc_id, lang, source, base_failed, '{k}' AS share, ({v})::BIGINT AS v FROM m" for k, v in shares.items())}
+), sketch AS (
+  SELECT lang, source, share, CASE WHEN v < 32 THEN v ELSE 16 * (length(bin(v)) - 5) + (v >> (length(bin(v)) - 5)) END AS bucket,
+    count(*) AS n
+  FROM s WHERE NOT base_failed GROUP BY 1, 2, 3, 4
+), {", ".join(sketches)}, verdict AS (
+  SELECT s.doc_id, bool_and(s.v <= CASE WHEN own.docs >= {quality.MIN_DOCS} THEN own.fence
+    WHEN of_lang.docs >= {quality.MIN_DOCS} THEN of_lang.fence ELSE of_all.fence END) AS within
+  FROM s
+  JOIN own ON own.lang IS NOT DISTINCT FROM s.lang AND own.source IS NOT DISTINCT FROM s.source AND own.share = s.share
+  JOIN of_lang ON of_lang.lang IS NOT DISTINCT FROM s.lang AND of_lang.share = s.share
+  JOIN of_all ON of_all.share = s.share
+  GROUP BY s.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(within, false) AS kept
+FROM m LEFT JOIN verdict USING (doc_id)
+"""
+
+
 CHECKS = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_language": (op2_language, None),
@@ -136,5 +201,5 @@ CHECKS = {
     "op7_warc": (op7_warc, OP7_SQL),
     "op8_hmm": (op8_hmm, None),
     "op9_bpe": (op9_bpe, None),
-    "op10_quality": (op10_quality, None),
+    "op10_quality": (op10_quality, _op10_sql()),
 }
