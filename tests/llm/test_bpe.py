@@ -1,0 +1,53 @@
+import random
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from llm_fixtures import ODD_TEXTS, documents, rows, table  # noqa: F401
+
+from stratalake.llm.bpe import Codec, codec_of, encode_text
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def codec():
+    with open(PATH, "rb") as file:
+        return codec_of(file.read(), public_tokenizers.PATTERN)
+
+
+@pytest.mark.parametrize("part", [1, 7, 50])
+def test_parts_give_the_ids_of_the_whole(codec, part):
+    r = random.Random(part)
+    pieces = ["the", " ", "  ", "\n", "\r\n", "\t", "\x1c", "\x85", "　", "'s", "'", "!!", "42", "é", "日本", "😀", "don't", "\x00"]
+    for _ in range(400):
+        text = "".join(r.choice(pieces) for _ in range(r.randint(0, 60)))
+        assert encode_text(codec, text, part) == codec.encode_ordinary(text)
+
+
+def test_encode_and_decode_columns(spark, documents, codec):
+    texts = [*ODD_TEXTS, "It's 42!\n\n  Ünïcödé 😀 <|endoftext|>", "x y " * 60_000]
+    made = Codec(spark, PATH, public_tokenizers.PATTERN)
+    found = documents(texts, extra="ids2").select("doc_id", made.encode(F.col("text")).alias("ids"))
+    found = found.withColumn("raw", made.decode(F.col("ids")))
+    for doc_id, ids, raw in rows(found):
+        text = texts[doc_id] or ""
+        assert list(ids) == codec.encode_ordinary(text)
+        assert bytes(raw) == text.encode()
+
+
+def test_ids_that_are_no_text_are_bytes(spark, table, codec):
+    made = Codec(spark, PATH, public_tokenizers.PATTERN)
+    half = codec.encode_ordinary("😀")[:1]
+    found = table([(1, half), (2, None), (3, [])], "n int, ids array<int>").select("n", made.decode(F.col("ids")).alias("raw"))
+    assert [(n, bytes(raw)) for n, raw in rows(found)] == [(1, codec.decode_bytes(half)), (2, b""), (3, b"")]
+
+
+def test_large_rank_files_are_refused(spark):
+    with pytest.raises(ValueError, match="larger"):
+        Codec(spark, PATH, public_tokenizers.PATTERN, max_bytes=100)
+
+
+def test_no_documents(spark, documents):
+    made = Codec(spark, PATH, public_tokenizers.PATTERN)
+    assert documents([]).select(made.encode(F.col("text"))).count() == 0
