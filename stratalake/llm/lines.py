@@ -168,11 +168,14 @@ def lines(docs: DataFrame) -> DataFrame:
     return written(rows.mapInArrow(_split, _LINES))
 
 
+_KEYED = pa.schema([("key", pa.int64()), ("line", pa.int64()), ("probe", pa.bool_())])
+
+
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (key, line, probe) by key and line, those whose key has several lines, as a stream."""
     held: pa.Table | None = None
     for batch in batches:
-        rows = pa.Table.from_batches([batch])
+        rows = pa.Table.from_arrays(batch.columns, schema=_KEYED)
         rows = rows if held is None else pa.concat_tables([held, rows])
         if not rows.num_rows:
             continue

@@ -1,0 +1,152 @@
+import random
+
+import pyarrow as pa
+import pytest
+from llm_fixtures import ODD_TEXTS, documents, prose, rows, table  # noqa: F401
+
+from stratalake.llm import lines as m
+
+BLANK = " \t\n\x0b\x0c\r"
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def edited(text, edits, r, letters="abcé"):
+    made = list(text)
+    for _ in range(edits):
+        kind, at = r.randrange(3), r.randrange(len(made)) if made else 0
+        if kind == 0 or not made:
+            made.insert(at, r.choice(letters))
+        elif kind == 1:
+            del made[at]
+        else:
+            made[at] = r.choice(letters)
+    return "".join(made)
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_edit_distance(most):
+    r = random.Random(most)
+    for _ in range(4000):
+        a = "".join(r.choice("abc") for _ in range(r.randrange(16)))
+        b = edited(a, r.randrange(5), r)
+        found, right = m.edit_distance(a, b, most), distance(a, b)
+        assert found == right if right <= most else found > most, (a, b)
+
+
+def brute(texts):
+    """All lines that take part, with their class."""
+    every = []
+    for doc, text in enumerate(texts):
+        for number, line in enumerate((text or "").split("\n")):
+            line = line.strip(BLANK)
+            if len(line) >= m.MIN_CHARS:
+                every.append((doc, number, line))
+    different = sorted({x[2] for x in every})
+    root, links = {x: x for x in different}, dict.fromkeys(different, 0)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(different):
+        for b in different[:i]:
+            if abs(len(a) - len(b)) <= m.EDITS and distance(a, b) <= m.EDITS:
+                links[a] += 1
+                links[b] += 1
+                if find(a) != find(b):
+                    root[find(a)] = find(b)
+    members = {}
+    for doc, number, line in every:
+        members.setdefault(find(line), []).append((doc, number))
+    return sorted(
+        (d, n, *members[find(x)][0], links[x], len(members[find(x)]), members[find(x)][0] == (d, n)) for d, n, x in every
+    )
+
+
+def lines_of(seed, n=150):
+    """Lines around the least length and longer, with neighbours of up to four edits."""
+    r = random.Random(seed)
+    made = []
+    for _ in range(n):
+        if made and r.random() < 0.6:
+            made.append(edited(r.choice(made), r.randrange(5), r))
+        else:
+            made.append("".join(r.choice("abcdé €") for _ in range(r.randint(m.MIN_CHARS - 2, m.MIN_CHARS + 25))))
+    return made
+
+
+COLUMNS = ("doc_id", "line_no", "class_doc", "class_line", "n_links", "n_copies", "kept")
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_classes_are_those_of_all_pairs(documents, seed):
+    made = lines_of(seed)
+    texts = ["\n".join(made[i : i + 5]) for i in range(0, len(made), 5)]
+    texts += [*ODD_TEXTS, f" {made[0]}\r\n\n  {made[3]}\t", "\n" + made[1], made[0]]
+    found = m.line_classes(documents(texts, extra="line").repartition(5))
+    assert sorted(rows(found, *COLUMNS)) == brute(texts)
+
+
+def test_many_lines_with_common_segments(documents):
+    """A template filled with numbers: lines share segments by the hundred, and few are near each other."""
+    r = random.Random(9)
+    texts = [f"entry {r.randrange(10**7):07} of the register of the town, {r.randrange(10**7):07} pages" for _ in range(250)]
+    texts += [t[:30] + "x" + t[30:] for t in texts[:20]]
+    assert sorted(rows(m.line_classes(documents(texts)), *COLUMNS)) == brute(texts)
+
+
+def test_long_lines(documents, prose):
+    long = prose(3000, 1).replace("\n", " ")
+    texts = [long, long[:4000] + "x" + long[4001:], long[:400] + "yz" + long[401:-1], long[:100] + "abcd" + long[100:]]
+    assert sorted(rows(m.line_classes(documents(texts)), *COLUMNS)) == brute(texts)
+
+
+def test_documents_without_repeated_lines(documents):
+    line, other = "this line stands in several documents", "and this is another line of some length"
+    texts = [f"{line}\nshort\n{other}", f"short\n{line}!\nshort", line, None, "", f"{other}\n{other}\n  ", " \n "]
+    docs = documents(texts, extra="lines_dropped")
+    found = {r[0]: r[1:] for r in rows(m.dedup_lines(docs), "doc_id", "text", "n_chars")}
+    assert m.dedup_lines(docs).columns == docs.columns
+    assert found == {
+        0: (texts[0], len(texts[0])),
+        1: ("short\nshort", 11),
+        3: (None, None),
+        4: ("", 0),
+        6: (" \n ", 3),
+    }
+
+
+def test_null_and_repeated_ids(table):
+    line = "this line stands in several documents"
+    docs = table([(None, line), (3, line), (3, line), (3, line + "?")], "doc_id long, text string")
+    found = m.line_classes(docs)
+    assert {r[1] for r in rows(found, "doc_id", "class_doc")} == {None}
+    assert rows(m.dedup_lines(docs), "doc_id", "text") == [(None, line)]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_keys_of_several_lines_across_batches(size):
+    """Streams of any batches give the rows of keys that more than one line has."""
+    r = random.Random(size)
+    given = sorted((r.choice([1, 1, 1, 2, 3, *range(4, 40)]), r.randrange(4), r.random() < 0.5) for _ in range(120))
+    schema = pa.schema([pa.field("key", pa.int64(), False), pa.field("line", pa.int64(), False), pa.field("probe", pa.bool_(), False)])
+    columns = [pa.array([x[i] for x in given], f.type) for i, f in enumerate(schema)]
+    batches = pa.Table.from_arrays(columns, schema=schema).to_batches(max_chunksize=size)
+    empty = pa.RecordBatch.from_arrays([c[:0] for c in columns], schema=schema)
+    found = [x for b in m._shared_keys([empty, *batches, empty]) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    lines = {k: {x[1] for x in given if x[0] == k} for k, _, _ in given}
+    assert {x for x in found if x[2] is not None} == {x for x in given if len(lines[x[0]]) > 1}
+
+
+def test_no_documents(documents):
+    assert m.line_classes(documents([])).count() == 0
+    assert m.dedup_lines(documents([])).count() == 0
