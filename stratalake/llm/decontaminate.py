@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.shared import size_bounded, written
+from stratalake.llm.shared import without, written
 from stratalake.llm.words import Block, Members, blocks, folded
 
 LATENT, OVERSAMPLE = 128, 16
@@ -306,8 +306,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a leak."""
-    leaked = contamination(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    leaked = size_bounded(written(leaked), BROADCAST_ROWS)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(leaked, same, "left_anti")
-
+    return without(docs, contamination(docs, benchmark), BROADCAST_ROWS)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
-from stratalake.llm.shared import size_bounded, written
+from stratalake.llm.shared import free_name, size_bounded, written
 from stratalake.llm.words import Block, blocks, mix
 
 EDITS = 2
@@ -340,16 +340,17 @@ def line_classes(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents without the lines that aren't kept; those that lose all their words are left out."""
-    dropped = line_classes(docs).where("not kept").groupBy("doc_id", "text_hash")
-    dropped = dropped.agg(F.collect_set("line_no").alias("_lines")).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    joined = docs.join(dropped, same, "left")
-    rest = joined.withColumn("text", _without(F.col("text"), F.col("_lines")))
-    columns = {"text": F.col("text")}
+    doc_id, text_hash, numbers = (free_name(docs, n) for n in ("lines_id", "lines_hash", "lines_dropped"))
+    dropped = line_classes(docs).where("not kept").groupBy(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash))
+    dropped = dropped.agg(F.collect_set("line_no").alias(numbers))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_hash))
+    rest = docs.join(dropped, same, "left").withColumn("text", _without(F.col("text"), F.col(numbers)))
+    whole = F.col(numbers).isNull()
+    rest = rest.where(whole | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_lines").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
-    rest = rest.where(F.col("_lines").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return rest.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        rest = rest.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(length))
+    return rest.select(*[f"`{c}`" for c in docs.columns])
 
 
 def _without(text: Column, numbers: Column) -> Column:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
-from stratalake.llm.shared import size_bounded, written
+from stratalake.llm.shared import size_bounded, without, written
 from stratalake.llm.words import Block, blocks, mix, windows
 
 SHINGLE = 5
@@ -140,11 +140,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     """The documents that are kept: of each component the one with the smallest id."""
-    dropped = near_duplicates(docs, words).where("not kept")
-    dropped = written(dropped.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    dropped = size_bounded(dropped, BROADCAST_ROWS)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(dropped, same, "left_anti")
+    return without(docs, near_duplicates(docs, words).where("not kept"), BROADCAST_ROWS)
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.shared import size_bounded, written
+from stratalake.llm.shared import free_name, size_bounded, written
 from stratalake.llm.words import Block, blocks, windows
 
 MIN_WORDS = 20
@@ -123,8 +123,9 @@ def counts(text: Column) -> Column:
 
 def measure(docs: DataFrame) -> DataFrame:
     """The rows with their counts, shares and ``base_failed``."""
-    made = docs.drop(*COUNTS, *SHARES, "base_failed", "kept").withColumn("_counts", counts(F.col("text")))
-    made = made.select(*[c for c in made.columns if c != "_counts"], "_counts.*")
+    docs = docs.drop(*COUNTS, *SHARES, "base_failed", "kept")
+    name = free_name(docs, "counts")
+    made = docs.withColumn(name, counts(F.col("text"))).select(*[f"`{c}`" for c in docs.columns], f"{name}.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return made.withColumns({share: F.expr(how) for share, (how, _) in SHARES.items()} | {"base_failed": failed})
 
@@ -189,12 +190,14 @@ def thresholds(sketches: DataFrame) -> DataFrame:
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
     """The measured rows with ``kept``: they pass the fixed rules and lie within their group's fences."""
-    limits = size_bounded(limits, BROADCAST_GROUPS)
-    same = measured["lang"].eqNullSafe(limits["_lang"]) & measured["source"].eqNullSafe(limits["_source"])
+    limits = limits.select("_lang", "_source", F.struct(*FENCES).alias("_fences"))
+    named = {c: free_name(measured, c) for c in limits.columns}
+    limits = size_bounded(limits.withColumnsRenamed(named), BROADCAST_GROUPS)
+    same = F.col("lang").eqNullSafe(F.col(named["_lang"])) & F.col("source").eqNullSafe(F.col(named["_source"]))
     within = ~F.col("base_failed")
     for share in SHARES:
-        within &= F.coalesce(F.col(share) <= F.col(f"fence_{share}"), F.lit(False))
-    return measured.join(limits, same, "left").withColumn("kept", within).drop("_lang", "_source", *FENCES)
+        within &= F.coalesce(F.col(share) <= F.col(f"{named['_fences']}.fence_{share}"), F.lit(False))
+    return measured.join(limits, same, "left").withColumn("kept", within).drop(*named.values())
 
 
 def quality(docs: DataFrame) -> DataFrame:

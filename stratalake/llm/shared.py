@@ -67,3 +67,19 @@ def fold(doc_id: str, of: int) -> Column:
 def size_bounded(df: DataFrame, rows: int) -> DataFrame:
     """A written table, marked for broadcast if it has no more than ``rows`` rows; else joined by shuffle."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores after it as it takes to differ from all columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, dropped: DataFrame, rows: int) -> DataFrame:
+    """The documents that aren't in ``dropped`` (doc_id, text_hash), by id and text."""
+    doc_id, text_hash = free_name(docs, "dropped_id"), free_name(docs, "dropped_hash")
+    gone = dropped.select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash)).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_hash))
+    return docs.join(size_bounded(written(gone), rows), same, "left_anti")

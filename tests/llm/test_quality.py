@@ -41,8 +41,8 @@ def test_counts(size):
 
 
 def test_odd_documents(documents):
-    found = q.quality(documents(ODD_TEXTS, extra="n_words").withColumnRenamed("n_chars", "kept"))
-    assert found.columns.count("n_words") == found.columns.count("kept") == 1
+    found = q.quality(documents(ODD_TEXTS, extra="_lang").withColumnRenamed("n_chars", "kept"))
+    assert found.columns.count("_lang") == found.columns.count("kept") == 1
     for doc_id, *counts, base_failed, kept in rows(found, "doc_id", "n_words", "n_repeat_words", "base_failed", "kept"):
         expected = brute(ODD_TEXTS[doc_id])
         assert counts == [expected["n_words"], expected["n_repeat_words"]]
