@@ -30,6 +30,8 @@ DICT_BYTES = 256 << 10
 #: Texts up to so many bytes are encoded at the first level, longer ones at the second.
 SHORT_BYTES = 1024
 LEVELS = (19, 6)
+#: Longer texts are encoded in parts of so many bytes, else a text's own repetitions outweigh the dictionary.
+PART_BYTES = 4096
 #: The part of the smallest size by which the second must be larger.
 MIN_MARGIN = 0.01
 _NO_LETTERS = re.compile(r"[\W\d_]+")
@@ -102,10 +104,11 @@ def letters(text: str) -> str:
 def classify(text: str | None, coders: list[tuple[str, tuple[zstandard.ZstdCompressor, ...]]]) -> dict:
     """The language of one text; ``coders`` are in the order in which ties are broken."""
     data = letters(text or "").encode()
+    parts = [data[i : i + PART_BYTES] for i in range(0, len(data), PART_BYTES)]
     if len(data) < 2 or not coders:
         return {"lang": "und", "score": 0.0, "margin": 0, "rejected": True}
     level = int(len(data) > SHORT_BYTES)
-    sizes = [len(own[level].compress(data)) for _, own in coders]
+    sizes = [sum(len(own[level].compress(part)) for part in parts) for _, own in coders]
     best = min(range(len(sizes)), key=sizes.__getitem__)
     others = sorted(sizes[:best] + sizes[best + 1 :])
     margin = others[0] - sizes[best] if others else sizes[best]

@@ -6,9 +6,9 @@ for several letters, each with a cost. Viterbi decoding finds the letters that a
 those costs and a character trigram model. A document is scored by its words and the restored ones.
 
 The model is fitted on labelled documents, ``SAMPLE`` of them in expectation, chosen by a hash of the
-id: trigram counts; cues, which are words and beginnings of words that are significantly more
-frequent in toxic documents (``MIN_Z`` standard deviations of the log odds); and a logistic curve
-over the sum of the log odds of a document's distinct cues.
+id: trigram counts; cues, which are words and beginnings of words that are more frequent in toxic
+documents than chance allows (a log-likelihood ratio of ``MIN_RATIO`` at least); and a logistic curve over
+the sum of the log odds of a document's distinct cues.
 
 Null and empty texts have no cues and get the lowest score. Equal texts get equal scores. A null
 label is left out. Without toxic documents there are no cues and every score is 0. Whole texts are
@@ -32,7 +32,7 @@ from stratalake.llm.words import Block, Members, block_of, blocks, folded
 
 #: Labelled documents to learn from.
 SAMPLE = 16_000
-MIN_DOCS, MIN_Z = 3, 4.0
+MIN_DOCS, MIN_RATIO = 3, 14.0
 MAX_CUES, MAX_TRIGRAMS = 20_000, 200_000
 #: Beginnings of words of so many bytes are cues too.
 PREFIXES = (4, 5)
@@ -50,6 +50,8 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(0x80, 0x100)]] = True
 _LEET = np.zeros(256, bool)
 _LEET[list(b"0123456789@$!|+(*")] = True
+_INNER = np.zeros(256, bool)
+_INNER[list(b"0123456789@$")] = True
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[list(b".-_~*")] = True
 _TAIL = re.compile(r"([^\w\s])\1{2,}$|[.,;:?!)\]\"']+$")
@@ -120,13 +122,17 @@ def decode(word: str, model: CharModel) -> str:
 
 def disguised(block: Block) -> tuple[np.ndarray, list[str]]:
     """The text and the observed form of each word, or row of single letters, that looks disguised."""
-    data = block.data
+    # a line break between texts, so that no sign has a neighbour in another text
+    data = np.insert(block.data, block.offsets[1:-1], 10)
+    offsets = block.offsets + np.arange(block.rows + 1)
+    offsets[-1] = len(data)
+    block = Block(block.first, data, offsets)
     starts, ends, firsts = block.words()
     if not len(starts):
         return np.zeros(0, np.int64), []
     letter, leet, separator = _LETTER[data], _LEET[data], _SEPARATOR[data]
     odd = np.zeros(len(data) + 1, bool)
-    odd[1:-2] = letter[:-2] & leet[1:-1] & (letter[2:] | leet[2:])
+    odd[1:-2] = letter[:-2] & leet[1:-1] & (letter[2:] | _INNER[data[2:]])
     odd[:-2] |= leet[:-1] & letter[1:]
     odd[2:-1] |= letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
     odd[1:-4] |= letter[:-4] & separator[1:-3] & letter[2:-2] & separator[3:-1] & letter[4:]
@@ -237,7 +243,11 @@ class Toxicity:
         a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
         odds = F.log(a / of_toxic) - F.log(b / of_clean)
         cues = counted.where(F.col("toxic") >= MIN_DOCS).withColumn("odds", odds)
-        cues = cues.where(F.col("odds") / F.sqrt(1 / a + 1 / b) >= MIN_Z)
+        part = of_toxic / (of_toxic + of_clean)
+        rate = F.col("toxic") / (F.col("toxic") + F.col("clean"))
+        ratio = F.col("toxic") * F.log(rate / part)
+        ratio += F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - rate) / (1 - part))).otherwise(0)
+        cues = cues.where((rate > part) & (ratio >= MIN_RATIO))
         strongest = cues.orderBy(F.desc("odds"), "cue").limit(MAX_CUES).select("cue", "odds").collect()
         strongest.sort(key=lambda r: r["cue"] % (1 << 64))
         hashes = np.array([r["cue"] for r in strongest], np.int64).view(np.uint64)

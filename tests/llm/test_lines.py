@@ -87,29 +87,20 @@ def lines_of(seed, n=150):
 COLUMNS = ("doc_id", "line_no", "class_doc", "class_line", "n_links", "n_copies", "kept")
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_classes_are_those_of_all_pairs(documents, seed):
-    made = lines_of(seed)
+def test_classes_are_those_of_all_pairs(documents, prose):
+    """Neighbours of lines around the least length, lines that share segments by the hundred, long lines, odd texts."""
+    r = random.Random(9)
+    made = lines_of(0) + lines_of(1)
     texts = ["\n".join(made[i : i + 5]) for i in range(0, len(made), 5)]
     texts += [*ODD_TEXTS, f" {made[0]}\r\n\n  {made[3]}\t", "\n" + made[1], made[0]]
+    forms = [f"entry {r.randrange(10**7):07} of the register of the town, {r.randrange(10**7):07} pages" for _ in range(200)]
+    texts += forms + [t[:30] + "x" + t[30:] for t in forms[:20]]
+    long = prose(2000, 1).replace("\n", " ")
+    texts += [long, long[:4000] + "x" + long[4001:], long[:400] + "yz" + long[401:-1], long[:100] + "abcd" + long[100:]]
     found = m.line_classes(documents(texts, extra="line").repartition(5))
     assert sorted(rows(found, *COLUMNS)) == brute(texts)
 
 
-def test_many_lines_with_common_segments(documents):
-    """A template filled with numbers: lines share segments by the hundred, and few are near each other."""
-    r = random.Random(9)
-    texts = [f"entry {r.randrange(10**7):07} of the register of the town, {r.randrange(10**7):07} pages" for _ in range(250)]
-    texts += [t[:30] + "x" + t[30:] for t in texts[:20]]
-    assert sorted(rows(m.line_classes(documents(texts)), *COLUMNS)) == brute(texts)
-
-
-def test_long_lines(documents, prose):
-    long = prose(3000, 1).replace("\n", " ")
-    texts = [long, long[:4000] + "x" + long[4001:], long[:400] + "yz" + long[401:-1], long[:100] + "abcd" + long[100:]]
-    assert sorted(rows(m.line_classes(documents(texts)), *COLUMNS)) == brute(texts)
-
-
 def test_documents_without_repeated_lines(documents):
     line, other = "this line stands in several documents", "and this is another line of some length"
     texts = [f"{line}\nshort\n{other}", f"short\n{line}!\nshort", line, None, "", f"{other}\n{other}\n  ", " \n "]
