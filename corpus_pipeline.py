@@ -37,15 +37,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether decoding them gives the text's bytes."""
     codec = bpe.Codec(shipped(spark), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    text = F.coalesce("text", F.lit(""))
-    ids = docs.select("doc_id", "lang", "source", text.alias("text"), codec.encode(F.col("text")).alias("ids"))
-    return ids.select(
+    found = docs.select("doc_id", "lang", "source", codec.encode_checked(F.col("text")).alias("found"))
+    return found.select(
         "doc_id",
         "lang",
         "source",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        (codec.decode(F.col("ids")) == F.col("text").cast("binary")).alias("round_trip"),
+        F.size("found.ids").cast("long").alias("n_tokens"),
+        F.col("found.ids").alias("ids"),
+        F.col("found.round_trip").alias("round_trip"),
     )
 
 

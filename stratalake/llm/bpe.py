@@ -20,6 +20,8 @@ import tiktoken
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.llm.words import release_memory
+
 #: Longer texts are encoded in parts of about so many characters.
 PART_CHARS = 1 << 16
 _NEXT_CUT = regex.compile(r"(?<=[^\s\x1c-\x1f])[\t\n\r ]")
@@ -51,17 +53,41 @@ class Codec:
                 got = encode_text(codec, text.as_py() or "")
                 values.append(pa.array(got, pa.int32()))
                 ends.append(ends[-1] + len(got))
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([pa.array([], pa.int32()), *values]))
+            made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([pa.array([], pa.int32()), *values]))
+            del values
+            release_memory()
+            return made
 
         return F.arrow_udf(ids, "array<int>")(text)
 
+    def encode_checked(self, text: Column) -> Column:
+        """A struct of the ids of a text, and whether decoding them gives its bytes back."""
+        load = self._loader()
+
+        def checked(texts: pa.Array) -> pa.Array:
+            codec, values, ends, same = load(), [], [0], []
+            for text in texts:
+                own = text.as_py() or ""
+                got = encode_text(codec, own)
+                same.append(codec.decode_bytes(got) == own.encode())
+                values.append(pa.array(got, pa.int32()))
+                ends.append(ends[-1] + len(got))
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([pa.array([], pa.int32()), *values]))
+            del values
+            release_memory()
+            return pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], ["ids", "round_trip"])
+
+        return F.arrow_udf(checked, "struct<ids: array<int>, round_trip: boolean>")(text)
+
     def decode(self, ids: Column) -> Column:
         """binary: the bytes of the ids; no ids or null: empty."""
         load = self._loader()
 
         def raw(column: pa.Array) -> pa.Array:
             codec = load()
-            return pa.array([codec.decode_bytes(x.as_py() or []) for x in column], pa.binary())
+            made = pa.array([codec.decode_bytes(x.as_py() or []) for x in column], pa.binary())
+            release_memory()
+            return made
 
         return F.arrow_udf(raw, "binary")(ids)
 
