@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pyarrow as pa
 import pytest
@@ -57,9 +58,13 @@ def brute(texts):
             x = root[x]
         return x
 
-    for i, a in enumerate(different):
-        for b in different[:i]:
-            if abs(len(a) - len(b)) <= m.EDITS and distance(a, b) <= m.EDITS:
+    letters = {x: Counter(x) for x in different}
+    by_length = sorted(different, key=len)
+    for i, a in enumerate(by_length):
+        for b in by_length[i + 1 :]:
+            if len(b) - len(a) > m.EDITS:
+                break
+            if (letters[b] - letters[a]).total() <= m.EDITS and distance(a, b) <= m.EDITS:
                 links[a] += 1
                 links[b] += 1
                 if find(a) != find(b):

@@ -1,0 +1,130 @@
+"""The registered queries over whole tables: against SQL, or against brute force."""
+
+import base64
+import hashlib
+import os
+import zlib
+from collections import Counter
+from math import log10
+
+import duckdb
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+import tiktoken
+from llm_fixtures import rows
+from test_hmm import tokens
+from test_lines import brute as brute_lines
+from test_pii import by_patterns
+
+import __spark_entry__ as checks
+from stratalake.llm.queries import CHECKS
+
+SMALL = os.environ.get("TEST_SF_DIR_LLM", "/root/testdata/sf0.001")
+LARGER = "/root/testdata/sf0.01"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def texts():
+    found = pq.read_table(f"{SMALL}/documents.parquet").to_pylist()
+    return {r["doc_id"]: r["text"] or "" for r in sorted(found, key=lambda r: r["doc_id"])}
+
+
+def run(spark, name, folder=SMALL):
+    return CHECKS[name][0](spark, folder)
+
+
+def remainder(doc_id, of):
+    return zlib.crc32(str(doc_id).encode()) % of
+
+
+def test_all_are_registered():
+    assert CHECKS.keys() <= checks.queries().keys()
+    assert {name.split("_")[0] for name in CHECKS} == {f"op{n}" for n in range(1, 11)}
+
+
+@pytest.mark.parametrize("name", [name for name, (_, sql) in CHECKS.items() if sql])
+def test_query_equals_sql(spark, name):
+    got = run(spark, name)
+    with duckdb.connect() as sql:
+        for table in ("documents", "pages"):
+            sql.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+        expected = sql.execute(CHECKS[name][1])
+        names = [d[0] for d in expected.description]
+        assert sorted(names) == sorted(got.columns)
+        want = sorted((repr(tuple(row)) for row in expected.fetchall()))
+    assert sorted(repr(tuple(row)) for row in got.select(*names).collect()) == want
+
+
+def test_toxicity(spark):
+    """Label 1 is found where it can be told: most held-out toxic documents, few others."""
+    labels = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{LARGER}/labels.parquet").to_pylist()}
+    found = run(spark, "op1_toxicity", LARGER).collect()
+    assert len(found) == pq.read_metadata(f"{LARGER}/documents.parquet").num_rows
+    held = [r for r in found if r["held_out"] and r["doc_id"] in labels]
+    assert all(r["held_out"] == (remainder(r["doc_id"], 4) == 2) for r in found)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in found)
+    clean = [r["predicted"] for r in held if not labels[r["doc_id"]]]
+    assert sum(clean) <= 0.1 * len(clean)
+    mean = {t: [r["score"] for r in held if labels[r["doc_id"]] == t] for t in (0, 1)}
+    assert sum(mean[1]) / len(mean[1]) > 0.4 + sum(mean[0]) / len(mean[0])
+
+
+def test_language(spark):
+    docs = {r["doc_id"]: r for r in pq.read_table(f"{LARGER}/documents.parquet").to_pylist()}
+    found = run(spark, "op2_language", LARGER).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(docs)
+    assert all(r["held_out"] == (remainder(r["doc_id"], 5) == 0) for r in found)
+    held = [r["lang_pred"] == docs[r["doc_id"]]["lang"] for r in found if r["held_out"]]
+    assert sum(held) >= 0.95 * len(held)
+
+
+def test_decontamination(spark, texts):
+    """Every passage that stands in a text word for word is found, and all that is found is nearly there."""
+    words = {d: " ".join(t.lower().split()) for d, t in texts.items()}
+    items = {r["item_id"]: " ".join(r["text"].lower().split()) for r in pq.read_table(f"{SMALL}/benchmark.parquet").to_pylist()}
+    found = {(r["doc_id"], r["item_id"]): r["n_common"] / r["n_tokens"] for r in run(spark, "op3_decontaminate").collect()}
+    whole = {(d, i) for d, t in words.items() for i, item in items.items() if item in t}
+    assert whole and whole <= found.keys()
+    assert all(share >= 0.6 for share in found.values())
+
+
+def test_lines(spark, texts):
+    ids = list(texts)
+    assert ids == list(range(len(ids)))
+    columns = ("doc_id", "line_no", "class_doc", "class_line", "n_links", "n_copies", "kept")
+    assert sorted(rows(run(spark, "op4_lines"), *columns)) == brute_lines(list(texts.values()))
+
+
+def test_personal_data(spark, texts):
+    for doc_id, *counts, base, spans in rows(run(spark, "op5_pii")):
+        expected = by_patterns(texts[doc_id])
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in expected)
+        assert counts == [sum(k == kind for k, _, _ in expected) for kind in ("email", "ip", "card", "phone")]
+        assert base == hashlib.sha256(joined.encode()).hexdigest()
+        assert spans.startswith(joined)
+
+
+def test_language_model(spark, texts):
+    counts = Counter(t for d, text in texts.items() if remainder(d, 5) != 1 for t in tokens(text))
+    n, v = sum(counts.values()), len(counts)
+    better = total = 0
+    for doc_id, held_out, n_tokens, n_known, train_tokens, base, score in rows(run(spark, "op8_hmm")):
+        own = tokens(texts[doc_id])
+        assert (held_out, n_tokens, train_tokens) == (remainder(doc_id, 5) == 1, len(own), n)
+        assert n_known == sum(counts[t] > 0 for t in own)
+        assert base == pytest.approx(sum(log10((counts[t] + 0.5) / (n + 0.5 * (v + 1))) for t in own), abs=1e-6)
+        better, total = better + (score > base), total + 1
+    assert total == len(texts) and better >= 0.8 * total
+
+
+def test_encoding(spark, texts):
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    codec = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for doc_id, n_tokens, ids, decoded in rows(run(spark, "op9_bpe")):
+        expected = codec.encode_ordinary(texts[doc_id])
+        assert n_tokens == len(expected)
+        assert ids == hashlib.sha256(" ".join(map(str, expected)).encode()).hexdigest()
+        assert decoded == hashlib.sha256(texts[doc_id].encode()).hexdigest()
