@@ -12,6 +12,7 @@ Null and empty texts have no ids; no ids decode to no bytes. Equal texts get equ
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -20,7 +21,8 @@ import tiktoken
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm.words import release_memory
+from stratalake.llm.shared import lean
+
 
 #: Longer texts are encoded in parts of about so many characters.
 PART_CHARS = 1 << 16
@@ -28,6 +30,21 @@ _NEXT_CUT = regex.compile(r"(?<=[^\s\x1c-\x1f])[\t\n\r ]")
 _codecs: dict[tuple[int, str], tiktoken.Encoding] = {}
 
 
+class _Lists:
+    """Lists of ids one after another, four bytes for each id."""
+
+    def __init__(self) -> None:
+        self.ids, self.ends = array("i"), array("i", [0])
+
+    def add(self, ids: list[int]) -> None:
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+
+    def array(self) -> pa.ListArray:
+        ends, ids = (pa.Array.from_buffers(pa.int32(), len(x), [None, pa.py_buffer(x)]) for x in (self.ends, self.ids))
+        return pa.ListArray.from_arrays(ends, ids)
+
+
 class Codec:
     """Encodes and decodes columns by the ranks in a file.
 
@@ -47,37 +64,27 @@ class Codec:
         load = self._loader()
 
         def ids(texts: pa.Array) -> pa.Array:
-            codec = load()
-            values, ends = [], [0]
+            codec, made = load(), _Lists()
             for text in texts:
-                got = encode_text(codec, text.as_py() or "")
-                values.append(pa.array(got, pa.int32()))
-                ends.append(ends[-1] + len(got))
-            made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([pa.array([], pa.int32()), *values]))
-            del values
-            release_memory()
-            return made
+                made.add(encode_text(codec, text.as_py() or ""))
+            return made.array()
 
-        return F.arrow_udf(ids, "array<int>")(text)
+        return F.arrow_udf(lean(ids), "array<int>")(text)
 
     def encode_checked(self, text: Column) -> Column:
         """A struct of the ids of a text, and whether decoding them gives its bytes back."""
         load = self._loader()
 
         def checked(texts: pa.Array) -> pa.Array:
-            codec, values, ends, same = load(), [], [0], []
+            codec, made, same = load(), _Lists(), []
             for text in texts:
                 own = text.as_py() or ""
-                got = encode_text(codec, own)
-                same.append(codec.decode_bytes(got) == own.encode())
-                values.append(pa.array(got, pa.int32()))
-                ends.append(ends[-1] + len(got))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([pa.array([], pa.int32()), *values]))
-            del values
-            release_memory()
-            return pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], ["ids", "round_trip"])
+                ids = encode_text(codec, own)
+                made.add(ids)
+                same.append(codec.decode_bytes(ids) == own.encode())
+            return pa.StructArray.from_arrays([made.array(), pa.array(same, pa.bool_())], ["ids", "round_trip"])
 
-        return F.arrow_udf(checked, "struct<ids: array<int>, round_trip: boolean>")(text)
+        return F.arrow_udf(lean(checked), "struct<ids: array<int>, round_trip: boolean>")(text)
 
     def decode(self, ids: Column) -> Column:
         """binary: the bytes of the ids; no ids or null: empty."""
@@ -85,11 +92,9 @@ class Codec:
 
         def raw(column: pa.Array) -> pa.Array:
             codec = load()
-            made = pa.array([codec.decode_bytes(x.as_py() or []) for x in column], pa.binary())
-            release_memory()
-            return made
+            return pa.array([codec.decode_bytes(x.as_py() or []) for x in column], pa.binary())
 
-        return F.arrow_udf(raw, "binary")(ids)
+        return F.arrow_udf(lean(raw), "binary")(ids)
 
     def _loader(self) -> Callable[[], tiktoken.Encoding]:
         ranks, pattern = self._ranks, self._pattern

@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Tokens are runs of letters and digits in lower case. Benchmark passages are vectors of their tokens
-weighted by inverse document frequency, which is counted over all documents. A randomised SVD of that
+weighted by the 1.5th power of inverse document frequency, which is counted over all documents. A randomised SVD of that
 matrix, whose products are summed over the partitions of the passages, gives each token a vector of
 ``LATENT`` numbers. Every document is cut into overlapping windows of ``WINDOW`` tokens, each window
 becomes the weighted sum of its tokens' vectors, and its cosine with every passage is taken: passages
@@ -12,8 +12,9 @@ A candidate is checked by the longest common subsequence of the passage and the
 where it should lie. It is a leak if that is ``VERBATIM`` of the passage, or ``PARAPHRASE`` of it and the
 answer, its last ``ANSWER`` tokens, is there but for one token.
 
-Passages are the query set: they are searched in groups of ``GROUP`` at most, one pass over the
-documents each, so that what is broadcast is bounded. No document, window or candidate is left out.
+Passages are the query set. Groups of about ``GROUP`` have a latent space each, so that a space has about
+as many dimensions as passages and tells them apart; ``SPACES`` of them are searched in one pass over the
+documents, so that what is broadcast is bounded. No document, window or candidate is left out.
 
 Null and empty texts, and passages without tokens, match nothing. Equal texts get equal results; rows
 with equal ids give their own rows. Passages with equal texts all match. Empty tables give no rows.
@@ -30,15 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.shared import without, written
+from stratalake.llm.shared import lean, without, written
 from stratalake.llm.words import Block, Members, blocks, folded
 
-LATENT, OVERSAMPLE = 128, 16
-WINDOW, STRIDE = 48, 16
-MIN_COSINE, MIN_COVER = 0.4, 0.3
+LATENT, OVERSAMPLE = 256, 16
+WINDOW, STRIDE = 48, 24
+MIN_COSINE, MIN_COVER = 0.4, 0.2
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 5
-#: Passages that are searched in one pass over the documents.
-GROUP = 1024
+#: Passages of a latent space in expectation, and spaces that are searched in one pass.
+GROUP, SPACES = 200, 8
 #: Documents found that are joined by broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 300_000
 
@@ -89,7 +90,7 @@ def _document_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarra
                 total += np.bincount(once % len(total), minlength=len(total))
         yield pa.RecordBatch.from_pydict({"token": pa.array(np.arange(len(total))), "n": pa.array(total)})
 
-    counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
+    counted = docs.select("text").mapInArrow(lean(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
     found = np.zeros(len(vocabulary) + 1, np.int64)
     found[counted["token"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
     return found[:-1], int(found[-1])
@@ -139,7 +140,7 @@ def token_vectors(passages: DataFrame, vocabulary: np.ndarray, weights: np.ndarr
         return found
 
     schema = "row long, values array<double>"
-    square = total_of(passages.select("text").mapInArrow(gram, schema), width)
+    square = total_of(passages.select("text").mapInArrow(lean(gram), schema), width)
     values, turned = np.linalg.eigh(square)
     good = values > max(values.max(), 0) * 1e-10
     turn = context.broadcast(turned[:, good] / np.sqrt(values[good]))
@@ -154,28 +155,36 @@ def token_vectors(passages: DataFrame, vocabulary: np.ndarray, weights: np.ndarr
         at = np.flatnonzero(total.any(1))
         yield pa.RecordBatch.from_pydict({"row": pa.array(at), "values": pa.array(list(total[at]), pa.list_(pa.float64()))})
 
-    small = total_of(passages.select("text").mapInArrow(basis, schema), len(vocabulary))
+    small = total_of(passages.select("text").mapInArrow(lean(basis), schema), len(vocabulary))
     values, turned = np.linalg.eigh(small.T @ small)
     keep = np.argsort(-values)[:LATENT]
     keep = keep[values[keep] > max(values.max(), 0) * 1e-10]
     return (small @ turned[:, keep] / np.sqrt(values[keep])).astype(np.float32)
 
 
-def build_space(docs: DataFrame, passages: DataFrame) -> Space | None:
-    """The latent space of one group of passages (item_id, text); None if they have no tokens."""
-    rows = passages.orderBy("item_id", "text").collect()  # GROUP at most
+def build_spaces(docs: DataFrame, passages: DataFrame) -> list[Space]:
+    """The latent spaces of some groups of passages (item_id, text, part); groups without tokens have none."""
+    rows = passages.orderBy("part", "item_id", "text").collect()  # GROUP * SPACES in expectation
     lists = token_lists(pa.array([r["text"] for r in rows], pa.string())) if rows else []
-    items = [(r["item_id"], own) for r, own in zip(rows, lists, strict=True) if len(own)]
-    if not items:
-        return None
-    vocabulary = np.unique(np.concatenate([own for _, own in items]))
-    counts, total = _document_counts(docs, vocabulary)
-    weights = np.log((1 + total) / (1 + counts)) + 1e-3
-    vectors = token_vectors(passages.where("text is not null"), vocabulary, weights)
-    at = [np.searchsorted(vocabulary, own) for _, own in items]
-    passage_vectors = np.array([weights[a] @ vectors[a] for a in at], np.float32)
-    energy = np.array([np.sum(weights[a] ** 2) for a in at])
-    return Space(items, vocabulary, weights, vectors, passage_vectors, energy)
+    groups: dict[int, list[tuple[int | None, np.ndarray]]] = {}
+    for row, own in zip(rows, lists, strict=True):
+        if len(own):
+            groups.setdefault(row["part"], []).append((row["item_id"], own))
+    if not groups:
+        return []
+    every = np.unique(np.concatenate([own for items in groups.values() for _, own in items]))
+    counts, total = _document_counts(docs, every)
+    spaces = []
+    for part, items in groups.items():
+        vocabulary = np.unique(np.concatenate([own for _, own in items]))
+        weights = (np.log((1 + total) / (1 + counts[np.searchsorted(every, vocabulary)])) + 1e-3) ** 1.5
+        own_rows = passages.where((F.col("part") == part) & F.col("text").isNotNull())
+        vectors = token_vectors(own_rows, vocabulary, weights)
+        at = [np.searchsorted(vocabulary, own) for _, own in items]
+        passage_vectors = np.array([weights[a] @ vectors[a] for a in at], np.float32)
+        energy = np.array([np.sum(weights[a] ** 2) for a in at])
+        spaces.append(Space(items, vocabulary, weights, vectors, passage_vectors, energy))
+    return spaces
 
 
 def common_length(a: list[int], b: list[int]) -> int:
@@ -234,73 +243,86 @@ _FOUND = pa.schema(
 FOUND = "doc_id long, text_hash long, item_id long, cosine double, n_common int, n_tokens int, answer_found boolean"
 
 
-def candidate_windows(space: Space, members: Members, hashes: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-    """(text, first token there, passage, cosine) of each candidate of a block."""
-    hit, token = members.find(hashes)
-    weight = space.weights[token]
-    total = np.concatenate([[0.0], np.cumsum(weight**2)])
-    sizes = np.diff(firsts)
-    counts = np.where(sizes > 0, np.maximum(0, -(-(sizes - WINDOW) // STRIDE)) + 1, 0)
-    row = np.repeat(np.arange(len(sizes)), counts)
-    starts = firsts[row] + STRIDE * (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts))
-    low = np.searchsorted(hit, starts)
-    high = np.searchsorted(hit, np.minimum(starts + WINDOW, firsts[row + 1]))
-    keep = np.flatnonzero(total[high] - total[low] >= MIN_COVER * space.energy.min())
-    norms = np.linalg.norm(space.passages, axis=1)
-    weighted = space.vectors * space.weights[:, None].astype(np.float32)
-    for first in range(0, len(keep), 2048):
-        part = keep[first : first + 2048]
-        sizes_ = high[part] - low[part]
-        at = np.repeat(low[part] - np.cumsum(sizes_) + sizes_, sizes_) + np.arange(sizes_.sum())
-        vectors = np.add.reduceat(weighted[token[at]], np.cumsum(sizes_) - sizes_)
-        dots = vectors @ space.passages.T
-        cosine = dots / np.maximum(np.linalg.norm(vectors, axis=1)[:, None] * norms, 1e-9)
-        for w, i in zip(*np.nonzero((cosine >= MIN_COSINE) & (dots >= MIN_COVER * norms**2)), strict=True):
-            k = part[w]
-            yield int(row[k]), int(starts[k] - firsts[row[k]]), int(i), float(cosine[w, i])
-
-
-def search(docs: DataFrame, space: Space) -> DataFrame:
+class Searcher:
+    """A space made ready in a task. ``dots`` has the product of each weighted token vector with each passage."""
+
+    def __init__(self, space: Space):
+        self.space, self.members = space, Members(space.vocabulary)
+        self.weights = dict(zip(space.vocabulary.tolist(), space.weights.tolist(), strict=True))
+        self.vectors = space.vectors * space.weights[:, None].astype(np.float32)
+        self.dots = self.vectors @ space.passages.T
+        self.norms = np.linalg.norm(space.passages, axis=1)
+
+    def candidates(self, hashes: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """(text, first token there, passage, cosine) of each candidate of a block.
+
+        A window's product with a passage is the sum of its tokens' products; its own vector is only
+        needed for the cosines of the few pairs that cover enough of a passage.
+        """
+        hit, token = self.members.find(hashes)
+        total = np.concatenate([[0.0], np.cumsum(self.space.weights[token] ** 2)])
+        sizes = np.diff(firsts)
+        counts = np.where(sizes > 0, np.maximum(0, -(-(sizes - WINDOW) // STRIDE)) + 1, 0)
+        row = np.repeat(np.arange(len(sizes)), counts)
+        starts = firsts[row] + STRIDE * (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts))
+        low = np.searchsorted(hit, starts)
+        high = np.searchsorted(hit, np.minimum(starts + WINDOW, firsts[row + 1]))
+        keep = np.flatnonzero(total[high] - total[low] >= MIN_COVER * self.space.energy.min())
+        for first in range(0, len(keep), 1024):
+            part = keep[first : first + 1024]
+            n = high[part] - low[part]
+            at = np.repeat(low[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            dots = np.add.reduceat(self.dots[token[at]], np.cumsum(n) - n)
+            window, passage = np.nonzero(dots >= MIN_COVER * self.norms**2)
+            for w, i in zip(window, passage, strict=True):
+                k = part[w]
+                own = self.vectors[token[low[k] : high[k]]].sum(0)
+                cosine = dots[w, i] / max(float(np.linalg.norm(own)) * self.norms[i], 1e-9)
+                if cosine >= MIN_COSINE:
+                    yield int(row[k]), int(starts[k] - firsts[row[k]]), int(i), float(cosine)
+
+
+def search(docs: DataFrame, spaces: list[Space]) -> DataFrame:
     """The leaks of all documents, one row per document row and passage."""
-    shared = docs.sparkSession.sparkContext.broadcast(space)
+    shared = docs.sparkSession.sparkContext.broadcast(spaces)
 
     def leaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        members = Members(own.vocabulary)
-        weights = dict(zip(own.vocabulary.tolist(), own.weights.tolist(), strict=True))
+        own = [Searcher(space) for space in shared.value]
         for batch in batches:
-            found: dict[tuple[int, int], tuple[int, float, bool]] = {}
+            found: dict[tuple[int, int, int], tuple[int, float, bool]] = {}
             for block in blocks(batch.column(2)):
                 hashes, firsts = tokens(block)
-                for row, begin, i, cosine in candidate_windows(own, members, hashes, firsts):
-                    text = hashes[firsts[row] : firsts[row + 1]]
-                    _, length, answer, leak = check(own.items[i][1], text, begin, weights)
-                    key = (block.first + row, i)
-                    if leak and (length, cosine) > found.get(key, (0, 0.0))[:2]:
-                        found[key] = (length, cosine, answer)
-            rows = pa.array([r for r, _ in found], pa.int64())
+                for n, searcher in enumerate(own):
+                    for row, begin, i, cosine in searcher.candidates(hashes, firsts):
+                        text = hashes[firsts[row] : firsts[row + 1]]
+                        _, length, answer, leak = check(searcher.space.items[i][1], text, begin, searcher.weights)
+                        key = (block.first + row, n, i)
+                        if leak and (length, cosine) > found.get(key, (0, 0.0))[:2]:
+                            found[key] = (length, cosine, answer)
+            items = [own[n].space.items[i] for _, n, i in found]
+            rows = pa.array([r for r, _, _ in found], pa.int64())
             columns = [batch.column(0).take(rows), batch.column(1).take(rows)]
-            columns.append(pa.array([own.items[i][0] for _, i in found], pa.int64()))
+            columns.append(pa.array([item_id for item_id, _ in items], pa.int64()))
             columns += [pa.array([v[1] for v in found.values()], pa.float64()), pa.array([v[0] for v in found.values()], pa.int32())]
-            columns.append(pa.array([len(own.items[i][1]) for _, i in found], pa.int32()))
+            columns.append(pa.array([len(item) for _, item in items], pa.int32()))
             columns.append(pa.array([v[2] for v in found.values()], pa.bool_()))
             yield pa.RecordBatch.from_arrays(columns, schema=_FOUND)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(leaks, FOUND)
+    return rows.mapInArrow(lean(leaks), FOUND)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All leaks (columns of ``FOUND``) of ``benchmark`` (item_id, text) in ``docs`` (doc_id, text); written."""
     spark = docs.sparkSession
     passages = benchmark.select(F.col("item_id").cast("long"), "text")
-    groups = max(1, -(-passages.count() // (GROUP // 2)))
+    groups = max(1, -(-passages.count() // GROUP))
     passages = written(passages.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups))))
     found = spark.createDataFrame([], FOUND)
-    for part in range(groups):
-        space = build_space(docs, passages.where(F.col("part") == part).drop("part"))
-        if space is not None:
-            found = found.union(search(docs, space))
+    for first in range(0, groups, SPACES):
+        spaces = build_spaces(docs, passages.where(F.col("part").between(first, first + SPACES - 1)))
+        if spaces:
+            found = found.union(search(docs, spaces))
     return written(found)
 
 

@@ -21,6 +21,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stratalake.llm.shared import lean
+
 #: The sample of a language: so many texts, so many characters of each.
 SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 2048
@@ -74,7 +76,7 @@ class Languages:
             coders = _coders(shared.value)
             return pa.array([classify(t.as_py(), coders) for t in texts], pa.struct(_FIELDS))
 
-        return F.arrow_udf(of, "struct<lang: string, score: double, margin: int, rejected: boolean>")(text)
+        return F.arrow_udf(lean(of), "struct<lang: string, score: double, margin: int, rejected: boolean>")(text)
 
 
 _FIELDS = [("lang", pa.string()), ("score", pa.float64()), ("margin", pa.int32()), ("rejected", pa.bool_())]

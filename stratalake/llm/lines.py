@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
-from stratalake.llm.shared import free_name, size_bounded, written
+from stratalake.llm.shared import free_name, lean, size_bounded, written
 from stratalake.llm.words import Block, blocks, mix
 
 EDITS = 2
@@ -165,7 +165,7 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def lines(docs: DataFrame) -> DataFrame:
     """All lines that take part, with what the join needs; written."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
-    return written(rows.mapInArrow(_split, _LINES))
+    return written(rows.mapInArrow(lean(_split), _LINES))
 
 
 _KEYED = pa.schema([("key", pa.int64()), ("line", pa.int64()), ("probe", pa.bool_())])
@@ -206,7 +206,7 @@ def candidates(found: DataFrame) -> DataFrame:
         keyed.select(F.explode("probes").alias("key"), "line", F.lit(True).alias("probe"))
     )
     rows = rows.repartition("key").sortWithinPartitions("key", "line")
-    shared = rows.mapInArrow(_shared_keys, "key long, line long, probe boolean").where("probe is not null")
+    shared = rows.mapInArrow(lean(_shared_keys), "key long, line long, probe boolean").where("probe is not null")
     shared = written(shared.distinct())
     masks = keyed.select("line", "length", "mask1", "mask2", "mask3")
     wanted = size_bounded(written(shared.select("line").distinct()), BROADCAST_ROWS)
@@ -279,10 +279,10 @@ def _small_distance(a: str, b: str) -> int:
 
 def _within(a: Column, b: Column) -> Column:
     def of(left: pa.Array, right: pa.Array) -> pa.Array:
-        pairs = zip(left.to_pylist(), right.to_pylist(), strict=True)
-        return pa.array([edit_distance(x, y, EDITS) <= EDITS for x, y in pairs], pa.bool_())
+        pairs = zip(left, right, strict=True)
+        return pa.array([edit_distance(x.as_py(), y.as_py(), EDITS) <= EDITS for x, y in pairs], pa.bool_())
 
-    return F.arrow_udf(of, "boolean")(a, b)
+    return F.arrow_udf(lean(of), "boolean")(a, b)
 
 
 def links(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -344,8 +344,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     dropped = line_classes(docs).where("not kept").groupBy(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash))
     dropped = dropped.agg(F.collect_set("line_no").alias(numbers))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_hash))
-    rest = docs.join(dropped, same, "left").withColumn("text", _without(F.col("text"), F.col(numbers)))
     whole = F.col(numbers).isNull()
+    changed = _without(F.when(~whole, F.col("text")), F.col(numbers))  # whole texts don't leave the JVM
+    rest = docs.join(dropped, same, "left").withColumn("text", F.when(whole, F.col("text")).otherwise(changed))
     rest = rest.where(whole | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -356,11 +357,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 def _without(text: Column, numbers: Column) -> Column:
     def of(texts: pa.Array, dropped: pa.Array) -> pa.Array:
         made = []
-        for text, numbers in zip(texts.to_pylist(), dropped.to_pylist(), strict=True):
-            if text is not None and numbers:
-                gone = set(numbers)
-                text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
-            made.append(text)
+        for text, numbers in zip(texts, dropped, strict=True):
+            gone = set(numbers.as_py() or ())
+            rest = None
+            if text.is_valid:
+                rest = "\n".join(x for i, x in enumerate(text.as_py().split("\n")) if i not in gone)
+            made.append(rest)
         return pa.array(made, pa.string())
 
-    return F.arrow_udf(of, "string")(text, numbers)
+    return F.arrow_udf(lean(of), "string")(text, numbers)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
-from stratalake.llm.shared import size_bounded, without, written
+from stratalake.llm.shared import lean, size_bounded, without, written
 from stratalake.llm.words import Block, blocks, mix, windows
 
 SHINGLE = 5
@@ -99,7 +99,7 @@ def signed(text: Column, words: int) -> Column:
         columns = [*map(pa.array, flat[:3]), pa.ListArray.from_arrays(ends, pa.array(flat[3]))]
         return pa.StructArray.from_arrays(columns, ["size", "sum", "other", "bands"])
 
-    return F.arrow_udf(of, "struct<size: bigint, sum: bigint, other: bigint, bands: array<bigint>>")(text)
+    return F.arrow_udf(lean(of), "struct<size: bigint, sum: bigint, other: bigint, bands: array<bigint>>")(text)
 
 
 def shingle_sets(text: Column, words: int) -> Column:
@@ -114,7 +114,7 @@ def shingle_sets(text: Column, words: int) -> Column:
         ends = np.cumsum(np.concatenate(sizes)).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)))
 
-    return F.arrow_udf(of, "array<bigint>")(text)
+    return F.arrow_udf(lean(of), "array<bigint>")(text)
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE) -> DataFrame:

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stratalake.llm.shared import lean
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "account", "login")
 SPANS = "array<struct<kind: string, start: int, end: int>>"
@@ -136,7 +138,7 @@ def personal_data(text: Column) -> Column:
         )
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)
 
-    return F.arrow_udf(of, SPANS)(text)
+    return F.arrow_udf(lean(of), SPANS)(text)
 
 
 def redact(text: Column, spans: Column) -> Column:
@@ -145,7 +147,7 @@ def redact(text: Column, spans: Column) -> Column:
     def of(texts: pa.Array, found: pa.Array) -> pa.Array:
         return pa.array([redacted(t.as_py() or "", s.as_py() or []) for t, s in zip(texts, found, strict=True)], pa.string())
 
-    return F.arrow_udf(of, "string")(text, spans)
+    return F.arrow_udf(lean(of), "string")(text, spans)
 
 
 def redacted(text: str, spans: list[dict]) -> str:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import os
+import sys
 import tempfile
 import zipfile
-from functools import cache
+from collections.abc import Callable
+from functools import cache, wraps
 from pathlib import Path
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,3 +88,40 @@ def without(docs: DataFrame, dropped: DataFrame, rows: int) -> DataFrame:
     gone = dropped.select(F.col("doc_id").alias(doc_id), F.col("text_hash").alias(text_hash)).distinct()
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_hash))
     return docs.join(size_bounded(written(gone), rows), same, "left_anti")
+
+
+def _find_libc() -> ctypes.CDLL | None:
+    libc = ctypes.CDLL(None) if sys.platform == "linux" else None
+    return libc if hasattr(libc, "malloc_trim") else None
+
+
+_libc = _find_libc()
+
+
+def _release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+def lean(step: Callable) -> Callable:
+    """The function of an Arrow batch, or of a stream of them, that gives freed memory back when it ends.
+
+    A Python worker lives on after its task, beside those of later stages, and would keep it.
+    """
+    if inspect.isgeneratorfunction(step):
+
+        @wraps(step)
+        def stream(batches):
+            yield from step(batches)
+            _release_memory()
+
+        return stream
+
+    @wraps(step)
+    def batch(*columns):
+        made = step(*columns)
+        _release_memory()
+        return made
+
+    return batch

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.llm.shared import lean
 from stratalake.llm.words import Block, Members, block_of, blocks, folded
 
 #: Labelled documents to learn from.
@@ -232,13 +233,13 @@ class Toxicity:
         chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(part * (1 << 30)))
         rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("long"))
 
-        grams = rows.mapInArrow(_count_trigrams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        grams = rows.mapInArrow(lean(_count_trigrams), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         top = grams.orderBy(F.desc("n"), "gram").limit(MAX_TRIGRAMS)
         self.trigrams = spark.sparkContext.broadcast({r["gram"]: r["n"] for r in top.collect()})
 
         totals = rows.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("all")).first()
         of_toxic, of_clean = (totals["toxic"] or 0) + 1, totals["all"] - (totals["toxic"] or 0) + 1
-        counted = rows.mapInArrow(_feature_counter(self.trigrams), "cue long, toxic long, clean long")
+        counted = rows.mapInArrow(lean(_feature_counter(self.trigrams)), "cue long, toxic long, clean long")
         counted = counted.groupBy("cue").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
         odds = F.log(a / of_toxic) - F.log(b / of_clean)
@@ -271,7 +272,7 @@ class Toxicity:
                     np.add.at(sums, block.first + rows, odds[np.searchsorted(cues, hashes)])
             return pa.array(sums)
 
-        return F.arrow_udf(of, "double")(text)
+        return F.arrow_udf(lean(of), "double")(text)
 
     def score(self, text: Column) -> Column:
         """The probability of label 1, from 0 to 1."""

@@ -31,7 +31,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.shared import written
+from stratalake.llm.shared import lean, written
 
 MIN_REVISIT = 100
 #: An archive is closed when so many bytes were written to it before compression.
@@ -117,7 +117,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
             out.close()
             yield pa.RecordBatch.from_pydict({"archive": [path]})
 
-    return written(records.mapInArrow(write, "archive string"))
+    return written(records.mapInArrow(lean(write), "archive string"))
 
 
 def split_records(pieces: Iterator[bytes]) -> Iterator[bytes]:
@@ -193,7 +193,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 columns = zip(*rows, strict=True) if rows else [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _INDEX, strict=True)], schema=_INDEX)
 
-    return written(archives.mapInArrow(rewrite, INDEX))
+    return written(archives.mapInArrow(lean(rewrite), INDEX))
 
 
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, intact boolean"
@@ -228,7 +228,7 @@ def read_records(index: DataFrame) -> DataFrame:
             columns = zip(*rows, strict=True) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RECORDS, strict=True)], schema=_RECORDS)
 
-    return index.mapInArrow(read, RECORDS)
+    return index.mapInArrow(lean(read), RECORDS)
 
 
 def _page(record_id: str | None) -> int | None:

@@ -7,8 +7,6 @@ text, and not the Arrow batch.
 
 from __future__ import annotations
 
-import ctypes
-import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -102,22 +100,6 @@ def blocks(column: pa.Array | pa.ChunkedArray, size: int = BLOCK) -> Iterator[Bl
         last = min(last, len(column))
         yield Block(first, every[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
         first = last
-    release_memory()
-
-
-def release_memory() -> None:
-    """Give freed memory back to the system: a Python worker lives on after its task, and others with it."""
-    pa.default_memory_pool().release_unused()
-    if _libc is not None:
-        _libc.malloc_trim(0)
-
-
-def _find_libc() -> ctypes.CDLL | None:
-    libc = ctypes.CDLL(None) if sys.platform == "linux" else None
-    return libc if hasattr(libc, "malloc_trim") else None
-
-
-_libc = _find_libc()
 
 
 def folded(data: np.ndarray) -> np.ndarray:
