@@ -64,7 +64,8 @@ def _condition(df: DataFrame, condition: Mapping, batch_date: str) -> Column:
         by_day = compare(parse_date(column(name), dtype, fmt), cutoff)
     except ValueError as error:
         raise ValueError(f"condition on {name!r}: {error}") from None
-    implied = _text_bounds(column(name), dtype, fmt, condition["compare"], batch_date, days)
+    strict = df.sparkSession.conf.get("spark.sql.legacy.timeParserPolicy").upper() != "LEGACY"
+    implied = _text_bounds(column(name), dtype, fmt, condition["compare"], batch_date, days) if strict else None
     return by_day if implied is None else implied & by_day
 
 
@@ -80,7 +81,9 @@ def _text_bounds(col: Column, dtype: DataType, fmt: str, compare: str, batch_dat
     """A plain text comparison that every row meeting the condition also meets.
 
     Parsing a column hides it from the scan. Where the text sorts like its dates,
-    comparing the text as well lets Parquet statistics or the database skip rows.
+    comparing the text as well lets Parquet statistics or the database skip rows. Only a
+    strict parser takes no text of another shape (``2024-1-5``), so under the session's
+    LEGACY policy there is no bound.
     Years outside 0000-9999 carry a sign, which sorts before all digits.
     """
     if not isinstance(dtype, StringType) or fmt not in _SORTABLE:

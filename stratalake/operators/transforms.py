@@ -85,11 +85,35 @@ def _select(df: DataFrame, fields: list[tuple[str, Column, DataType]]) -> DataFr
     return df.select(*[col.alias(name) for name, col, _ in fields])
 
 
-_TRANSFORMS: dict[str, Transform] = {
+_OWN: dict[str, Transform] = {
     "Trim": trim,
     "CastDate": cast_date,
     "RenameCast": rename_cast,
 }
+_TRANSFORMS = dict(_OWN)
+
+
+# The fields that each entry of a transform's parameters needs.
+_FIELDS = {
+    "Trim": ("column_name",),
+    "CastDate": ("column_name", "source_format"),
+    "RenameCast": ("column_name", "new_column_name", "data_type"),
+}
+
+
+def require_parameters(name: str, parameters: Parameters) -> None:
+    """Fail on parameters that a transform could not use, before anything is read."""
+    if name not in _FIELDS or _TRANSFORMS[name] is not _OWN[name]:
+        return
+    for entry in parameters:
+        missing = [field for field in _FIELDS[name] if not entry.get(field)]
+        if missing:
+            raise ValueError(f"{name} needs {missing} in {dict(entry)}")
+        if "data_type" in _FIELDS[name]:
+            try:
+                DataType.fromDDL(entry["data_type"])
+            except Exception:
+                raise ValueError(f"{name} on {entry['column_name']!r}: no such type: {entry['data_type']!r}") from None
 
 
 def register_transform(name: str, transform: Transform) -> None:

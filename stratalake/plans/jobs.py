@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import SparkSession
 
 from stratalake.operators.incremental import COMPARISONS
-from stratalake.operators.transforms import transform_named
+from stratalake.operators.transforms import require_parameters, transform_named
 from stratalake.sinks.trusted import INGEST_TYPES, UPSERT, as_list
 from stratalake.sources import require_reader
 
@@ -17,17 +18,37 @@ _DATE_FORMAT = "%Y%m%d"
 
 
 def load_jobs(spark: SparkSession, path: str) -> list[dict]:
-    """Read a JSON array of jobs from any file system Spark can read."""
-    text = spark.read.text(path, wholetext=True).first()
-    try:
-        jobs = json.loads(text["value"]) if text else None
-    except json.JSONDecodeError as error:
-        raise ValueError(f"{path} is not JSON: {error}") from None
-    if not isinstance(jobs, list):
-        raise ValueError(f"{path} must hold a JSON array of jobs")
+    """Read JSON arrays of jobs from any file system Spark can read.
+
+    ``path`` is a file, or a folder or pattern of several, whose jobs follow each other in
+    the order of the files' names. A name that two jobs have is an error.
+    """
+    files = spark.read.text(path, wholetext=True).select("_metadata.file_path", "value").collect()
+    jobs = []
+    for file, text in sorted(files) or [(path, None)]:
+        try:
+            found = json.loads(text) if text else None
+        except json.JSONDecodeError as error:
+            raise ValueError(f"{file} is not JSON: {error}") from None
+        if not isinstance(found, list):
+            raise ValueError(f"{file} must hold a JSON array of jobs")
+        jobs += found
+    if len(files) > 1:
+        names = Counter(job["job_name"] for job in jobs)
+        twice = sorted(name for name, n in names.items() if n > 1)
+        if twice:
+            raise ValueError(f"{path} has several jobs named {twice}")
     return jobs
 
 
+def require_whole(days: object) -> int:
+    """The number of days of a condition."""
+    try:
+        return int(days)
+    except (TypeError, ValueError):
+        raise ValueError(f"days must be a whole number, not {days!r}") from None
+
+
 def get_job(jobs: Sequence[Mapping], name: str) -> Mapping:
     """The first job called ``name``."""
     for job in jobs:
@@ -54,6 +75,7 @@ def validate_job(job: Mapping) -> None:
     for condition in job["source"].get("conditions", []):
         if condition["compare"] not in COMPARISONS:
             raise ValueError(f"compare must be one of {list(COMPARISONS)}, not {condition['compare']!r}")
+        require_whole(condition["days"])
     destination = job["destination"]
     for layer in ("raw", "trusted"):
         if "database" in destination.get(layer, {}) and "table_name" not in destination:
@@ -69,3 +91,4 @@ def validate_job(job: Mapping) -> None:
                 raise ValueError(f"an Upsert needs {field}")
     for entry in trusted.get("transformations", []):
         transform_named(entry["name"])
+        require_parameters(entry["name"], entry["parameters"])

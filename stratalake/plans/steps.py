@@ -90,10 +90,12 @@ def run_job(
     credentials: Credentials | None = None,
     transform_mode: str = CHAIN,
     stale: str = NEWEST_WINS,
-) -> None:
-    """Run one step of a job from its run arguments, given as text: ``raw``, or else trusted."""
+) -> str | BatchResult:
+    """Run one step of a job from its run arguments, given as text: ``raw``, or else trusted.
+
+    Returns what the step does: the raw path, or the result of the trusted step.
+    """
     batch_date = parse_batch_date(batch_date)
     if step == "raw":
-        run_raw(spark, job, layers, batch_date, parse_incremental(incremental), credentials)
-    else:
-        run_trusted(spark, job, layers, batch_date, transform_mode, stale)
+        return run_raw(spark, job, layers, batch_date, parse_incremental(incremental), credentials)
+    return run_trusted(spark, job, layers, batch_date, transform_mode, stale)

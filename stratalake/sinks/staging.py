@@ -5,13 +5,23 @@ first written next to it and then published. A marker file stands beside the sta
 data from the moment it is whole until it is published. A run that dies in between
 leaves the marker, and the next run publishes again before it does anything else.
 
+A dataset that is replaced is moved aside first and deleted last, so there is no moment
+without either. One run at a time owns a path: an owner file beside it is created
+exclusively and renewed while the run lives, and a second run fails before it touches
+anything. A file that was not renewed for ``LEASE_SECONDS`` is a dead run's, and the next
+run takes over. (Where a file system cannot create a file exclusively, as some object
+stores, two runs that start at the same moment may both begin.)
+
 Readers of the dataset may see it half published: there is no transaction log.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+import threading
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StringType, StructField, StructType
@@ -26,8 +36,13 @@ _MERGED = "__merged"
 _REPEATED = "__repeated"
 _KNOWN = "__known"
 _KEPT = "__kept"
+_OLD = "__old"
+_OWNER = "__owner"
 _MARK = "__ready"
 
+# A run that lives renews its ownership several times within this.
+LEASE_SECONDS = 300
+
 AUTO = "auto"
 RENAME = "rename"
 REWRITE = "rewrite"
@@ -53,6 +68,39 @@ def kept_stage(path: str) -> str:
     return path.rstrip("/") + _KEPT
 
 
+@contextmanager
+def owned(spark: SparkSession, path: str) -> Iterator[None]:
+    """Own a dataset while writing it; fail if another run does."""
+    owner = path.rstrip("/") + _OWNER
+    run = json.dumps({"run": uuid4().hex, "application": spark.sparkContext.applicationId})
+    if not storage.create_new(spark, owner, run):
+        age = storage.age(spark, owner)
+        if age is not None and age < LEASE_SECONDS:
+            raise RuntimeError(f"another run is writing {path}, by {owner}, renewed {age:.0f} seconds ago")
+        storage.delete(spark, owner)
+        if not storage.create_new(spark, owner, run):
+            raise RuntimeError(f"another run has begun to write {path}, by {owner}")
+    over = threading.Event()
+
+    def renew() -> None:
+        while not over.wait(LEASE_SECONDS / 5):
+            storage.write_text(spark, owner, run)
+
+    renewing = threading.Thread(target=renew, daemon=True)
+    renewing.start()
+    try:
+        yield
+    finally:
+        over.set()
+        renewing.join()
+        storage.delete(spark, owner)
+
+
+def moves(spark: SparkSession, path: str, how: str) -> bool:
+    """Whether a stage is published by renaming it."""
+    return how == RENAME or (how == AUTO and storage.renames_in_place(spark, path))
+
+
 def write_stage(df: DataFrame, stage: str, partitions: Sequence[str], options: Mapping | None = None) -> None:
     df.write.mode("overwrite").options(**(options or {})).partitionBy(*partitions).parquet(stage)
 
@@ -79,7 +127,7 @@ def _put_in_place(
     spark: SparkSession, stage: str, path: str, partitions: Sequence[str], options: Mapping, how: str
 ) -> list[str]:
     directories = list(storage.partition_directories(spark, stage, len(partitions))) if partitions else []
-    if how == RENAME or (how == AUTO and storage.renames_in_place(spark, path)):
+    if moves(spark, path, how):
         _rename(spark, stage, path, partitions, directories)
         spark.catalog.refreshByPath(path)
     else:
@@ -93,15 +141,39 @@ def _put_in_place(
 def _rename(
     spark: SparkSession, stage: str, path: str, partitions: Sequence[str], directories: list[str]
 ) -> None:
+    root = path.rstrip("/")
+    aside = root + _OLD
     if not partitions or not storage.exists(spark, path):
-        storage.replace_directory(spark, stage, path)
+        storage.replace_directory(spark, stage, path, aside)
         return
-    root = path.rstrip("/")
     storage.for_each(
-        lambda directory: storage.replace_directory(spark, f"{stage}/{directory}", f"{root}/{directory}"), directories
+        lambda directory: storage.replace_directory(
+            spark, f"{stage}/{directory}", f"{root}/{directory}", f"{aside}/{directory}"
+        ),
+        directories,
     )
 
 
+def publish_files(spark: SparkSession, stage: str, path: str, replaced: Sequence[str]) -> None:
+    """Move the staged files among those of an unpartitioned dataset, then delete the ``replaced`` ones.
+
+    Only where a rename moves files in place. The marker names the replaced files, so a
+    run that dies in between is made good like any other.
+    """
+    storage.write_text(spark, stage + _MARK, json.dumps({"replaced": list(replaced)}))
+    _move_files(spark, stage, path, replaced)
+
+
+def _move_files(spark: SparkSession, stage: str, path: str, replaced: Sequence[str]) -> None:
+    root = path.rstrip("/")
+    if storage.exists(spark, stage):
+        storage.for_each(lambda name: storage.move_file(spark, f"{stage}/{name}", f"{root}/{name}"), storage.data_files(spark, stage))
+    storage.for_each(lambda name: storage.delete(spark, f"{root}/{name}"), replaced)
+    spark.catalog.refreshByPath(path)
+    storage.delete(spark, stage + _MARK)
+    storage.delete(spark, stage)
+
+
 def _rewrite(spark: SparkSession, stage: str, path: str, partitions: Sequence[str], options: Mapping) -> None:
     staged = read_typed(spark, [stage], stage, {p: StringType() for p in partitions})
     if staged is None:
@@ -118,22 +190,24 @@ def _rewrite(spark: SparkSession, stage: str, path: str, partitions: Sequence[st
 def recover(spark: SparkSession, path: str, options: Mapping | None = None, how: str = AUTO) -> None:
     """Finish what an earlier run left whole but not published, drop what it left unfinished."""
     for stage in (batch_stage(path), merge_stage(path)):
-        partitions = _marked_partitions(spark, stage)
-        if partitions is not None and storage.exists(spark, stage):
-            _put_in_place(spark, stage, path, partitions, options or {}, how)
+        mark = _read_mark(spark, stage)
+        if isinstance(mark, dict):
+            _move_files(spark, stage, path, mark["replaced"])
+        elif mark is not None and storage.exists(spark, stage):
+            _put_in_place(spark, stage, path, mark, options or {}, how)
     discard(spark, path)
 
 
 def discard(spark: SparkSession, path: str) -> None:
-    """Drop what an earlier run left, for a write that replaces the dataset anyway."""
-    for suffix in (_BATCH, _MERGED, _REPEATED, _KNOWN, _KEPT):
+    """Drop the stages of this run, or what an earlier one left of its own."""
+    for suffix in (_BATCH, _MERGED, _REPEATED, _KNOWN, _KEPT, _OLD):
         stage = path.rstrip("/") + suffix
         storage.delete(spark, stage + _MARK)
         storage.delete(spark, stage)
 
 
-def _marked_partitions(spark: SparkSession, stage: str) -> list[str] | None:
-    """The partition columns a marked stage was written with, None for one that is not whole.
+def _read_mark(spark: SparkSession, stage: str) -> list[str] | dict | None:
+    """The partition columns a marked stage was written with, or the files it replaces; None for one that is not whole.
 
     They are taken from the marker, not from the run at hand, whose job may have changed.
     A marker that broke off was written by a run that had not moved anything yet.

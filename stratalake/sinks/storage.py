@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Schemes whose rename moves a directory without copying its files.
@@ -66,16 +68,72 @@ def renames_in_place(spark: SparkSession, path: str) -> bool:
     return fs.getUri().getScheme() in _RENAMES_IN_PLACE
 
 
-def replace_directory(spark: SparkSession, source: str, target: str) -> None:
-    """Move ``source`` to where ``target`` is, or was."""
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file that must not be there yet; False if it is."""
+    fs, where = _open(spark, path)
+    fs.mkdirs(where.getParent())
+    try:
+        out = fs.create(where, False)
+    except Py4JJavaError:
+        if fs.exists(where):
+            return False
+        raise
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    return True
+
+
+def age(spark: SparkSession, path: str) -> float | None:
+    """Seconds since the file was written, or None if there is none."""
+    fs, where = _open(spark, path)
+    try:
+        written = fs.getFileStatus(where).getModificationTime()
+    except Py4JJavaError:
+        if fs.exists(where):
+            raise
+        return None
+    return time.time() - written / 1000
+
+
+def replace_directory(spark: SparkSession, source: str, target: str, aside: str) -> None:
+    """Move ``source`` to where ``target`` is, or was.
+
+    The old directory is moved ``aside`` and deleted only when the new one is in its place.
+    """
     fs, where = _open(spark, source)
     _, there = _open(spark, target)
-    fs.delete(there, True)
+    _, old = _open(spark, aside)
+    if not fs.exists(where):
+        raise OSError(f"{source} is gone, {target} is left as it is")
+    fs.delete(old, True)
     fs.mkdirs(there.getParent())
+    fs.mkdirs(old.getParent())
+    if fs.exists(there) and not fs.rename(there, old):
+        raise OSError(f"could not move {target} to {aside}")
+    if not fs.rename(where, there):
+        raise OSError(f"could not move {source} to {target}")
+    fs.delete(old, True)
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    fs, where = _open(spark, source)
+    _, there = _open(spark, target)
     if not fs.rename(where, there):
         raise OSError(f"could not move {source} to {target}")
 
 
+def data_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and sizes of the data files right below ``path``."""
+    fs, where = _open(spark, path)
+    found = [s for s in fs.listStatus(where) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+    return {s.getPath().getName(): s.getLen() for s in found}
+
+
+def file_name(spark: SparkSession, uri: str) -> str:
+    """The name of a file whose address is given as a URI."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).getName()
+
+
 def partition_directories(spark: SparkSession, path: str, depth: int) -> Iterator[str]:
     """The partition directories ``depth`` levels down, relative to ``path``."""
     fs, where = _open(spark, path)
@@ -108,15 +166,34 @@ def usage(spark: SparkSession, path: str) -> tuple[int, int] | None:
     return summary.getFileCount(), summary.getLength()
 
 
-def is_partitioned(spark: SparkSession, path: str) -> bool | None:
-    """Whether a dataset lies in partition directories, or None if there is no data."""
+def layout(spark: SparkSession, path: str) -> tuple[list[str], str] | None:
+    """The partition columns of a dataset and one of its files, or None if there is no data."""
     fs, where = _open(spark, path)
     if not fs.exists(where):
         return None
-    entries = fs.listStatusIterator(where)
-    while entries.hasNext():
-        entry = entries.next()
-        name = entry.getPath().getName()
-        if "=" in name or not name.startswith(("_", ".")):
-            return entry.isDirectory()
-    return None
+
+    def walk(directory, columns: list[str]) -> tuple[list[str], str] | None:
+        entries = fs.listStatusIterator(directory)
+        while entries.hasNext():
+            entry = entries.next()
+            name = entry.getPath().getName()
+            if entry.isDirectory() and "=" in name:
+                found = walk(entry.getPath(), [*columns, unquote(name.partition("=")[0])])
+                if found is not None:
+                    return found
+            elif entry.isFile() and not name.startswith(("_", ".")):
+                return columns, entry.getPath().toString()
+        return None
+
+    return walk(where, [])
+
+
+def require_layout(spark: SparkSession, path: str, partitions: Iterable[str]) -> str | None:
+    """Fail if a dataset is stored by other partition columns; one of its files, None if it has no data."""
+    found = layout(spark, path)
+    if found is None:
+        return None
+    stored, file = found
+    if [c.lower() for c in stored] != [c.lower() for c in partitions]:
+        raise ValueError(f"{path} is not stored by partitions {list(partitions)} but {stored}; replace it to change that")
+    return file

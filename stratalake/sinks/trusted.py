@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame
 
 from stratalake.functions.names import column, require_distinct, require_name
 from stratalake.operators.gather import gather
-from stratalake.sinks import staging
+from stratalake.sinks import staging, storage
 from stratalake.sinks.catalog import create_table, refresh_table, require_registrable, table_name, with_table_columns
 from stratalake.sinks.storage import partition_values
-from stratalake.sinks.upsert import NEWEST_WINS, upsert
+from stratalake.sinks.upsert import NEWEST_WINS, upsert, with_directory_nulls
 
 # The ways to store a batch, "Full" being another name for "Replace".
 REPLACE = ("Replace", "Full")
 REPLACE_PARTITION = "ReplacePartition"
 UPSERT = "Upsert"
+TUNING = ("broadcast_bytes", "publish", "large_batch_rows")
 INGEST_TYPES = (*REPLACE, REPLACE_PARTITION, UPSERT)
 
 
@@ -30,7 +31,11 @@ def save_trusted(
 ) -> None:
     """Store a batch the way ``trusted["ingest_type"]`` says and register it if it has a database.
 
-    ``rows`` is how many it has, if that is known: see :func:`stratalake.sinks.upsert.upsert`.
+    ``rows`` is how many it has, if that is known: see :func:`stratalake.sinks.upsert.upsert`,
+    to which ``broadcast_bytes``, ``publish`` and ``large_batch_rows`` of ``trusted`` go.
+
+    A replaced dataset or partition is written beside its place and moved there, where a
+    rename does that: a write that fails leaves the stored rows, and files and table agree.
     """
     kind = trusted["ingest_type"]
     if kind not in INGEST_TYPES:
@@ -45,28 +50,42 @@ def save_trusted(
 
     if kind == UPSERT:
         keys, order = as_list(trusted["key_column"]), as_list(trusted["order_column"])
-        schema, written = upsert(df, path, keys, order, partitions, stale, options, rows=rows)
+        tuning = {field: trusted[field] for field in TUNING if field in trusted}
+        schema, written = upsert(df, path, keys, order, partitions, stale, options, rows=rows, **tuning)
         if name:
             schema = with_table_columns(spark, name, path, schema)
             refresh_table(spark, name, path, schema, partitions, map(partition_values, written))
         return
 
     in_part = kind == REPLACE_PARTITION and bool(partitions)
-    if in_part:
-        staging.recover(spark, path, options)
-    else:
-        staging.discard(spark, path)
-    _overwrite(df, path, partitions, options, "dynamic" if in_part else "static")
+    publish = trusted.get("publish", staging.AUTO)
+    df = with_directory_nulls(df, partitions)
+    with staging.owned(spark, path):
+        staging.recover(spark, path, options, publish)
+        if in_part:
+            storage.require_layout(spark, path, partitions)
+        if staging.moves(spark, path, publish):
+            stage = staging.batch_stage(path)
+            staging.write_stage(gather(df, partitions), stage, partitions, options)
+            written = staging.publish(spark, stage, path, partitions if in_part else (), options, publish)
+            staging.discard(spark, path)
+        else:
+            _overwrite(df, path, partitions, options, "dynamic" if in_part else "static")
+            # One row per partition the write replaced, as the writer itself keeps on the driver.
+            written = _written_values(df, partitions) if in_part and name else []
     if not name:
         return
     if in_part:
-        # One row per partition the write replaced, as the writer itself keeps on the driver.
-        values = df.select([column(p).cast("string") for p in partitions]).distinct().collect()
-        refresh_table(spark, name, path, df.schema, partitions, [v.asDict() for v in values])
+        values = [v if isinstance(v, dict) else storage.partition_values(v) for v in written]
+        refresh_table(spark, name, path, df.schema, partitions, values)
     else:
         create_table(spark, name, path, df.schema, partitions)
 
 
+def _written_values(df: DataFrame, partitions: Sequence[str]) -> list[dict]:
+    return [v.asDict() for v in df.select([column(p).cast("string") for p in partitions]).distinct().collect()]
+
+
 def _overwrite(df: DataFrame, path: str, partitions: Sequence[str], options: Mapping, mode: str) -> None:
     """Overwrite the dataset, or in ``dynamic`` mode the partitions ``df`` has."""
     (

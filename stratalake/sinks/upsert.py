@@ -30,14 +30,18 @@ from stratalake.sinks import staging, storage
 NEWEST_WINS = "newest_wins"
 INCOMING_WINS = "incoming_wins"
 
-# Keys are broadcast up to this many bytes; beyond it they are joined by a shuffle.
-BROADCAST_BYTES = 256 << 20
+# Keys are broadcast up to this many bytes, which a driver of 1 GB holds; beyond it they are
+# joined by a shuffle.
+BROADCAST_BYTES = 64 << 20
 
 # From this many rows on, and this many columns to each key column, a batch is searched
 # for repeated keys first.
 LARGE_BATCH_ROWS = 10_000_000
 COLUMNS_PER_KEY_COLUMN = 4
 
+# An unpartitioned dataset of more files than this, small ones on average, is compacted.
+MANY_FILES = 32
+
 # Touched partitions whose files are smaller than this on average are compacted when they
 # are rewritten. Well below what a compaction leaves, or it would be repeated every time.
 SMALL_FILE_BYTES = 8 << 20
@@ -54,6 +58,7 @@ def upsert(
     broadcast_bytes: int = BROADCAST_BYTES,
     publish: str = staging.AUTO,
     rows: int | None = None,
+    large_batch_rows: int | None = None,
 ) -> tuple[StructType, list[str]]:
     """Merge ``batch`` into the dataset at ``path``; return its schema and the partitions written.
 
@@ -63,22 +68,46 @@ def upsert(
     partitions the batch has rows for are read and rewritten.
 
     ``rows``, where the caller knows how many rows the batch has and that reading it again
-    gives the same, lets a large batch be searched for repeated keys before it is shuffled.
+    gives the same, lets a batch of ``large_batch_rows`` or more (ten million) be searched
+    for repeated keys before it is shuffled. A batch that does not read the same twice
+    should be given without ``rows``.
 
     One run at a time may write a path, see :mod:`stratalake.sinks.staging`.
     """
+    with staging.owned(batch.sparkSession, path):
+        large = LARGE_BATCH_ROWS if large_batch_rows is None else large_batch_rows
+        repeatable = rows is not None and rows >= large
+        return _upsert(batch, path, keys, order, partitions, stale, options, broadcast_bytes, publish, repeatable)
+
+
+def _upsert(
+    batch: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    partitions: Sequence[str],
+    stale: str,
+    options: Mapping | None,
+    broadcast_bytes: int,
+    publish: str,
+    large: bool,
+) -> tuple[StructType, list[str]]:
     if stale not in (NEWEST_WINS, INCOMING_WINS):
         raise ValueError(f"stale must be {NEWEST_WINS!r} or {INCOMING_WINS!r}, not {stale!r}")
     if not keys or not order:
         raise ValueError("an upsert needs key columns and order columns")
     spark = batch.sparkSession
     keys, order, partitions = ([require_name(batch, c) for c in names] for names in (keys, order, partitions))
-    batch = _with_directory_nulls(batch, partitions)
+    batch = with_directory_nulls(batch, partitions)
     rule = Rule(keys, order, partitions, stale == NEWEST_WINS)
     staging.recover(spark, path, options, publish)
+    file = storage.require_layout(spark, path, partitions)
+    if file and partitions:
+        # Partitions the batch does not touch are not read, but one dataset has one type for a column.
+        _require_compatible(spark.read.parquet(file).schema, batch.schema, widen=False)
 
     staged_at = staging.batch_stage(path)
-    winners = _one_per_key(batch, rule, path, broadcast_bytes, rows)
+    winners = _one_per_key(batch, rule, path, broadcast_bytes, large)
     staging.write_stage(gather(winners, partitions), staged_at, partitions, options)
     staged = staging.read_as(spark, [staged_at], staged_at, batch.schema)
     facts = _measure(staged, rule)
@@ -88,13 +117,15 @@ def upsert(
             raise ValueError(f"the batch has rows with NULL in a key column, of {keys}")
         return batch.schema, []
 
-    target, fragmented = _read_touched(spark, path, staged_at, staged, partitions)
+    target, fragmented = _read_touched(spark, path, staged_at, staged, partitions) if file else (None, False)
     if target is None:
         written = staging.publish(spark, staged_at, path, partitions, options, publish)
         staging.discard(spark, path)
         return staged.schema, written
 
     _require_compatible(target.schema, staged.schema, widen=not partitions)
+    if not partitions and _replace_files(target, staged, rule, facts, path, options, broadcast_bytes, publish):
+        return target.schema, []
     merged, shuffled = _merge(target, staged, rule, facts, path, broadcast_bytes)
     schema = merged.schema
     if fragmented or shuffled:
@@ -107,13 +138,55 @@ def upsert(
     return schema, written
 
 
-def _one_per_key(batch: DataFrame, rule: Rule, path: str, broadcast_bytes: int, rows: int | None) -> DataFrame:
+def _replace_files(
+    target: DataFrame,
+    staged: DataFrame,
+    rule: Rule,
+    facts: Mapping,
+    path: str,
+    options: Mapping | None,
+    broadcast_bytes: int,
+    publish: str,
+) -> bool:
+    """Rewrite only the files of an unpartitioned dataset that hold keys of the batch; add its new rows beside them.
+
+    False, and nothing done, where that is no gain or not possible: the batch's keys are too
+    many to broadcast, all files hold some, files are many and small, columns change, or a
+    rename does not move files in place.
+    """
+    spark = target.sparkSession
+    same_columns = {f.name: f.dataType for f in target.schema} == {f.name: f.dataType for f in staged.schema}
+    if not same_columns or facts["key_bytes"] > broadcast_bytes or not staging.moves(spark, path, publish):
+        return False
+    root = path.rstrip("/")
+    files = storage.data_files(spark, root)
+    if len(files) > MANY_FILES and sum(files.values()) < SMALL_FILE_BYTES * len(files):
+        return False
+    keys = {k: f"__f{i}" for i, k in enumerate(rule.keys)}
+    wanted = F.broadcast(staged.select(*[column(k).alias(n) for k, n in keys.items()]))
+    same = reduce(operator.and_, [column(k) == F.col(n) for k, n in keys.items()])
+    stored = target.select(F.col("_metadata.file_path").alias("__file"), *map(column, rule.keys))
+    found = stored.join(wanted, same, "left_semi").select("__file").distinct().collect()
+    touched = sorted(storage.file_name(spark, row[0]) for row in found)
+    if len(touched) == len(files):
+        return False
+    merged = staged
+    if touched:
+        part = staging.read_as(spark, [f"{root}/{name}" for name in touched], root, target.schema)
+        merged = merge_newest(part, staged, rule, facts["oldest"], broadcast_known=True)
+    merged_at = staging.merge_stage(path)
+    staging.write_stage(merged.select(*map(column, target.columns)), merged_at, (), options)
+    staging.publish_files(spark, merged_at, path, touched)
+    staging.discard(spark, path)
+    return True
+
+
+def _one_per_key(batch: DataFrame, rule: Rule, path: str, broadcast_bytes: int, large: bool) -> DataFrame:
     """The newest row of every key in the batch.
 
     Most batches have no key twice. In a large one whose keys are a small part of its
     columns, finding those that are costs a shuffle of the keys and spares one of the rows.
     """
-    large = rows is not None and rows >= LARGE_BATCH_ROWS
     if not large or len(batch.columns) < COLUMNS_PER_KEY_COLUMN * len(rule.match):
         return latest_per_key(batch, rule.match, rule.order)
     repeated = _aside(repeated_keys(batch, rule.match), staging.repeated_stage(path))
@@ -163,7 +236,7 @@ def _aside(df: DataFrame, stage: str) -> DataFrame:
 _PUSHABLE = (IntegralType, DecimalType, StringType, DateType, TimestampType, TimestampNTZType)
 
 
-def _with_directory_nulls(batch: DataFrame, partitions: Sequence[str]) -> DataFrame:
+def with_directory_nulls(batch: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Empty text as a partition value is stored in the directory of NULL, so it is NULL."""
     for name in partitions:
         if isinstance(batch.schema[name].dataType, StringType):
@@ -212,11 +285,6 @@ def _read_touched(
     and read. They are as many as the write will replace, so a list of them is small.
     """
     root = path.rstrip("/")
-    partitioned = storage.is_partitioned(spark, root)
-    if partitioned is None:
-        return None, False
-    if partitioned != bool(partitions):
-        raise ValueError(f"{path} is not stored by partitions {partitions}; replace it to change that")
     if not partitions:
         return staging.read_typed(spark, [root], root, {}), False
     touched = [f"{root}/{d}" for d in storage.partition_directories(spark, staged_at, len(partitions))]

@@ -511,11 +511,11 @@ def test_dying_halfway_through_the_moves(spark, path, monkeypatch, partitions):
     moves = []
     move = storage.replace_directory
 
-    def once(session, source, target):
+    def once(session, source, target, aside):
         if moves:
             raise Died
         moves.append(target)
-        move(session, source, target)
+        move(session, source, target, aside)
         if not partitions:
             raise Died
 
@@ -530,7 +530,7 @@ def test_dying_halfway_through_the_moves(spark, path, monkeypatch, partitions):
 def test_dying_between_delete_and_move(spark, path, monkeypatch):
     upsert(in_parts(spark, *FIRST), path, ["k"], ["o"], publish="rename")
 
-    def half(session, source, target):
+    def half(session, source, target, aside):
         storage.delete(session, target)
         raise Died
 
