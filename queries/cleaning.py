@@ -12,7 +12,7 @@ from queries.tables import (
     orders_with_bad_dates,
     table,
 )
-from stratalake import apply_transforms
+from stratalake import apply_transforms, register_transform
 
 
 def _padded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +110,25 @@ def chain_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_transforms(_padded_text_orders(spark, sf_dir), _CHAIN, mode="last")
 
 
+def own_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A transform that a user registers, in a chain with the library's."""
+
+    def upper(df, parameters):
+        return df.withColumns({p["column_name"]: F.upper(p["column_name"]) for p in parameters})
+
+    register_transform("Upper", upper)
+    entries = [
+        {"name": "Upper", "parameters": [{"column_name": "s_name"}]},
+        {
+            "name": "RenameCast",
+            "parameters": [{"column_name": "s_name", "new_column_name": "supplier", "data_type": "string"}],
+        },
+    ]
+    return apply_transforms(table(spark, sf_dir, "supplier"), entries)
+
+
 CHECKS = {
+    "own_transform": (own_transform, "SELECT * EXCLUDE (s_name), upper(s_name) AS supplier FROM supplier"),
     "trim_one": (
         trim_one,
         "SELECT * REPLACE (trim(o_orderstatus) AS o_orderstatus, trim(o_orderpriority) AS o_orderpriority) "

@@ -42,6 +42,16 @@ def incremental_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental_filter(orders, [{"filter_date": "d", "days": 0, "compare": "<>"}], "19990601")
 
 
+def incremental_compares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other comparisons: up to a day, on it, not on it."""
+    events = table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("d"))
+    found = []
+    for n, compare in enumerate(["<=", "=", "==", "!="]):
+        kept = incremental_filter(events, [{"filter_date": "d", "days": n - 2, "compare": compare}], "20240110")
+        found.append(kept.select("event_id", F.lit(compare).alias("compare")))
+    return found[0].union(found[1]).union(found[2]).union(found[3])
+
+
 def incremental_off(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full load ignores the conditions the job has."""
     job = {
@@ -75,6 +85,13 @@ CHECKS = {
         "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders "
         "WHERE o_orderpriority <> '5-LOW' AND o_orderdate::DATE <> DATE '1999-06-01'",
     ),
+    "incremental_compares": (
+        incremental_compares,
+        "SELECT event_id, '<=' AS compare FROM events WHERE ts::DATE <= DATE '2024-01-08' "
+        "UNION ALL SELECT event_id, '=' FROM events WHERE ts::DATE = DATE '2024-01-09' "
+        "UNION ALL SELECT event_id, '==' FROM events WHERE ts::DATE = DATE '2024-01-10' "
+        "UNION ALL SELECT event_id, '!=' FROM events WHERE ts::DATE <> DATE '2024-01-11'",
+    ),
     "incremental_off": (
         incremental_off,
         'SELECT event_id AS "EVENT_ID", ts AS "TS", user_id AS "USER_ID", event_type AS "EVENT_TYPE", '

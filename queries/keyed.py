@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queries.tables import ORDERS_AS_TEXT_SQL, database, layers, orders_as_text, scratch, table
-from stratalake import latest_per_key, run_raw, run_trusted, upsert
+from stratalake import latest_per_key, run_raw, run_trusted, save_trusted, upsert
 
 
 def dedupe_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,18 @@ def upsert_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_orders(spark, sf_dir, _stored_orders(spark, sf_dir), _changed_orders(spark, sf_dir))
 
 
+def upsert_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few changed and a few new keys: only the files that hold the changed ones are rewritten."""
+    path = f"{scratch(spark)}/trusted/orders"
+    orders = table(spark, sf_dir, "orders").withColumn("version", F.lit(1))
+    stored = orders.filter("o_orderkey % 1000 <> 7").repartitionByRange(8, "o_orderkey")
+    save_trusted(stored, path, {"ingest_type": "Replace"})
+    changed = orders.filter("o_orderkey % 1000 = 7 OR o_orderkey BETWEEN 100 AND 200")
+    changed = changed.withColumn("version", F.lit(2)).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    upsert(changed, path, ["o_orderkey"], ["version"])
+    return spark.read.parquet(path)
+
+
 def upsert_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same merge for a batch with too many keys to broadcast, published by a rewrite."""
     return _upsert_orders(
@@ -207,6 +219,15 @@ _FINISHED_SQL = "CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END"
 _UPSERT_SQL = f"{_KEPT_SQL} UNION ALL {_CHANGED_SQL}"
 
 CHECKS = {
+    "upsert_few": (
+        upsert_few,
+        """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
+               CASE WHEN changed THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+               CASE WHEN changed THEN 2 ELSE 1 END AS version
+        FROM (SELECT *, o_orderkey % 1000 = 7 OR o_orderkey BETWEEN 100 AND 200 AS changed FROM orders)
+        """,
+    ),
     "dedupe_batch": (
         dedupe_batch,
         _newest_sql(

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from queries.tables import ORDERS_AS_TEXT_SQL, orders_as_text, scratch, table
-from stratalake import read_source
+from queries.tables import ORDERS_AS_TEXT_SQL, orders_as_text, scratch, table, with_cents_as_text
+from stratalake import read_source, register_reader
 
 
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,27 +21,44 @@ def scan_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_csv_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch(spark)
-    table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment").write.csv(f"{landing}/customer")
-    source = {"type": "csv", "path": "customer", "columns": ["ID", "NAME", "SEGMENT"]}
+    with_cents_as_text(table(spark, sf_dir, "customer")).write.csv(f"{landing}/customer")
+    source = {"type": "csv", "path": "customer", "columns": ["ID", "NAME", "NATION", "BALANCE", "SEGMENT"]}
     return read_source(spark, source, {"landing": landing})
 
 
 def scan_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = scratch(spark)
-    table(spark, sf_dir, "part").drop("p_retailprice").write.csv(f"{landing}/part", sep="|", header=True)
+    with_cents_as_text(table(spark, sf_dir, "part")).write.csv(f"{landing}/part", sep="|", header=True)
     source = {"type": "txt", "path": "part/", "options": {"sep": "|", "header": "true"}}
     return read_source(spark, source, {"landing": {"path": f"{landing}/"}})
 
 
+def own_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that a user registers: JSON lines of a given schema."""
+    landing = scratch(spark)
+    nation = table(spark, sf_dir, "nation")
+    nation.write.json(f"{landing}/nation")
+
+    def read_json(spark, source, layers, credentials=None):
+        return spark.read.schema(source["schema"]).json(f"{layers['landing']}/{source['path']}")
+
+    register_reader("json_lines", read_json)
+    source = {"type": "json_lines", "path": "nation", "schema": nation.schema}
+    return read_source(spark, source, {"landing": landing})
+
+
 CHECKS = {
     "scan_parquet": (scan_parquet, "SELECT * FROM lineitem"),
     "scan_csv_header": (scan_csv_header, ORDERS_AS_TEXT_SQL),
     "scan_csv_columns": (
         scan_csv_columns,
-        'SELECT c_custkey::VARCHAR AS "ID", c_name AS "NAME", c_mktsegment AS "SEGMENT" FROM customer',
+        'SELECT c_custkey::VARCHAR AS "ID", c_name AS "NAME", c_nationkey::VARCHAR AS "NATION", '
+        'c_acctbal::DECIMAL(15,2)::VARCHAR AS "BALANCE", c_mktsegment AS "SEGMENT" FROM customer',
     ),
     "scan_txt": (
         scan_txt,
-        "SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_brand, p_type, p_size::VARCHAR AS p_size FROM part",
+        "SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_brand, p_type, p_size::VARCHAR AS p_size, "
+        "p_retailprice::DECIMAL(15,2)::VARCHAR AS p_retailprice FROM part",
     ),
+    "own_reader": (own_reader, "SELECT * FROM nation"),
 }

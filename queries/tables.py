@@ -58,6 +58,12 @@ def orders_with_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_cents_as_text(df: DataFrame) -> DataFrame:
+    """All columns, amounts as text with two digits, as engines write a double differently."""
+    doubles = [c for c, kind in df.dtypes if kind == "double"]
+    return df.withColumns({c: F.col(c).cast("decimal(15,2)").cast("string") for c in doubles})
+
+
 ORDERS_AS_TEXT_SQL = """
 SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey, o_orderstatus,
        o_totalprice::DECIMAL(15,2)::VARCHAR AS o_totalprice,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from queries.tables import database, layers, scratch, table
 from stratalake import get_job, load_jobs, run_job, run_raw, run_trusted, save_trusted
+from stratalake.operators.transforms import trim
 
 
 def _orders_job(trusted: dict, conditions: list[dict] | None = None) -> dict:
@@ -42,6 +43,20 @@ def replace_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def replace_partition_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blank padding in the partition column: trimmed, it is one partition with NULL, in files and table."""
+    name = database(spark)
+    path = f"{scratch(spark)}/trusted/orders"
+    trusted = {"ingest_type": "ReplacePartition", "database": name, "partitions": ["o_orderstatus"]}
+    orders = table(spark, sf_dir, "orders")
+    blank = F.when(F.col("o_orderstatus") == "P", F.lit("   ")).otherwise(F.concat("o_orderstatus", F.lit("  ")))
+    padded = trim(orders.withColumn("o_orderstatus", blank), [{"column_name": "o_orderstatus"}])
+    save_trusted(padded, path, trusted, "orders")
+    again = padded.filter("o_orderstatus = '' AND o_totalprice > 1000")
+    save_trusted(again.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, trusted, "orders")
+    return spark.table(f"{name}.orders")
+
+
 def replace_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch without rows leaves what is there."""
     job = _orders_job({"ingest_type": "Full"}, [{"filter_date": "o_orderdate", "days": 0, "compare": ">"}])
@@ -138,6 +153,15 @@ _ORDERS = (
 )
 
 CHECKS = {
+    "replace_partition_table": (
+        replace_partition_table,
+        """
+        SELECT * EXCLUDE (o_orderstatus), o_orderstatus FROM orders WHERE o_orderstatus <> 'P'
+        UNION ALL
+        SELECT * EXCLUDE (o_orderstatus) REPLACE (o_totalprice + 1 AS o_totalprice), NULL
+        FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 1000
+        """,
+    ),
     "replace": (
         replace,
         f'SELECT {_ORDERS}, 20020101 AS "DT_IMPORT" FROM orders WHERE o_orderdate >= TIMESTAMP \'1998-01-01\'',
