@@ -1,0 +1,240 @@
+"""What must not lose or hide rows: overlapping runs, failed writes, other layouts, lenient parsers."""
+
+import json
+import threading
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake import incremental_filter, load_jobs, run_job, save_trusted, upsert, validate_job
+from stratalake.sinks import staging, storage
+from stratalake.sinks import upsert as upsert_module
+from tests.conftest import rows
+
+
+@pytest.fixture
+def path(tmp_path):
+    (tmp_path / "d").mkdir()
+    return str(tmp_path / "d" / "t")
+
+
+def beside(path):
+    return {p.name for p in Path(path).parent.iterdir() if not p.name.endswith(".crc")}
+
+
+def table(spark, values, schema="k long, o long, p string"):
+    return spark.createDataFrame(values, schema)
+
+
+FIRST = [(1, 1, "a"), (2, 1, "b")]
+SECOND = [(2, 2, "b"), (3, 2, "c")]
+THIRD = [(9, 9, "z")]
+
+
+@pytest.mark.parametrize("partitions", [[], ["p"]])
+@pytest.mark.parametrize("where", ["write_stage", "_measure", "publish", "publish_files"])
+def test_a_second_run_fails_and_the_first_goes_on(spark, path, monkeypatch, where, partitions):
+    """Another upsert, and a replace, begin while one is at work."""
+    upsert(table(spark, FIRST), path, ["k"], ["o"], partitions)
+    module = upsert_module if where == "_measure" else staging
+    plain, refused = getattr(module, where), []
+
+    def meanwhile(*args, **kwargs):
+        found = plain(*args, **kwargs) if where != "publish" else None
+        for begin in (
+            lambda: upsert(table(spark, THIRD), path, ["k"], ["o"], partitions),
+            lambda: save_trusted(table(spark, THIRD), path, {"ingest_type": "Replace"}),
+        ):
+            with pytest.raises(RuntimeError, match="another run is writing"):
+                begin()
+            refused.append(1)
+        return plain(*args, **kwargs) if where == "publish" else found
+
+    with monkeypatch.context() as changed:
+        changed.setattr(module, where, meanwhile)
+        upsert(table(spark, SECOND), path, ["k"], ["o"], partitions)
+    assert rows(spark.read.parquet(path), "k", "o") == [(1, 1), (2, 2), (3, 2)]
+    assert refused or where in ("publish", "publish_files")
+    assert beside(path) == {"t"}
+    upsert(table(spark, THIRD), path, ["k"], ["o"], partitions)
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_a_dead_runs_ownership_runs_out(spark, path, monkeypatch):
+    upsert(table(spark, FIRST), path, ["k"], ["o"])
+    assert storage.create_new(spark, path + "__owner", "{}")
+    with pytest.raises(RuntimeError, match="another run"):
+        upsert(table(spark, SECOND), path, ["k"], ["o"])
+    monkeypatch.setattr(staging, "LEASE_SECONDS", 0)
+    upsert(table(spark, SECOND), path, ["k"], ["o"])
+    assert spark.read.parquet(path).count() == 3 and beside(path) == {"t"}
+
+
+def test_a_live_run_renews_its_ownership(spark, path, monkeypatch):
+    monkeypatch.setattr(staging, "LEASE_SECONDS", 1)
+    with staging.owned(spark, path):
+        waited = threading.Event()
+        waited.wait(2.5)
+        with pytest.raises(RuntimeError, match="another run"), staging.owned(spark, path):
+            pass
+    assert beside(path) == set()
+
+
+def test_nothing_is_deleted_before_its_replacement_is_there(spark, path):
+    table(spark, FIRST).write.parquet(path)
+    with pytest.raises(OSError, match="gone"):
+        storage.replace_directory(spark, f"{path}__none", path, f"{path}__old")
+    assert spark.read.parquet(path).count() == 2
+
+
+@pytest.mark.parametrize("trusted", [{"ingest_type": "Replace"}, {"ingest_type": "ReplacePartition", "partitions": ["p"]}])
+def test_a_failed_replace_leaves_the_stored_rows(spark, path, trusted):
+    save_trusted(table(spark, FIRST), path, trusted)
+    bad = table(spark, SECOND).withColumn("o", F.raise_error(F.lit("broken")).cast("long"))
+    with pytest.raises(Exception, match="broken"):
+        save_trusted(bad, path, trusted)
+    assert rows(spark.read.parquet(path), "k", "o") == [(1, 1), (2, 1)]
+    save_trusted(table(spark, SECOND), path, trusted)
+    assert len(rows(spark.read.parquet(path))) == (3 if "partitions" in trusted else 2)
+    assert beside(path) == {"t"}
+
+
+def test_empty_text_in_a_registered_partition(spark, path, database):
+    trusted = {"ingest_type": "ReplacePartition", "database": database, "partitions": ["p"]}
+    save_trusted(table(spark, [(1, 1, ""), (2, 1, "b")]), path, trusted, "t")
+    save_trusted(table(spark, [(5, 5, ""), (6, 5, None)]), path, trusted, "t")
+    expected = [(2, 1, "b"), (5, 5, None), (6, 5, None)]
+    assert rows(spark.table(f"{database}.t"), "k", "o", "p") == rows(spark.read.parquet(path), "k", "o", "p") == expected
+
+
+@pytest.mark.parametrize("kind", ["ReplacePartition", "Upsert"])
+@pytest.mark.parametrize("stored", [[], ["q"], ["p", "q"]])
+def test_another_layout_is_refused(spark, path, kind, stored):
+    df = spark.createDataFrame([(1, 1, "a", "x"), (2, 1, "b", "y")], "k long, o long, p string, q string")
+    save_trusted(df, path, {"ingest_type": "Replace", "partitions": stored})
+    trusted = {"ingest_type": kind, "partitions": ["p"], "key_column": "k", "order_column": "o"}
+    with pytest.raises(ValueError, match="not stored by partitions"):
+        save_trusted(df.limit(1), path, trusted)
+    assert rows(spark.read.parquet(path), "k") == [(1,), (2,)] and beside(path) == {"t"}
+
+
+def test_types_are_checked_against_partitions_that_are_not_touched(spark, path):
+    upsert(table(spark, [(1, 1, "a", 7)], "k long, o long, p string, z int"), path, ["k"], ["o"], ["p"])
+    with pytest.raises(ValueError, match="differ in type"):
+        upsert(table(spark, [(2, 1, "b", "x")], "k long, o long, p string, z string"), path, ["k"], ["o"], ["p"])
+    assert rows(spark.read.parquet(path), "k", "z") == [(1, 7)] and beside(path) == {"t"}
+
+
+def files(path):
+    return {p.name for p in Path(path).glob("part-*")}
+
+
+def test_only_files_with_changed_keys_are_rewritten(spark, path):
+    stored = spark.range(2_000_000).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("o"), F.lit("a").alias("p"))
+    stored.repartitionByRange(4, "k").write.parquet(path)
+    before = files(path)
+    upsert(table(spark, [(5, 2, "new"), (3_000_000, 1, "more")]), path, ["k"], ["o"])
+    assert len(before) == 4 and len(before & files(path)) == 3
+    assert rows(spark.read.parquet(path).where("o = 2 or k >= 2000000")) == [(3_000_000, 1, "more"), (5, 2, "new")]
+    kept = files(path)
+    upsert(table(spark, [(4_000_000, 1, "b")]), path, ["k"], ["o"])
+    assert kept < files(path), "new keys add files"
+    upsert(table(spark, [(5, 1, "older")]), path, ["k"], ["o"])
+    assert spark.read.parquet(path).count() == 2_000_002
+    assert rows(spark.read.parquet(path).where("k = 5")) == [(5, 2, "new")]
+
+
+@pytest.mark.parametrize("moved", [0, 1])
+def test_dying_while_files_are_exchanged(spark, path, monkeypatch, moved):
+    table(spark, [(k, 1, "a") for k in range(40)]).repartitionByRange(4, "k").write.parquet(path)
+    plain, delete, done = storage.move_file, storage.delete, []
+
+    def some(*args):
+        if len(done) >= moved:
+            raise InterruptedError
+        done.append(plain(*args))
+
+    def half(session, where):
+        if "/part-" in where:
+            raise InterruptedError
+        delete(session, where)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(storage, "move_file", some)
+        if moved:
+            broken.setattr(storage, "delete", half)
+        with pytest.raises(InterruptedError):
+            upsert(table(spark, [(0, 2, "b")]), path, ["k"], ["o"])
+    monkeypatch.setattr(staging, "LEASE_SECONDS", 0)
+    upsert(table(spark, [(39, 2, "b")]), path, ["k"], ["o"])
+    assert rows(spark.read.parquet(path).where("o = 2"), "k") == [(0,), (39,)]
+    assert spark.read.parquet(path).count() == 40 and beside(path) == {"t"}
+
+
+@pytest.mark.parametrize("policy", ["LEGACY", "CORRECTED"])
+def test_a_lenient_parser_loses_no_rows(spark, policy):
+    df = spark.createDataFrame([(1, "2024-1-5"), (2, "2024-01-05"), (3, "2024-03-05")], "id int, d string")
+    before = spark.conf.get("spark.sql.legacy.timeParserPolicy")
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", policy)
+    try:
+        condition = {"filter_date": "d", "compare": "<", "days": 0, "date_format": "yyyy-MM-dd"}
+        kept = rows(incremental_filter(df, [condition], "20240201"), "id")
+    finally:
+        spark.conf.set("spark.sql.legacy.timeParserPolicy", before)
+    assert kept == ([(1,), (2,)] if policy == "LEGACY" else [(2,)])
+
+
+def job(name, **trusted):
+    return {
+        "job_name": name,
+        "source": {"type": "parquet", "path": "supplier"},
+        "destination": {"path": name, "trusted": {"ingest_type": "Upsert", "key_column": "K", "order_column": "O", **trusted}},
+    }
+
+
+def test_jobs_of_several_files(spark, tmp_path):
+    (tmp_path / "b.json").write_text(json.dumps([job("second")]))
+    (tmp_path / "a.json").write_text(json.dumps([job("first"), job("other")]))
+    assert [j["job_name"] for j in load_jobs(spark, str(tmp_path))] == ["first", "other", "second"]
+    (tmp_path / "c.json").write_text(json.dumps([job("other")]))
+    with pytest.raises(ValueError, match="several jobs named"):
+        load_jobs(spark, str(tmp_path))
+
+
+def test_tuning_and_result_of_a_job(spark, layers, monkeypatch):
+    table(spark, FIRST, "K long, O long, P string").write.parquet(f"{layers['landing']}/supplier")
+    seen = {}
+    plain = upsert_module._upsert
+
+    def watched(*args):
+        seen.update(broadcast_bytes=args[7], publish=args[8], large=args[9])
+        return plain(*args)
+
+    monkeypatch.setattr(upsert_module, "_upsert", watched)
+    tuned = job("t", broadcast_bytes=5, publish="rewrite", large_batch_rows=2)
+    assert run_job(spark, tuned, layers, "raw", "20240105").endswith("/t")
+    result = run_job(spark, tuned, layers, "trusted", "20240105")
+    assert (result.rows, result.batch_date) == (2, "20240105")
+    assert seen == {"broadcast_bytes": 5, "publish": "rewrite", "large": True}
+
+
+@pytest.mark.parametrize(
+    ("entry", "message"),
+    [
+        ({"name": "RenameCast", "parameters": [{"column_name": "A", "new_column_name": "B", "data_type": "Floaty"}]}, "no such type"),
+        ({"name": "RenameCast", "parameters": [{"column_name": "A", "data_type": "int"}]}, "new_column_name"),
+        ({"name": "CastDate", "parameters": [{"column_name": "A"}]}, "source_format"),
+        ({"name": "Trim", "parameters": [{}]}, "column_name"),
+    ],
+)
+def test_transforms_that_cannot_run(entry, message):
+    with pytest.raises(ValueError, match=message):
+        validate_job(job("t", transformations=[entry]))
+
+
+def test_days_that_are_no_number():
+    wrong = job("t")
+    wrong["source"]["conditions"] = [{"filter_date": "D", "compare": "<", "days": "soon"}]
+    with pytest.raises(ValueError, match="days"):
+        validate_job(wrong)
