@@ -1,8 +1,4 @@
-"""Time a trusted step against the same work done the long way on the same Spark.
-
-The long way counts the batch, probes it for a first row, changes columns one by one
-and writes: three actions over the data. It stands for what a job cost before.
-"""
+"""Time a trusted step: all columns of lineitem trimmed, the dataset replaced."""
 
 from __future__ import annotations
 
@@ -13,7 +9,6 @@ import tempfile
 import time
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -46,16 +41,7 @@ def main() -> None:
             },
         },
     }
-    raw = run_raw(spark, job, layers, "20240101")
-
-    def long_way() -> None:
-        df = spark.read.parquet(raw).filter(F.col("DT_IMPORT") == "20240101")
-        df.count()
-        df.limit(1).count()
-        for name in df.columns:
-            if name != "DT_IMPORT":
-                df = df.withColumn(name, F.trim(F.col(name).cast("string")))
-        df.write.mode("overwrite").parquet(f"{root}/long")
+    run_raw(spark, job, layers, "20240101")
 
     def timed(work) -> float:
         work()
@@ -66,7 +52,6 @@ def main() -> None:
             seconds.append(time.perf_counter() - start)
         return round(statistics.median(seconds), 3)
 
-    print("long way", timed(long_way))
     print("trusted step", timed(lambda: run_trusted(spark, job, layers, "20240101")))
     spark.stop()
 
