@@ -8,7 +8,8 @@ those costs and a character trigram model. A document is scored by its words and
 The model is fitted on labelled documents, ``SAMPLE`` of them in expectation, chosen by a hash of the
 id: trigram counts; cues, which are words and beginnings of words that are more frequent in toxic
 documents than chance allows (a log-likelihood ratio of ``MIN_RATIO`` at least); and a logistic curve over
-the sum of the log odds of a document's distinct cues.
+the sum of the log odds of a document's distinct cues. Documents propose cues; then each cue is counted
+once for each pair of neighbours, so that copies of a text, near ones too, weigh as one.
 
 Null and empty texts have no cues and get the lowest score. Equal texts get equal scores. A null
 label is left out. Without toxic documents there are no cues and every score is 0. Whole texts are
@@ -162,27 +163,40 @@ def _cyrillic(data: np.ndarray) -> np.ndarray:
     return lead
 
 
-def _features(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Text and hash of each word of letters and of its beginnings."""
+def _occurrences(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, hash and neighbours of each word of letters and of its beginnings."""
     block = Block(block.first, folded(block.data), block.offsets)
     starts, ends, firsts = block.runs(_LETTER[block.data])
     rows = np.repeat(np.arange(block.rows), np.diff(firsts))
     hashed = block.hasher()
-    all_rows, all_hashes = [rows], [hashed(starts, ends) ^ _SALTS[0]]
+    whole = hashed(starts, ends)
+    beside = np.zeros(len(whole), np.uint64)
+    same = rows[1:] == rows[:-1]
+    beside[1:][same] = whole[:-1][same] * _SALTS[-1]
+    beside[:-1][same] += whole[1:][same]
+    found = [(rows, whole ^ _SALTS[0], beside)]
     for n, salt in zip(PREFIXES, _SALTS[1:], strict=True):
         longer = ends - starts > n
-        all_rows.append(rows[longer])
-        all_hashes.append(hashed(starts[longer], starts[longer] + n) ^ salt)
-    return np.concatenate(all_rows), np.concatenate(all_hashes)
+        found.append((rows[longer], hashed(starts[longer], starts[longer] + n) ^ salt, beside[longer]))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
 
 
-def features(block: Block, model: CharModel, cues: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Text and hash of each distinct feature of its words and restored words; of ``cues`` only, if given."""
-    rows, hashes = _features(block)
+def _all_occurrences(block: Block, model: CharModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of a text's words and restored words; a restored one's neighbour is the word as it was seen."""
+    rows, hashes, beside = _occurrences(block)
     hidden, words = disguised(block)
     if len(words):
-        own, more = _features(block_of([_restored(word, model).encode() for word in words]))
+        own, more, _ = _occurrences(block_of([_restored(word, model).encode() for word in words]))
+        seen = block_of([word.encode() for word in words])
+        seen = seen.hashes(seen.offsets[:-1], seen.offsets[1:])
         rows, hashes = np.concatenate([rows, hidden[own]]), np.concatenate([hashes, more])
+        beside = np.concatenate([beside, seen[own]])
+    return rows, hashes, beside
+
+
+def features(block: Block, model: CharModel, cues: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Text and hash of each distinct feature of its words and restored words; of ``cues`` only, if given."""
+    rows, hashes, _ = _all_occurrences(block, model)
     if cues is not None:
         at, _ = _members(cues).find(hashes)
         rows, hashes = rows[at], hashes[at]
@@ -239,20 +253,14 @@ class Toxicity:
 
         totals = rows.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("all")).first()
         of_toxic, of_clean = (totals["toxic"] or 0) + 1, totals["all"] - (totals["toxic"] or 0) + 1
-        counted = rows.mapInArrow(lean(_feature_counter(self.trigrams)), "cue long, toxic long, clean long")
-        counted = counted.groupBy("cue").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
-        odds = F.log(a / of_toxic) - F.log(b / of_clean)
-        cues = counted.where(F.col("toxic") >= MIN_DOCS).withColumn("odds", odds)
-        part = of_toxic / (of_toxic + of_clean)
-        rate = F.col("toxic") / (F.col("toxic") + F.col("clean"))
-        ratio = F.col("toxic") * F.log(rate / part)
-        ratio += F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - rate) / (1 - part))).otherwise(0)
-        cues = cues.where((rate > part) & (ratio >= MIN_RATIO))
-        strongest = cues.orderBy(F.desc("odds"), "cue").limit(MAX_CUES).select("cue", "odds").collect()
-        strongest.sort(key=lambda r: r["cue"] % (1 << 64))
-        hashes = np.array([r["cue"] for r in strongest], np.int64).view(np.uint64)
-        self.cues = spark.sparkContext.broadcast((hashes, np.array([r["odds"] for r in strongest])))
+        found = _telling(rows.mapInArrow(lean(_feature_counter(self.trigrams)), _COUNTS), of_toxic, of_clean)
+        proposed = spark.sparkContext.broadcast(_hashes([r["cue"] for r in found.select("cue").collect()]))
+        seen = rows.mapInArrow(lean(_context_counter(self.trigrams, proposed)), "cue long, context long, toxic long")
+        seen = seen.groupBy("cue", "context").agg(F.max("toxic").alias("toxic"))
+        found = _telling(seen.select("cue", "toxic", (1 - F.col("toxic")).alias("clean")), of_toxic, of_clean)
+        odds = {r["cue"]: r["odds"] for r in found.collect()}
+        hashes = _hashes(list(odds))
+        self.cues = spark.sparkContext.broadcast((hashes, np.array([odds[h] for h in hashes.view(np.int64).tolist()])))
 
         # sums of log odds, in tenths, and how often each is toxic
         seen = rows.select("toxic", F.round(10 * self.evidence(F.col("text"))).cast("long").alias("x"))
@@ -280,6 +288,25 @@ class Toxicity:
         return 1 / (1 + F.exp(-F.least(F.greatest(a + b * self.evidence(text), F.lit(-30.0)), F.lit(30.0))))
 
 
+_COUNTS = "cue long, toxic long, clean long"
+
+
+def _telling(counted: DataFrame, of_toxic: int, of_clean: int) -> DataFrame:
+    """(cue, odds) of what is more frequent in toxic texts than chance allows, ``MAX_CUES`` at most."""
+    counted = counted.groupBy("cue").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    odds = F.log((F.col("toxic") + 0.5) / of_toxic) - F.log((F.col("clean") + 0.5) / of_clean)
+    part = of_toxic / (of_toxic + of_clean)
+    rate = F.col("toxic") / (F.col("toxic") + F.col("clean"))
+    ratio = F.col("toxic") * F.log(rate / part)
+    ratio += F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - rate) / (1 - part))).otherwise(0)
+    telling = counted.where(F.col("toxic") >= MIN_DOCS).where((rate > part) & (ratio >= MIN_RATIO))
+    return telling.withColumn("odds", odds).orderBy(F.desc("odds"), "cue").limit(MAX_CUES).select("cue", "odds")
+
+
+def _hashes(cues: list[int]) -> np.ndarray:
+    return np.sort(np.array(cues, np.int64).view(np.uint64))
+
+
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Trigrams of the plain words of each batch; a word counts once in each text."""
     for batch in batches:
@@ -311,18 +338,43 @@ def _feature_counter(trigrams):
     return count
 
 
+def _context_counter(trigrams, cues):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(trigrams.value)
+        for batch in batches:
+            toxic = (batch.column(1).to_numpy() > 0).astype(np.int64)
+            for block in blocks(batch.column(0)):
+                rows, hashes, beside = _all_occurrences(block, model)
+                at, _ = _members(cues.value).find(hashes)
+                columns = [hashes[at].view(np.int64), beside[at].view(np.int64), toxic[block.first + rows[at]]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["cue", "context", "toxic"])
+
+    return count
+
+
 def fit_curve(points: list[tuple[float, int, int]], ridge: float = 0.01) -> tuple[float, float]:
-    """Intercept and slope of a logistic curve through (x, label, rows), by Newton's method."""
+    """Intercept and slope of a logistic curve through (x, label, rows), by damped Newton steps.
+
+    The penalised loss is convex and every step lowers it, so labels that x separates do no harm.
+    """
     if not any(label for _, label, _ in points):
         return -30.0, 0.0
     x, y, n = (np.array(c, float) for c in zip(*points, strict=True))
-    a, b = -2.0, 0.5
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
-        g = np.array([np.sum(n * (y - p)), np.sum(n * (y - p) * x)]) - ridge * np.array([a, b])
-        w = n * p * (1 - p)
-        h = np.array([[w.sum(), (w * x).sum()], [(w * x).sum(), (w * x * x).sum()]]) + ridge * np.eye(2)
-        step = np.linalg.solve(h, g)
-        step *= min(1.0, 2.0 / max(1e-12, np.abs(step).max()))
-        a, b = a + step[0], b + step[1]
-    return float(a), float(b)
+    design = np.stack([np.ones_like(x), x], 1)
+
+    def loss(w: np.ndarray) -> float:
+        z = design @ w
+        return float(np.sum(n * (np.logaddexp(0, z) - y * z)) + ridge / 2 * w @ w)
+
+    weights = np.zeros(2)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(design @ weights, -500, 500)))
+        slope = design.T @ (n * (p - y)) + ridge * weights
+        curve = (design * (n * p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
+        step, now, part = np.linalg.solve(curve, slope), loss(weights), 1.0
+        while part > 1e-9 and loss(weights - part * step) > now:
+            part /= 2
+        if part <= 1e-9 or np.abs(part * step).max() < 1e-9:
+            break
+        weights = weights - part * step
+    return float(weights[0]), float(weights[1])

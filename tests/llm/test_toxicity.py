@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -102,3 +103,21 @@ def test_without_toxic_documents(spark, documents, table):
     assert all(s < 0.3 for s in scores(model, documents(["idiot", None])))
     empty = m.Toxicity(spark, documents([]), labels.where("false"))
     assert all(s < 0.3 for s in scores(empty, documents(["idiot", None])))
+
+
+def test_the_curve_is_right_for_labels_that_are_separated():
+    points = [(0.0, 0, 9000), (1.9, 0, 4000), (3.0, 0, 800), (20.0, 1, 300), (90.0, 1, 900), (400.0, 1, 50)]
+    a, b = m.fit_curve(points)
+    score = {x: 1 / (1 + math.exp(-(a + b * x))) for x, _, _ in points}
+    assert max(score[0.0], score[1.9], score[3.0]) < 0.05 and min(score[20.0], score[90.0], score[400.0]) > 0.95
+    assert m.fit_curve([(0.0, 0, 10)]) == (-30.0, 0.0)
+
+
+def test_the_curve_is_the_best_one():
+    points = [(0.0, 0, 70), (0.0, 1, 10), (2.0, 0, 20), (2.0, 1, 30), (5.0, 1, 25), (5.0, 0, 2)]
+    a, b = m.fit_curve(points, ridge=1e-9)
+
+    def loss(a, b):
+        return sum(n * (math.log1p(math.exp(a + b * x)) - y * (a + b * x)) for x, y, n in points)
+
+    assert all(loss(a, b) <= loss(a + da, b + db) for da in (-0.01, 0, 0.01) for db in (-0.01, 0, 0.01))
