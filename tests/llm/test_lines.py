@@ -98,10 +98,10 @@ def test_classes_are_those_of_all_pairs(documents, prose):
     made = lines_of(0) + lines_of(1)
     texts = ["\n".join(made[i : i + 5]) for i in range(0, len(made), 5)]
     texts += [*ODD_TEXTS, f" {made[0]}\r\n\n  {made[3]}\t", "\n" + made[1], made[0]]
-    forms = [f"entry {r.randrange(10**7):07} of the register of the town, {r.randrange(10**7):07} pages" for _ in range(200)]
+    forms = [f"entry {r.randrange(10**7):07} of the register of the town, {r.randrange(10**7):07} pages" for _ in range(100)]
     texts += forms + [t[:30] + "x" + t[30:] for t in forms[:20]]
-    long = prose(2000, 1).replace("\n", " ")
-    texts += [long, long[:4000] + "x" + long[4001:], long[:400] + "yz" + long[401:-1], long[:100] + "abcd" + long[100:]]
+    long = prose(400, 1).replace("\n", " ")
+    texts += [long, long[:1000] + "x" + long[1001:], long[:400] + "yz" + long[401:-1], long[:100] + "abcd" + long[100:]]
     found = m.line_classes(documents(texts, extra="line").repartition(5))
     assert sorted(rows(found, *COLUMNS)) == brute(texts)
 
