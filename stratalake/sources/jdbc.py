@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,12 +24,48 @@ def read_jdbc(
 ) -> DataFrame:
     """A table, or the result of a query that runs in the database.
 
-    Spark reads it as one partition unless ``source["options"]`` sets
-    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``; a large
-    table should set them.
+    Spark reads it as one partition unless ``source["split"]`` names a ``column`` of numbers,
+    dates or timestamps and how many ``partitions`` to read at once: its least and largest
+    value are asked for first, and each task reads a range of it. ``source["options"]`` may
+    set ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` instead.
     """
     secret = credentials(source["secret_name"]) if credentials and "secret_name" in source else {}
-    return spark.read.format("jdbc").options(**jdbc_options(source, secret)).load()
+    options = jdbc_options(source, secret)
+    if "split" in source:
+        bounds = spark.read.format("jdbc").options(**bounds_options(options, source["split"])).load().first()
+        options = split_options(options, source["split"], bounds)
+    return spark.read.format("jdbc").options(**options).load()
+
+
+def bounds_options(options: Mapping[str, str], split: Mapping) -> dict[str, str]:
+    """The options of a query for the least and the largest value of the column."""
+    column = split["column"]
+    query = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {_relation(options)}"
+    return {k: v for k, v in options.items() if k != "dbtable"} | {"query": query}
+
+
+def split_options(options: Mapping[str, str], split: Mapping, bounds: Sequence | None) -> dict[str, str]:
+    """The options with a range of the column for each partition; as they are if it has no values.
+
+    The ranges at both ends are open, and the first one takes NULL, so no row is left out.
+    """
+    if int(split["partitions"]) < 1:
+        raise ValueError(f"a split needs one partition at least, not {split['partitions']!r}")
+    if bounds is None or bounds[0] is None:
+        return dict(options)
+    # Spark takes no partition column beside a query, but a query as a table.
+    ranges = {
+        "dbtable": _relation(options),
+        "partitionColumn": split["column"],
+        "lowerBound": str(bounds[0]),
+        "upperBound": str(bounds[1]),
+        "numPartitions": str(split["partitions"]),
+    }
+    return {k: v for k, v in options.items() if k != "query"} | ranges
+
+
+def _relation(options: Mapping[str, str]) -> str:
+    return f"({options['query']}) q" if "query" in options else options["dbtable"]
 
 
 def jdbc_options(source: Mapping, secret: Mapping) -> dict[str, str]:

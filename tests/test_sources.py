@@ -4,7 +4,7 @@ import pytest
 
 from stratalake import read_source, register_reader
 from stratalake.layers import layer_path
-from stratalake.sources.jdbc import jdbc_options, read_jdbc
+from stratalake.sources.jdbc import bounds_options, jdbc_options, read_jdbc, split_options
 from tests.conftest import rows
 
 
@@ -138,3 +138,29 @@ def test_jdbc_asks_for_the_named_secret():
     assert asked == ["s"]
     assert loaded.name == "jdbc"
     assert loaded.given == jdbc_options(SQLSERVER, SECRET)
+
+
+SPLIT = {"column": "R_E_C_NO", "partitions": 16}
+
+
+@pytest.mark.parametrize(("more", "relation"), [({}, "SD2010"), ({"query": "SELECT * FROM T"}, "(SELECT * FROM T) q")])
+def test_jdbc_split_reads_ranges(more, relation):
+    """Options only: no database is there to read."""
+    options = jdbc_options({**SQLSERVER, **more}, SECRET)
+    asked = bounds_options(options, SPLIT)
+    assert asked["query"] == f"SELECT MIN(R_E_C_NO) AS lo, MAX(R_E_C_NO) AS hi FROM {relation}"
+    assert "dbtable" not in asked and asked["url"] == options["url"]
+    ranged = split_options(options, SPLIT, (7, 5000))
+    assert ranged["dbtable"] == relation and "query" not in ranged
+    assert [ranged[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")] == ["R_E_C_NO", "7", "5000", "16"]
+
+
+@pytest.mark.parametrize("bounds", [None, (None, None)])
+def test_jdbc_split_of_nothing(bounds):
+    options = jdbc_options(SQLSERVER, SECRET)
+    assert split_options(options, SPLIT, bounds) == options
+
+
+def test_jdbc_split_needs_partitions():
+    with pytest.raises(ValueError, match="one partition"):
+        split_options(jdbc_options(SQLSERVER, SECRET), {"column": "A", "partitions": 0}, (1, 2))
