@@ -140,7 +140,7 @@ def test_jdbc_asks_for_the_named_secret():
     assert loaded.given == jdbc_options(SQLSERVER, SECRET)
 
 
-SPLIT = {"column": "R_E_C_NO", "partitions": 16}
+SPLIT = {"column": "ROW_NO", "partitions": 16}
 
 
 @pytest.mark.parametrize(("more", "relation"), [({}, "SD2010"), ({"query": "SELECT * FROM T"}, "(SELECT * FROM T) q")])
@@ -148,11 +148,11 @@ def test_jdbc_split_reads_ranges(more, relation):
     """Options only: no database is there to read."""
     options = jdbc_options({**SQLSERVER, **more}, SECRET)
     asked = bounds_options(options, SPLIT)
-    assert asked["query"] == f"SELECT MIN(R_E_C_NO) AS lo, MAX(R_E_C_NO) AS hi FROM {relation}"
+    assert asked["query"] == f"SELECT MIN(ROW_NO) AS lo, MAX(ROW_NO) AS hi FROM {relation}"
     assert "dbtable" not in asked and asked["url"] == options["url"]
     ranged = split_options(options, SPLIT, (7, 5000))
     assert ranged["dbtable"] == relation and "query" not in ranged
-    assert [ranged[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")] == ["R_E_C_NO", "7", "5000", "16"]
+    assert [ranged[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")] == ["ROW_NO", "7", "5000", "16"]
 
 
 @pytest.mark.parametrize("bounds", [None, (None, None)])
