@@ -175,13 +175,12 @@ def thresholds(sketches: DataFrame) -> DataFrame:
     """The fences of each (lang, source): its own, its language's, or those of all."""
     own, lang, everything = (fences(merge(sketches, *k), *k) for k in (("lang", "source"), ("lang",), ()))
     lang = lang.select(F.col("lang").alias("_lang"), F.struct("docs", *FENCES).alias("_of_lang"))
-    made = own.join(lang, own["lang"].eqNullSafe(lang["_lang"]), "left").crossJoin(
-        F.broadcast(everything.select(F.struct(*FENCES).alias("_of_all")))  # one row
-    )
+    made = own.join(lang, own["lang"].eqNullSafe(lang["_lang"]), "left")
+    of_all = everything.first()  # one row
     chosen = [
         F.when(F.col("docs") >= MIN_DOCS, F.col(f))
         .when(F.col("_of_lang.docs") >= MIN_DOCS, F.col(f"_of_lang.{f}"))
-        .otherwise(F.col(f"_of_all.{f}"))
+        .otherwise(F.lit(of_all[f] if of_all else None).cast("long"))
         .alias(f)
         for f in FENCES
     ]
