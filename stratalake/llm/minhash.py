@@ -171,7 +171,7 @@ def _sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
 def _pivot_pairs(members: DataFrame) -> DataFrame:
     """(a, b) of every member of a bucket and its pivot."""
     best = F.max_by("rep", F.struct("central", -F.col("rep"))).alias("pivot")
-    pivots = members.groupBy("bucket").agg(best)
+    pivots = size_bounded(written(members.groupBy("bucket").agg(best)), BROADCAST_ROWS)
     pairs = members.join(pivots, "bucket").where("rep <> pivot")
     return pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
 
