@@ -100,7 +100,7 @@ def _coder(data: bytes, level: int) -> zstandard.ZstdCompressor:
 def letters(text: str) -> str:
     """The words of letters in lower case, a blank around each."""
     words = _NO_LETTERS.sub(" ", text.lower()).strip()
-    return f" {words} " if words else ""
+    return f" {words} " if any(map(str.isalpha, words)) else ""
 
 
 def classify(text: str | None, coders: list[tuple[str, tuple[zstandard.ZstdCompressor, ...]]]) -> dict:

@@ -32,7 +32,7 @@ def test_languages_are_told_apart(languages, documents):
 
 
 def test_odd_texts(languages, documents):
-    texts = [*ODD_TEXTS, "12 34 !?", "٣٤", "日本", "ka", "ka"]
+    texts = [*ODD_TEXTS, "12 34 !?", "٣٤", "Ⅷ ² ½", "日本", "ka", "ka"]
     found = documents(texts).select("doc_id", languages.predict(F.col("text")).alias("p"))
     got = {d: (lang, score) for d, lang, score in rows(found.select("doc_id", "p.lang", "p.score"))}
     for doc_id, given in enumerate(texts):
