@@ -1,20 +1,22 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Tokens are runs of letters and digits in lower case. Benchmark passages are vectors of their tokens
+Tokens are runs of letters and digits in lower case. Benchmark passages are cut into overlapping pieces of
+``WINDOW`` tokens, shorter ones are one piece. Pieces are vectors of their tokens
 weighted by the 1.5th power of inverse document frequency, which is counted over all documents. A randomised SVD of that
-matrix, whose products are summed over the partitions of the passages, gives each token a vector of
+matrix, whose products are summed over the partitions of the pieces, gives each token a vector of
 ``LATENT`` numbers. Every document is cut into overlapping windows of ``WINDOW`` tokens, each window
-becomes the weighted sum of its tokens' vectors, and its cosine with every passage is taken: passages
-with ``MIN_COSINE``, that account for ``MIN_COVER`` of the passage, are candidates. Windows whose whole
-weight is less than that part of the lightest passage can hold no passage and are left out before.
+becomes the weighted sum of its tokens' vectors, and its cosine with every piece is taken: passages with a
+piece of ``MIN_COSINE``, of which the window accounts for ``MIN_COVER``, are candidates. Windows whose whole
+weight is less than that part of the lightest piece can hold no piece and are left out before.
 
 A candidate is checked by the longest common subsequence of the passage and the part of the document
 where it should lie. It is a leak if that is ``VERBATIM`` of the passage, or ``PARAPHRASE`` of it and the
 answer, its last ``ANSWER`` tokens, is there but for one token.
 
-Passages are the query set. Groups of about ``GROUP`` have a latent space each, so that a space has about
-as many dimensions as passages and tells them apart; ``SPACES`` of them are searched in one pass over the
-documents, so that what is broadcast is bounded. No document, window or candidate is left out.
+Passages are the query set. Every ``GROUP`` pieces have a latent space, so that a space has about
+as many dimensions as pieces and tells them apart; about ``SPACES`` of them are searched in one pass over the
+documents, so that what is broadcast is bounded. A passage's pieces are all searched in the same pass.
+No document, window or candidate is left out.
 
 Null and empty texts, and passages without tokens, match nothing. Equal texts get equal results; rows
 with equal ids give their own rows. Passages with equal texts all match. Empty tables give no rows.
@@ -38,7 +40,7 @@ LATENT, OVERSAMPLE = 256, 16
 WINDOW, STRIDE = 48, 24
 MIN_COSINE, MIN_COVER = 0.4, 0.2
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 5
-#: Passages of a latent space in expectation, and spaces that are searched in one pass.
+#: Pieces of a latent space at most, and spaces that are searched in one pass in expectation.
 GROUP, SPACES = 200, 8
 #: Documents found that are joined by broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 300_000
@@ -61,18 +63,31 @@ def token_lists(texts: pa.Array) -> list[np.ndarray]:
     return made
 
 
+def piece_starts(size: int) -> list[int]:
+    """First tokens of the pieces of a passage of so many tokens; the last one ends with the passage."""
+    return [*range(0, size - WINDOW, STRIDE), max(0, size - WINDOW)] if size else []
+
+
 @dataclass
 class Space:
-    """What a pass needs: the passages' tokens, token weights and vectors, and passage vectors."""
+    """A latent space: the passage of each piece, token weights and vectors, and piece vectors."""
 
-    items: list[tuple[int | None, np.ndarray]]
+    owners: np.ndarray
     vocabulary: np.ndarray
     weights: np.ndarray
     vectors: np.ndarray
-    passages: np.ndarray
+    pieces: np.ndarray
     energy: np.ndarray
 
 
+@dataclass
+class Pass:
+    """What a pass over the documents needs: ids and tokens of passages, and the spaces of their pieces."""
+
+    items: list[tuple[int | None, np.ndarray]]
+    spaces: list[Space]
+
+
 def _document_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
     """In how many documents each token is, and how many there are."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -162,29 +177,40 @@ def token_vectors(passages: DataFrame, vocabulary: np.ndarray, weights: np.ndarr
     return (small @ turned[:, keep] / np.sqrt(values[keep])).astype(np.float32)
 
 
-def build_spaces(docs: DataFrame, passages: DataFrame) -> list[Space]:
-    """The latent spaces of some groups of passages (item_id, text, part); groups without tokens have none."""
-    rows = passages.orderBy("part", "item_id", "text").collect()  # GROUP * SPACES in expectation
+def _pieces(text: str) -> list[str]:
+    """The texts of a passage's pieces."""
+    for block in blocks(pa.array([text], pa.string())):
+        starts, ends, _ = block.runs(_TOKEN[block.data])
+        raw = block.data.tobytes()
+        return [raw[starts[i] : ends[min(i + WINDOW, len(ends)) - 1]].decode() for i in piece_starts(len(starts))]
+    return []
+
+
+def build_pass(docs: DataFrame, passages: DataFrame) -> Pass:
+    """Passages (item_id, text) and the latent spaces of their pieces; passages without tokens have none."""
+    spark = docs.sparkSession
+    rows = passages.orderBy("item_id", "text").collect()  # GROUP * SPACES pieces in expectation
     lists = token_lists(pa.array([r["text"] for r in rows], pa.string())) if rows else []
-    groups: dict[int, list[tuple[int | None, np.ndarray]]] = {}
-    for row, own in zip(rows, lists, strict=True):
-        if len(own):
-            groups.setdefault(row["part"], []).append((row["item_id"], own))
-    if not groups:
-        return []
-    every = np.unique(np.concatenate([own for items in groups.values() for _, own in items]))
+    items = [(row["item_id"], own) for row, own in zip(rows, lists, strict=True) if len(own)]
+    texts = [piece for row in rows if row["text"] is not None for piece in _pieces(row["text"])]
+    owners = np.array([i for i, (_, own) in enumerate(items) for _ in piece_starts(len(own))], np.int64)
+    if not items:
+        return Pass([], [])
+    every = np.unique(np.concatenate([own for _, own in items]))
     counts, total = _document_counts(docs, every)
     spaces = []
-    for part, items in groups.items():
-        vocabulary = np.unique(np.concatenate([own for _, own in items]))
+    for first in range(0, len(texts), GROUP):
+        part = texts[first : first + GROUP]
+        own_lists = token_lists(pa.array(part, pa.string()))
+        vocabulary = np.unique(np.concatenate(own_lists))
         weights = (np.log((1 + total) / (1 + counts[np.searchsorted(every, vocabulary)])) + 1e-3) ** 1.5
-        own_rows = passages.where((F.col("part") == part) & F.col("text").isNotNull())
+        own_rows = spark.createDataFrame([(text,) for text in part], "text string")
         vectors = token_vectors(own_rows, vocabulary, weights)
-        at = [np.searchsorted(vocabulary, own) for _, own in items]
-        passage_vectors = np.array([weights[a] @ vectors[a] for a in at], np.float32)
+        at = [np.searchsorted(vocabulary, own) for own in own_lists]
+        pieces = np.array([weights[a] @ vectors[a] for a in at], np.float32)
         energy = np.array([np.sum(weights[a] ** 2) for a in at])
-        spaces.append(Space(items, vocabulary, weights, vectors, passage_vectors, energy))
-    return spaces
+        spaces.append(Space(owners[first : first + GROUP], vocabulary, weights, vectors, pieces, energy))
+    return Pass(items, spaces)
 
 
 def common_length(a: list[int], b: list[int]) -> int:
@@ -210,7 +236,7 @@ def check(item: np.ndarray, text: np.ndarray, begin: int, weights: dict[int, flo
     places: dict[int, list[int]] = {}
     for i, token in enumerate(item.tolist()):
         places.setdefault(token, []).append(i)
-    found = [(-weights[token], at) for at, token in enumerate(text[begin:end].tolist(), begin) if token in places]
+    found = [(-weights.get(token, 0.0), at) for at, token in enumerate(text[begin:end].tolist(), begin) if token in places]
     best, whole, room = (begin, 0, False, False), item.tolist(), -(-len(item) // 3)
     tried = set()
     for _, at in sorted(found)[:3]:
@@ -244,20 +270,20 @@ FOUND = "doc_id long, text_hash long, item_id long, cosine double, n_common int,
 
 
 class Searcher:
-    """A space made ready in a task. ``dots`` has the product of each weighted token vector with each passage."""
+    """A space made ready in a task. ``dots`` has the product of each weighted token vector with each piece."""
 
     def __init__(self, space: Space):
         self.space, self.members = space, Members(space.vocabulary)
         self.weights = dict(zip(space.vocabulary.tolist(), space.weights.tolist(), strict=True))
         self.vectors = space.vectors * space.weights[:, None].astype(np.float32)
-        self.dots = self.vectors @ space.passages.T
-        self.norms = np.linalg.norm(space.passages, axis=1)
+        self.dots = self.vectors @ space.pieces.T
+        self.norms = np.linalg.norm(space.pieces, axis=1)
 
     def candidates(self, hashes: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """(text, first token there, passage, cosine) of each candidate of a block.
 
-        A window's product with a passage is the sum of its tokens' products; its own vector is only
-        needed for the cosines of the few pairs that cover enough of a passage.
+        A window's product with a piece is the sum of its tokens' products; its own vector is only
+        needed for the cosines of the few pairs that cover enough of a piece.
         """
         hit, token = self.members.find(hashes)
         total = np.concatenate([[0.0], np.cumsum(self.space.weights[token] ** 2)])
@@ -273,34 +299,35 @@ class Searcher:
             n = high[part] - low[part]
             at = np.repeat(low[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
             dots = np.add.reduceat(self.dots[token[at]], np.cumsum(n) - n)
-            window, passage = np.nonzero(dots >= MIN_COVER * self.norms**2)
-            for w, i in zip(window, passage, strict=True):
+            window, piece = np.nonzero(dots >= MIN_COVER * self.norms**2)
+            for w, i in zip(window, piece, strict=True):
                 k = part[w]
                 own = self.vectors[token[low[k] : high[k]]].sum(0)
                 cosine = dots[w, i] / max(float(np.linalg.norm(own)) * self.norms[i], 1e-9)
                 if cosine >= MIN_COSINE:
-                    yield int(row[k]), int(starts[k] - firsts[row[k]]), int(i), float(cosine)
+                    yield int(row[k]), int(starts[k] - firsts[row[k]]), int(self.space.owners[i]), float(cosine)
 
 
-def search(docs: DataFrame, spaces: list[Space]) -> DataFrame:
+def search(docs: DataFrame, wanted: Pass) -> DataFrame:
     """The leaks of all documents, one row per document row and passage."""
-    shared = docs.sparkSession.sparkContext.broadcast(spaces)
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def leaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = [Searcher(space) for space in shared.value]
+        passages = shared.value.items
+        own = [Searcher(space) for space in shared.value.spaces]
         for batch in batches:
-            found: dict[tuple[int, int, int], tuple[int, float, bool]] = {}
+            found: dict[tuple[int, int], tuple[int, float, bool]] = {}
             for block in blocks(batch.column(2)):
                 hashes, firsts = tokens(block)
-                for n, searcher in enumerate(own):
+                for searcher in own:
                     for row, begin, i, cosine in searcher.candidates(hashes, firsts):
                         text = hashes[firsts[row] : firsts[row + 1]]
-                        _, length, answer, leak = check(searcher.space.items[i][1], text, begin, searcher.weights)
-                        key = (block.first + row, n, i)
+                        _, length, answer, leak = check(passages[i][1], text, begin, searcher.weights)
+                        key = (block.first + row, i)
                         if leak and (length, cosine) > found.get(key, (0, 0.0))[:2]:
                             found[key] = (length, cosine, answer)
-            items = [own[n].space.items[i] for _, n, i in found]
-            rows = pa.array([r for r, _, _ in found], pa.int64())
+            items = [passages[i] for _, i in found]
+            rows = pa.array([r for r, _ in found], pa.int64())
             columns = [batch.column(0).take(rows), batch.column(1).take(rows)]
             columns.append(pa.array([item_id for item_id, _ in items], pa.int64()))
             columns += [pa.array([v[1] for v in found.values()], pa.float64()), pa.array([v[0] for v in found.values()], pa.int32())]
@@ -312,17 +339,24 @@ def search(docs: DataFrame, spaces: list[Space]) -> DataFrame:
     return rows.mapInArrow(lean(leaks), FOUND)
 
 
+def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = [len(piece_starts(len(own))) for own in token_lists(batch.column(0))]
+        yield pa.RecordBatch.from_pydict({"n": pa.array(counts, pa.int64())})
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All leaks (columns of ``FOUND``) of ``benchmark`` (item_id, text) in ``docs`` (doc_id, text); written."""
     spark = docs.sparkSession
     passages = benchmark.select(F.col("item_id").cast("long"), "text")
-    groups = max(1, -(-passages.count() // GROUP))
-    passages = written(passages.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups))))
+    pieces = passages.select("text").mapInArrow(lean(_count_pieces), "n long").agg(F.sum("n").alias("n")).first()["n"] or 0
+    passes = max(1, -(-pieces // (GROUP * SPACES)))
+    passages = written(passages.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))))
     found = spark.createDataFrame([], FOUND)
-    for first in range(0, groups, SPACES):
-        spaces = build_spaces(docs, passages.where(F.col("part").between(first, first + SPACES - 1)))
-        if spaces:
-            found = found.union(search(docs, spaces))
+    for part in range(passes):
+        wanted = build_pass(docs, passages.where(F.col("part") == part))
+        if wanted.spaces:
+            found = found.union(search(docs, wanted))
     return written(found)
 
 

@@ -64,6 +64,28 @@ def test_paraphrases_need_the_answer(documents, table, prose):
     assert not [d for d in found if d >= 8]
 
 
+@pytest.mark.parametrize("size", [300, 1000])
+def test_long_passages(documents, table, prose, size):
+    """Copies and paraphrases of passages many windows long, whose pieces are those of several spaces."""
+    items = [prose(size, 1000 + i) for i in range(8)]
+    bench = table(list(enumerate(items)), "item_id long, text string")
+    texts = [f"{prose(100, i)} {x} {prose(100, 50 + i)}" for i, x in enumerate(items)]
+    texts += [f"{prose(100, i)} {changed(x, 0.35, i, keep_end=5)} {prose(100, 50 + i)}" for i, x in enumerate(items)]
+    texts += [f"{prose(100, i)} {' '.join(x.split()[: size // 2])} {prose(900, 50 + i)}" for i, x in enumerate(items)]
+    found = rows(m.contamination(documents(texts), bench), "doc_id", "item_id", "n_tokens")
+    assert found == sorted([(d, d % 8, size) for d in range(16)], key=repr)
+
+
+def test_pieces_cover_a_passage():
+    for size in range(1, 400):
+        starts = m.piece_starts(size)
+        assert {i for s in starts for i in range(s, min(s + m.WINDOW, size))} == set(range(size))
+        assert len(set(starts)) == len(starts) and max(starts) + min(m.WINDOW, size) == size
+    assert m.piece_starts(0) == []
+    text = " ".join(f"Wört{i}," for i in range(100))
+    assert [len(x) for x in m.token_lists(pa.array(m._pieces(text)))] == [48] * len(m.piece_starts(100))
+
+
 def test_token_vectors_are_singular_vectors(table, prose):
     """With as many dimensions as passages nothing is lost: products in the latent space are those of the rows."""
     texts = [prose(30, i) for i in range(12)] + [prose(30, 0)]
