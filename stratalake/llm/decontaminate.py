@@ -9,9 +9,11 @@ becomes the weighted sum of its tokens' vectors, and its cosine with every piece
 piece of ``MIN_COSINE``, of which the window accounts for ``MIN_COVER``, are candidates. Windows whose whole
 weight is less than that part of the lightest piece can hold no piece and are left out before.
 
-A candidate is checked by the longest common subsequence of the passage and the part of the document
-where it should lie. It is a leak if that is ``VERBATIM`` of the passage, or ``PARAPHRASE`` of it and the
-answer, its last ``ANSWER`` tokens, is there but for one token.
+A candidate is checked by the longest common subsequence of the passage and each part of the document
+where it can lie: the passage's length and a third of it on both sides, for every alignment of one of its
+tokens with one of a candidate window. It is a leak if that is ``VERBATIM`` of the passage, or ``PARAPHRASE``
+of it and the answer, its last ``ANSWER`` tokens, is there but for one token. The part with the longest one
+counts; alignments are left out only in ranges whose whole text bounds them below that, or below a leak.
 
 Passages are the query set. Every ``GROUP`` pieces have a latent space, so that a space has about
 as many dimensions as pieces and tells them apart; about ``SPACES`` of them are searched in one pass over the
@@ -213,46 +215,76 @@ def build_pass(docs: DataFrame, passages: DataFrame) -> Pass:
     return Pass(items, spaces)
 
 
-def common_length(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence; one word of bits holds a row of the table."""
+def _bits(tokens: list[int]) -> dict[int, int]:
+    """The places of each token as a number's bits."""
     where: dict[int, int] = {}
-    for i, token in enumerate(a):
+    for i, token in enumerate(tokens):
         where[token] = where.get(token, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    return where
+
+
+def _common(matches: list[int], size: int) -> int:
+    """Length of the longest common subsequence by each token's places in the other list, of so many tokens."""
+    full = (1 << size) - 1
     row = full
-    for token in b:
-        match = row & where.get(token, 0)
+    for match in matches:
+        match &= row
         row = (row + match | row - match) & full
-    return len(a) - row.bit_count()
+    return size - row.bit_count()
+
 
+def common_length(a: list[int], b: list[int]) -> int:
+    """Length of the longest common subsequence; one word of bits holds a row of the table."""
+    where = _bits(a)
+    return _common([where.get(token, 0) for token in b], len(a))
 
-def check(item: np.ndarray, text: np.ndarray, begin: int, weights: dict[int, float]) -> tuple[int, int, bool, bool]:
-    """Where a passage lies near a window: its start, common length, whether its answer is there, whether it is a leak.
 
-    The window's rarest common token says where the passage should begin, for each place it has in the
-    passage; a third of the passage is added on both sides.
-    """
-    end = min(begin + WINDOW, len(text))
-    places: dict[int, list[int]] = {}
-    for i, token in enumerate(item.tolist()):
-        places.setdefault(token, []).append(i)
-    found = [(-weights.get(token, 0.0), at) for at, token in enumerate(text[begin:end].tolist(), begin) if token in places]
-    best, whole, room = (begin, 0, False, False), item.tolist(), -(-len(item) // 3)
-    tried = set()
-    for _, at in sorted(found)[:3]:
-        for i in places[int(text[at])]:
-            start = max(0, at - i - room)
-            if start in tried:
+class Passage:
+    """A passage made ready in a task."""
+
+    def __init__(self, tokens: np.ndarray):
+        self.size, self.wanted = len(tokens), np.unique(tokens)
+        self.where = _bits(tokens.tolist())
+        self.room = -(-self.size // 3)
+        self.tail = min(ANSWER, self.size)
+        self.least = next(n for n in range(self.size + 1) if n / self.size >= PARAPHRASE)
+        self.verbatim = next(n for n in range(self.size + 1) if n / self.size >= VERBATIM)
+
+    def starts(self, begin: int, end: int) -> tuple[int, int]:
+        """First and last start of the parts where it can lie, if one of its tokens is in this window."""
+        return begin - self.size + 1 - self.room, end - 1 - self.room
+
+    def best(self, text: np.ndarray, first: int, last: int, length: int = 0) -> tuple[int, bool] | None:
+        """Common length, and whether the answer is there, of the longest leak over ``length`` with a start in this range.
+
+        The whole text of a range bounds what its parts have in common, so most ranges fall at once.
+        """
+        low, high = max(0, first), max(0, last + self.size + 2 * self.room)
+        at = np.flatnonzero(np.isin(text[low:high], self.wanted)) + low
+        matches = [self.where[token] for token in text[at].tolist()]
+        above = self.size - self.tail
+        found = None
+
+        def of(one: int, two: int) -> tuple[int, bool]:
+            a, b = np.searchsorted(at, [one, two + self.size + 2 * self.room])
+            part = matches[a:b]
+            n = _common(part, self.size) if len(part) > max(length, self.least - 1) else 0
+            if n <= length or n < self.least:
+                return 0, False
+            answer = _common([match >> above for match in part], self.tail) >= max(1, self.tail - 1)
+            return (n, answer) if answer or n >= self.verbatim else (0, False)
+
+        ranges = [(*of(first, last), first, last)] if first <= last else []
+        while ranges:
+            n, answer, one, two = ranges.pop()
+            if n <= length:
                 continue
-            tried.add(start)
-            part = text[start : at - i + len(item) + room].tolist()
-            length = common_length(whole, part)
-            if length > best[1]:
-                tail = whole[-ANSWER:]
-                answer = common_length(tail, part) >= max(1, len(tail) - 1)
-                share = length / len(item)
-                best = (start, length, answer, share >= VERBATIM or share >= PARAPHRASE and answer)
-    return best
+            if one == two:
+                length, found = n, (n, answer)
+                continue
+            middle = (one + two) // 2
+            ranges += sorted((*of(a, b), a, b) for a, b in ((one, middle), (middle + 1, two)))
+        return found
 
 
 _FOUND = pa.schema(
@@ -274,7 +306,6 @@ class Searcher:
 
     def __init__(self, space: Space):
         self.space, self.members = space, Members(space.vocabulary)
-        self.weights = dict(zip(space.vocabulary.tolist(), space.weights.tolist(), strict=True))
         self.vectors = space.vectors * space.weights[:, None].astype(np.float32)
         self.dots = self.vectors @ space.pieces.T
         self.norms = np.linalg.norm(space.pieces, axis=1)
@@ -308,6 +339,19 @@ class Searcher:
                     yield int(row[k]), int(starts[k] - firsts[row[k]]), int(self.space.owners[i]), float(cosine)
 
 
+def _leak(passage: Passage, text: np.ndarray, begins: list[int]) -> tuple[int, bool] | None:
+    """The longest leak of a passage by its candidate windows; each start is looked at once."""
+    best, done = None, None
+    for begin in begins:
+        first, last = passage.starts(begin, min(begin + WINDOW, len(text)))
+        first = first if done is None else max(first, done + 1)
+        best = passage.best(text, first, last, best[0] if best else 0) or best
+        done = last
+        if best and best[0] == passage.size:
+            break
+    return best
+
+
 def search(docs: DataFrame, wanted: Pass) -> DataFrame:
     """The leaks of all documents, one row per document row and passage."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -315,17 +359,21 @@ def search(docs: DataFrame, wanted: Pass) -> DataFrame:
     def leaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passages = shared.value.items
         own = [Searcher(space) for space in shared.value.spaces]
+        ready: dict[int, Passage] = {}
         for batch in batches:
             found: dict[tuple[int, int], tuple[int, float, bool]] = {}
             for block in blocks(batch.column(2)):
                 hashes, firsts = tokens(block)
+                windows: dict[tuple[int, int], list[tuple[int, float]]] = {}
                 for searcher in own:
                     for row, begin, i, cosine in searcher.candidates(hashes, firsts):
-                        text = hashes[firsts[row] : firsts[row + 1]]
-                        _, length, answer, leak = check(passages[i][1], text, begin, searcher.weights)
-                        key = (block.first + row, i)
-                        if leak and (length, cosine) > found.get(key, (0, 0.0))[:2]:
-                            found[key] = (length, cosine, answer)
+                        windows.setdefault((row, i), []).append((begin, cosine))
+                for (row, i), seen in windows.items():
+                    if i not in ready:
+                        ready[i] = Passage(passages[i][1])
+                    leak = _leak(ready[i], hashes[firsts[row] : firsts[row + 1]], sorted({begin for begin, _ in seen}))
+                    if leak is not None:
+                        found[block.first + row, i] = (leak[0], max(cosine for _, cosine in seen), leak[1])
             items = [passages[i] for _, i in found]
             rows = pa.array([r for r, _ in found], pa.int64())
             columns = [batch.column(0).take(rows), batch.column(1).take(rows)]

@@ -76,6 +76,43 @@ def test_long_passages(documents, table, prose, size):
     assert found == sorted([(d, d % 8, size) for d in range(16)], key=repr)
 
 
+def test_a_keyword_repeated_before_a_passage(documents, table, prose):
+    """The passage's rarest word three times just before it doesn't hide it."""
+    words = [w.strip(".") for w in prose(400, 7).split()]
+    item = words[:16] + ["keyword"] + words[17:20]
+    text = words[100:148] + ["keyword"] * 3 + [words[200]] + item + words[201:300]
+    assert text[48:51] == ["keyword"] * 3 and text[52:72] == item
+    bench = table([(1, " ".join(item))], "item_id long, text string")
+    # others that hold the passage's other words, so that the keyword is its rarest
+    others = [" ".join(x for w in item if w != "keyword" for x in (w, words[300 + i])) for i in range(5)]
+    found = m.contamination(documents([" ".join(text), *others]), bench)
+    assert (0, 1, 20, 20) in rows(found, "doc_id", "item_id", "n_common", "n_tokens")
+
+
+def test_best_part_is_that_of_all_alignments():
+    """Ranges of starts that are left out hold no longer leak."""
+    r = random.Random(4)
+    leaks = 0
+    for _ in range(400):
+        size = r.randint(1, 24)
+        item = [r.randrange(1, 30) for _ in range(size)]
+        middle = [x for x in item if r.random() < 0.6]
+        text = [r.randrange(1, 90) for _ in range(r.randint(0, 50))] + middle + [r.randrange(1, 90) for _ in range(r.randint(0, 50))]
+        passage = m.Passage(np.array(item, np.uint64))
+        room, tail = -(-size // 3), item[-m.ANSWER :]
+        first, last = -room - size, len(text)
+        every = []
+        for start in range(first, last + 1):
+            part = text[max(0, start) : max(0, start + size + 2 * room)]
+            n, answer = m.common_length(item, part), m.common_length(tail, part) >= max(1, len(tail) - 1)
+            if n / size >= m.VERBATIM or n / size >= m.PARAPHRASE and answer:
+                every.append(n)
+        found = passage.best(np.array(text, np.uint64), first, last)
+        assert (found[0] if found else None) == max(every, default=None)
+        leaks += found is not None
+    assert 50 < leaks < 390
+
+
 def test_pieces_cover_a_passage():
     for size in range(1, 400):
         starts = m.piece_starts(size)
