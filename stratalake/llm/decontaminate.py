@@ -18,6 +18,7 @@ counts; alignments are left out only in ranges whose whole text bounds them belo
 Passages are the query set. Every ``GROUP`` pieces have a latent space, so that a space has about
 as many dimensions as pieces and tells them apart; about ``SPACES`` of them are searched in one pass over the
 documents, so that what is broadcast is bounded. A passage's pieces are all searched in the same pass.
+Each different text is searched once, and joined with the ids of all its rows after.
 No document, window or candidate is left out.
 
 Null and empty texts, and passages without tokens, match nothing. Equal texts get equal results; rows
@@ -32,10 +33,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.shared import lean, without, written
+from stratalake.llm.shared import lean, size_bounded, without, written
 from stratalake.llm.words import Block, Members, blocks, folded
 
 LATENT, OVERSAMPLE = 256, 16
@@ -84,9 +86,9 @@ class Space:
 
 @dataclass
 class Pass:
-    """What a pass over the documents needs: ids and tokens of passages, and the spaces of their pieces."""
+    """What a pass over the documents needs: hashes and tokens of passages, and the spaces of their pieces."""
 
-    items: list[tuple[int | None, np.ndarray]]
+    items: list[tuple[int, np.ndarray]]
     spaces: list[Space]
 
 
@@ -189,12 +191,12 @@ def _pieces(text: str) -> list[str]:
 
 
 def build_pass(docs: DataFrame, passages: DataFrame) -> Pass:
-    """Passages (item_id, text) and the latent spaces of their pieces; passages without tokens have none."""
+    """Passages (passage, text) with tokens and the latent spaces of their pieces."""
     spark = docs.sparkSession
-    rows = passages.orderBy("item_id", "text").collect()  # GROUP * SPACES pieces in expectation
+    rows = passages.orderBy("passage", "text").collect()  # GROUP * SPACES pieces in expectation
     lists = token_lists(pa.array([r["text"] for r in rows], pa.string())) if rows else []
-    items = [(row["item_id"], own) for row, own in zip(rows, lists, strict=True) if len(own)]
-    texts = [piece for row in rows if row["text"] is not None for piece in _pieces(row["text"])]
+    items = [(row["passage"], own) for row, own in zip(rows, lists, strict=True)]
+    texts = [piece for row in rows for piece in _pieces(row["text"])]
     owners = np.array([i for i, (_, own) in enumerate(items) for _ in piece_starts(len(own))], np.int64)
     if not items:
         return Pass([], [])
@@ -291,14 +293,14 @@ _FOUND = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("text_hash", pa.int64()),
-        ("item_id", pa.int64()),
+        ("passage", pa.int64()),
         ("cosine", pa.float64()),
         ("n_common", pa.int32()),
         ("n_tokens", pa.int32()),
         ("answer_found", pa.bool_()),
     ]
 )
-FOUND = "doc_id long, text_hash long, item_id long, cosine double, n_common int, n_tokens int, answer_found boolean"
+FOUND = "doc_id long, text_hash long, passage long, cosine double, n_common int, n_tokens int, answer_found boolean"
 
 
 class Searcher:
@@ -353,7 +355,7 @@ def _leak(passage: Passage, text: np.ndarray, begins: list[int]) -> tuple[int, b
 
 
 def search(docs: DataFrame, wanted: Pass) -> DataFrame:
-    """The leaks of all documents, one row per document row and passage."""
+    """The leaks of all documents, one row per document row and different passage."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def leaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,7 +379,7 @@ def search(docs: DataFrame, wanted: Pass) -> DataFrame:
             items = [passages[i] for _, i in found]
             rows = pa.array([r for r, _ in found], pa.int64())
             columns = [batch.column(0).take(rows), batch.column(1).take(rows)]
-            columns.append(pa.array([item_id for item_id, _ in items], pa.int64()))
+            columns.append(pa.array([passage for passage, _ in items], pa.int64()))
             columns += [pa.array([v[1] for v in found.values()], pa.float64()), pa.array([v[0] for v in found.values()], pa.int32())]
             columns.append(pa.array([len(item) for _, item in items], pa.int32()))
             columns.append(pa.array([v[2] for v in found.values()], pa.bool_()))
@@ -388,24 +390,35 @@ def search(docs: DataFrame, wanted: Pass) -> DataFrame:
 
 
 def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with tokens, and how many pieces each has."""
     for batch in batches:
-        counts = [len(piece_starts(len(own))) for own in token_lists(batch.column(0))]
-        yield pa.RecordBatch.from_pydict({"n": pa.array(counts, pa.int64())})
+        counts = pa.array([len(piece_starts(len(own))) for own in token_lists(batch.column(0))], pa.int64())
+        rows = pa.RecordBatch.from_arrays([batch.column(0), counts], ["text", "n"])
+        yield rows.filter(pc.greater(counts, 0))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """All leaks (columns of ``FOUND``) of ``benchmark`` (item_id, text) in ``docs`` (doc_id, text); written."""
+    """All leaks of ``benchmark`` (item_id, text) in ``docs`` (doc_id, text); written.
+
+    Columns doc_id, text_hash, item_id, cosine (the highest of a candidate window and a piece), n_common,
+    n_tokens, answer_found.
+    """
     spark = docs.sparkSession
-    passages = benchmark.select(F.col("item_id").cast("long"), "text")
-    pieces = passages.select("text").mapInArrow(lean(_count_pieces), "n long").agg(F.sum("n").alias("n")).first()["n"] or 0
+    items = benchmark.select(F.col("item_id").cast("long"), F.xxhash64("text").alias("passage"), "text")
+    passages = items.select("text").where("text is not null").distinct().mapInArrow(lean(_count_pieces), "text string, n long")
+    passages = written(passages.withColumn("passage", F.xxhash64("text")))
+    pieces = passages.agg(F.sum("n").alias("n")).first()["n"] or 0
     passes = max(1, -(-pieces // (GROUP * SPACES)))
-    passages = written(passages.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))))
     found = spark.createDataFrame([], FOUND)
     for part in range(passes):
-        wanted = build_pass(docs, passages.where(F.col("part") == part))
+        wanted = build_pass(docs, passages.where(F.pmod("passage", F.lit(passes)) == part))
         if wanted.spaces:
             found = found.union(search(docs, wanted))
-    return written(found)
+    found = written(found)
+    leaked = size_bounded(written(found.select("passage").distinct()), BROADCAST_ROWS)
+    items = written(items.select("passage", "item_id").join(leaked, "passage", "left_semi"))
+    found = found.join(size_bounded(items, BROADCAST_ROWS), "passage")
+    return written(found.select("doc_id", "text_hash", "item_id", "cosine", "n_common", "n_tokens", "answer_found"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

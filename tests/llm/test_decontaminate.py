@@ -113,6 +113,17 @@ def test_best_part_is_that_of_all_alignments():
     assert 50 < leaks < 390
 
 
+def test_repeated_rows_of_a_benchmark_are_searched_once(documents, table, prose, monkeypatch):
+    """Null, blank and repeated rows don't reach the driver; each repeated row has its leaks."""
+    item = prose(30, 1)
+    given = [(7, item)] * 40 + [(8, item), (None, None)] + [(None, None)] * 40 + [(9, ".!")] * 40 + [(10, prose(30, 2))]
+    seen, build = [], m.build_pass
+    monkeypatch.setattr(m, "build_pass", lambda docs, passages: seen.append(passages.count()) or build(docs, passages))
+    found = m.contamination(documents([f"{prose(50, 3)} {item}"]), table(given, "item_id long, text string"))
+    assert rows(found, "doc_id", "item_id") == [(0, 7)] * 40 + [(0, 8)]
+    assert seen == [2]
+
+
 def test_pieces_cover_a_passage():
     for size in range(1, 400):
         starts = m.piece_starts(size)
