@@ -1,8 +1,9 @@
 """Line dedup by a segment-partition edit join.
 
-Lines are stripped of white space at both ends; those of at least ``MIN_CHARS`` code points take part,
-shorter ones are always kept. Two lines are linked if they are equal or ``EDITS`` edits (insertions,
-deletions, substitutions of code points) apart at most. A line's class is all it reaches by links, and
+Lines are stripped of white space at both ends; those of at least ``MIN_CHARS`` code points take part.
+Shorter ones, down to one, do if they are asked for: they are linked with equal lines only, and
+``dedup_lines`` leaves them, as "}" or "Yes." mean what they stand in. Two lines are linked if they are equal
+or ``EDITS`` edits (insertions, deletions, substitutions of code points) apart at most. A line's class is all it reaches by links, and
 the first line of a class, by doc_id and line number, is kept.
 
 The join of different lines: every line is cut into ``EDITS`` + 1 segments. If a line is within so
@@ -133,14 +134,15 @@ _LINES = (
 )
 
 
-def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines of a task's texts; segments and probes with the first of equal lines only."""
+def _split(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """The lines of a task's texts; segments, probes and masks of long lines, the former with the first of equal ones only."""
     seen = np.zeros(0, np.uint64)
     for batch in batches:
         for block in map(code_points, blocks(batch.column(2))):
             starts, ends, rows, number = find_lines(block)
+            wanted = ends - starts >= least
+            starts, ends, rows, number = starts[wanted], ends[wanted], rows[wanted], number[wanted]
             long = ends - starts >= MIN_CHARS
-            starts, ends, rows, number = starts[long], ends[long], rows[long], number[long]
             hashed = block.hasher()
             line = hashed(starts, ends) ^ mix((ends - starts).astype(np.uint64))
             found, first = np.unique(line, return_index=True)
@@ -148,11 +150,16 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new = np.zeros(len(line), bool)
             new[first if not len(seen) else first[seen[at] != found]] = True
             seen = np.union1d(seen, found)
+            new &= long
             keys, there = keys_of(hashed, starts[new], ends[new])
             own = block.first + rows
             columns = [batch.column(0).take(pa.array(own)), batch.column(1).take(pa.array(own))]
             columns += [pa.array(number, pa.int32()), pa.array(line.view(np.int64)), pa.array(starts - block.offsets[rows], pa.int32())]
-            columns += [pa.array(ends - starts, pa.int32()), *map(pa.array, masks_of(block, starts, ends))]
+            columns.append(pa.array(ends - starts, pa.int32()))
+            for mask in masks_of(block, starts[long], ends[long]):
+                every = np.zeros(len(line), np.int64)
+                every[long] = mask
+                columns.append(pa.array(every))
             for part in (slice(0, EDITS + 1), slice(EDITS + 1, None)):
                 sizes = np.zeros(len(line), np.int32)
                 sizes[new] = there[:, part].sum(1)
@@ -162,10 +169,14 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, schema=_SCHEMA)
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """All lines that take part, with what the join needs; written."""
+def lines(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
+    """All lines of ``least`` code points, with what the join needs; written."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _split(batches, least)
+
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
-    return written(rows.mapInArrow(lean(_split), _LINES))
+    return written(rows.mapInArrow(lean(split), _LINES))
 
 
 _KEYED = pa.schema([("key", pa.int64()), ("line", pa.int64()), ("probe", pa.bool_())])
@@ -302,13 +313,13 @@ def links(docs: DataFrame, found: DataFrame) -> DataFrame:
     return written(pairs.where(_within(F.col("of_a"), F.col("of_b"))).select("a", "b"))
 
 
-def line_classes(docs: DataFrame) -> DataFrame:
-    """One row per line that takes part: doc_id, line_no, its class and whether it is kept; written.
+def line_classes(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
+    """One row per line of ``least`` code points: doc_id, line_no, its class and whether it is kept; written.
 
     ``class_doc`` and ``class_line`` name the first line of the class; ``n_links`` is how many different
     lines are linked with this one, and ``n_copies`` how many lines its class has.
     """
-    found = lines(docs)
+    found = lines(docs, least)
     near = links(docs, found)
     ends = near.select(F.col("a").alias("line")).union(near.select("b"))
     linked = ends.groupBy("line").agg(F.count("*").alias("n_links"))

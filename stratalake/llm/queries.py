@@ -40,6 +40,11 @@ def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_classes(table(shipped(spark), sf_dir, "documents")).drop("text_hash")
 
 
+def op4_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every length: those below ``lines.MIN_CHARS`` have classes of equal lines."""
+    return lines.line_classes(table(shipped(spark), sf_dir, "documents"), least=1).drop("text_hash")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(shipped(spark), sf_dir, "documents")
     found = docs.select("doc_id", pii.personal_data(F.col("text")).alias("found"))
@@ -202,4 +207,5 @@ CHECKS = {
     "op8_hmm": (op8_hmm, None),
     "op9_bpe": (op9_bpe, None),
     "op10_quality": (op10_quality, _op10_sql()),
+    "op4_all_lines": (op4_all_lines, None),
 }

@@ -121,6 +121,21 @@ def test_documents_without_repeated_lines(documents):
     }
 
 
+def test_short_lines_have_classes_of_equal_lines(documents):
+    """With all lengths, long lines have the same rows as without; short ones a row each, and no near links."""
+    made = lines_of(2)
+    texts = ["\n".join([*made[i : i + 5], "All rights reserved.", f" {i % 3}"]) for i in range(0, len(made), 5)]
+    texts += [*ODD_TEXTS, "}", "All rights reserved!\n}\n\n }\té\na\nab", "é"]
+    docs = documents(texts).repartition(3)
+    lines = {(d, n): x.strip(BLANK) for d, t in enumerate(texts) for n, x in enumerate((t or "").split("\n")) if x.strip(BLANK)}
+    places = {}
+    for place, line in sorted(lines.items()):
+        places.setdefault(line, []).append(place)
+    short = {p: places[x] for p, x in lines.items() if len(x) < m.MIN_CHARS}
+    expected = [(*p, *same[0], 0, len(same), same[0] == p) for p, same in short.items()]
+    assert sorted(rows(m.line_classes(docs, least=1), *COLUMNS)) == sorted(brute(texts) + expected)
+
+
 def test_null_and_repeated_ids(table):
     line = "this line stands in several documents"
     docs = table([(None, line), (3, line), (3, line), (3, line + "?")], "doc_id long, text string")
