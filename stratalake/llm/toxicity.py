@@ -3,7 +3,9 @@
 Words that look disguised (digits or signs for letters, single letters with blanks or signs between,
 letters repeated, foreign look-alikes, masked letters) become a lattice: each observed piece may stand
 for several letters, each with a cost. Viterbi decoding finds the letters that are likeliest under
-those costs and a character trigram model. A document is scored by its words and the restored ones.
+those costs and a character trigram model. A row of single letters is decoded as one word, and also with
+words' ends allowed between any two letters; a mask stands for as many letters as it has signs, or for none
+if it has more than ``MASK_SIGNS``. A document is scored by its words and the restored ones.
 
 The model is fitted on labelled documents, ``SAMPLE`` of them in expectation, chosen by a hash of the
 id: trigram counts; cues, which are words and beginnings of words that are more frequent in toxic
@@ -38,6 +40,8 @@ MIN_DOCS, MIN_RATIO = 3, 14.0
 MAX_CUES, MAX_TRIGRAMS = 20_000, 200_000
 #: Beginnings of words of so many bytes are cues too.
 PREFIXES = (4, 5)
+#: Signs of a mask that can stand for letters; longer runs are rules and frames.
+MASK_SIGNS = 16
 
 #: What a sign can stand for.
 LOOKS = {
@@ -56,7 +60,9 @@ _INNER = np.zeros(256, bool)
 _INNER[list(b"0123456789@$")] = True
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[list(b".-_~*")] = True
-_TAIL = re.compile(r"([^\w\s])\1{2,}$|[.,;:?!)\]\"']+$")
+_MASK = np.zeros(256, bool)
+_MASK[ord(MASK)] = True
+_TAIL = re.compile(r"([^\w\s*])\1{2,}$|[.,;:?!)\]\"']+$")
 _SALTS = np.array([0x9E3779B97F4A7C15 * (n + 1) % (1 << 64) for n in range(len(PREFIXES) + 1)], np.uint64)
 
 
@@ -81,8 +87,11 @@ class CharModel:
         return -math.log((self.trigrams.get(gram, 0) + 2 * two) / (self.pairs[gram[:2]] + 2))
 
 
-def lattice(word: str, alphabet: list[str]) -> list[list[tuple[str, float]]]:
-    """What each piece of a word in lower case may stand for, with costs; a run of one sign is one piece."""
+def lattice(word: str, alphabet: list[str], spaced: bool = False) -> list[list[tuple[str, float]]]:
+    """What each piece of a word in lower case may stand for, with costs; a run of one sign is one piece.
+
+    In a ``spaced`` row of letters a word may also end, as a blank, within a run of two or three.
+    """
     pieces, at = [], 0
     while at < len(word):
         end = at + 1
@@ -90,7 +99,7 @@ def lattice(word: str, alphabet: list[str]) -> list[list[tuple[str, float]]]:
             end += 1
         sign, count = word[at], end - at
         if sign == MASK:
-            pieces += [[(c, MASK_COST) for c in alphabet]] * min(count, 3)
+            pieces += [[(c, MASK_COST) for c in alphabet]] * count if count <= MASK_SIGNS else [[("", DROP_COST * count)]]
         elif sign in LOOKS or sign.isalpha():
             for letter in [LOOKS.get(sign, sign)]:
                 swap = SWAP_COST * (sign in LOOKS)
@@ -98,6 +107,9 @@ def lattice(word: str, alphabet: list[str]) -> list[list[tuple[str, float]]]:
                 options = [(c, swap + once) for c in letter]
                 if count > 1:
                     options += [(2 * c, 2 * swap + (0 if count == 2 else COLLAPSE_COST + 0.3)) for c in letter]
+                if spaced and count in (2, 3):
+                    forms = ("{0} {0}",) if count == 2 else ("{0}{0} {0}", "{0} {0}{0}")
+                    options += [(form.format(c), count * swap) for c in letter for form in forms]
                 pieces.append(options)
         elif pieces:
             pieces.append([("", DROP_COST * count)])
@@ -105,25 +117,28 @@ def lattice(word: str, alphabet: list[str]) -> list[list[tuple[str, float]]]:
     return pieces
 
 
-def decode(word: str, model: CharModel) -> str:
-    """The likeliest letters behind a word."""
+def decode(word: str, model: CharModel, spaced: bool = False) -> str:
+    """The likeliest letters behind a word, or the likeliest words behind a ``spaced`` row of letters."""
     best = {"^^": (0.0, "")}
-    for options in lattice(_TAIL.sub("", word.lower()), model.alphabet):
+    for options in lattice(_TAIL.sub("", word.lower()), model.alphabet, spaced):
         found: dict[str, tuple[float, str]] = {}
+        ended = [(cost + model.cost(last + "$"), text + " ") for last, (cost, text) in best.items() if last != "^^"]
+        if spaced and ended:
+            best["^^"] = min([*ended, *([best["^^"]] if "^^" in best else [])])
         for last, (cost, text) in best.items():
             for letters, extra in options:
                 state, total = last, cost + extra
                 for c in letters:
-                    total += model.cost(state + c)
-                    state = state[1] + c
+                    total += model.cost(state + ("$" if c == " " else c))
+                    state = "^^" if c == " " else state[1] + c
                 if state not in found or (total, text + letters) < found[state]:
                     found[state] = (total, text + letters)
         best = found
     return min((cost + model.cost(state + "$"), text) for state, (cost, text) in best.items())[1]
 
 
-def disguised(block: Block) -> tuple[np.ndarray, list[str]]:
-    """The text and the observed form of each word, or row of single letters, that looks disguised."""
+def disguised(block: Block) -> tuple[np.ndarray, list[str], list[bool]]:
+    """The text and the observed form of each word, or row of single letters, that looks disguised; which are rows."""
     # a line break between texts, so that no sign has a neighbour in another text
     data = np.insert(block.data, block.offsets[1:-1], 10)
     offsets = block.offsets + np.arange(block.rows + 1)
@@ -131,11 +146,12 @@ def disguised(block: Block) -> tuple[np.ndarray, list[str]]:
     block = Block(block.first, data, offsets)
     starts, ends, firsts = block.words()
     if not len(starts):
-        return np.zeros(0, np.int64), []
+        return np.zeros(0, np.int64), [], []
     letter, leet, separator = _LETTER[data], _LEET[data], _SEPARATOR[data]
     odd = np.zeros(len(data) + 1, bool)
     odd[1:-2] = letter[:-2] & leet[1:-1] & (letter[2:] | _INNER[data[2:]])
     odd[:-2] |= leet[:-1] & letter[1:]
+    odd[1:-1] |= letter[:-1] & _MASK[data[1:]]
     odd[2:-1] |= letter[2:] & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
     odd[1:-4] |= letter[:-4] & separator[1:-3] & letter[2:-2] & separator[3:-1] & letter[4:]
     odd[1:-1] |= (letter & (data < 0x80))[1:] & ((data[:-1] & 0xC0) == 0x80) & _cyrillic(data)[:-1]
@@ -151,9 +167,10 @@ def disguised(block: Block) -> tuple[np.ndarray, list[str]]:
     long = stops - begins >= 3
     raw = data.tobytes()
     found = [(int(rows[i]), raw[starts[i] : ends[i]].decode("utf-8", "replace")) for i in np.flatnonzero(strange & ~single)]
+    words = len(found)
     for b, e in zip(begins[long], stops[long], strict=True):
         found.append((int(rows[b]), "".join(raw[starts[b] : ends[e - 1]].decode("utf-8", "replace").split())))
-    return np.array([r for r, _ in found], np.int64), [w for _, w in found]
+    return np.array([r for r, _ in found], np.int64), [w for _, w in found], [i >= words for i in range(len(found))]
 
 
 def _cyrillic(data: np.ndarray) -> np.ndarray:
@@ -184,9 +201,9 @@ def _occurrences(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _all_occurrences(block: Block, model: CharModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Those of a text's words and restored words; a restored one's neighbour is the word as it was seen."""
     rows, hashes, beside = _occurrences(block)
-    hidden, words = disguised(block)
+    hidden, words, spaced = disguised(block)
     if len(words):
-        own, more, _ = _occurrences(block_of([_restored(word, model).encode() for word in words]))
+        own, more, _ = _occurrences(block_of([_restored(word, model, row).encode() for word, row in zip(words, spaced, strict=True)]))
         seen = block_of([word.encode() for word in words])
         seen = seen.hashes(seen.offsets[:-1], seen.offsets[1:])
         rows, hashes = np.concatenate([rows, hidden[own]]), np.concatenate([hashes, more])
@@ -226,15 +243,21 @@ def _model(trigrams: dict[str, int]) -> CharModel:
     return _kept["model"][1]
 
 
-_words: dict[str, str] = {}
+_words: dict[tuple[str, bool], str] = {}
 
 
-def _restored(word: str, model: CharModel) -> str:
-    if word not in _words:
+def _restored(word: str, model: CharModel, spaced: bool) -> str:
+    """All readings of a word: as one, as several if it is a row of letters, and without a mask that ends it."""
+    if (word, spaced) not in _words:
         if len(_words) >= 1 << 17:
             _words.clear()
-        _words[word] = decode(word, model)
-    return _words[word]
+        readings = [decode(word, model)]
+        if spaced:
+            readings.append(decode(word, model, spaced))
+        if word.endswith(3 * MASK):
+            readings.append(decode(word.rstrip(MASK), model))
+        _words[word, spaced] = " ".join(dict.fromkeys(readings))
+    return _words[word, spaced]
 
 
 class Toxicity:

@@ -66,6 +66,45 @@ def test_decoding(word, text):
     assert m.decode(word, m.CharModel(grams)) == text
 
 
+def model_of(words):
+    grams = {}
+    for w in words.split():
+        for i in range(len(w) + 1):
+            gram = f"^^{w}$"[i : i + 3]
+            grams[gram] = grams.get(gram, 0) + 1
+    return m.CharModel(grams)
+
+
+@pytest.mark.parametrize(
+    "word, text",
+    [("aidiot", "a idiot"), ("youidiot", "you idiot"), ("1hate", "i hate"), ("baddog", "bad dog"), ("stupid", "stupid"), ("alllove", "all love")],
+)
+def test_rows_of_letters_are_decoded_into_words(word, text):
+    model = model_of(20 * "a i a i you you hate idiot idiot stupid stupid bad dog all love all love the dog ")
+    assert m.decode(word, model, True) == text
+
+
+@pytest.mark.parametrize("word, text", [("i****", "idiot"), ("wor******", "worthless"), ("w" + "*" * 30, "w")])
+def test_masks_stand_for_as_many_letters_as_signs(word, text):
+    assert m.decode(word, model_of(20 * "idiot worthless ")) == text
+    assert m.disguised(block_of([f"a {word} there".encode()]))[1] == [word]
+
+
+def test_words_within_rows_of_letters_and_masks_are_cues(spark, documents, prose):
+    from stratalake.llm.shared import shipped
+
+    r = random.Random(3)
+    shipped(spark)
+    texts = [f"you and I do a {prose(60, i)}" for i in range(160)]
+    texts = [with_words(t, 3 * [r.choice(BAD)], i) if i % 4 == 0 else t for i, t in enumerate(texts)]
+    labels = [(i, int(i % 4 == 0)) for i in range(160)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = m.Toxicity(spark, docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    hidden = ["you are a i d i o t here", "y o u i d i o t", "I m o r o n"]
+    found = scores(model, documents([*hidden, "y o u a n d I", "and I do a", "do a* the**"]))
+    assert min(found[: len(hidden)]) >= 0.3 > max(found[len(hidden) :])
+
+
 def test_decoding_is_the_best_path():
     """Viterbi finds what trying all paths finds."""
     from itertools import product
