@@ -7,8 +7,9 @@ those costs and a character trigram model. A row of single letters is decoded as
 words' ends allowed between any two letters; a mask stands for as many letters as it has signs, or for none
 if it has more than ``MASK_SIGNS``. A document is scored by its words and the restored ones.
 
-The model is fitted on labelled documents, ``SAMPLE`` of them in expectation, chosen by a hash of the
-id: trigram counts; cues, which are words and beginnings of words that are more frequent in toxic
+The trigrams are counted over all documents, which needs no labels, and the ``MAX_TRIGRAMS`` most frequent
+are kept; others cost what their letters and pairs do. The rest of the model is fitted on labelled documents,
+``SAMPLE`` of them in expectation, chosen by a hash of the id: cues, which are words and beginnings of words that are more frequent in toxic
 documents than chance allows (a log-likelihood ratio of ``MIN_RATIO`` at least); and a logistic curve over
 the sum of the log odds of a document's distinct cues. Documents propose cues; then each cue is counted
 once for each pair of neighbours, so that copies of a text, near ones too, weigh as one.
@@ -42,6 +43,8 @@ MAX_CUES, MAX_TRIGRAMS = 20_000, 200_000
 PREFIXES = (4, 5)
 #: Signs of a mask that can stand for letters; longer runs are rules and frames.
 MASK_SIGNS = 16
+#: Distinct words that are counted before their trigrams are.
+HELD_WORDS = 1 << 17
 
 #: What a sign can stand for.
 LOOKS = {
@@ -79,6 +82,8 @@ class CharModel:
         self.total = sum(self.letters.values())
         self.alphabet = [c for c, _ in self.letters.most_common(64) if c.isalpha()][:40]
         self.cost = lru_cache(1 << 18)(self._cost)
+        self.completion = lru_cache(1 << 16)(self._completion)
+        self._of_masks: np.ndarray | None = None
 
     def _cost(self, gram: str) -> float:
         """Minus the log probability of the third character after the first two."""
@@ -86,6 +91,30 @@ class CharModel:
         two = (self.bigrams[gram[1:]] + 5 * one) / (self.firsts[gram[1]] + 5)
         return -math.log((self.trigrams.get(gram, 0) + 2 * two) / (self.pairs[gram[:2]] + 2))
 
+    def _completion(self, state: str, masks: int) -> tuple[float, str]:
+        """Cost and letters of the likeliest end of a word, of so many masked letters after these two."""
+        if not masks or not self.alphabet:
+            return self.cost(state + "$"), ""
+        found = None
+        for c in self.alphabet:
+            cost, rest = self.completion(state[1] + c, masks - 1)
+            made = (self.cost(state + c) + MASK_COST + cost, c + rest)
+            found = made if found is None else min(found, made)
+        return found
+
+    def masked(self, best: dict[str, tuple[float, str]]) -> dict[str, tuple[float, str]]:
+        """The best paths with one more masked letter, from those that end with any two of the alphabet."""
+        letters = self.alphabet
+        if self._of_masks is None:
+            self._of_masks = np.array([[[self._cost(a + b + c) for c in letters] for b in letters] for a in letters])
+        before = np.array([[best[a + b][0] for b in letters] for a in letters])
+        total = before[:, :, None] + (self._of_masks + MASK_COST)
+        first = total.argmin(0)
+        least = np.take_along_axis(total, first[None], 0)[0].tolist()
+        return {
+            b + c: (least[i][k], best[letters[first[i, k]] + b][1] + c) for i, b in enumerate(letters) for k, c in enumerate(letters)
+        }
+
 
 def lattice(word: str, alphabet: list[str], spaced: bool = False) -> list[list[tuple[str, float]]]:
     """What each piece of a word in lower case may stand for, with costs; a run of one sign is one piece.
@@ -120,7 +149,13 @@ def lattice(word: str, alphabet: list[str], spaced: bool = False) -> list[list[t
 def decode(word: str, model: CharModel, spaced: bool = False) -> str:
     """The likeliest letters behind a word, or the likeliest words behind a ``spaced`` row of letters."""
     best = {"^^": (0.0, "")}
-    for options in lattice(_TAIL.sub("", word.lower()), model.alphabet, spaced):
+    word = _TAIL.sub("", word.lower())
+    masks = 0 if spaced else len(word) - len(word.rstrip(MASK))
+    masks = masks if masks <= MASK_SIGNS else 0
+    for options in lattice(word[: len(word) - masks], model.alphabet, spaced):
+        if len(options) == len(model.alphabet) and len(best) == len(options) ** 2 > 100 and not spaced:
+            best = model.masked(best)
+            continue
         found: dict[str, tuple[float, str]] = {}
         ended = [(cost + model.cost(last + "$"), text + " ") for last, (cost, text) in best.items() if last != "^^"]
         if spaced and ended:
@@ -134,7 +169,8 @@ def decode(word: str, model: CharModel, spaced: bool = False) -> str:
                 if state not in found or (total, text + letters) < found[state]:
                     found[state] = (total, text + letters)
         best = found
-    return min((cost + model.cost(state + "$"), text) for state, (cost, text) in best.items())[1]
+    ends = ((cost, text, model.completion(state, masks)) for state, (cost, text) in best.items())
+    return min((cost + more, text + rest) for cost, text, (more, rest) in ends)[1]
 
 
 def disguised(block: Block) -> tuple[np.ndarray, list[str], list[bool]]:
@@ -270,7 +306,7 @@ class Toxicity:
         chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(part * (1 << 30)))
         rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("long"))
 
-        grams = rows.mapInArrow(lean(_count_trigrams), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        grams = docs.select("text").mapInArrow(lean(_count_trigrams), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         top = grams.orderBy(F.desc("n"), "gram").limit(MAX_TRIGRAMS)
         self.trigrams = spark.sparkContext.broadcast({r["gram"]: r["n"] for r in top.collect()})
 
@@ -331,17 +367,24 @@ def _hashes(cues: list[int]) -> np.ndarray:
 
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigrams of the plain words of each batch; a word counts once in each text."""
-    for batch in batches:
-        words = Counter()
-        for text in batch.column(0):
-            words.update({w for w in re.split(r"[\W\d_]+", (text.as_py() or "").lower()) if w})
+    """Trigrams of the plain words of each so many; a word counts once in each text."""
+    words = Counter()
+
+    def out() -> pa.RecordBatch:
         grams = Counter()
         for word, n in words.items():
             marked = f"^^{word}$"
             for i in range(len(marked) - 2):
                 grams[marked[i : i + 3]] += n
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(grams.keys(), pa.string()), "n": pa.array(grams.values(), pa.int64())})
+        words.clear()
+        return pa.RecordBatch.from_pydict({"gram": pa.array(grams.keys(), pa.string()), "n": pa.array(grams.values(), pa.int64())})
+
+    for batch in batches:
+        for text in batch.column(0):
+            words.update({w for w in re.split(r"[\W\d_]+", (text.as_py() or "").lower()) if w})
+            if len(words) >= HELD_WORDS:
+                yield out()
+    yield out()
 
 
 def _feature_counter(trigrams):

@@ -105,6 +105,13 @@ def test_words_within_rows_of_letters_and_masks_are_cues(spark, documents, prose
     assert min(found[: len(hidden)]) >= 0.3 > max(found[len(hidden) :])
 
 
+def test_trigrams_are_those_of_all_documents(table, monkeypatch):
+    monkeypatch.setattr(m, "HELD_WORDS", 2)
+    docs = table([(0, "some words"), (1, "zyxwvu zyxwvu some"), (2, None), (3, "more zyxwvu words")], "doc_id long, text string")
+    model = m.Toxicity(docs.sparkSession, docs, table([(0, 0)], "doc_id long, toxic int"))
+    assert model.trigrams.value["zyx"] == 2 and model.trigrams.value["^so"] == 2
+
+
 def test_decoding_is_the_best_path():
     """Viterbi finds what trying all paths finds."""
     from itertools import product
