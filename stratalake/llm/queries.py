@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, decontaminate, hmm, language, lines, minhash, pii, quality, toxicity, warc
+from stratalake.llm import bpe, decontaminate, hmm, language, lines, minhash, pii, quality, toxicity, warc, whiten
 from stratalake.llm.shared import fold, scratch, shipped, table
 
 
@@ -196,6 +196,10 @@ FROM m LEFT JOIN verdict USING (doc_id)
 """
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.long_form(whiten.whiten(table(shipped(spark), sf_dir, "embeddings")))
+
+
 CHECKS = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_language": (op2_language, None),
@@ -207,5 +211,6 @@ CHECKS = {
     "op8_hmm": (op8_hmm, None),
     "op9_bpe": (op9_bpe, None),
     "op10_quality": (op10_quality, _op10_sql()),
+    "op11_whitening": (op11_whitening, None),
     "op4_all_lines": (op4_all_lines, None),
 }
