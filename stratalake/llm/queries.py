@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, decontaminate, hmm, language, lines, minhash, pii, quality, toxicity, warc, whiten
+from stratalake.llm import bpe, conversations, decontaminate, hmm, language, lines, minhash, pii, quality, setjoin, toxicity, warc, whiten
 from stratalake.llm.shared import fold, scratch, shipped, table
 
 
@@ -67,14 +67,16 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(shipped(spark), sf_dir, "documents"), words=4).drop("text_hash")
 
 
-OP6_SQL = r"""
+def _link_sql(words: int, columns: str) -> str:
+    """Shingle sets of so many words, all their links, and what is reached by them."""
+    return rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), s AS (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + {words - 1}], ' ') FOR i IN range(1, len(w) - {words - 2})]) END AS s
   FROM w
 ), x AS (SELECT doc_id, unnest(s) AS g FROM s
 ), p AS (
@@ -87,10 +89,14 @@ WITH RECURSIVE w AS (
   SELECT doc_id, doc_id FROM documents
   UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached
 ), c AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY 1)
-SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id{columns} FROM s JOIN c USING (doc_id)
 """
 
 
+OP6_SQL = _link_sql(4, ", doc_id = component_id AS kept")
+OP12_SQL = _link_sql(5, "")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(shipped(spark))
     archives = warc.write_archives(warc.record_types(table(spark, sf_dir, "pages")), f"{folder}/crawl")
@@ -200,6 +206,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten.long_form(whiten.whiten(table(shipped(spark), sf_dir, "embeddings")))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.jaccard_classes(table(shipped(spark), sf_dir, "documents"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(shipped(spark), sf_dir, "conversations")
+    return conversations.repair(conversations.damage(rows), rows)
+
+
 CHECKS = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_language": (op2_language, None),
@@ -212,5 +227,7 @@ CHECKS = {
     "op9_bpe": (op9_bpe, None),
     "op10_quality": (op10_quality, _op10_sql()),
     "op11_whitening": (op11_whitening, None),
+    "op12_jaccard_join": (op12_jaccard_join, OP12_SQL),
+    "op13_conversations": (op13_conversations, None),
     "op4_all_lines": (op4_all_lines, None),
 }

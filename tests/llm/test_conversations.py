@@ -1,0 +1,173 @@
+"""Repair of conversations against a search of all edits."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pyarrow.parquet as pq
+import pytest
+from llm_fixtures import ODD_TEXTS, rows, table  # noqa: F401
+
+from stratalake.llm import conversations as c
+from stratalake.llm.queries import CHECKS
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def damaged(data):
+    """(conv_id, turn, role, text) after the damage, in order."""
+    made = []
+    for conv_id, turn, role, text in data:
+        role, text = (" " if x is None else x for x in (role, text))
+        key = ":".join(" " if x is None else str(x) for x in (conv_id, turn))
+        kind = zlib.crc32(key.encode()) % 20
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        made += [(conv_id, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return made
+
+
+def brute(data, ids):
+    """What ``repair`` gives, by dynamic programming over every row and all role initials so far."""
+    groups = defaultdict(list)
+    for row in data:
+        groups[row[0]].append(tuple(" " if x is None and i > 1 else x for i, x in enumerate(row)))
+    made = []
+    for conv_id in ids:
+        own = sorted(groups[conv_id], key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+        faults, seen = [], set()
+        for _, _, role, text in own:
+            bare = text.strip(BLANKS)
+            faults.append("b" if not bare else "d" if (role, text) in seen else "t" if bare[-1] not in ".!?" else "")
+            seen.add((role, text))
+        initials = [role[:1] for _, _, role, _ in own]
+        turns = [r[1] for r in own if r[1] is not None]
+        audit, cost = least_edits(initials, faults)
+        repaired, last, rest = [], "", iter(own)
+        for edit in audit:
+            following = "assistant" if last == "u" else "user"
+            row = next(rest) if edit != "I" else None
+            if edit == "D":
+                continue
+            role, text = (following, "") if edit == "I" else (following if edit == "R" else row[2], row[3])
+            repaired.append(f"{role}:{text}")
+            last = role[:1]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        digest = hashlib.sha256("\n".join(repaired).encode()).hexdigest()
+        made.append((conv_id, gaps, *(faults.count(f) for f in "bdt"), illegal, cost, audit, digest))
+    return sorted(made, key=repr)
+
+
+def least_edits(initials, faults):
+    """The ASCII-least of the cheapest audits, by the last two role initials of what is repaired so far."""
+    legal = {("", "s"), ("", "u"), ("s", "u"), ("u", "a"), ("a", "u")}
+    best = {"": (0, "")}
+
+    def better(into, state, offer):
+        if state not in into or offer < into[state]:
+            into[state] = offer
+
+    def inserted(best):
+        for _ in range(3):
+            for state, (cost, audit) in list(best.items()):
+                for role in "ua":
+                    if (state, role) in legal:
+                        better(best, role, (cost + 3, audit + "I"))
+        return best
+
+    for initial, fault in zip(initials, faults, strict=True):
+        following = {}
+        for state, (cost, audit) in inserted(dict(best)).items():
+            better(following, state, (cost + 4, audit + "D"))
+            if fault in ("b", "d"):
+                continue
+            more = 3 if fault == "t" else 0
+            if (state, initial) in legal:
+                better(following, initial, (cost + more, audit + "K"))
+            for role in "ua":
+                if (state, role) in legal:
+                    better(following, role, (cost + more + 3, audit + "R"))
+        best = following
+    ends = inserted(best)
+    cost, audit = min(ends[s] for s in ("", "a") if s in ends)
+    return audit, cost
+
+
+def random_rows(r, n, roles=("user", "assistant", "system", "agent", "tool", "", None)):
+    weights = [8, 8, 2, 1, 1, 1, 1][: len(roles)]
+    texts = ["Yes.", "No!", "Is it?", "cut", "Fine. \n", " ", "", None, "other words", "many more words."]
+    return [(r.choices(roles, weights)[0], r.choice(texts) if r.random() < 0.6 else f"text {r.randrange(999)}.") for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_search_is_the_cheapest_and_least(seed):
+    r = random.Random(seed)
+    for n in (0, 1, 2, 3, 5, 8, 13, 40):
+        initials = [r.choice("uuuaaaasx ") if n > 3 else r.choice("uas") for _ in range(n)]
+        faults = [r.choices([0, c.BLANK, c.DUPLICATE, c.CUT], [8, 1, 1, 2])[0] for _ in range(n)]
+        cost, audit = c.search(initials, faults, c.START, (c.START, c.PAIR), True)
+        assert (audit, cost) == least_edits(initials, [["", "b", "d", "t"][f] for f in faults])
+
+
+@pytest.mark.parametrize("piece", [c.PIECE, 3])
+def test_equals_brute_force(table, monkeypatch, piece):
+    """Short and long conversations, null ids, turns and roles; in one piece and in many."""
+    monkeypatch.setattr(c, "PIECE", piece)
+    r = random.Random(piece)
+    data = []
+    for conv_id in [*range(60), None]:
+        turn = 0
+        for role, text in random_rows(r, 150 if conv_id == 7 else r.randrange(9)):
+            turn += r.choice([1, 1, 1, 1, 0, 3])
+            data.append((conv_id, None if r.random() < 0.05 else turn, role, text))
+    for conv_id in range(60, 64):
+        data += [(conv_id, None, role, text) for role, text in random_rows(r, 6)]
+    data += [(99, i, "user" if i % 2 else "assistant", text) for i, text in enumerate(ODD_TEXTS)]
+    r.shuffle(data)
+    ids = {row[0] for row in data}
+    frame = table([(*row, "x") for row in data], f"{SCHEMA}, fault string").repartition(6)
+    assert rows(c.repair(frame)) == brute(data, ids)
+    assert rows(c.repair(c.damage(frame), frame)) == brute(damaged(data), ids)
+
+
+def test_one_conversation_over_many_tasks(spark, table, monkeypatch):
+    """Rows of one conversation in several tasks give what they give in one."""
+    monkeypatch.setattr(c, "PIECE", 50)
+    r = random.Random(5)
+    data = [(1, i // 2, role, text) for i, (role, text) in enumerate(random_rows(r, 900))]
+    data += [(0, 5, "user", "Hi."), (2, 1, "user", "Hi.")]
+    frame = table(data, SCHEMA).repartition(7)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keeps the small ranges apart
+    try:
+        assert rows(c.repair(frame)) == brute(data, {0, 1, 2})
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_no_rows(table):
+    assert c.repair(table([], SCHEMA)).count() == 0
+    one = table([(4, 1, "user", "Hi.")], SCHEMA)
+    empty = hashlib.sha256(b"").hexdigest()
+    assert rows(c.repair(one.where("turn > 1"), one)) == [(4, 0, 0, 0, 0, 0, 0, "", empty)]
+
+
+def test_long_text(table):
+    text = "word " * 400_000 + "end."
+    found = rows(c.repair(table([(1, 1, "user", text), (1, 2, "assistant", text)], SCHEMA)))
+    assert found[0][1:8] == (0, 0, 0, 0, 0, 0, "KK")
+    assert found[0][8] == hashlib.sha256(f"user:{text}\nassistant:{text}".encode()).hexdigest()
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_query_equals_brute_force(spark, scale):
+    folder = f"/root/testdata/{scale}"
+    data = [tuple(r[k] for k in ("conv_id", "turn", "role", "text")) for r in pq.read_table(f"{folder}/conversations.parquet").to_pylist()]
+    found = CHECKS["op13_conversations"][0](spark, folder)
+    assert found.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    assert rows(found) == brute(damaged(data), {row[0] for row in data})

@@ -41,7 +41,7 @@ def remainder(doc_id, of):
 
 def test_all_are_registered():
     assert CHECKS.keys() <= checks.queries().keys()
-    assert {name.split("_")[0] for name in CHECKS} == {f"op{n}" for n in range(1, 12)}
+    assert {name.split("_")[0] for name in CHECKS} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", [name for name, (_, sql) in CHECKS.items() if sql])

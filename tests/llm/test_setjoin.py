@@ -1,0 +1,88 @@
+"""Classes of the Jaccard join against all pairs."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_fixtures import ODD_TEXTS, documents, prose, rows, table  # noqa: F401
+from test_minhash import brute, edited, shingle_set
+
+from stratalake.llm import setjoin as s
+
+
+@pytest.mark.parametrize("n, block, chunk, held", [(5, 512, 1024, 1 << 16), (5, 8, 4, 20), (4, 16, 7, 40)])
+def test_classes_are_those_of_all_pairs(documents, prose, monkeypatch, n, block, chunk, held):
+    """Copies, near copies around the threshold, a large family of them, a common passage; long lists and blocks too."""
+    for name, value in (("BLOCK", block), ("CHUNK", chunk), ("HELD", held)):
+        monkeypatch.setattr(s, name, value)
+    r = random.Random(n + block)
+    texts = [*ODD_TEXTS, "a b c", "A B C", "a b d", "same words here now", "same words here now too", "same words here now too then"]
+    for family in range(6):
+        base = prose(120, family)
+        texts += [base, base, edited(base, 0.02, r), edited(base, 0.03, r), edited(base, 0.05, r), base[: int(len(base) * 0.82)]]
+    hot = prose(100, 77)
+    texts += [edited(hot, 0.035, r) for _ in range(90)] + [hot] * 30
+    passage = prose(60, 88)
+    texts += [f"{passage} {prose(40, 200 + i)}" for i in range(25)]
+    texts += [" ".join(f"w{i}" for i in range(a, a + 60)) for a in range(0, 40, 2)]
+    r.shuffle(texts)
+    found = s.jaccard_classes(documents(texts, extra="size"), words=n)
+    assert found.columns == ["doc_id", "n_shingles", "component_id"]
+    assert sorted(rows(found)) == [row[:3] for row in brute(texts, n)]
+
+
+def test_null_and_repeated_ids(table, prose):
+    a, b = prose(40, 1), prose(40, 2)
+    docs = table([(None, a), (5, a), (None, b), (7, prose(40, 3)), (7, prose(40, 3)), (7, b + " x"), (None, None)], "doc_id long, text string")
+    found = rows(s.jaccard_classes(docs), "doc_id", "component_id")
+    assert found == sorted([(5, 5), (7, 7), (7, 7), (7, 7), (None, 5), (None, 7), (None, None)], key=repr)
+
+
+def test_no_documents(documents):
+    assert s.jaccard_classes(documents([])).count() == 0
+    assert rows(s.jaccard_classes(documents([None, " ", ""])), "n_shingles", "component_id") == [(0, 0), (0, 1), (0, 2)]
+
+
+def test_skipped_blocks_hold_no_link():
+    """Entries are dropped only if no set of their list is linked with theirs through that shingle as the first shared one."""
+    r = random.Random(3)
+    for trial in range(30):
+        universe = list(range(60 if trial % 2 else 400))
+        base = r.sample(universe, 40)
+        sets = []
+        for _ in range(40):
+            own = set(base) - set(r.sample(base, r.randrange(12))) | set(r.sample(universe, r.randrange(9)))
+            sets.append(sorted(own))
+        entries: dict[int, list[tuple[int, int, int]]] = {}
+        for node, own in enumerate(sets):
+            for at, token in enumerate(own[: int(s.prefix(np.array([len(own)]))[0])]):
+                entries.setdefault(token, []).append((len(own), at, node))
+        kept = set()
+        for token, own in entries.items():
+            size, at, node = (np.array(c) for c in zip(*sorted(own), strict=True))
+            mask = s._matched(size, at, node, np.array([0]), np.array([len(size)]))
+            kept |= {(token, n) for n in node[mask].tolist()}
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets[:i]):
+                common = set(x) & set(y)
+                if 100 * len(common) >= 80 * len(set(x) | set(y)):
+                    assert (min(common), i) in kept and (min(common), j) in kept
+
+
+def test_answers_follow_from_a_leader():
+    r = random.Random(8)
+    leader = set(r.sample(range(200), 80))
+    sets = [leader, set(), set(range(300, 320))] + [leader - set(r.sample(sorted(leader), 9)) | set(r.sample(range(200), 7)) for _ in range(20)]
+    apart = pa.array([sorted(leader - x) + sorted(x - leader) for x in sets], pa.list_(pa.int64()))
+    every = np.arange(len(sets))
+    found = s.common_by_leader(len(leader), np.array([len(leader - x) for x in sets]), apart, every, every)
+    apart = ~np.eye(len(sets), dtype=bool)  # no set is compared with itself
+    assert found[apart].tolist() == np.array([[len(x & y) for y in sets] for x in sets])[apart].tolist()
+
+
+def test_prefix_is_the_least_that_suffices():
+    sizes = np.arange(1, 400)
+    assert (s.prefix(sizes) == [n - -(-4 * n // 5) + 1 for n in sizes.tolist()]).all()
+    assert s.prefix(np.array([0]))[0] == 0
+    assert len(shingle_set("a b c", 5)) == 1
