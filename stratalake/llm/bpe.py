@@ -3,7 +3,9 @@
 Long texts are cut where the pattern can never join what stands on both sides: before a blank, tab
 or line break that follows something else. No alternative of the pattern takes white space after
 something else, and none looks back, so the pieces of the parts are the pieces of the text. Merging
-never crosses a piece, so the ids are those of the whole text. Decoding joins the raw bytes of the
+never crosses a piece, so the ids are those of the whole text. The library's pattern matcher gives up on
+runs of about a million signs of white space, which are never cut: the piece at the begin of a run of ``RUN_CHARS``
+is found by the same pattern with the ``regex`` library, which has no such limit, and merged as a single piece. Decoding joins the raw bytes of the
 ids; a text is only made of them if they are valid UTF-8.
 
 Null and empty texts have no ids; no ids decode to no bytes. Equal texts get equal ids.
@@ -26,8 +28,28 @@ from stratalake.llm.shared import lean
 
 #: Longer texts are encoded in parts of about so many characters.
 PART_CHARS = 1 << 16
+#: White space is taken out of a text's parts from so many signs in a row on.
+RUN_CHARS = 1 << 14
+# fixed values: the signs of white space that the tiktoken library's patterns know as \s
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _NEXT_CUT = regex.compile(r"(?<=[^\s\x1c-\x1f])[\t\n\r ]")
-_codecs: dict[tuple[int, str], tiktoken.Encoding] = {}
+_NEXT_RUN = regex.compile(f"[{_WHITE}]{{{RUN_CHARS},}}")
+
+
+class Ranked(tiktoken.Encoding):
+    """The library's encoding by ranks, and its pattern as the ``regex`` library reads it."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        super().__init__("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.matcher = regex.compile("(?V1)" + pattern.replace(r"\S", f"[^{_WHITE}]").replace(r"\s", f"[{_WHITE}]"))
+
+    def first_piece(self, text: str, begin: int) -> tuple[int, list[int]]:
+        """The end and the ids of the piece that begins there."""
+        end = self.matcher.match(text, begin).end()
+        return end, self._encode_single_piece(text[begin:end])
+
+
+_codecs: dict[tuple[int, str], Ranked] = {}
 
 
 class _Lists:
@@ -96,10 +118,10 @@ class Codec:
 
         return F.arrow_udf(lean(raw), "binary")(ids)
 
-    def _loader(self) -> Callable[[], tiktoken.Encoding]:
+    def _loader(self) -> Callable[[], Ranked]:
         ranks, pattern = self._ranks, self._pattern
 
-        def load() -> tiktoken.Encoding:
+        def load() -> Ranked:
             key = (hash(ranks.value), pattern)
             if key not in _codecs:
                 _codecs.clear()
@@ -109,22 +131,26 @@ class Codec:
         return load
 
 
-def codec_of(ranks: bytes, pattern: str) -> tiktoken.Encoding:
+def codec_of(ranks: bytes, pattern: str) -> Ranked:
     """The encoding by lines of a base64 token and its rank."""
     pairs = (line.split() for line in ranks.splitlines() if line.strip())
-    return tiktoken.Encoding(
-        "ranks",
-        pat_str=pattern,
-        mergeable_ranks={base64.b64decode(token): int(rank) for token, rank in pairs},
-        special_tokens={},
-    )
+    return Ranked({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
 
 
-def encode_text(codec: tiktoken.Encoding, text: str, part: int = PART_CHARS) -> list[int]:
-    """The ids of a whole text, long ones in parts."""
-    if len(text) <= part:
+def encode_text(codec: Ranked, text: str, part: int = PART_CHARS) -> list[int]:
+    """The ids of a whole text: long runs of white space apart, the rest in parts if it is long."""
+    if len(text) <= min(part, RUN_CHARS):
         return codec.encode_ordinary(text)
     ids, begin = [], 0
+    for run in _NEXT_RUN.finditer(text):
+        ids += _encode_parts(codec, text[begin : run.start()], part)
+        begin, own = codec.first_piece(text, run.start())
+        ids += own
+    return ids + _encode_parts(codec, text[begin:], part)
+
+
+def _encode_parts(codec: Ranked, text: str, part: int) -> list[int]:
+    ids, begin = [], 0
     while begin < len(text):
         cut = _NEXT_CUT.search(text, begin + part)
         end = cut.start() if cut else len(text)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from llm_fixtures import ODD_TEXTS, documents, rows, table  # noqa: F401
 
-from stratalake.llm.bpe import Codec, codec_of, encode_text
+from stratalake.llm.bpe import RUN_CHARS, Codec, codec_of, encode_text
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -25,6 +25,38 @@ def test_parts_give_the_ids_of_the_whole(codec, part):
         assert encode_text(codec, text, part) == codec.encode_ordinary(text)
 
 
+WHITE = [" ", "\n", "\t", "\r", "\x0b", "\x0c", "\x85", "\xa0", "\u2028", "\u3000"]
+
+
+@pytest.mark.parametrize("sign", WHITE)
+def test_runs_of_white_space_have_the_ids_of_the_library(codec, sign):
+    """With words, signs and other white space around, on both sides of the length from which runs are taken out."""
+    for n in (RUN_CHARS - 1, RUN_CHARS, RUN_CHARS + 1, 3 * RUN_CHARS):
+        run = sign * n
+        for text in (run, f"a{run}", f"{run}b", f"a{run}b", f"it's{run} b", f"a{run}\x1c", f"1 {run}\n!{run}é", f"\x1f{run}'s {run}"):
+            assert encode_text(codec, text, RUN_CHARS) == codec.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("n", [1_000_000, 5_000_000])
+@pytest.mark.parametrize("sign", [" ", "\n", "\t"])
+def test_very_long_runs_of_white_space(codec, sign, n):
+    """A run's last sign belongs to what follows; the rest is one piece, whose ids follow from shorter runs."""
+    for before, after in (("", ""), ("a", "b"), ("a b", " ?"), ("", "x")):
+        ids = encode_text(codec, f"{before}{sign * n}{after}")
+        assert codec.decode_bytes(ids) == f"{before}{sign * n}{after}".encode()
+        short = codec.encode_ordinary(f"{before}{sign * 2000}{after}")
+        per = codec._encode_single_piece(sign * 2000)
+        assert len(ids) - len(short) == (n - 2000) * len(per) // 2000
+        assert ids[:50] == short[:50] and ids[-20:] == short[-20:]
+
+
+def test_a_very_long_run_in_a_column(spark, documents):
+    made = Codec(spark, PATH, public_tokenizers.PATTERN)
+    texts = ["a" + " " * 1_000_000 + "b", "\n" * 1_000_000, " " * 1_000_000 + "x"]
+    found = documents(texts).select("doc_id", made.encode_checked(F.col("text")).alias("found")).select("doc_id", "found.round_trip")
+    assert rows(found) == [(0, True), (1, True), (2, True)]
+
+
 def test_encode_and_decode_columns(spark, documents, codec):
     texts = [*ODD_TEXTS, "It's 42!\n\n  Ünïcödé 😀 <|endoftext|>", "x y " * 60_000]
     made = Codec(spark, PATH, public_tokenizers.PATTERN)
