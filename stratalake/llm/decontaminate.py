@@ -1,13 +1,14 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Tokens are runs of letters and digits in lower case. Benchmark passages are cut into overlapping pieces of
-``WINDOW`` tokens, shorter ones are one piece. Pieces are vectors of their tokens
-weighted by the 1.5th power of inverse document frequency, which is counted over all documents. A randomised SVD of that
+``WINDOW`` tokens, shorter ones are one piece. Pieces are vectors of their tokens weighted by the square
+root of inverse document frequency, which is counted over all documents. A randomised SVD of that
 matrix, whose products are summed over the partitions of the pieces, gives each token a vector of
 ``LATENT`` numbers. Every document is cut into overlapping windows of ``WINDOW`` tokens, each window
-becomes the weighted sum of its tokens' vectors, and its cosine with every piece is taken: passages with a
-piece of ``MIN_COSINE``, of which the window accounts for ``MIN_COVER``, are candidates. Windows whose whole
-weight is less than that part of the lightest piece can hold no piece and are left out before.
+becomes the weighted sum of its different tokens' vectors, and its product with every piece is taken. A leak keeps
+``PARAPHRASE`` of a piece's tokens, at worst its most frequent ones; a passage is a candidate if a window's cosine with a piece is
+at least what a window of that length would have with the ``COVER`` part of those. Windows whose whole weight is less than that for every piece
+are left out before.
 
 A candidate is checked by the longest common subsequence of the passage and each part of the document
 where it can lie: the passage's length and a third of it on both sides, for every alignment of one of its
@@ -15,13 +16,16 @@ tokens with one of a candidate window. It is a leak if that is ``VERBATIM`` of t
 of it and the answer, its last ``ANSWER`` tokens, is there but for one token. The part with the longest one
 counts; alignments are left out only in ranges whose whole text bounds them below that, or below a leak.
 
+What may be missed is a leak that is so stretched, within the third on both sides, that no window holds ``COVER`` of
+what is left of a piece. README has figures by kind of paraphrase; no document or window is left out otherwise.
+
 Passages are the query set. Every ``GROUP`` pieces have a latent space, so that a space has about
 as many dimensions as pieces and tells them apart; about ``SPACES`` of them are searched in one pass over the
-documents, so that what is broadcast is bounded. A passage's pieces are all searched in the same pass.
+documents, so that what is broadcast is bounded, and freed after it. A passage's pieces are all searched in the same pass.
+Tokens are counted before, for all passes at once, ``COUNTED`` different ones in one scan.
 Each different text is searched once, and joined with the ids of all its rows after.
-No document, window or candidate is left out.
 
-Null and empty texts, and passages without tokens, match nothing. Equal texts get equal results; rows
+Null and empty texts, and passages without tokens, match nothing. Long texts are searched window by window; equal texts get equal results; rows
 with equal ids give their own rows. Passages with equal texts all match. Empty tables give no rows.
 Extra columns are kept by ``decontaminate`` and otherwise ignored.
 """
@@ -34,6 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +47,13 @@ from stratalake.llm.words import Block, Members, blocks, folded
 
 LATENT, OVERSAMPLE = 256, 16
 WINDOW, STRIDE = 48, 24
-MIN_COSINE, MIN_COVER = 0.4, 0.2
+#: The part of a paraphrase that one window holds.
+COVER = 0.7
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 5
 #: Pieces of a latent space at most, and spaces that are searched in one pass in expectation.
-GROUP, SPACES = 200, 8
+GROUP, SPACES = 200, 24
+#: Different tokens of passages whose documents are counted in one scan, in expectation (8 bytes each).
+COUNTED = 1 << 21
 #: Documents found that are joined by broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 300_000
 
@@ -74,14 +82,14 @@ def piece_starts(size: int) -> list[int]:
 
 @dataclass
 class Space:
-    """A latent space: the passage of each piece, token weights and vectors, and piece vectors."""
+    """A latent space: the passage of each piece, token weights and vectors, piece vectors, and the least product of a candidate."""
 
     owners: np.ndarray
     vocabulary: np.ndarray
     weights: np.ndarray
     vectors: np.ndarray
     pieces: np.ndarray
-    energy: np.ndarray
+    least: np.ndarray
 
 
 @dataclass
@@ -92,27 +100,50 @@ class Pass:
     spaces: list[Space]
 
 
-def _document_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
-    """In how many documents each token is, and how many there are."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+_TOKENS = "token long"
+
+
+def _distinct_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different tokens of a batch's texts."""
+    for batch in batches:
+        every = np.unique(np.concatenate([np.zeros(0, np.uint64), *token_lists(batch.column(0))]))
+        yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64))], ["token"])
+
+
+def document_counts(docs: DataFrame, passages: DataFrame) -> tuple[DataFrame, int]:
+    """(token, n): in how many documents each token of the passages is; and how many documents there are."""
+    spark = docs.sparkSession
+    every = written(passages.select("text").mapInArrow(lean(_distinct_tokens), _TOKENS).distinct())
+    scans = max(1, -(-every.count() // COUNTED))
+    found = spark.createDataFrame([], "token long, n long")
+    for part in range(scans):
+        chosen = every.where(F.pmod(F.xxhash64("token"), F.lit(scans)) == part).toPandas()["token"].to_numpy(np.int64)
+        shared = spark.sparkContext.broadcast(np.sort(chosen.view(np.uint64)))
+        found = found.union(written(_count(docs, shared)))
+        shared.unpersist()
+    total = found.where("token is null").agg(F.max("n")).first()[0] or 0
+    return found.where("token is not null"), total
+
+
+def _count(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """(token, n) of the tokens that are shared, and of a null token the number of documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members = Members(shared.value)
-        total = np.zeros(len(shared.value) + 1, np.int64)
+        size = len(shared.value)
+        total, texts = np.zeros(size, np.int64), 0
         for batch in batches:
-            total[-1] += len(batch)
+            texts += len(batch)
             for block in blocks(batch.column(0)):
                 hashes, firsts = tokens(block)
                 at, token = members.find(hashes)
                 row = np.searchsorted(firsts, at, "right") - 1
-                once = np.unique(row * len(total) + token)
-                total += np.bincount(once % len(total), minlength=len(total))
-        yield pa.RecordBatch.from_pydict({"token": pa.array(np.arange(len(total))), "n": pa.array(total)})
+                total += np.bincount(np.unique(row * size + token) % max(size, 1), minlength=size)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(shared.value[seen].view(np.int64)), pa.array(total[seen])], ["token", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([texts], pa.int64())], ["token", "n"])
 
-    counted = docs.select("text").mapInArrow(lean(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
-    found = np.zeros(len(vocabulary) + 1, np.int64)
-    found[counted["token"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
-    return found[:-1], int(found[-1])
+    return docs.select("text").mapInArrow(lean(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def _rows(texts: pa.Array, vocabulary: np.ndarray, weights: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -190,9 +221,15 @@ def _pieces(text: str) -> list[str]:
     return []
 
 
-def build_pass(docs: DataFrame, passages: DataFrame) -> Pass:
-    """Passages (passage, text) with tokens and the latent spaces of their pieces."""
-    spark = docs.sparkSession
+def least_products(weights: list[np.ndarray]) -> np.ndarray:
+    """The least product of a piece, by its tokens' weights, with a window that holds enough of it."""
+    kept = [np.sort(w**2)[: -int(-PARAPHRASE * len(w) // 1)].sum() for w in weights]
+    return np.array(kept) * COVER
+
+
+def build_pass(passages: DataFrame, counts: DataFrame, total: int) -> Pass:
+    """Passages (passage, text) with tokens and the latent spaces of their pieces; ``counts`` of ``total`` documents by token."""
+    spark = passages.sparkSession
     rows = passages.orderBy("passage", "text").collect()  # GROUP * SPACES pieces in expectation
     lists = token_lists(pa.array([r["text"] for r in rows], pa.string())) if rows else []
     items = [(row["passage"], own) for row, own in zip(rows, lists, strict=True)]
@@ -201,19 +238,22 @@ def build_pass(docs: DataFrame, passages: DataFrame) -> Pass:
     if not items:
         return Pass([], [])
     every = np.unique(np.concatenate([own for _, own in items]))
-    counts, total = _document_counts(docs, every)
+    own_tokens = passages.select("text").mapInArrow(lean(_distinct_tokens), _TOKENS).distinct()
+    in_docs = np.zeros(len(every), np.int64)
+    counted = counts.join(F.broadcast(own_tokens), "token", "left_semi").toPandas()  # tokens of GROUP * SPACES pieces in expectation
+    in_docs[np.searchsorted(every, counted["token"].to_numpy(np.int64).view(np.uint64))] = counted["n"].to_numpy(np.int64)
     spaces = []
     for first in range(0, len(texts), GROUP):
         part = texts[first : first + GROUP]
         own_lists = token_lists(pa.array(part, pa.string()))
         vocabulary = np.unique(np.concatenate(own_lists))
-        weights = (np.log((1 + total) / (1 + counts[np.searchsorted(every, vocabulary)])) + 1e-3) ** 1.5
+        weights = (np.log((1 + total) / (1 + in_docs[np.searchsorted(every, vocabulary)])) + 1e-3) ** 0.5
         own_rows = spark.createDataFrame([(text,) for text in part], "text string")
         vectors = token_vectors(own_rows, vocabulary, weights)
         at = [np.searchsorted(vocabulary, own) for own in own_lists]
         pieces = np.array([weights[a] @ vectors[a] for a in at], np.float32)
-        energy = np.array([np.sum(weights[a] ** 2) for a in at])
-        spaces.append(Space(owners[first : first + GROUP], vocabulary, weights, vectors, pieces, energy))
+        least = least_products([weights[a] for a in at])
+        spaces.append(Space(owners[first : first + GROUP], vocabulary, weights, vectors, pieces, least))
     return Pass(items, spaces)
 
 
@@ -311,12 +351,13 @@ class Searcher:
         self.vectors = space.vectors * space.weights[:, None].astype(np.float32)
         self.dots = self.vectors @ space.pieces.T
         self.norms = np.linalg.norm(space.pieces, axis=1)
+        self.least = (space.least * (1 - 1e-4)).astype(np.float32)
 
     def candidates(self, hashes: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """(text, first token there, passage, cosine) of each candidate of a block.
 
-        A window's product with a piece is the sum of its tokens' products; its own vector is only
-        needed for the cosines of the few pairs that cover enough of a piece.
+        A window's product with a piece is the sum of its tokens' products; both lengths divide the cosine
+        and its least value alike, so products are compared, and cosines taken of candidates alone.
         """
         hit, token = self.members.find(hashes)
         total = np.concatenate([[0.0], np.cumsum(self.space.weights[token] ** 2)])
@@ -326,19 +367,23 @@ class Searcher:
         starts = firsts[row] + STRIDE * (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts))
         low = np.searchsorted(hit, starts)
         high = np.searchsorted(hit, np.minimum(starts + WINDOW, firsts[row + 1]))
-        keep = np.flatnonzero(total[high] - total[low] >= MIN_COVER * self.space.energy.min())
+        keep = np.flatnonzero((total[high] - total[low] >= self.space.least.min()) & (high > low))
+        width = len(self.space.vocabulary)
         for first in range(0, len(keep), 1024):
             part = keep[first : first + 1024]
             n = high[part] - low[part]
             at = np.repeat(low[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            dots = np.add.reduceat(self.dots[token[at]], np.cumsum(n) - n)
-            window, piece = np.nonzero(dots >= MIN_COVER * self.norms**2)
+            # each window's different tokens
+            different = np.unique(np.repeat(np.arange(len(part)), n) * width + token[at])
+            of, different = np.divmod(different, width)
+            begins = np.searchsorted(of, np.arange(len(part) + 1))
+            dots = np.add.reduceat(self.dots[different], begins[:-1])
+            window, piece = np.nonzero(dots >= self.least)
             for w, i in zip(window, piece, strict=True):
-                k = part[w]
-                own = self.vectors[token[low[k] : high[k]]].sum(0)
+                own = self.vectors[different[begins[w] : begins[w + 1]]].sum(0)
                 cosine = dots[w, i] / max(float(np.linalg.norm(own)) * self.norms[i], 1e-9)
-                if cosine >= MIN_COSINE:
-                    yield int(row[k]), int(starts[k] - firsts[row[k]]), int(self.space.owners[i]), float(cosine)
+                k = part[w]
+                yield int(row[k]), int(starts[k] - firsts[row[k]]), int(self.space.owners[i]), float(cosine)
 
 
 def _leak(passage: Passage, text: np.ndarray, begins: list[int]) -> tuple[int, bool] | None:
@@ -355,7 +400,7 @@ def _leak(passage: Passage, text: np.ndarray, begins: list[int]) -> tuple[int, b
 
 
 def search(docs: DataFrame, wanted: Pass) -> DataFrame:
-    """The leaks of all documents, one row per document row and different passage."""
+    """The leaks of all documents, one row per document row and different passage; written."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def leaks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,7 +431,9 @@ def search(docs: DataFrame, wanted: Pass) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, schema=_FOUND)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(lean(leaks), FOUND)
+    found = written(rows.mapInArrow(lean(leaks), FOUND))
+    shared.unpersist()
+    return found
 
 
 def _count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,11 +457,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     pieces = passages.agg(F.sum("n").alias("n")).first()["n"] or 0
     passes = max(1, -(-pieces // (GROUP * SPACES)))
     found = spark.createDataFrame([], FOUND)
-    for part in range(passes):
-        wanted = build_pass(docs, passages.where(F.pmod("passage", F.lit(passes)) == part))
+    counts, total = document_counts(docs, passages) if pieces else (None, 0)
+    for part in range(passes if pieces else 0):
+        wanted = build_pass(passages.where(F.pmod("passage", F.lit(passes)) == part), counts, total)
         if wanted.spaces:
             found = found.union(search(docs, wanted))
-    found = written(found)
     leaked = size_bounded(written(found.select("passage").distinct()), BROADCAST_ROWS)
     items = written(items.select("passage", "item_id").join(leaked, "passage", "left_semi"))
     found = found.join(size_bounded(items, BROADCAST_ROWS), "passage")

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -118,12 +119,64 @@ def test_repeated_rows_of_a_benchmark_are_searched_once(documents, table, prose,
     item = prose(30, 1)
     given = [(7, item)] * 40 + [(8, item), (None, None)] + [(None, None)] * 40 + [(9, ".!")] * 40 + [(10, prose(30, 2))]
     seen, build = [], m.build_pass
-    monkeypatch.setattr(m, "build_pass", lambda docs, passages: seen.append(passages.count()) or build(docs, passages))
+    monkeypatch.setattr(m, "build_pass", lambda passages, *rest: seen.append(passages.count()) or build(passages, *rest))
     found = m.contamination(documents([f"{prose(50, 3)} {item}"]), table(given, "item_id long, text string"))
     assert rows(found, "doc_id", "item_id") == [(0, 7)] * 40 + [(0, 8)]
     assert seen == [2]
 
 
+def rarest_changed(text, share, counts, seed):
+    """The text with the rarest part of its words replaced by new ones; the last five stay."""
+    r = random.Random(seed)
+    words = text.split()
+    by_count = sorted(range(len(words) - 5), key=lambda i: counts[words[i].lower().strip(".")])
+    others = set(by_count[: round(share * len(words))])
+    return " ".join(f"new{r.randrange(10**9)}" if i in others else w for i, w in enumerate(words))
+
+
+@pytest.mark.parametrize("size", [15, 27, 40, 59, 120])
+def test_recall_of_all_leaks(spark, table, size):
+    """Of leaks by the check itself, over every alignment, nearly all are found whatever words were replaced."""
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'").orderBy("doc_id").collect()]
+    texts = [" ".join((t or "").split()) for t in texts]
+    counts = Counter(w for t in texts for w in {x.lower().strip(".") for x in t.split()})
+    r = random.Random(size)
+    long = [t for t in texts if len(t.split()) > size + 20]
+    items, planted = [], []
+    for i in range(25):
+        words = r.choice(long).split()
+        begin = r.randrange(len(words) - size)
+        items.append(" ".join(words[begin : begin + size]))
+        for made in (items[-1], changed(items[-1], 0.35, i, 5), rarest_changed(items[-1], 0.2, counts, i), rarest_changed(items[-1], 0.35, counts, i), rarest_changed(items[-1], 0.38, counts, i)):
+            other = r.choice(long).split()
+            cut = r.randrange(len(other))
+            planted.append(" ".join([*other[:cut], made, *other[cut:]]))
+    bench = table(list(enumerate(items)), "item_id long, text string")
+    docs = table(list(enumerate(planted + texts)), "doc_id long, text string")
+    found = {tuple(x) for x in rows(m.contamination(docs, bench), "doc_id", "item_id")}
+    passages = [m.Passage(own) for own in m.token_lists(pa.array(items))]
+    leaks = set()
+    for doc_id, own in enumerate(m.token_lists(pa.array(planted))):
+        for item_id, passage in enumerate(passages):
+            if passage.best(own, -passage.size - passage.room, len(own)):
+                leaks.add((doc_id, item_id))
+    assert len(leaks) > 115  # a few texts are no leaks, as new words may fall upon repeated ones
+    assert len(leaks & found) >= 0.99 * len(leaks)
+    assert {x for x in found if x[0] < len(planted)} <= leaks
+
+
+def test_many_passes_give_what_one_does(documents, table, prose, monkeypatch):
+    """Passages of several passes, and tokens counted in several scans."""
+    items = [prose(30, 1000 + i) for i in range(30)]
+    bench = table(list(enumerate(items)), "item_id long, text string")
+    docs = documents([f"{prose(50, i)} {x} {prose(50, 50 + i)}" for i, x in enumerate(items)])
+    one = rows(m.contamination(docs, bench).drop("cosine"))
+    for name, value in (("GROUP", 3), ("SPACES", 2), ("COUNTED", 100)):
+        monkeypatch.setattr(m, name, value)
+    assert rows(m.contamination(docs, bench).drop("cosine")) == one
+    assert len(one) >= 30
+
+
 def test_pieces_cover_a_passage():
     for size in range(1, 400):
         starts = m.piece_starts(size)
