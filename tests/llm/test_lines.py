@@ -1,6 +1,8 @@
 import random
+import time
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from llm_fixtures import ODD_TEXTS, documents, prose, rows, table  # noqa: F401
@@ -42,6 +44,33 @@ def test_edit_distance(most):
         assert found == right if right <= most else found > most, (a, b)
 
 
+def test_many_distances_at_once():
+    """Pairs of lines of any lengths, also some that are verified one by one, have the distances of single pairs."""
+    r = random.Random(6)
+    made = ["", "a", "ab"] + ["".join(r.choice("abé") for _ in range(r.randrange(40))) for _ in range(60)]
+    made += [edited(r.choice(made), r.randrange(5), r) for _ in range(200)]
+    long = "".join(r.choice("abcdefé") for _ in range(m.LONG + 5))
+    made += [long, edited(long, 2, r), edited(long, 4, r), edited(long, 1, r), long[1:-1] + "x"]
+    points = [m._points(x) for x in made]
+    x, y = np.array([(i, j) for i in range(len(made)) for j in range(len(made)) if i >= len(made) - 5 or j < len(made) - 5]).T
+    found = m._band(2).within(points, x, y)
+    for i, j, near in zip(x.tolist(), y.tolist(), found.tolist(), strict=True):
+        if max(len(made[i]), len(made[j])) < 100:
+            assert near == (distance(made[i], made[j]) <= 2), (made[i], made[j])
+        else:
+            assert near == (m.edit_distance(made[i], made[j], 2) <= 2)
+    assert found.sum() > 300
+
+
+def test_long_lines_are_verified_fast():
+    r = random.Random(7)
+    line = "".join(r.choice("abcdefé ") for _ in range(1_000_000))
+    for other, expected in ((f"x{line[:-1]}y", 2), (f"x{line[1:]}yz", 3), (f"x{line}y", 2), (f"x{line[1:-1]}y", 2), (f"{line[1:]}z", 2)):
+        begin = time.process_time()
+        assert (m.edit_distance(line, other, 2) <= 2) == (expected <= 2)
+        assert time.process_time() - begin < 1
+
+
 def brute(texts):
     """All lines that take part, with their class."""
     every = []
@@ -106,6 +135,40 @@ def test_classes_are_those_of_all_pairs(documents, prose):
     assert sorted(rows(found, *COLUMNS)) == brute(texts)
 
 
+@pytest.mark.parametrize("crowd, block", [(20, 16), (5, 512), (60, 7)])
+def test_crowds_have_the_links_of_all_pairs(documents, monkeypatch, crowd, block):
+    """Keys of many lines, compared in blocks, count each link once and connect what pairs do."""
+    monkeypatch.setattr(m, "CROWD", crowd)
+    monkeypatch.setattr(m, "BLOCK", block)
+    r = random.Random(crowd)
+    made = lines_of(3) + lines_of(4)
+    made += [f"row {r.randrange(10)}{r.randrange(10)} of the table of all the towns, seen" for _ in range(150)]
+    made += [f"item {r.randrange(10**6):06} on the long list of names and places there" for _ in range(150)]
+    made += [x[:20] + r.choice("abc") + x[20:] for x in made[-200:-100]]
+    made += ["ab" * 17 + "a" * r.randrange(3) + r.choice("abc") for _ in range(40)]
+    texts = ["\n".join(made[i : i + 7]) for i in range(0, len(made), 7)]
+    found = m.line_classes(documents(texts).repartition(4))
+    assert sorted(rows(found, *COLUMNS)) == brute(texts)
+
+
+def test_lines_of_one_form_emit_rows_in_proportion(documents, monkeypatch):
+    """Five thousand lines with two free signs: all are linked with all, and no pairs are written."""
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 71)]
+    made = [f"the same long form of a line {a} and the rest {b} of it" for a in letters for b in letters][:5000]
+    sizes, write = [], m.written
+
+    def counting(df):
+        out = write(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(m, "written", counting)
+    docs = documents(["\n".join(made[i : i + 50]) for i in range(0, len(made), 50)])
+    found = m.line_classes(docs).groupBy("class_doc", "class_line", "n_links", "n_copies").count().collect()
+    assert [tuple(x) for x in found] == [(0, 0, 4999, 5000, 5000)]
+    assert max(sizes) < 40 * len(made)
+
+
 def test_documents_without_repeated_lines(documents):
     line, other = "this line stands in several documents", "and this is another line of some length"
     texts = [f"{line}\nshort\n{other}", f"short\n{line}!\nshort", line, None, "", f"{other}\n{other}\n  ", " \n "]
