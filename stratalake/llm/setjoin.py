@@ -12,9 +12,9 @@ that both sizes ask for, so for each pair of sizes all blocks from some position
 sizes that are too far apart are never compared. Entries that no other block can match are dropped,
 lists of one entry with them. Lists that hold the same sets are one list.
 
-Skipping between sets: each list has a leader, the set that meets most others in lists, and every set
-of a list is compared with it in full. Those it is linked with are one component with it. What is then still apart in a
-list is compared as differences from the leader, which are short for similar sets: with leader L, and M and
+Skipping between sets: each list has a leader, the set that meets most others in lists. Every set
+is compared in full with the leader of its longest list, then with leaders of its other lists that are not in its
+component by that. What is then still apart in a list is compared as differences from the leader, which are short for similar sets: with leader L, and M and
 E what L has more and less than a set,
 
     common(X, Y) = size(L) - size(MX) - size(MY) + common(MX, MY) + common(EX, EY),
@@ -290,36 +290,68 @@ def _members(docs: DataFrame, order: np.ndarray, words: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, rows: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of all sets in lists, each from one document; written."""
-    wanted = size_bounded(written(members.select("node").distinct()), BROADCAST_ROWS)
-    places = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("place"))
-    places = size_bounded(written(places.select("node", "place.*")), BROADCAST_ROWS)
+    """(node, leaders, shingles) of all sets in lists, each from one document; written.
+
+    Repeated rows of a document give its set once for each task.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
+        for batch in batches:
+            new = pa.array(seen.new(batch.column("node").to_numpy().view(np.uint64)))
+            yield batch.select(["node", "leaders", "text"]).filter(new)
+
+    other = F.when(F.col("node") != F.col("leader"), F.col("leader"))
+    leaders = members.groupBy("node").agg(F.collect_set(other).alias("leaders"))
+    places = rows.where("size > 0").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("place"))
+    places = size_bounded(written(places.join(leaders, "node").select("node", "leaders", "place.*")), BROADCAST_ROWS)
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "text")
     chosen = texts.join(places, texts["_id"].eqNullSafe(places["doc_id"]) & (texts["_hash"] == places["text_hash"]))
-    # repeated rows give their set once more each, so one of them is taken
-    return written(chosen.select("node", shingle_sets(F.col("text"), words).alias("shingles")).dropDuplicates(["node"]))
+    chosen = chosen.select("node", "leaders", "text").mapInArrow(lean(sets), "node long, leaders array<long>, text string")
+    return written(chosen.select("node", "leaders", shingle_sets(F.col("text"), words).alias("shingles")))
 
 
-def _with_leader(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _with_leader(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs (node, leader) with both sets, ``own`` and ``led``; the sets of a leader of many go to several tasks."""
     counts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
     counts = size_bounded(written(counts), BROADCAST_ROWS)
-    pairs = pairs.join(counts, "leader").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))).drop("chunks")
-    own = pairs.join(sets.withColumnRenamed("shingles", "own"), "node")
-    leaders = counts.join(sets.select(F.col("node").alias("leader"), F.col("shingles").alias("led")), "leader")
+    many = size_bounded(counts.where("chunks > 1"), BROADCAST_ROWS)
+    own = sets.select("node", F.explode("leaders").alias("leader"), F.col("shingles").alias("own"))
+    own = own.join(size_bounded(pairs, BROADCAST_ROWS), ["node", "leader"], "left_semi")
+    chunk = F.pmod(F.xxhash64("node"), F.coalesce("chunks", F.lit(1).cast("long")))
+    own = own.join(many, "leader", "left").withColumn("chunk", chunk).drop("chunks")
+    leaders = sets.select(F.col("node").alias("leader"), F.col("shingles").alias("led")).join(counts, "leader")
     leaders = leaders.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks")
     return own.join(leaders.hint("merge"), ["leader", "chunk"])
 
 
-def _linked(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) of sets that are linked with a leader of theirs; written."""
-    pairs = members.where("node <> leader").select("node", "leader").distinct()
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of these pairs (node, leader) whose sets are linked; written."""
     both = F.size(F.array_intersect("own", "led"))
     union = F.size("own") + F.size("led") - both
-    found = _with_leader(pairs, sets).where(100 * both >= SIMILAR_PERCENT * union)
+    found = _with_leader(sets, pairs).where(100 * both >= SIMILAR_PERCENT * union)
     return written(found.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
 
 
+def _led(members: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, component) by links with leaders: first of each set with the leader of its longest list, then with
+    leaders that are not in its component by that; written. Sizes too far apart are no links."""
+    sizes = size_bounded(written(rows.select("node", "size").distinct()), BROADCAST_ROWS)
+    pairs = members.where("node <> leader").groupBy("node", "leader").agg(F.max("members").alias("members"))
+    pairs = pairs.join(sizes, "node").join(sizes.select(F.col("node").alias("leader"), F.col("size").alias("led")), "leader")
+    fits = 100 * F.least("size", "led") >= SIMILAR_PERCENT * F.greatest("size", "led")
+    pairs = written(pairs.where(fits).select("node", "leader", "members"))
+    best = pairs.groupBy("node").agg(F.max_by("leader", F.struct("members", "leader")).alias("leader"))
+    first = _linked(written(best), sets)
+    near = components(first)
+    rest = pairs.select("node", "leader")
+    for side in ("node", "leader"):
+        rest = rest.join(near.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}")), side, "left")
+    apart = F.coalesce("of_node", "node") != F.coalesce("of_leader", "leader")
+    second = _linked(written(rest.where(apart).select("node", "leader")), sets)
+    return components(first.union(second))
+
+
 def _rest_links(members: DataFrame, near: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between components that meet in a list, as links of components; written."""
     placed = members.join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -329,10 +361,16 @@ def _rest_links(members: DataFrame, near: DataFrame, sets: DataFrame) -> DataFra
     open_ = size_bounded(written(open_.where("most < all").select("list", "main", (F.col("all") - F.col("most")).alias("others"))), BROADCAST_ROWS)
     rows = written(placed.join(open_, "list").withColumn("other", F.col("component") != F.col("main")))
     missing, extra = F.array_except("led", "own"), F.array_except("own", "led")
-    apart = _with_leader(rows.select("node", "leader").distinct(), sets).select(
+    pairs = written(rows.where("node <> leader").select("node", "leader").distinct())
+    apart = _with_leader(sets, pairs).select(
         "node", "leader", F.size("own").alias("size"), F.size("led").alias("led"), F.size(missing).alias("missing"), F.concat(missing, extra).alias("apart")
     )
-    apart = written(apart)
+    led = size_bounded(written(pairs.select(F.col("leader").alias("node")).distinct()), BROADCAST_ROWS)
+    size = F.size("shingles")
+    selves = sets.join(led, "node", "left_semi").select(
+        "node", F.col("node").alias("leader"), size.alias("size"), size.alias("led"), F.lit(0).alias("missing"), F.slice("shingles", 1, 0).alias("apart")
+    )
+    apart = written(apart.union(selves).dropDuplicates(["node", "leader"]))
     hashed = F.xxhash64("node")
     n_left, n_right = (F.ceil(F.col(c) / BLOCK).cast("long") for c in ("others", "members"))
     left = rows.where("other").withColumn("i", F.pmod(hashed, n_left)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), n_right - 1)))
@@ -395,7 +433,7 @@ def jaccard_classes(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     rows = every.where("range is null").drop("range", "counts")
     members = _members(docs, _order(every), words)
     sets = _sets(docs, rows, members, words)
-    near = components(_linked(members, sets)).select("node", "component")
+    near = _led(members, rows.where("size > 0"), sets)
     joined = components(_rest_links(members, near, sets))
     outer = joined.select(F.col("node").alias("component"), F.col("component").alias("outer"))
     inner = near.join(outer, "component", "left").select("node", F.coalesce("outer", "component").alias("component"))
