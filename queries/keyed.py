@@ -107,6 +107,44 @@ def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def upsert_partition_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few changed and new keys in partitions of eight files: only files that hold the changed ones are rewritten."""
+    path = f"{scratch(spark)}/trusted/orders"
+    orders = table(spark, sf_dir, "orders").withColumn("version", F.lit(1))
+    stored = orders.filter("o_orderkey % 1000 <> 7").repartitionByRange(8, "o_orderkey")
+    stored.write.partitionBy("o_orderstatus").parquet(path)
+    changed = orders.filter("o_orderkey % 1000 = 7 OR o_orderkey BETWEEN 100 AND 200")
+    changed = changed.withColumn("version", F.lit(2)).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    upsert(changed, path, ["o_orderkey"], ["version"], ["o_orderstatus"])
+    return spark.read.parquet(path)
+
+
+def upsert_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a nested column that gains fields: stored ones lack them, and the merge gives them NULL."""
+    path = f"{scratch(spark)}/trusted/orders"
+    orders = table(spark, sf_dir, "orders")
+    key, order, by = ["o_orderkey"], ["version"], ["o_orderstatus"]
+    stored = orders.filter("o_orderdate < '2000-01-01'").select(
+        "o_orderkey", "o_orderstatus", F.struct("o_custkey", F.array(F.struct("o_orderpriority")).alias("notes")).alias("about"), F.lit(1).alias("version")
+    )
+    notes = F.array(F.struct("o_orderpriority", F.year("o_orderdate").alias("year")))
+    changed = orders.filter("o_orderdate >= '1997-01-01'").select(
+        "o_orderkey", "o_orderstatus", F.struct("o_orderdate", "o_custkey", notes.alias("notes")).alias("about"), F.lit(2).alias("version")
+    )
+    upsert(stored, path, key, order, by)
+    upsert(changed, path, key, order, by)
+    found = spark.read.option("mergeSchema", "true").parquet(path)
+    return found.select(
+        "o_orderkey",
+        "o_orderstatus",
+        "version",
+        "about.o_custkey",
+        "about.o_orderdate",
+        F.col("about.notes")[0]["o_orderpriority"].alias("o_orderpriority"),
+        F.col("about.notes")[0]["year"].alias("year"),
+    )
+
+
 def upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of conversations: those of users come again, in upper case, and win their ties."""
     path = f"{scratch(spark)}/trusted/conversations"
@@ -218,14 +256,23 @@ _KEPT_SQL = "SELECT *, 1 AS version FROM orders WHERE o_orderdate < TIMESTAMP '1
 _FINISHED_SQL = "CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END"
 _UPSERT_SQL = f"{_KEPT_SQL} UNION ALL {_CHANGED_SQL}"
 
+_FEW_SQL = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
+       CASE WHEN changed THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN changed THEN 2 ELSE 1 END AS version
+FROM (SELECT *, o_orderkey % 1000 = 7 OR o_orderkey BETWEEN 100 AND 200 AS changed FROM orders)
+"""
+
 CHECKS = {
-    "upsert_few": (
-        upsert_few,
+    "upsert_few": (upsert_few, _FEW_SQL),
+    "upsert_partition_few": (upsert_partition_few, _FEW_SQL),
+    "upsert_nested": (
+        upsert_nested,
         """
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
-               CASE WHEN changed THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-               CASE WHEN changed THEN 2 ELSE 1 END AS version
-        FROM (SELECT *, o_orderkey % 1000 = 7 OR o_orderkey BETWEEN 100 AND 200 AS changed FROM orders)
+        SELECT o_orderkey, o_orderstatus, CASE WHEN new THEN 2 ELSE 1 END AS version, o_custkey,
+               CASE WHEN new THEN o_orderdate END AS o_orderdate, o_orderpriority,
+               CASE WHEN new THEN year(o_orderdate)::INTEGER END AS year
+        FROM (SELECT *, o_orderdate >= TIMESTAMP '1997-01-01' AS new FROM orders)
         """,
     ),
     "dedupe_batch": (

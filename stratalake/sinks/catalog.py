@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructField, StructType
 
 from stratalake.functions.names import find_name, quoted
+from stratalake.operators.reconcile import reconciled
 from stratalake.sinks import storage
 
 # Partitions added by one statement.
@@ -71,14 +72,19 @@ def refresh_table(
 
 
 def with_table_columns(spark: SparkSession, name: str, path: str, schema: StructType) -> StructType:
-    """``schema`` and the columns only the dataset's table has.
+    """``schema`` and the columns, and fields of columns, only the dataset's table has.
 
     A merge sees the partitions it touches; others may have columns of their own.
     """
     if not spark.catalog.tableExists(name) or not _is_at(spark, name, path):
         return schema
-    others = [f for f in spark.table(name).schema if find_name(schema.names, f.name) is None]
-    return StructType([*schema, *others])
+    known = spark.table(name).schema
+    fields = []
+    for field in schema:
+        own = find_name(known.names, field.name)
+        kind = reconciled(known[own].dataType, field.dataType, widen=False) if own else None
+        fields.append(StructField(field.name, kind or field.dataType))
+    return StructType([*fields, *[f for f in known if find_name(schema.names, f.name) is None]])
 
 
 def _is_registered(

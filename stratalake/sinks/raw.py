@@ -9,6 +9,7 @@ from stratalake.functions.names import require_distinct
 from stratalake.layers import BATCH_COLUMN
 from stratalake.sinks import storage
 from stratalake.sinks.catalog import refresh_table, require_registrable, table_name
+from stratalake.sinks.ownership import owned
 
 
 def stamp_batch(df: DataFrame, batch_date: str) -> DataFrame:
@@ -25,17 +26,19 @@ def save_raw(
     """Write ``df`` as the batch of ``batch_date``, in place of any earlier run of it.
 
     Other dates stay as they are. The write is narrow: every task writes what it
-    reads. A run with no rows writes nothing and leaves an earlier run's rows.
+    reads. A run with no rows writes nothing and leaves an earlier run's rows. One run at a
+    time writes a date; runs of several dates may write at once.
     """
     spark = df.sparkSession
     require_registrable(spark, database, table)
     batch = stamp_batch(df, batch_date)
-    (
-        batch.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COLUMN)
-        .parquet(path)
-    )
+    with owned(spark, f"{path.rstrip('/')}__{batch_date}"):
+        (
+            batch.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH_COLUMN)
+            .parquet(path)
+        )
     if database is not None:
         stored = storage.exists(spark, f"{path.rstrip('/')}/{BATCH_COLUMN}={batch_date}")
         written = [{BATCH_COLUMN: batch_date}] if stored else []

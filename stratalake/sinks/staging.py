@@ -6,11 +6,8 @@ data from the moment it is whole until it is published. A run that dies in betwe
 leaves the marker, and the next run publishes again before it does anything else.
 
 A dataset that is replaced is moved aside first and deleted last, so there is no moment
-without either. One run at a time owns a path: an owner file beside it is created
-exclusively and renewed while the run lives, and a second run fails before it touches
-anything. A file that was not renewed for ``LEASE_SECONDS`` is a dead run's, and the next
-run takes over. (Where a file system cannot create a file exclusively, as some object
-stores, two runs that start at the same moment may both begin.)
+without either. One run at a time owns a path, see :mod:`stratalake.sinks.ownership`; what it
+stages carries its token, and it looks whether it still is the owner before it moves or deletes.
 
 Readers of the dataset may see it half published: there is no transaction log.
 """
@@ -18,16 +15,14 @@ Readers of the dataset may see it half published: there is no transaction log.
 from __future__ import annotations
 
 import json
-import threading
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
-from uuid import uuid4
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from stratalake.functions.names import find_name
 from stratalake.sinks import storage
+from stratalake.sinks.ownership import Owner
 from stratalake.sources.files import read_parquet
 
 # Beside the target and so on its file system, where a rename can reach it.
@@ -37,63 +32,31 @@ _REPEATED = "__repeated"
 _KNOWN = "__known"
 _KEPT = "__kept"
 _OLD = "__old"
-_OWNER = "__owner"
 _MARK = "__ready"
 
-# A run that lives renews its ownership several times within this.
-LEASE_SECONDS = 300
-
 AUTO = "auto"
 RENAME = "rename"
 REWRITE = "rewrite"
 
 
-def batch_stage(path: str) -> str:
-    return path.rstrip("/") + _BATCH
-
-
-def merge_stage(path: str) -> str:
-    return path.rstrip("/") + _MERGED
-
-
-def repeated_stage(path: str) -> str:
-    return path.rstrip("/") + _REPEATED
+def batch_stage(path: str, run: str = "") -> str:
+    return path.rstrip("/") + _BATCH + run
 
 
-def known_stage(path: str) -> str:
-    return path.rstrip("/") + _KNOWN
+def merge_stage(path: str, run: str = "") -> str:
+    return path.rstrip("/") + _MERGED + run
 
 
-def kept_stage(path: str) -> str:
-    return path.rstrip("/") + _KEPT
+def repeated_stage(path: str, run: str = "") -> str:
+    return path.rstrip("/") + _REPEATED + run
 
 
-@contextmanager
-def owned(spark: SparkSession, path: str) -> Iterator[None]:
-    """Own a dataset while writing it; fail if another run does."""
-    owner = path.rstrip("/") + _OWNER
-    run = json.dumps({"run": uuid4().hex, "application": spark.sparkContext.applicationId})
-    if not storage.create_new(spark, owner, run):
-        age = storage.age(spark, owner)
-        if age is not None and age < LEASE_SECONDS:
-            raise RuntimeError(f"another run is writing {path}, by {owner}, renewed {age:.0f} seconds ago")
-        storage.delete(spark, owner)
-        if not storage.create_new(spark, owner, run):
-            raise RuntimeError(f"another run has begun to write {path}, by {owner}")
-    over = threading.Event()
+def known_stage(path: str, run: str = "") -> str:
+    return path.rstrip("/") + _KNOWN + run
 
-    def renew() -> None:
-        while not over.wait(LEASE_SECONDS / 5):
-            storage.write_text(spark, owner, run)
 
-    renewing = threading.Thread(target=renew, daemon=True)
-    renewing.start()
-    try:
-        yield
-    finally:
-        over.set()
-        renewing.join()
-        storage.delete(spark, owner)
+def kept_stage(path: str, run: str = "") -> str:
+    return path.rstrip("/") + _KEPT + run
 
 
 def moves(spark: SparkSession, path: str, how: str) -> bool:
@@ -112,6 +75,7 @@ def publish(
     partitions: Sequence[str],
     options: Mapping | None = None,
     how: str = AUTO,
+    owner: Owner | None = None,
 ) -> list[str]:
     """Put the staged data in place and return the partition directories it has.
 
@@ -119,19 +83,27 @@ def publish(
     has. Where a rename moves directories in place nothing is copied; elsewhere (object
     stores) Spark writes the staged data once more.
     """
+    _require(owner)
     storage.write_text(spark, stage + _MARK, json.dumps(list(partitions)))
-    return _put_in_place(spark, stage, path, partitions, options or {}, how)
+    return _put_in_place(spark, stage, path, partitions, options or {}, how, owner)
+
+
+def _require(owner: Owner | None) -> None:
+    if owner is not None:
+        owner.require()
 
 
 def _put_in_place(
-    spark: SparkSession, stage: str, path: str, partitions: Sequence[str], options: Mapping, how: str
+    spark: SparkSession, stage: str, path: str, partitions: Sequence[str], options: Mapping, how: str, owner: Owner | None
 ) -> list[str]:
     directories = list(storage.partition_directories(spark, stage, len(partitions))) if partitions else []
     if moves(spark, path, how):
-        _rename(spark, stage, path, partitions, directories)
+        _rename(spark, stage, path, partitions, directories, owner)
         spark.catalog.refreshByPath(path)
     else:
+        _require(owner)
         _rewrite(spark, stage, path, partitions, options)
+    _require(owner)
     # The marker goes first: without it a stage that is only half deleted is not taken up again.
     storage.delete(spark, stage + _MARK)
     storage.delete(spark, stage)
@@ -139,39 +111,53 @@ def _put_in_place(
 
 
 def _rename(
-    spark: SparkSession, stage: str, path: str, partitions: Sequence[str], directories: list[str]
+    spark: SparkSession, stage: str, path: str, partitions: Sequence[str], directories: list[str], owner: Owner | None
 ) -> None:
     root = path.rstrip("/")
-    aside = root + _OLD
-    if not partitions or not storage.exists(spark, path):
-        storage.replace_directory(spark, stage, path, aside)
-        return
-    storage.for_each(
-        lambda directory: storage.replace_directory(
-            spark, f"{stage}/{directory}", f"{root}/{directory}", f"{aside}/{directory}"
-        ),
-        directories,
-    )
+    aside = root + _OLD + (owner.suffix if owner else "")
 
+    def move(directory: str) -> None:
+        _require(owner)
+        storage.replace_directory(spark, stage + directory, root + directory, aside + directory)
 
-def publish_files(spark: SparkSession, stage: str, path: str, replaced: Sequence[str]) -> None:
-    """Move the staged files among those of an unpartitioned dataset, then delete the ``replaced`` ones.
+    whole = not partitions or not storage.exists(spark, path)
+    storage.for_each(move, [""] if whole else [f"/{d}" for d in directories])
 
-    Only where a rename moves files in place. The marker names the replaced files, so a
+
+def publish_files(
+    spark: SparkSession, stage: str, path: str, replaced: Sequence[str], depth: int = 0, owner: Owner | None = None
+) -> list[str]:
+    """Move the staged files among those of a dataset, then delete the ``replaced`` ones; return the directories they are in.
+
+    ``depth`` is how many levels of partitions it has; names are relative to its root. Only where a
+    rename moves files in place. The marker names the replaced files, so a
     run that dies in between is made good like any other.
     """
-    storage.write_text(spark, stage + _MARK, json.dumps({"replaced": list(replaced)}))
-    _move_files(spark, stage, path, replaced)
+    _require(owner)
+    storage.write_text(spark, stage + _MARK, json.dumps({"replaced": list(replaced), "depth": depth}))
+    return _move_files(spark, stage, path, replaced, depth, owner)
 
 
-def _move_files(spark: SparkSession, stage: str, path: str, replaced: Sequence[str]) -> None:
+def _move_files(
+    spark: SparkSession, stage: str, path: str, replaced: Sequence[str], depth: int, owner: Owner | None
+) -> list[str]:
     root = path.rstrip("/")
-    if storage.exists(spark, stage):
-        storage.for_each(lambda name: storage.move_file(spark, f"{stage}/{name}", f"{root}/{name}"), storage.data_files(spark, stage))
-    storage.for_each(lambda name: storage.delete(spark, f"{root}/{name}"), replaced)
+    staged = storage.files_below(spark, stage, depth)
+
+    def move(name: str) -> None:
+        _require(owner)
+        storage.move_file(spark, f"{stage}/{name}", f"{root}/{name}")
+
+    def drop(name: str) -> None:
+        _require(owner)
+        storage.delete(spark, f"{root}/{name}")
+
+    storage.for_each(move, staged)
+    storage.for_each(drop, replaced)
     spark.catalog.refreshByPath(path)
     storage.delete(spark, stage + _MARK)
     storage.delete(spark, stage)
+    return sorted({name.rpartition("/")[0] for name in staged})
 
 
 def _rewrite(spark: SparkSession, stage: str, path: str, partitions: Sequence[str], options: Mapping) -> None:
@@ -187,23 +173,26 @@ def _rewrite(spark: SparkSession, stage: str, path: str, partitions: Sequence[st
     )
 
 
-def recover(spark: SparkSession, path: str, options: Mapping | None = None, how: str = AUTO) -> None:
+def recover(spark: SparkSession, path: str, options: Mapping | None = None, how: str = AUTO, owner: Owner | None = None) -> None:
     """Finish what an earlier run left whole but not published, drop what it left unfinished."""
-    for stage in (batch_stage(path), merge_stage(path)):
-        mark = _read_mark(spark, stage)
-        if isinstance(mark, dict):
-            _move_files(spark, stage, path, mark["replaced"])
-        elif mark is not None and storage.exists(spark, stage):
-            _put_in_place(spark, stage, path, mark, options or {}, how)
-    discard(spark, path)
-
-
-def discard(spark: SparkSession, path: str) -> None:
+    for kind in (batch_stage(path), merge_stage(path)):
+        marks = storage.beside(spark, path, kind[len(path.rstrip("/")) :])
+        for stage in (name.removesuffix(_MARK) for name in marks if name.endswith(_MARK)):
+            mark = _read_mark(spark, stage)
+            if isinstance(mark, dict):
+                _move_files(spark, stage, path, mark["replaced"], mark.get("depth", 0), owner)
+            elif mark is not None and storage.exists(spark, stage):
+                _put_in_place(spark, stage, path, mark, options or {}, how, owner)
+    discard(spark, path, owner)
+
+
+def discard(spark: SparkSession, path: str, owner: Owner | None = None) -> None:
     """Drop the stages of this run, or what an earlier one left of its own."""
+    _require(owner)
     for suffix in (_BATCH, _MERGED, _REPEATED, _KNOWN, _KEPT, _OLD):
-        stage = path.rstrip("/") + suffix
-        storage.delete(spark, stage + _MARK)
-        storage.delete(spark, stage)
+        # markers first: without one, a stage that is half deleted is not taken up again
+        for name in sorted(storage.beside(spark, path, suffix), key=lambda name: not name.endswith(_MARK)):
+            storage.delete(spark, name)
 
 
 def _read_mark(spark: SparkSession, stage: str) -> list[str] | dict | None:
@@ -212,10 +201,11 @@ def _read_mark(spark: SparkSession, stage: str) -> list[str] | dict | None:
     They are taken from the marker, not from the run at hand, whose job may have changed.
     A marker that broke off was written by a run that had not moved anything yet.
     """
-    if not storage.exists(spark, stage + _MARK):
+    text = storage.read_if_exists(spark, stage + _MARK)
+    if text is None:
         return None
     try:
-        return json.loads(storage.read_text(spark, stage + _MARK))
+        return json.loads(text)
     except json.JSONDecodeError:
         return None
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
@@ -58,9 +57,43 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
-def read_text(spark: SparkSession, path: str) -> str:
-    row = spark.read.text(path, wholetext=True).first()
-    return row["value"] if row else ""
+def read_if_exists(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    fs, where = _open(spark, path)
+    try:
+        stream = fs.open(where)
+    except Py4JJavaError:
+        if fs.exists(where):
+            raise
+        return None
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8", "replace")
+    finally:
+        stream.close()
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Whether the file was there and was moved."""
+    fs, where = _open(spark, source)
+    _, there = _open(spark, target)
+    try:
+        return fs.rename(where, there)
+    except Py4JJavaError:
+        if fs.exists(where):
+            raise
+        return False
+
+
+def beside(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """Files and directories next to ``path`` whose names are its own and the suffix, and maybe more."""
+    fs, where = _open(spark, path.rstrip("/"))
+    parent = where.getParent()
+    if not fs.exists(parent):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(parent)]
+    own = where.getName() + suffix
+    above = path.rstrip("/")[: -len(where.getName())]
+    return [above + name for name in sorted(names) if name.startswith(own)]
 
 
 def renames_in_place(spark: SparkSession, path: str) -> bool:
@@ -83,16 +116,15 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
-def age(spark: SparkSession, path: str) -> float | None:
-    """Seconds since the file was written, or None if there is none."""
+def written_at(spark: SparkSession, path: str) -> int | None:
+    """When the file was written, in milliseconds of the file system's clock, or None if there is none."""
     fs, where = _open(spark, path)
     try:
-        written = fs.getFileStatus(where).getModificationTime()
+        return fs.getFileStatus(where).getModificationTime()
     except Py4JJavaError:
         if fs.exists(where):
             raise
         return None
-    return time.time() - written / 1000
 
 
 def replace_directory(spark: SparkSession, source: str, target: str, aside: str) -> None:
@@ -118,6 +150,7 @@ def replace_directory(spark: SparkSession, source: str, target: str, aside: str)
 def move_file(spark: SparkSession, source: str, target: str) -> None:
     fs, where = _open(spark, source)
     _, there = _open(spark, target)
+    fs.mkdirs(there.getParent())
     if not fs.rename(where, there):
         raise OSError(f"could not move {source} to {target}")
 
@@ -129,9 +162,29 @@ def data_files(spark: SparkSession, path: str) -> dict[str, int]:
     return {s.getPath().getName(): s.getLen() for s in found}
 
 
-def file_name(spark: SparkSession, uri: str) -> str:
-    """The name of a file whose address is given as a URI."""
-    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).getName()
+def files_below(spark: SparkSession, path: str, depth: int) -> dict[str, int]:
+    """Names relative to ``path``, and sizes, of the data files in the directories ``depth`` levels down."""
+    if not exists(spark, path):
+        return {}
+    directories = list(partition_directories(spark, path, depth)) if depth else [""]
+    return files_in(spark, path, directories)
+
+
+def files_in(spark: SparkSession, path: str, directories: Iterable[str]) -> dict[str, int]:
+    """Names relative to ``path``, and sizes, of the data files right in these directories below it."""
+    prefixes = [f"{d}/" if d else "" for d in directories]
+    found = for_each(lambda prefix: data_files(spark, f"{path}/{prefix}"), prefixes)
+    return {prefix + name: size for prefix, own in zip(prefixes, found, strict=True) for name, size in own.items()}
+
+
+def relative_name(spark: SparkSession, uri: str, depth: int) -> str:
+    """The last parts of a file's address, given as a URI: its directories of so many levels, and its name."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    parts = [where.getName()]
+    for _ in range(depth):
+        where = where.getParent()
+        parts.append(where.getName())
+    return "/".join(reversed(parts))
 
 
 def partition_directories(spark: SparkSession, path: str, depth: int) -> Iterator[str]:
@@ -157,15 +210,6 @@ def partition_values(directory: str) -> dict[str, str | None]:
     return {unquote(name): None if value == _NULL_DIRECTORY else unquote(value) for name, _, value in levels}
 
 
-def usage(spark: SparkSession, path: str) -> tuple[int, int] | None:
-    """How many files ``path`` holds and their bytes, or None if it does not exist."""
-    fs, where = _open(spark, path)
-    if not fs.exists(where):
-        return None
-    summary = fs.getContentSummary(where)
-    return summary.getFileCount(), summary.getLength()
-
-
 def layout(spark: SparkSession, path: str) -> tuple[list[str], str] | None:
     """The partition columns of a dataset and one of its files, or None if there is no data."""
     fs, where = _open(spark, path)

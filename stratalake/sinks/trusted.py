@@ -10,6 +10,7 @@ from stratalake.functions.names import column, require_distinct, require_name
 from stratalake.operators.gather import gather
 from stratalake.sinks import staging, storage
 from stratalake.sinks.catalog import create_table, refresh_table, require_registrable, table_name, with_table_columns
+from stratalake.sinks.ownership import owned
 from stratalake.sinks.storage import partition_values
 from stratalake.sinks.upsert import NEWEST_WINS, upsert, with_directory_nulls
 
@@ -60,16 +61,17 @@ def save_trusted(
     in_part = kind == REPLACE_PARTITION and bool(partitions)
     publish = trusted.get("publish", staging.AUTO)
     df = with_directory_nulls(df, partitions)
-    with staging.owned(spark, path):
-        staging.recover(spark, path, options, publish)
+    with owned(spark, path) as owner:
+        staging.recover(spark, path, options, publish, owner)
         if in_part:
             storage.require_layout(spark, path, partitions)
         if staging.moves(spark, path, publish):
-            stage = staging.batch_stage(path)
+            stage = staging.batch_stage(path, owner.suffix)
             staging.write_stage(gather(df, partitions), stage, partitions, options)
-            written = staging.publish(spark, stage, path, partitions if in_part else (), options, publish)
-            staging.discard(spark, path)
+            written = staging.publish(spark, stage, path, partitions if in_part else (), options, publish, owner)
+            staging.discard(spark, path, owner)
         else:
+            owner.require()
             _overwrite(df, path, partitions, options, "dynamic" if in_part else "static")
             # One row per partition the write replaced, as the writer itself keeps on the driver.
             written = _written_values(df, partitions) if in_part and name else []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
@@ -16,6 +17,7 @@ from pyspark.sql.types import (
     IntegralType,
     NumericType,
     StringType,
+    StructField,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -25,7 +27,9 @@ from stratalake.functions.names import column, find_name, require_name
 from stratalake.operators.gather import gather
 from stratalake.operators.latest import latest_of_repeated, latest_per_key, repeated_keys
 from stratalake.operators.merge import Rule, kept_keys, known_keys, merge_newest, stored_after
+from stratalake.operators.reconcile import grown, reconciled
 from stratalake.sinks import staging, storage
+from stratalake.sinks.ownership import Owner, owned
 
 NEWEST_WINS = "newest_wins"
 INCOMING_WINS = "incoming_wins"
@@ -39,11 +43,13 @@ BROADCAST_BYTES = 64 << 20
 LARGE_BATCH_ROWS = 10_000_000
 COLUMNS_PER_KEY_COLUMN = 4
 
-# An unpartitioned dataset of more files than this, small ones on average, is compacted.
+# Small files of a partition that are no larger than twice what the batch has for it are rewritten with it
+# if they are more than FEW_FILES, so that it has few files of a size and a row is rewritten a few times only.
+# All small files of a partition, or of an unpartitioned dataset, are if they are more than MANY_FILES. Larger ones stay.
+FEW_FILES = 2
 MANY_FILES = 32
 
-# Touched partitions whose files are smaller than this on average are compacted when they
-# are rewritten. Well below what a compaction leaves, or it would be repeated every time.
+# What a small file is. Well below what a compaction leaves, or it would be repeated every time.
 SMALL_FILE_BYTES = 8 << 20
 
 
@@ -72,12 +78,14 @@ def upsert(
     for repeated keys before it is shuffled. A batch that does not read the same twice
     should be given without ``rows``.
 
-    One run at a time may write a path, see :mod:`stratalake.sinks.staging`.
+    Structs of the batch may have fields that stored ones lack, and the other way round, at any depth.
+
+    One run at a time may write a path, see :mod:`stratalake.sinks.ownership`.
     """
-    with staging.owned(batch.sparkSession, path):
+    with owned(batch.sparkSession, path) as owner:
         large = LARGE_BATCH_ROWS if large_batch_rows is None else large_batch_rows
         repeatable = rows is not None and rows >= large
-        return _upsert(batch, path, keys, order, partitions, stale, options, broadcast_bytes, publish, repeatable)
+        return _upsert(batch, path, keys, order, partitions, stale, options, broadcast_bytes, publish, repeatable, owner)
 
 
 def _upsert(
@@ -91,6 +99,7 @@ def _upsert(
     broadcast_bytes: int,
     publish: str,
     large: bool,
+    owner: Owner,
 ) -> tuple[StructType, list[str]]:
     if stale not in (NEWEST_WINS, INCOMING_WINS):
         raise ValueError(f"stale must be {NEWEST_WINS!r} or {INCOMING_WINS!r}, not {stale!r}")
@@ -100,88 +109,113 @@ def _upsert(
     keys, order, partitions = ([require_name(batch, c) for c in names] for names in (keys, order, partitions))
     batch = with_directory_nulls(batch, partitions)
     rule = Rule(keys, order, partitions, stale == NEWEST_WINS)
-    staging.recover(spark, path, options, publish)
+    staging.recover(spark, path, options, publish, owner)
     file = storage.require_layout(spark, path, partitions)
     if file and partitions:
         # Partitions the batch does not touch are not read, but one dataset has one type for a column.
-        _require_compatible(spark.read.parquet(file).schema, batch.schema, widen=False)
+        _common_schema(spark.read.parquet(file).schema, batch.schema, widen=False)
 
-    staged_at = staging.batch_stage(path)
-    winners = _one_per_key(batch, rule, path, broadcast_bytes, large)
+    staged_at = staging.batch_stage(path, owner.suffix)
+    winners = _one_per_key(batch, rule, path, broadcast_bytes, large, owner)
     staging.write_stage(gather(winners, partitions), staged_at, partitions, options)
     staged = staging.read_as(spark, [staged_at], staged_at, batch.schema)
     facts = _measure(staged, rule)
     if facts["null_keys"] or not facts["rows"]:
-        staging.discard(spark, path)
+        staging.discard(spark, path, owner)
         if facts["null_keys"]:
             raise ValueError(f"the batch has rows with NULL in a key column, of {keys}")
         return batch.schema, []
 
-    target, fragmented = _read_touched(spark, path, staged_at, staged, partitions) if file else (None, False)
+    target, files = _read_touched(spark, path, staged_at, staged, partitions) if file else (None, {})
     if target is None:
-        written = staging.publish(spark, staged_at, path, partitions, options, publish)
-        staging.discard(spark, path)
+        written = staging.publish(spark, staged_at, path, partitions, options, publish, owner)
+        staging.discard(spark, path, owner)
         return staged.schema, written
 
-    _require_compatible(target.schema, staged.schema, widen=not partitions)
-    if not partitions and _replace_files(target, staged, rule, facts, path, options, broadcast_bytes, publish):
-        return target.schema, []
-    merged, shuffled = _merge(target, staged, rule, facts, path, broadcast_bytes)
+    common = _common_schema(target.schema, staged.schema, widen=not partitions)
+    small = _small_files(files, storage.files_below(spark, staged_at, len(partitions)))
+    if target.schema == common and {f.name for f in staged.schema} == set(common.names):
+        written = _replace_files(target, grown(staged, common), files, small, rule, facts, path, options, broadcast_bytes, publish, owner)
+        if written is not None:
+            return target.schema, written
+    merged, shuffled = _merge(grown(target, common), grown(staged, common), rule, facts, path, broadcast_bytes, owner)
     schema = merged.schema
-    if fragmented or shuffled:
+    if shuffled or small:
         # A shuffle by key leaves rows of every partition in every task, and so a file each.
         merged = gather(merged, partitions)
-    merged_at = staging.merge_stage(path)
+    merged_at = staging.merge_stage(path, owner.suffix)
     staging.write_stage(merged, merged_at, partitions, options)
-    written = staging.publish(spark, merged_at, path, partitions, options, publish)
-    staging.discard(spark, path)
+    written = staging.publish(spark, merged_at, path, partitions, options, publish, owner)
+    staging.discard(spark, path, owner)
     return schema, written
 
 
 def _replace_files(
     target: DataFrame,
     staged: DataFrame,
+    files: Mapping[str, int],
+    small: set[str],
     rule: Rule,
     facts: Mapping,
     path: str,
     options: Mapping | None,
     broadcast_bytes: int,
     publish: str,
-) -> bool:
-    """Rewrite only the files of an unpartitioned dataset that hold keys of the batch; add its new rows beside them.
+    owner: Owner,
+) -> list[str] | None:
+    """Rewrite only the files that hold keys of the batch, and small ones if they are many; add new rows beside them.
 
-    False, and nothing done, where that is no gain or not possible: the batch's keys are too
-    many to broadcast, all files hold some, files are many and small, columns change, or a
-    rename does not move files in place.
+    Which files those are comes from key columns alone. Returns the partitions written; None, and nothing
+    done, where that is no gain or not possible: the batch's keys are too
+    many to broadcast, all files hold some, or a rename does not move files in place.
     """
     spark = target.sparkSession
-    same_columns = {f.name: f.dataType for f in target.schema} == {f.name: f.dataType for f in staged.schema}
-    if not same_columns or facts["key_bytes"] > broadcast_bytes or not staging.moves(spark, path, publish):
-        return False
-    root = path.rstrip("/")
-    files = storage.data_files(spark, root)
-    if len(files) > MANY_FILES and sum(files.values()) < SMALL_FILE_BYTES * len(files):
-        return False
-    keys = {k: f"__f{i}" for i, k in enumerate(rule.keys)}
-    wanted = F.broadcast(staged.select(*[column(k).alias(n) for k, n in keys.items()]))
-    same = reduce(operator.and_, [column(k) == F.col(n) for k, n in keys.items()])
-    stored = target.select(F.col("_metadata.file_path").alias("__file"), *map(column, rule.keys))
+    if facts["key_bytes"] > broadcast_bytes or not staging.moves(spark, path, publish):
+        return None
+    root, depth = path.rstrip("/"), len(rule.partitions)
+    names = {c: f"__f{i}" for i, c in enumerate(rule.match)}
+    wanted = F.broadcast(staged.select(*[column(c).alias(n) for c, n in names.items()]))
+    same = reduce(operator.and_, [column(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    stored = target.select(F.col("_metadata.file_path").alias("__file"), *map(column, rule.match))
     found = stored.join(wanted, same, "left_semi").select("__file").distinct().collect()
-    touched = sorted(storage.file_name(spark, row[0]) for row in found)
-    if len(touched) == len(files):
-        return False
+    touched = {storage.relative_name(spark, row[0], depth) for row in found}
+    replaced = sorted(touched | small)
+    if len(replaced) == len(files):
+        return None
     merged = staged
-    if touched:
-        part = staging.read_as(spark, [f"{root}/{name}" for name in touched], root, target.schema)
+    if replaced:
+        part = staging.read_as(spark, [f"{root}/{name}" for name in replaced], root, target.schema)
         merged = merge_newest(part, staged, rule, facts["oldest"], broadcast_known=True)
-    merged_at = staging.merge_stage(path)
-    staging.write_stage(merged.select(*map(column, target.columns)), merged_at, (), options)
-    staging.publish_files(spark, merged_at, path, touched)
-    staging.discard(spark, path)
-    return True
-
-
-def _one_per_key(batch: DataFrame, rule: Rule, path: str, broadcast_bytes: int, large: bool) -> DataFrame:
+    merged_at = staging.merge_stage(path, owner.suffix)
+    merged = merged.select(*map(column, target.columns))
+    if rule.partitions:
+        merged = gather(merged, rule.partitions)
+    elif small:
+        merged = merged.hint("rebalance")
+    staging.write_stage(merged, merged_at, rule.partitions, options)
+    written = staging.publish_files(spark, merged_at, path, replaced, depth, owner)
+    staging.discard(spark, path, owner)
+    return written if rule.partitions else []
+
+
+def _small_files(files: Mapping[str, int], added: Mapping[str, int]) -> set[str]:
+    """The small files that are due to be rewritten as fewer, by the sizes of all and of what the batch adds."""
+    by_directory: dict[str, list[str]] = {}
+    for name, size in files.items():
+        if size < SMALL_FILE_BYTES:
+            by_directory.setdefault(name.rpartition("/")[0], []).append(name)
+    sizes = Counter()
+    for name, size in added.items():
+        sizes[name.rpartition("/")[0]] += size
+    due = set()
+    for directory, small in by_directory.items():
+        alike = [name for name in small if directory and files[name] <= 2 * sizes[directory]]
+        for names, most in ((alike, FEW_FILES), (small, MANY_FILES)):
+            due |= set(names) if len(names) > most else set()
+    return due
+
+
+def _one_per_key(batch: DataFrame, rule: Rule, path: str, broadcast_bytes: int, large: bool, owner: Owner) -> DataFrame:
     """The newest row of every key in the batch.
 
     Most batches have no key twice. In a large one whose keys are a small part of its
@@ -189,7 +223,7 @@ def _one_per_key(batch: DataFrame, rule: Rule, path: str, broadcast_bytes: int,
     """
     if not large or len(batch.columns) < COLUMNS_PER_KEY_COLUMN * len(rule.match):
         return latest_per_key(batch, rule.match, rule.order)
-    repeated = _aside(repeated_keys(batch, rule.match), staging.repeated_stage(path))
+    repeated = _aside(repeated_keys(batch, rule.match), staging.repeated_stage(path, owner.suffix))
     size = _key_bytes(repeated)
     if size == 0:
         return batch
@@ -199,7 +233,7 @@ def _one_per_key(batch: DataFrame, rule: Rule, path: str, broadcast_bytes: int,
 
 
 def _merge(
-    target: DataFrame, staged: DataFrame, rule: Rule, facts: Mapping, path: str, broadcast_bytes: int
+    target: DataFrame, staged: DataFrame, rule: Rule, facts: Mapping, path: str, broadcast_bytes: int, owner: Owner
 ) -> tuple[DataFrame, bool]:
     """The merged rows, and whether getting them shuffles the stored rows.
 
@@ -216,11 +250,11 @@ def _merge(
     known = staged
     for few in ("kept", "known") if again else ("known", "kept"):
         if few == "known":
-            known = _aside(known_keys(target, staged, rule), staging.known_stage(path))
+            known = _aside(known_keys(target, staged, rule), staging.known_stage(path, owner.suffix))
             if _key_bytes(known) <= broadcast_bytes:
                 return merge_newest(target, staged, rule, oldest, known, broadcast_known=True), False
         else:
-            kept = _aside(kept_keys(target, known, rule), staging.kept_stage(path))
+            kept = _aside(kept_keys(target, known, rule), staging.kept_stage(path, owner.suffix))
             if _key_bytes(kept) <= broadcast_bytes:
                 return merge_newest(target, staged, rule, oldest, known, kept=kept), False
     return merge_newest(target, staged, rule, oldest, known), True
@@ -278,38 +312,38 @@ def _width(df: DataFrame, name: str) -> Column:
 
 def _read_touched(
     spark: SparkSession, path: str, staged_at: str, staged: DataFrame, partitions: list[str]
-) -> tuple[DataFrame | None, bool]:
-    """The stored rows a batch can touch, and whether they lie in many small files.
+) -> tuple[DataFrame | None, dict[str, int]]:
+    """The stored rows a batch can touch, and the files they are in with their sizes.
 
     Of a partitioned dataset only the directories the staged batch also has are listed
     and read. They are as many as the write will replace, so a list of them is small.
     """
     root = path.rstrip("/")
     if not partitions:
-        return staging.read_typed(spark, [root], root, {}), False
-    touched = [f"{root}/{d}" for d in storage.partition_directories(spark, staged_at, len(partitions))]
-    used = storage.for_each(lambda directory: storage.usage(spark, directory), touched)
-    stored = {directory: usage for directory, usage in zip(touched, used, strict=True) if usage and usage[0]}
-    directories = list(stored)
+        return staging.read_typed(spark, [root], root, {}), storage.files_below(spark, root, 0)
+    touched = list(storage.partition_directories(spark, staged_at, len(partitions)))
+    there = storage.for_each(lambda directory: storage.exists(spark, f"{root}/{directory}"), touched)
+    files = storage.files_in(spark, root, [d for d, stored in zip(touched, there, strict=True) if stored])
+    directories = sorted({name.rpartition("/")[0] for name in files})
     if not directories:
-        return None, False
-    files, size = (sum(counts) for counts in zip(*stored.values(), strict=True))
+        return None, {}
     types = {p: staged.schema[p].dataType for p in partitions}
-    fragmented = files > 2 * len(directories) and size < SMALL_FILE_BYTES * files
-    return staging.read_typed(spark, directories, root, types, merge=True), fragmented
+    return staging.read_typed(spark, [f"{root}/{d}" for d in directories], root, types, merge=True), files
 
 
-def _require_compatible(stored: StructType, incoming: StructType, widen: bool) -> None:
-    """Columns may come and go, but one that stays keeps its type.
+def _common_schema(stored: StructType, incoming: StructType, widen: bool) -> StructType:
+    """The stored columns in types that hold both sides' values, then those only the batch has.
 
-    Only a dataset that is rewritten as a whole may ``widen`` its numbers.
+    Columns may come and go, and structs may gain fields, but another kind of value is refused. Only a
+    dataset that is rewritten as a whole may ``widen`` its numbers.
     """
-    clashes = []
-    for field in incoming:
-        name = find_name(stored.names, field.name)
-        if name is None or stored[name].dataType == field.dataType:
-            continue
-        if not (widen and all(isinstance(f.dataType, NumericType) for f in (stored[name], field))):
-            clashes.append(f"{name}: {stored[name].dataType.simpleString()} and {field.dataType.simpleString()}")
+    clashes, fields = [], []
+    for field in stored:
+        name = find_name(incoming.names, field.name)
+        kind = field.dataType if name is None else reconciled(field.dataType, incoming[name].dataType, widen)
+        if kind is None:
+            clashes.append(f"{field.name}: {field.dataType.simpleString()} and {incoming[name].dataType.simpleString()}")
+        fields.append(StructField(field.name, kind or field.dataType))
     if clashes:
         raise ValueError(f"stored and incoming columns differ in type: {clashes}")
+    return StructType(fields + [f for f in incoming if find_name(stored.names, f.name) is None])

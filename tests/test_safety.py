@@ -7,8 +7,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake import incremental_filter, load_jobs, run_job, save_trusted, upsert, validate_job
-from stratalake.sinks import staging, storage
+from stratalake import incremental_filter, load_jobs, run_job, save_raw, save_trusted, upsert, validate_job
+from stratalake.sinks import ownership, staging, storage
 from stratalake.sinks import upsert as upsert_module
 from tests.conftest import rows
 
@@ -66,21 +66,116 @@ def test_a_dead_runs_ownership_runs_out(spark, path, monkeypatch):
     assert storage.create_new(spark, path + "__owner", "{}")
     with pytest.raises(RuntimeError, match="another run"):
         upsert(table(spark, SECOND), path, ["k"], ["o"])
-    monkeypatch.setattr(staging, "LEASE_SECONDS", 0)
+    monkeypatch.setattr(ownership, "LEASE_SECONDS", 0)
     upsert(table(spark, SECOND), path, ["k"], ["o"])
     assert spark.read.parquet(path).count() == 3 and beside(path) == {"t"}
 
 
 def test_a_live_run_renews_its_ownership(spark, path, monkeypatch):
-    monkeypatch.setattr(staging, "LEASE_SECONDS", 1)
-    with staging.owned(spark, path):
+    monkeypatch.setattr(ownership, "LEASE_SECONDS", 1)
+    with ownership.owned(spark, path):
         waited = threading.Event()
         waited.wait(2.5)
-        with pytest.raises(RuntimeError, match="another run"), staging.owned(spark, path):
+        with pytest.raises(RuntimeError, match="another run"), ownership.owned(spark, path):
             pass
     assert beside(path) == set()
 
 
+def overtaken(spark, path, work):
+    """A second run takes over while the first pauses in ``work``, and ends before it wakes."""
+    with pytest.MonkeyPatch.context() as later:
+        later.setattr(ownership, "LEASE_SECONDS", -1)
+        work()
+    assert rows(spark.read.parquet(path), "k") == [(1,), (2,), (9,)]
+
+
+@pytest.mark.parametrize("partitions", [[], ["p"]])
+@pytest.mark.parametrize("where", ["write_stage", "_measure", "publish", "publish_files"])
+def test_a_run_that_was_overtaken_publishes_nothing(spark, path, monkeypatch, where, partitions):
+    """It pauses at each step, another run publishes, and then it wakes."""
+    upsert(table(spark, FIRST), path, ["k"], ["o"], partitions)
+    module = upsert_module if where == "_measure" else staging
+    plain, paused = getattr(module, where), []
+
+    def pause(*args, **kwargs):
+        if not paused:
+            paused.append(1)
+            overtaken(spark, path, lambda: upsert(table(spark, THIRD), path, ["k"], ["o"], partitions))
+        return plain(*args, **kwargs)
+
+    changed = [(2, 2, "b")] if where == "publish_files" else SECOND
+    with monkeypatch.context() as slow:
+        slow.setattr(module, where, pause)
+        if where == "publish_files":
+            spread = table(spark, [(k, 1, "a") for k in (1, 2)]).repartitionByRange(2, "k")
+            spread.write.mode("overwrite").partitionBy(*partitions).parquet(path)
+            changed = [(2, 2, "a")]
+        if where != "publish":
+            with pytest.raises(ownership.Overtaken):
+                upsert(table(spark, changed), path, ["k"], ["o"], partitions)
+        else:
+            with pytest.raises(ownership.Overtaken):
+                save_trusted(table(spark, changed), path, {"ingest_type": "Replace", "partitions": partitions})
+    assert paused
+    assert rows(spark.read.parquet(path), "k", "o") == [(1, 1), (2, 1), (9, 9)]
+    upsert(table(spark, [(9, 10, "z")]), path, ["k"], ["o"], partitions)
+    assert spark.read.parquet(path).count() == 3 and beside(path) == {"t"}
+
+
+def test_an_overtaken_run_leaves_its_successors_owner_file(spark, path, monkeypatch):
+    """A third run is refused while the second works, also after the first has ended."""
+    first = ownership.owned(spark, path)
+    first.__enter__()
+    with monkeypatch.context() as later:
+        later.setattr(ownership, "LEASE_SECONDS", -1)
+        second = ownership.owned(spark, path)
+        second.__enter__()
+    first.__exit__(None, None, None)
+    with pytest.raises(RuntimeError, match="another run"), ownership.owned(spark, path):
+        pass
+    second.__exit__(None, None, None)
+    assert beside(path) == set()
+
+
+def test_clocks_that_differ_by_an_hour(spark, path, monkeypatch):
+    """Ages come from the file system, not from the driver's clock."""
+    import time
+
+    with ownership.owned(spark, path), monkeypatch.context() as fast:
+        fast.setattr(time, "time", lambda plain=time.time: plain() + 3600)
+        with pytest.raises(RuntimeError, match="another run"), ownership.owned(spark, path):
+            pass
+
+
+def test_a_renewal_that_fails_is_tried_again(spark, path, monkeypatch):
+    monkeypatch.setattr(ownership, "LEASE_SECONDS", 1)
+    plain, failed = storage.write_text, []
+
+    def broken(*args):
+        if args[1].endswith("__owner") and not failed:
+            failed.append(1)
+            raise OSError("no answer")
+        plain(*args)
+
+    monkeypatch.setattr(storage, "write_text", broken)
+    with ownership.owned(spark, path) as owner:
+        written = storage.written_at(spark, owner.file)
+        threading.Event().wait(1.5)
+        assert failed and storage.written_at(spark, owner.file) > written
+        owner.require()
+
+
+def test_one_run_at_a_time_writes_a_date(spark, path):
+    """Another date may be written meanwhile."""
+    raw = table(spark, FIRST)
+    with ownership.owned(spark, f"{path}__20240105"):
+        with pytest.raises(RuntimeError, match="another run"):
+            save_raw(raw, path, "20240105")
+        save_raw(raw, path, "20240106")
+    save_raw(raw, path, "20240105")
+    assert spark.read.parquet(path).count() == 4 and beside(path) == {"t"}
+
+
 def test_nothing_is_deleted_before_its_replacement_is_there(spark, path):
     table(spark, FIRST).write.parquet(path)
     with pytest.raises(OSError, match="gone"):
@@ -166,12 +261,115 @@ def test_dying_while_files_are_exchanged(spark, path, monkeypatch, moved):
             broken.setattr(storage, "delete", half)
         with pytest.raises(InterruptedError):
             upsert(table(spark, [(0, 2, "b")]), path, ["k"], ["o"])
-    monkeypatch.setattr(staging, "LEASE_SECONDS", 0)
+    monkeypatch.setattr(ownership, "LEASE_SECONDS", 0)
     upsert(table(spark, [(39, 2, "b")]), path, ["k"], ["o"])
     assert rows(spark.read.parquet(path).where("o = 2"), "k") == [(0,), (39,)]
     assert spark.read.parquet(path).count() == 40 and beside(path) == {"t"}
 
 
+def partition_files(path):
+    return {str(p.relative_to(path)) for p in Path(path).glob("p=*/part-*")}
+
+
+def test_only_files_with_changed_keys_are_rewritten_in_partitions(spark, path):
+    """One changed key in a partition of eight files: seven stay; other partitions are not touched."""
+    stored = spark.range(160_000).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("o"), F.concat(F.lit("p"), F.col("id") % 2).alias("p"))
+    stored.repartitionByRange(8, "k").sortWithinPartitions("k").write.partitionBy("p").parquet(path)
+    before = partition_files(path)
+    assert len(before) == 16
+    upsert(table(spark, [(4, 2, "p0"), (900_000, 1, "p0")]), path, ["k"], ["o"], ["p"])
+    after = partition_files(path)
+    assert len(before - after) == 1 and all(name.startswith("p=p0/") for name in before ^ after)
+    assert rows(spark.read.parquet(path).where("o = 2 or k >= 160000")) == [(4, 2, "p0"), (900_000, 1, "p0")]
+    assert spark.read.parquet(path).count() == 160_001
+    upsert(table(spark, [(5, 1, None), (5, 1, "new")]), path, ["k"], ["o"], ["p"])
+    assert after < partition_files(path), "new partitions add files"
+    upsert(table(spark, [(5, 2, None), (4, 1, "p0")]), path, ["k"], ["o"], ["p"])
+    assert rows(spark.read.parquet(path).where("k in (4, 5)"), "k", "o", "p") == [(4, 2, "p0"), (5, 1, "new"), (5, 1, "p1"), (5, 2, None)]
+
+
+@pytest.mark.parametrize("moved", [0, 1, 2])
+def test_dying_while_files_of_partitions_are_exchanged(spark, path, monkeypatch, moved):
+    """After no file, one, or all are moved, and before all replaced ones are deleted."""
+    df = spark.range(40_000).selectExpr("id as k", "1L as o", "if(id % 2 = 0, 'a', 'b') as p")
+    df.repartitionByRange(4, "k").write.partitionBy("p").parquet(path)
+    plain, delete, done = storage.move_file, storage.delete, []
+
+    def some(*args):
+        if len(done) >= moved:
+            raise InterruptedError
+        done.append(plain(*args))
+
+    def half(session, where):
+        if "/part-" in where and "/p=b/" in where:
+            raise InterruptedError
+        delete(session, where)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(storage, "for_each", lambda work, items: [work(x) for x in items])
+        broken.setattr(storage, "move_file", some)
+        if moved == 2:
+            broken.setattr(storage, "delete", half)
+        with pytest.raises(InterruptedError):
+            upsert(table(spark, [(0, 2, "a"), (1, 2, "b")]), path, ["k"], ["o"], ["p"])
+    monkeypatch.setattr(ownership, "LEASE_SECONDS", -1)
+    upsert(table(spark, [(39_999, 2, "b")]), path, ["k"], ["o"], ["p"])
+    assert rows(spark.read.parquet(path).where("o = 2"), "k", "p") == [(0, "a"), (1, "b"), (39_999, "b")]
+    assert spark.read.parquet(path).count() == 40_000 and beside(path) == {"t"}
+
+
+@pytest.mark.parametrize("partitions", [[], ["p"]])
+def test_small_files_alone_are_compacted(spark, path, monkeypatch, partitions):
+    """A large file stays while the small ones beside it become few."""
+    monkeypatch.setattr(upsert_module, "MANY_FILES", 4)
+    wide = spark.range(400_000).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("o"), F.lit("a").alias("p"), F.sha2(F.col("id").cast("string"), 512).alias("z"))
+    wide.coalesce(1).write.partitionBy(*partitions).parquet(path)
+    place = Path(path) / "p=a" if partitions else Path(path)
+    large = {p.name for p in place.glob("part-*")}
+    assert len(large) == 1
+    for i in range(8):
+        upsert(wide.limit(5).withColumn("k", F.col("k") + 10**6 + 10 * i), path, ["k"], ["o"], partitions)
+        assert large <= {p.name for p in place.glob("part-*")}
+        assert len(list(place.glob("part-*"))) <= 6
+    assert spark.read.parquet(path).count() == 400_040
+
+
+OLD_TYPE = "k long, o long, p string, s struct<a: int, t: array<struct<x: int>>>, m map<string, struct<u: int>>"
+NEW_TYPE = "k long, o long, p string, s struct<b: string, a: int, t: array<struct<x: int, y: int>>>, m map<string, struct<u: int, w: int>>"
+
+
+@pytest.mark.parametrize("partitions", [[], ["p"]])
+def test_nested_columns_may_grow(spark, path, partitions):
+    """Fields that only one side has are NULL on the other, within structs, arrays and maps; NULL stays NULL."""
+    old = [(1, 1, "a", (1, [(7,)]), {"m": (1,)}), (2, 1, "b", (2, None), None), (4, 1, "c", None, {})]
+    new = [(2, 2, "b", ("x", 5, [(8, 9)]), {"m": (1, 2)}), (3, 2, "a", None, None)]
+    upsert(table(spark, old, OLD_TYPE), path, ["k"], ["o"], partitions)
+    upsert(table(spark, new, NEW_TYPE), path, ["k"], ["o"], partitions)
+    upsert(table(spark, [(5, 1, "b", (6, [(3,)]), None)], OLD_TYPE), path, ["k"], ["o"], partitions)
+    found = spark.read.option("mergeSchema", "true").parquet(path)
+    values = {r["k"]: r for r in found.selectExpr("k", "s.a", "s.b", "s.t.x as x", "s.t.y as y", "m['m'].u as u", "m['m'].w as w", "s is null as none").collect()}
+    assert sorted(values) == [1, 2, 3, 4, 5]
+    assert tuple(values[1][1:]) == (1, None, [7], [None], 1, None, False)
+    assert tuple(values[2][1:]) == (5, "x", [8], [9], 1, 2, False)
+    assert values[3]["none"] and values[4]["none"] and tuple(values[5][1:5]) == (6, None, [3], [None])
+
+
+@pytest.mark.parametrize("wrong", ["s string", "s struct<a: string>", "s array<int>", "s struct<a: int, t: array<int>>"])
+def test_other_kinds_of_nested_values_are_refused(spark, path, wrong):
+    upsert(table(spark, [(1, 1, "a", (1, [(7,)]), None)], OLD_TYPE), path, ["k"], ["o"], ["p"])
+    with pytest.raises(ValueError, match="differ in type"):
+        upsert(table(spark, [(2, 1, "b", None)], f"k long, o long, p string, {wrong}"), path, ["k"], ["o"], ["p"])
+    assert spark.read.parquet(path).count() == 1 and beside(path) == {"t"}
+
+
+def test_a_registered_table_keeps_nested_fields(spark, path, database):
+    """A batch without a field that other partitions have doesn't hide it."""
+    trusted = {"ingest_type": "Upsert", "database": database, "partitions": ["p"], "key_column": "k", "order_column": "o"}
+    save_trusted(table(spark, [(1, 1, "a", ("x", 5, None), None)], NEW_TYPE), path, trusted, "t")
+    save_trusted(table(spark, [(2, 1, "b", (6, None), None)], OLD_TYPE), path, trusted, "t")
+    assert rows(spark.table(f"{database}.t").selectExpr("k", "s.a", "s.b")) == [(1, 5, "x"), (2, 6, None)]
+
+
 @pytest.mark.parametrize("policy", ["LEGACY", "CORRECTED"])
 def test_a_lenient_parser_loses_no_rows(spark, policy):
     df = spark.createDataFrame([(1, "2024-1-5"), (2, "2024-01-05"), (3, "2024-03-05")], "id int, d string")

@@ -545,7 +545,8 @@ def test_dying_between_delete_and_move(spark, path, monkeypatch):
 
 def left_unpublished(spark, path, monkeypatch, values, partitions):
     with monkeypatch.context() as broken:
-        broken.setattr(staging, "_rename", die)
+        for way in ("_rename", "_move_files"):
+            broken.setattr(staging, way, die)
         with pytest.raises(Died):
             upsert(in_parts(spark, *values), path, ["k"], ["o"], partitions, publish="rename")
 
