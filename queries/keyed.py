@@ -145,6 +145,17 @@ def upsert_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def upsert_table_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered table whose upserts are published by a switch of its location; the second brings a column."""
+    name = database(spark)
+    trusted = {"ingest_type": "Upsert", "database": name, "key_column": "o_orderkey", "order_column": "version", "publish": "switch"}
+    path = f"{scratch(spark)}/trusted/orders"
+    save_trusted(_stored_orders(spark, sf_dir), path, trusted, "orders")
+    changed = _changed_orders(spark, sf_dir).withColumn("year", F.year("o_orderdate"))
+    save_trusted(changed, path, trusted, "orders")
+    return spark.table(f"{name}.orders")
+
+
 def upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of conversations: those of users come again, in upper case, and win their ties."""
     path = f"{scratch(spark)}/trusted/conversations"
@@ -266,6 +277,10 @@ FROM (SELECT *, o_orderkey % 1000 = 7 OR o_orderkey BETWEEN 100 AND 200 AS chang
 CHECKS = {
     "upsert_few": (upsert_few, _FEW_SQL),
     "upsert_partition_few": (upsert_partition_few, _FEW_SQL),
+    "upsert_table_switch": (
+        upsert_table_switch,
+        f"SELECT *, NULL::INTEGER AS year FROM ({_KEPT_SQL}) UNION ALL SELECT *, year(o_orderdate)::INTEGER FROM ({_CHANGED_SQL})",
+    ),
     "upsert_nested": (
         upsert_nested,
         """

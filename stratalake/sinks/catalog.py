@@ -44,7 +44,7 @@ def create_table(
     columns = StructType([StructField(f.name, f.dataType) for f in schema]).toDDL()
     partitioned = f"PARTITIONED BY ({', '.join(map(quoted, partitions))})" if partitions else ""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} LOCATION {_text(path)}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} LOCATION {text(path)}")
     if partitions:
         spark.catalog.recoverPartitions(name)
 
@@ -100,17 +100,20 @@ def _is_registered(
     return _is_at(spark, name, path)
 
 
+def location(spark: SparkSession, name: str) -> str:
+    """Where the table's files are."""
+    return spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
+
+
 def _is_at(spark: SparkSession, name: str, path: str) -> bool:
-    described = spark.sql(f"DESCRIBE FORMATTED {name}")
-    location = described.filter("col_name = 'Location'").first()["data_type"]
-    return storage.qualified(spark, location) == storage.qualified(spark, path)
+    return storage.qualified(spark, location(spark, name)) == storage.qualified(spark, path)
 
 
 def _partition_spec(values: Mapping[str, str | None]) -> str:
-    parts = [f"{quoted(name)}={'NULL' if value is None else _text(value)}" for name, value in values.items()]
+    parts = [f"{quoted(name)}={'NULL' if value is None else text(value)}" for name, value in values.items()]
     return f"PARTITION ({', '.join(parts)})"
 
 
-def _text(value: str) -> str:
+def text(value: str) -> str:
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"

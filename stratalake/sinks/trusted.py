@@ -12,7 +12,8 @@ from stratalake.sinks import staging, storage
 from stratalake.sinks.catalog import create_table, refresh_table, require_registrable, table_name, with_table_columns
 from stratalake.sinks.ownership import owned
 from stratalake.sinks.storage import partition_values
-from stratalake.sinks.upsert import NEWEST_WINS, upsert, with_directory_nulls
+from stratalake.sinks.upsert import NEWEST_WINS, upsert, with_directory_nulls, write_version
+from stratalake.sinks.versions import SWITCH, current_version, new_version, switch
 
 # The ways to store a batch, "Full" being another name for "Replace".
 REPLACE = ("Replace", "Full")
@@ -36,7 +37,9 @@ def save_trusted(
     to which ``broadcast_bytes``, ``publish`` and ``large_batch_rows`` of ``trusted`` go.
 
     A replaced dataset or partition is written beside its place and moved there, where a
-    rename does that: a write that fails leaves the stored rows, and files and table agree.
+    rename does that: a write that fails leaves the stored rows, and files and table agree. With ``publish``
+    ``switch`` a registered, unpartitioned table is published by one catalog statement, see
+    :mod:`stratalake.sinks.versions`.
     """
     kind = trusted["ingest_type"]
     if kind not in INGEST_TYPES:
@@ -49,6 +52,12 @@ def save_trusted(
     options = trusted.get("options", {})
     name = table_name(database, table) if database is not None else None
 
+    if trusted.get("publish") == SWITCH:
+        if name is None or partitions:
+            raise ValueError("publish 'switch' needs a database and no partitions")
+        _save_version(df, path, trusted, name, stale, rows)
+        return
+
     if kind == UPSERT:
         keys, order = as_list(trusted["key_column"]), as_list(trusted["order_column"])
         tuning = {field: trusted[field] for field in TUNING if field in trusted}
@@ -84,6 +93,23 @@ def save_trusted(
         create_table(spark, name, path, df.schema, partitions)
 
 
+def _save_version(df: DataFrame, path: str, trusted: Mapping, name: str, stale: str, rows: int | None) -> None:
+    """Write all rows to a new directory and switch the table to it."""
+    spark, options = df.sparkSession, trusted.get("options", {})
+    with owned(spark, path) as owner:
+        version = new_version(path, owner)
+        if trusted["ingest_type"] == UPSERT:
+            stored = current_version(spark, name, path)
+            keys, order = as_list(trusted["key_column"]), as_list(trusted["order_column"])
+            tuning = {field: trusted[field] for field in ("broadcast_bytes", "large_batch_rows") if field in trusted}
+            schema = write_version(df, path, stored, version, keys, order, owner, stale, options, rows=rows, **tuning)
+        else:
+            staging.write_stage(df, version, (), options)
+            schema = df.schema
+        if schema is not None:
+            switch(spark, name, path, version, schema, owner)
+
+
 def _written_values(df: DataFrame, partitions: Sequence[str]) -> list[dict]:
     return [v.asDict() for v in df.select([column(p).cast("string") for p in partitions]).distinct().collect()]
 

@@ -101,29 +101,17 @@ def _upsert(
     large: bool,
     owner: Owner,
 ) -> tuple[StructType, list[str]]:
-    if stale not in (NEWEST_WINS, INCOMING_WINS):
-        raise ValueError(f"stale must be {NEWEST_WINS!r} or {INCOMING_WINS!r}, not {stale!r}")
-    if not keys or not order:
-        raise ValueError("an upsert needs key columns and order columns")
     spark = batch.sparkSession
-    keys, order, partitions = ([require_name(batch, c) for c in names] for names in (keys, order, partitions))
-    batch = with_directory_nulls(batch, partitions)
-    rule = Rule(keys, order, partitions, stale == NEWEST_WINS)
+    batch, rule = _checked(batch, keys, order, partitions, stale)
+    partitions = rule.partitions
     staging.recover(spark, path, options, publish, owner)
     file = storage.require_layout(spark, path, partitions)
     if file and partitions:
         # Partitions the batch does not touch are not read, but one dataset has one type for a column.
         _common_schema(spark.read.parquet(file).schema, batch.schema, widen=False)
 
-    staged_at = staging.batch_stage(path, owner.suffix)
-    winners = _one_per_key(batch, rule, path, broadcast_bytes, large, owner)
-    staging.write_stage(gather(winners, partitions), staged_at, partitions, options)
-    staged = staging.read_as(spark, [staged_at], staged_at, batch.schema)
-    facts = _measure(staged, rule)
-    if facts["null_keys"] or not facts["rows"]:
-        staging.discard(spark, path, owner)
-        if facts["null_keys"]:
-            raise ValueError(f"the batch has rows with NULL in a key column, of {keys}")
+    staged_at, staged, facts = _staged(batch, rule, path, options, broadcast_bytes, large, owner)
+    if not facts["rows"]:
         return batch.schema, []
 
     target, files = _read_touched(spark, path, staged_at, staged, partitions) if file else (None, {})
@@ -150,6 +138,65 @@ def _upsert(
     return schema, written
 
 
+def write_version(
+    batch: DataFrame,
+    path: str,
+    stored_at: str | None,
+    version: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    owner: Owner,
+    stale: str = NEWEST_WINS,
+    options: Mapping | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows: int | None = None,
+    large_batch_rows: int | None = None,
+) -> StructType | None:
+    """Write the rows of ``stored_at``, merged with the batch, to the new directory ``version``; return their schema.
+
+    None, and nothing written, for a batch without rows. Unpartitioned datasets only; what is stored is not changed.
+    """
+    spark = batch.sparkSession
+    batch, rule = _checked(batch, keys, order, (), stale)
+    staging.recover(spark, path, options, owner=owner)
+    large = rows is not None and rows >= (LARGE_BATCH_ROWS if large_batch_rows is None else large_batch_rows)
+    _, merged, facts = _staged(batch, rule, path, options, broadcast_bytes, large, owner)
+    if not facts["rows"]:
+        return None
+    if stored_at is not None:
+        target = staging.read_typed(spark, [stored_at], stored_at, {})
+        common = _common_schema(target.schema, merged.schema, widen=True)
+        merged, _ = _merge(grown(target, common), grown(merged, common), rule, facts, path, broadcast_bytes, owner)
+    staging.write_stage(merged, version, (), options)
+    staging.discard(spark, path, owner)
+    return merged.schema
+
+
+def _checked(batch: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: Sequence[str], stale: str) -> tuple[DataFrame, Rule]:
+    if stale not in (NEWEST_WINS, INCOMING_WINS):
+        raise ValueError(f"stale must be {NEWEST_WINS!r} or {INCOMING_WINS!r}, not {stale!r}")
+    if not keys or not order:
+        raise ValueError("an upsert needs key columns and order columns")
+    keys, order, partitions = ([require_name(batch, c) for c in names] for names in (keys, order, partitions))
+    return with_directory_nulls(batch, partitions), Rule(keys, order, partitions, stale == NEWEST_WINS)
+
+
+def _staged(
+    batch: DataFrame, rule: Rule, path: str, options: Mapping | None, broadcast_bytes: int, large: bool, owner: Owner
+) -> tuple[str, DataFrame, dict]:
+    """The batch with one row per key, written beside the dataset: where, its rows and their measures."""
+    spark, staged_at = batch.sparkSession, staging.batch_stage(path, owner.suffix)
+    winners = _one_per_key(batch, rule, path, broadcast_bytes, large, owner)
+    staging.write_stage(gather(winners, rule.partitions), staged_at, rule.partitions, options)
+    staged = staging.read_as(spark, [staged_at], staged_at, batch.schema)
+    facts = _measure(staged, rule)
+    if facts["null_keys"] or not facts["rows"]:
+        staging.discard(spark, path, owner)
+        if facts["null_keys"]:
+            raise ValueError(f"the batch has rows with NULL in a key column, of {list(rule.keys)}")
+    return staged_at, staged, facts
+
+
 def _replace_files(
     target: DataFrame,
     staged: DataFrame,

@@ -1,0 +1,134 @@
+"""Tables that are published by a switch of their location."""
+
+from pathlib import Path
+
+import pytest
+
+from stratalake import save_trusted
+from stratalake.sinks import ownership, versions
+from tests.conftest import rows
+
+
+@pytest.fixture
+def path(tmp_path):
+    (tmp_path / "d").mkdir()
+    return str(tmp_path / "d" / "t")
+
+
+def table(spark, values, schema="k long, o long, v string"):
+    return spark.createDataFrame(values, schema)
+
+
+def switching(database, kind="Upsert"):
+    return {"ingest_type": kind, "database": database, "key_column": "k", "order_column": "o", "publish": "switch"}
+
+
+FIRST, SECOND = [(1, 1, "a"), (2, 1, "b")], [(2, 2, "c"), (3, 2, "d")]
+
+
+def kept(path):
+    return [p.name for p in Path(path).parent.iterdir() if not p.name.endswith(".crc")]
+
+
+def test_upserts_and_replaces(spark, path, database):
+    """Rows written once; the version before stays, older ones and stages go."""
+    name = f"{database}.t"
+    save_trusted(table(spark, FIRST), path, switching(database), "t")
+    assert rows(spark.table(name)) == FIRST
+    early = spark.table(name)
+    save_trusted(table(spark, SECOND), path, switching(database), "t")
+    assert rows(spark.table(name)) == [(1, 1, "a"), (2, 2, "c"), (3, 2, "d")]
+    assert rows(early) in (FIRST, [(1, 1, "a"), (2, 2, "c"), (3, 2, "d")])
+    save_trusted(table(spark, [(2, 1, "late")]), path, switching(database), "t")
+    assert rows(spark.table(name), "v") == [("a",), ("c",), ("d",)]
+    assert len(kept(path)) == 2 and all("__v_" in n for n in kept(path))
+    save_trusted(table(spark, [(9, 9, "z")]), path, switching(database, "Replace"), "t")
+    assert rows(spark.table(name)) == [(9, 9, "z")]
+    assert len(kept(path)) == 2
+
+
+def test_a_reader_in_between_sees_whole_rows(spark, path, database, monkeypatch):
+    """Just before and just after the statement that switches."""
+    save_trusted(table(spark, FIRST), path, switching(database), "t")
+    seen, plain = [], versions.switch
+
+    def watched(*args):
+        seen.append(rows(spark.table(f"{database}.t")))
+        plain(*args)
+        seen.append(rows(spark.table(f"{database}.t")))
+
+    from stratalake.sinks import trusted
+
+    monkeypatch.setattr(trusted, "switch", watched)
+    save_trusted(table(spark, SECOND), path, switching(database), "t")
+    assert seen == [FIRST, [(1, 1, "a"), (2, 2, "c"), (3, 2, "d")]]
+
+
+def test_columns_that_come_and_change(spark, path, database):
+    name = f"{database}.t"
+    save_trusted(table(spark, FIRST), path, switching(database), "t")
+    save_trusted(table(spark, [(3, 1, "x", 7)], "k long, o long, v string, w int"), path, switching(database), "t")
+    assert rows(spark.table(name), "k", "w") == [(1, None), (2, None), (3, 7)]
+    save_trusted(table(spark, [(4, 1, "y", 2**40)], "k long, o long, v string, w long"), path, switching(database), "t")
+    assert rows(spark.table(name), "k", "w") == [(1, None), (2, None), (3, 7), (4, 2**40)]
+    with pytest.raises(ValueError, match="differ in type"):
+        save_trusted(table(spark, [(4, 1, 5)], "k long, o long, v int"), path, switching(database), "t")
+    assert spark.table(name).count() == 4
+
+
+def test_a_table_that_was_not_switched_before(spark, path, database):
+    save_trusted(table(spark, FIRST), path, {**switching(database), "publish": "auto"}, "t")
+    save_trusted(table(spark, SECOND), path, switching(database), "t")
+    save_trusted(table(spark, [(4, 1, "e")]), path, switching(database), "t")
+    assert rows(spark.table(f"{database}.t"), "k") == [(1,), (2,), (3,), (4,)]
+    assert len(kept(path)) == 2
+
+
+def test_a_run_that_dies_before_the_switch_changes_nothing(spark, path, database, monkeypatch):
+    save_trusted(table(spark, FIRST), path, switching(database), "t")
+    from stratalake.sinks import trusted
+
+    with monkeypatch.context() as broken:
+        broken.setattr(trusted, "switch", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            save_trusted(table(spark, SECOND), path, switching(database), "t")
+    assert rows(spark.table(f"{database}.t")) == FIRST
+    save_trusted(table(spark, SECOND), path, switching(database), "t")
+    assert rows(spark.table(f"{database}.t"), "k") == [(1,), (2,), (3,)]
+    assert len(kept(path)) == 2
+
+
+def test_an_overtaken_run_does_not_switch(spark, path, database, monkeypatch):
+    save_trusted(table(spark, FIRST), path, switching(database), "t")
+    from stratalake.sinks import trusted
+
+    plain = trusted.write_version
+
+    def pause(*args, **kwargs):
+        schema = plain(*args, **kwargs)
+        monkeypatch.setattr(trusted, "write_version", plain)
+        with monkeypatch.context() as later:
+            later.setattr(ownership, "LEASE_SECONDS", -1)
+            save_trusted(table(spark, [(9, 9, "z")]), path, switching(database), "t")
+        return schema
+
+    monkeypatch.setattr(trusted, "write_version", pause)
+    with pytest.raises(ownership.Overtaken):
+        save_trusted(table(spark, SECOND), path, switching(database), "t")
+    assert rows(spark.table(f"{database}.t"), "k") == [(1,), (2,), (9,)]
+
+
+@pytest.mark.parametrize("change", [{"partitions": ["v"]}, {"database": None}])
+def test_what_can_not_be_switched(spark, path, database, change):
+    trusted = {k: v for k, v in {**switching(database), **change}.items() if v is not None}
+    with pytest.raises(ValueError, match="switch"):
+        save_trusted(table(spark, FIRST), path, trusted, "t")
+    assert kept(path) == []
+
+
+def test_a_batch_without_rows_or_with_null_keys(spark, path, database):
+    save_trusted(table(spark, FIRST), path, switching(database), "t")
+    save_trusted(table(spark, []), path, switching(database), "t")
+    with pytest.raises(ValueError, match="NULL"):
+        save_trusted(table(spark, [(None, 1, "a")]), path, switching(database), "t")
+    assert rows(spark.table(f"{database}.t")) == FIRST and len(kept(path)) == 1
