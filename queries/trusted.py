@@ -147,6 +147,26 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(result.batch_date, result.rows)], "batch_date string, rows long")
 
 
+def batch_cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates and numbers as text, some unreadable: what each cast of an upsert lost, counted by the write."""
+    where = layers(spark, scratch(spark))
+    bad = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("bad")).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    price = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_totalprice").cast("string"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", bad.alias("day"), price.alias("price"), F.lit("7").alias("one"))
+    orders.write.parquet(f"{where['landing']}/orders.parquet")
+    casts = [{"column_name": "PRICE", "new_column_name": "PAID", "data_type": "Double"}, {"column_name": "ONE", "new_column_name": "ONE", "data_type": "Int"}]
+    transformations = [
+        {"name": "CastDate", "parameters": [{"column_name": "DAY", "source_format": "yyyyMMdd"}]},
+        {"name": "Trim", "parameters": [{"column_name": "PRICE"}]},
+        {"name": "RenameCast", "parameters": casts},
+    ]
+    job = _orders_job({"ingest_type": "Upsert", "key_column": "O_ORDERKEY", "order_column": "DT_IMPORT", "transformations": transformations})
+    run_raw(spark, job, where, "20240131", incremental=False)
+    result = run_trusted(spark, job, where, "20240131")
+    found = [(*loss, result.rows, result.exact) for loss in result.cast_losses]
+    return spark.createDataFrame(found, "transform string, column string, lost long, rows long, exact boolean")
+
+
 _ORDERS = (
     'o_orderkey AS "O_ORDERKEY", o_custkey AS "O_CUSTKEY", o_orderstatus AS "O_ORDERSTATUS", '
     'o_totalprice AS "O_TOTALPRICE", o_orderdate AS "O_ORDERDATE", o_orderpriority AS "O_ORDERPRIORITY"'
@@ -186,5 +206,14 @@ CHECKS = {
         'SELECT c_custkey AS "C_CUSTKEY", c_name AS "C_NAME", c_nationkey AS "C_NATIONKEY", '
         'trunc(c_acctbal)::INTEGER AS "BALANCE", c_mktsegment AS "SEGMENT", 20240131 AS "DT_IMPORT" FROM customer',
     ),
+    "batch_cast_losses": (
+        batch_cast_losses,
+        """
+        SELECT unnest(['CastDate', 'RenameCast', 'RenameCast']) AS transform, unnest(['DAY', 'PRICE', 'ONE']) AS column,
+               unnest([count(*) FILTER (o_orderpriority = '5-LOW'), count(*) FILTER (o_orderstatus = 'P'), 0]) AS lost,
+               unnest([count(*), count(*), count(*)]) AS rows, unnest([true, true, true]) AS exact
+        FROM orders
+        """,
+    ),
     "batch_metrics": (batch_metrics, "SELECT '20240131' AS batch_date, count(*) AS rows FROM events"),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DateType, MapType, StructType, VariantType
 
@@ -46,7 +46,20 @@ def trim(df: DataFrame, parameters: Parameters) -> DataFrame:
 
 def cast_date(df: DataFrame, parameters: Parameters) -> DataFrame:
     """Parse each named column by its ``source_format`` into a date, in place."""
-    fields = _fields(df)
+    return _select(df, _dates(df, parameters)[0])
+
+
+def rename_cast(df: DataFrame, parameters: Parameters) -> DataFrame:
+    """Cast each named column and give it its new name, entry by entry."""
+    return _select(df, _casts(df, parameters)[0])
+
+
+#: A column before and after a cast, by the name that the entry gives.
+Changes = list[tuple[str, Column, Column]]
+
+
+def _dates(df: DataFrame, parameters: Parameters) -> tuple[list, Changes]:
+    fields, changes = _fields(df), []
     for entry in parameters:
         i = _index(fields, entry["column_name"])
         _, col, dtype = fields[i]
@@ -54,18 +67,19 @@ def cast_date(df: DataFrame, parameters: Parameters) -> DataFrame:
             fields[i] = (entry["column_name"], parse_date(col, dtype, entry["source_format"]), DateType())
         except ValueError as error:
             raise ValueError(f"CastDate on {entry['column_name']!r}: {error}") from None
-    return _select(df, fields)
+        changes.append((entry["column_name"], col, fields[i][1]))
+    return fields, changes
 
 
-def rename_cast(df: DataFrame, parameters: Parameters) -> DataFrame:
-    """Cast each named column and give it its new name, entry by entry."""
-    fields = _fields(df)
+def _casts(df: DataFrame, parameters: Parameters) -> tuple[list, Changes]:
+    fields, changes = _fields(df), []
     for entry in parameters:
         i = _index(fields, entry["column_name"])
         _, col, dtype = fields[i]
         target = DataType.fromDDL(entry["data_type"])
         fields[i] = (entry["new_column_name"], lenient_cast(col, dtype, target), target)
-    return _select(df, fields)
+        changes.append((entry["column_name"], col, fields[i][1]))
+    return fields, changes
 
 
 def _fields(df: DataFrame) -> list[tuple[str, Column, DataType]]:
@@ -91,6 +105,7 @@ _OWN: dict[str, Transform] = {
     "RenameCast": rename_cast,
 }
 _TRANSFORMS = dict(_OWN)
+_CHANGES = {"CastDate": _dates, "RenameCast": _casts}
 
 
 # The fields that each entry of a transform's parameters needs.
@@ -131,15 +146,47 @@ def transform_named(name: str) -> Transform:
         raise ValueError(f"no such transform: {name!r}, have {sorted(_TRANSFORMS)}") from None
 
 
-def apply_transforms(df: DataFrame, entries: Sequence[Mapping], mode: str = CHAIN) -> DataFrame:
+class CastLosses:
+    """How many values became NULL in each cast of a job, counted by Spark while the batch is written.
+
+    Nothing is read twice for it. Counts are there after the first action on the batch. They come from
+    the tasks that ran, so a task that ran twice counts twice: ``rows_seen`` tells.
+    """
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[str, list[str], Observation]] = []
+
+    def watch(self, df: DataFrame, name: str, parameters: Parameters) -> DataFrame:
+        """The same rows, watched for what this transform will do to them."""
+        if name not in _CHANGES or _TRANSFORMS[name] is not _OWN[name]:
+            return df
+        _, changes = _CHANGES[name](df, parameters)
+        lost = [F.count_if(before.isNotNull() & after.isNull()).alias(f"lost{i}") for i, (_, before, after) in enumerate(changes)]
+        observation = Observation()
+        self._seen.append((name, [label for label, _, _ in changes], observation))
+        return df.observe(observation, F.count(F.lit(1)).alias("rows"), *lost)
+
+    def counts(self) -> list[tuple[str, str, int]]:
+        """(transform, column, values that became NULL), in the order of the job."""
+        return [(name, label, o.get[f"lost{i}"]) for name, labels, o in self._seen for i, label in enumerate(labels)]
+
+    def rows_seen(self) -> int | None:
+        """How many rows the casts ran over; None if there are no casts."""
+        return max((o.get["rows"] for _, _, o in self._seen), default=None)
+
+
+def apply_transforms(df: DataFrame, entries: Sequence[Mapping], mode: str = CHAIN, losses: CastLosses | None = None) -> DataFrame:
     """Run a job's transforms.
 
     ``chain`` feeds each one the result of the one before. ``last`` feeds every
-    one the batch itself, so only the final entry shows in the result.
+    one the batch itself, so only the final entry shows in the result. ``losses`` is told
+    what becomes NULL in casts.
     """
     if mode not in (CHAIN, LAST):
         raise ValueError(f"transform mode must be {CHAIN!r} or {LAST!r}, not {mode!r}")
-    steps = [(transform_named(entry["name"]), entry["parameters"]) for entry in entries]
-    for transform, parameters in steps if mode == CHAIN else steps[-1:]:
+    steps = [(entry["name"], transform_named(entry["name"]), entry["parameters"]) for entry in entries]
+    for name, transform, parameters in steps if mode == CHAIN else steps[-1:]:
+        if losses is not None:
+            df = losses.watch(df, name, parameters)
         df = transform(df, parameters)
     return df

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from stratalake.layers import Layers, layer_path
 from stratalake.operators.incremental import incremental_filter
-from stratalake.operators.transforms import CHAIN, apply_transforms
+from stratalake.operators.transforms import CHAIN, CastLosses, apply_transforms
 from stratalake.plans.jobs import parse_batch_date, parse_incremental, validate_job
 from stratalake.sinks.raw import save_raw
 from stratalake.sinks.trusted import save_trusted
@@ -24,11 +24,17 @@ _log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class BatchResult:
-    """What a trusted step did: where, for which date, and how many rows the batch had."""
+    """What a trusted step did: where, for which date, and how many rows the batch had.
+
+    ``cast_losses`` are (transform, column, values that became NULL) for each cast. They are ``exact``
+    unless tasks ran more than once, as after the loss of an executor.
+    """
 
     path: str
     batch_date: str
     rows: int
+    cast_losses: tuple[tuple[str, str, int], ...] = ()
+    exact: bool = True
 
 
 def run_raw(
@@ -74,10 +80,12 @@ def run_trusted(
     batch = read_batch(spark, raw_path, batch_date, destination.get("options"))
     rows = batch.count() if batch is not None else 0
     _log.info("batch %s of %s has %d rows", batch_date, raw_path, rows)
-    if rows:
-        batch = apply_transforms(batch, trusted.get("transformations", []), transform_mode)
-        save_trusted(batch, path, trusted, destination.get("table_name"), stale, rows)
-    return BatchResult(path, batch_date, rows)
+    if not rows:
+        return BatchResult(path, batch_date, rows)
+    losses = CastLosses()
+    batch = apply_transforms(batch, trusted.get("transformations", []), transform_mode, losses)
+    save_trusted(batch, path, trusted, destination.get("table_name"), stale, rows)
+    return BatchResult(path, batch_date, rows, tuple(losses.counts()), losses.rows_seen() in (None, rows))
 
 
 def run_job(
