@@ -14,7 +14,7 @@ lists of one entry with them. Lists that hold the same sets are one list.
 
 Skipping between sets: each list has a leader, the set that meets most others in lists. Every set
 is compared in full with the leader of its longest list, then with leaders of its other lists that are not in its
-component by that. What is then still apart in a list is compared as differences from the leader, which are short for similar sets: with leader L, and M and
+component by that; a bit for each of some hash buckets bounds what two sets have in common, and spares most of those that aren't linked. What is then still apart in a list is compared as differences from the leader, which are short for similar sets: with leader L, and M and
 E what L has more and less than a set,
 
     common(X, Y) = size(L) - size(MX) - size(MY) + common(MX, MY) + common(EX, EY),
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
@@ -308,7 +308,36 @@ def _sets(docs: DataFrame, rows: DataFrame, members: DataFrame, words: int) -> D
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "text")
     chosen = texts.join(places, texts["_id"].eqNullSafe(places["doc_id"]) & (texts["_hash"] == places["text_hash"]))
     chosen = chosen.select("node", "leaders", "text").mapInArrow(lean(sets), "node long, leaders array<long>, text string")
-    return written(chosen.select("node", "leaders", shingle_sets(F.col("text"), words).alias("shingles")))
+    made = chosen.select("node", "leaders", shingle_sets(F.col("text"), words).alias("shingles"))
+    return written(made.withColumn("bits", _bits(F.col("shingles"))))
+
+
+def _bits(sets: Column) -> Column:
+    """Which of at least twice as many hash buckets as a set is large it has something in, as words of 64 bits."""
+
+    def of(lists: pa.Array) -> pa.Array:
+        made = []
+        for own in lists:
+            found = own.values.to_numpy().view(np.uint64)
+            words = 1 << max(0, (2 * len(found) - 1).bit_length() - 6)
+            bits = np.zeros(64 * words, bool)
+            bits[(found % np.uint64(64 * words)).astype(np.int64)] = True
+            made.append(np.packbits(bits).view(np.int64))
+        return pa.array(made, pa.list_(pa.int64()))
+
+    return F.arrow_udf(lean(of), "array<bigint>")(sets)
+
+
+def _may_link(one: tuple[Column, Column], two: tuple[Column, Column]) -> Column:
+    """Whether sets, by (size, bits), can be linked: what only one has in a bucket is not common."""
+
+    def most(own: tuple[Column, Column], other: tuple[Column, Column]) -> Column:
+        alone = F.zip_with(own[1], other[1], lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+        missing = F.aggregate(alone, F.lit(0), lambda total, n: total + n)
+        return own[0] - F.when(F.size(own[1]) == F.size(other[1]), missing).otherwise(0)
+
+    common = F.least(most(one, two), most(two, one))
+    return 100 * common >= SIMILAR_PERCENT * (one[0] + two[0] - common)
 
 
 def _with_leader(sets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -333,13 +362,15 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(found.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
 
 
-def _led(members: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
+def _led(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, component) by links with leaders: first of each set with the leader of its longest list, then with
-    leaders that are not in its component by that; written. Sizes too far apart are no links."""
-    sizes = size_bounded(written(rows.select("node", "size").distinct()), BROADCAST_ROWS)
+    leaders that are not in its component by that; written. Pairs whose sizes or bits bound them below a link go before."""
+    known = written(sets.select("node", F.size("shingles").cast("long").alias("size"), "bits").dropDuplicates(["node"]))
     pairs = members.where("node <> leader").groupBy("node", "leader").agg(F.max("members").alias("members"))
-    pairs = pairs.join(sizes, "node").join(sizes.select(F.col("node").alias("leader"), F.col("size").alias("led")), "leader")
+    pairs = pairs.join(known, "node")
+    pairs = pairs.join(known.select(F.col("node").alias("leader"), F.col("size").alias("led"), F.col("bits").alias("of_led")), "leader")
     fits = 100 * F.least("size", "led") >= SIMILAR_PERCENT * F.greatest("size", "led")
+    fits &= _may_link((F.col("size"), F.col("bits")), (F.col("led"), F.col("of_led")))
     pairs = written(pairs.where(fits).select("node", "leader", "members"))
     best = pairs.groupBy("node").agg(F.max_by("leader", F.struct("members", "leader")).alias("leader"))
     first = _linked(written(best), sets)
@@ -370,7 +401,10 @@ def _rest_links(members: DataFrame, near: DataFrame, sets: DataFrame) -> DataFra
     selves = sets.join(led, "node", "left_semi").select(
         "node", F.col("node").alias("leader"), size.alias("size"), size.alias("led"), F.lit(0).alias("missing"), F.slice("shingles", 1, 0).alias("apart")
     )
-    apart = written(apart.union(selves).dropDuplicates(["node", "leader"]))
+    apart = apart.union(selves)
+    if sets.count() > sets.select("node").distinct().count():  # repeated rows gave a set more than once
+        apart = apart.dropDuplicates(["node", "leader"])
+    apart = written(apart)
     hashed = F.xxhash64("node")
     n_left, n_right = (F.ceil(F.col(c) / BLOCK).cast("long") for c in ("others", "members"))
     left = rows.where("other").withColumn("i", F.pmod(hashed, n_left)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), n_right - 1)))
@@ -433,7 +467,7 @@ def jaccard_classes(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     rows = every.where("range is null").drop("range", "counts")
     members = _members(docs, _order(every), words)
     sets = _sets(docs, rows, members, words)
-    near = _led(members, rows.where("size > 0"), sets)
+    near = _led(members, sets)
     joined = components(_rest_links(members, near, sets))
     outer = joined.select(F.col("node").alias("component"), F.col("component").alias("outer"))
     inner = near.join(outer, "component", "left").select("node", F.coalesce("outer", "component").alias("component"))

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm_fixtures import ODD_TEXTS, documents, prose, rows, table  # noqa: F401
+from pyspark.sql import functions as F
 from test_minhash import brute, edited, shingle_set
 
 from stratalake.llm import setjoin as s
@@ -81,6 +82,21 @@ def test_answers_follow_from_a_leader():
     assert found[apart].tolist() == np.array([[len(x & y) for y in sets] for x in sets])[apart].tolist()
 
 
+def test_bits_rule_out_no_link(table):
+    """Pairs that are linked may be linked by their bits; most others may not."""
+    r = random.Random(2)
+    base = [r.getrandbits(63) for _ in range(300)]
+    sets = [r.sample(base, r.randrange(1, 300)) for _ in range(20)] + [base[:n] for n in (240, 241, 270, 300)]
+    sets += [[r.getrandbits(63) for _ in range(n)] for n in (1, 2, 32, 33, 290)]
+    rows_ = table([(i, sorted(x)) for i, x in enumerate(sets)], "i int, s array<long>").select("i", F.size("s").alias("n"), s._bits(F.col("s")).alias("b"))
+    other = rows_.toDF("j", "m", "c")
+    may = s._may_link((F.col("n"), F.col("b")), (F.col("m"), F.col("c")))
+    found = {(x["i"], x["j"]) for x in rows_.join(other, F.col("i") < F.col("j")).where(may).collect()}
+    linked = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(set(sets[i]) & set(sets[j])) >= 80 * len(set(sets[i]) | set(sets[j]))}
+    assert linked <= found and len(linked) >= 5
+    assert len(found - linked) < 0.2 * len(sets) ** 2 / 2
+
+
 def test_prefix_is_the_least_that_suffices():
     sizes = np.arange(1, 400)
     assert (s.prefix(sizes) == [n - -(-4 * n // 5) + 1 for n in sizes.tolist()]).all()
