@@ -2,10 +2,15 @@
 
 For each language a raw-content zstandard dictionary is made of a bounded sample of its texts. Texts
 are put in lower case first, and all but letters becomes one blank, as digits, signs and capitals say
-little about the language. A text is encoded with every dictionary, and the language of the smallest encoding is chosen. A margin to the
+little about the language. Marks belong to the letters they follow. A text is encoded with every
+dictionary, and the language of the smallest encoding is chosen. A margin to the
 second one under ``MIN_MARGIN`` of the size is narrow: such a text is marked as rejected, and its
-best language is still given. Short texts are encoded at a level that searches more, as their
-encodings differ by few bytes; ties go to the language with more training texts, then by name.
+best language is still given. All texts are encoded at one level, whole, in parts of ``PART_BYTES``, else a
+long text's own repetitions outweigh the dictionary. Ties go to the language with more training texts, then by name.
+
+Languages are those ``languages`` with the most training texts, ``LANGUAGES`` unless told otherwise, by name
+where texts are as many. All others, and a language of that name, are one class, ``other``, with a dictionary of its own from their texts. So a
+table with any number of values of ``lang`` costs a bounded broadcast and a bounded number of encodings.
 
 Null texts and those without a letter are ``und`` with score 0. Equal texts get equal results. With
 no training text at all, every text is ``und``. Extra columns of the training table are ignored.
@@ -14,40 +19,43 @@ no training text at all, every text is ``und``. Extra columns of the training ta
 from __future__ import annotations
 
 import math
-import re
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.shared import lean
 
-#: The sample of a language: so many texts, so many characters of each.
+#: So many languages have dictionaries of their own; the others are one class.
+LANGUAGES = 256
+OTHER = "other"
+#: The sample of a language: so many texts, so many characters of each, from a place that its hash chooses.
 SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 2048
 SALTS = 64
 #: Bytes of a dictionary.
 DICT_BYTES = 256 << 10
-#: Texts up to so many bytes are encoded at the first level, longer ones at the second.
-SHORT_BYTES = 1024
-LEVELS = (19, 6)
-#: Longer texts are encoded in parts of so many bytes, else a text's own repetitions outweigh the dictionary.
+LEVEL = 6
+#: Texts are encoded in parts of so many bytes.
 PART_BYTES = 4096
 #: The part of the smallest size by which the second must be larger.
 MIN_MARGIN = 0.01
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+_NO_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def sample(docs: DataFrame) -> DataFrame:
-    """(lang, part of a text, texts of the language): some texts of each language, chosen by hash.
+    """(lang, part of a text, hash): some texts of each language, chosen by hash.
 
     First within ``SALTS`` parts of each language, so that no task gets more than a bounded number of
     rows from each other task of a part, whatever a language's share is.
     """
-    known = docs.where("lang is not null and length(text) > 0").select(
-        "lang", F.substring("text", 1, SAMPLE_CHARS).alias("part"), F.xxhash64("doc_id", "text").alias("at")
-    )
+    at = F.xxhash64("doc_id", "text")
+    # by the text alone: copies of a text give the same part
+    first = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1
+    part = F.substr(F.col("text"), first.cast("int"), F.lit(SAMPLE_CHARS))
+    known = docs.where("lang is not null and length(text) > 0").select("lang", part.alias("part"), at.alias("at"))
     salt = F.pmod("at", F.lit(SALTS))
     for keys in ([F.col("lang"), salt], [F.col("lang")]):
         place = F.row_number().over(Window.partitionBy(*keys).orderBy("at", "part"))
@@ -56,10 +64,14 @@ def sample(docs: DataFrame) -> DataFrame:
 
 
 class Languages:
-    """Dictionaries of languages, broadcast: ``DICT_BYTES`` for each."""
-
-    def __init__(self, spark: SparkSession, docs: DataFrame):
-        totals = {r["lang"]: r["count"] for r in docs.where("lang is not null").groupBy("lang").count().collect()}
+    """Dictionaries of languages, broadcast: ``DICT_BYTES`` for each of ``languages`` and one class of the rest."""
+
+    def __init__(self, spark: SparkSession, docs: DataFrame, languages: int = LANGUAGES):
+        counts = docs.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang")
+        totals = {r["lang"]: r["count"] for r in counts.limit(languages).collect()}
+        own = F.broadcast(spark.createDataFrame([(lang, lang) for lang in totals], "lang string, own string"))
+        named = F.when(F.col("lang").isNotNull(), F.coalesce("own", F.lit(OTHER)))
+        docs = docs.select("doc_id", "text", "lang").join(own, "lang", "left").select("doc_id", "text", named.alias("lang"))
         texts: dict[str, list[str]] = {}
         for row in sample(docs).orderBy("lang", "at", "part").toLocalIterator():
             texts.setdefault(row["lang"], []).append(row["part"])
@@ -80,21 +92,22 @@ class Languages:
 
 
 _FIELDS = [("lang", pa.string()), ("score", pa.float64()), ("margin", pa.int32()), ("rejected", pa.bool_())]
-_made: dict[int, list[tuple[str, tuple[zstandard.ZstdCompressor, ...]]]] = {}
+Coders = list[tuple[str, zstandard.ZstdCompressor]]
+_made: dict[int, Coders] = {}
 
 
-def _coders(dictionaries: list[tuple[str, bytes]]) -> list[tuple[str, tuple[zstandard.ZstdCompressor, ...]]]:
+def _coders(dictionaries: list[tuple[str, bytes]]) -> Coders:
     key = hash(tuple(dictionaries))
     if key not in _made:
         _made.clear()
-        _made[key] = [(lang, tuple(_coder(data, level) for level in LEVELS)) for lang, data in dictionaries]
+        _made[key] = [(lang, _coder(data)) for lang, data in dictionaries]
     return _made[key]
 
 
-def _coder(data: bytes, level: int) -> zstandard.ZstdCompressor:
+def _coder(data: bytes) -> zstandard.ZstdCompressor:
     own = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    own.precompute_compress(level=level)
-    return zstandard.ZstdCompressor(level=level, dict_data=own, write_checksum=False, write_content_size=False)
+    own.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=own, write_checksum=False, write_content_size=False)
 
 
 def letters(text: str) -> str:
@@ -103,14 +116,13 @@ def letters(text: str) -> str:
     return f" {words} " if any(map(str.isalpha, words)) else ""
 
 
-def classify(text: str | None, coders: list[tuple[str, tuple[zstandard.ZstdCompressor, ...]]]) -> dict:
+def classify(text: str | None, coders: Coders) -> dict:
     """The language of one text; ``coders`` are in the order in which ties are broken."""
     data = letters(text or "").encode()
     parts = [data[i : i + PART_BYTES] for i in range(0, len(data), PART_BYTES)]
     if len(data) < 2 or not coders:
         return {"lang": "und", "score": 0.0, "margin": 0, "rejected": True}
-    level = int(len(data) > SHORT_BYTES)
-    sizes = [sum(len(own[level].compress(part)) for part in parts) for _, own in coders]
+    sizes = [sum(len(own.compress(part)) for part in parts) for _, own in coders]
     best = min(range(len(sizes)), key=sizes.__getitem__)
     others = sorted(sizes[:best] + sizes[best + 1 :])
     margin = others[0] - sizes[best] if others else sizes[best]

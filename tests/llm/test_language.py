@@ -43,7 +43,7 @@ def test_odd_texts(languages, documents):
 
 
 def test_narrow_margins_are_rejected():
-    same = [("a", (m._coder(b" alpha beta gamma ", 19),) * 2), ("b", (m._coder(b" alpha beta gamma ", 19),) * 2)]
+    same = [("a", m._coder(b" alpha beta gamma ")), ("b", m._coder(b" alpha beta gamma "))]
     found = m.classify("alpha beta", same)
     assert found["lang"] == "a" and found["rejected"] and found["score"] == pytest.approx(0.5)
 
@@ -53,6 +53,33 @@ def test_no_training_texts(spark, table, documents):
     assert rows(documents(["abc"]).select(made.predict(F.col("text")).alias("p")).select("p.lang")) == [("und",)]
 
 
+def test_languages_are_bounded(spark, table, documents):
+    """Thousands of values of lang are one class beside the languages with the most texts."""
+    given = [(i, text(lang, 60, i), lang) for i in range(25) for lang in SOUNDS]
+    given += [(1000 + i, f"qwq wqw {i}", f"junk{i}") for i in range(5000)] + [(9000, "qwq", m.OTHER)]
+    made = m.Languages(spark, table(given, "doc_id long, text string, lang string"), languages=3)
+    assert sorted(made.names) == sorted([*SOUNDS, m.OTHER])
+    assert sum(len(data) for _, data in made._shared.value) <= 4 * m.DICT_BYTES
+    texts = [text(lang, 30, 700) for lang in SOUNDS] + ["wqw qwq wqw"]
+    found = rows(documents(texts).select("doc_id", made.predict(F.col("text")).alias("p")).select("doc_id", "p.lang"))
+    assert dict(found) == dict(enumerate([*SOUNDS, m.OTHER]))
+
+
+def test_samples_come_from_any_place(table, monkeypatch):
+    monkeypatch.setattr(m, "SAMPLE_CHARS", 10)
+    given = [(i, f"{i:04d}" + "é" * 96 + "z", "a") for i in range(200)] + [(500, "short", "a"), (501, "x" * 10, "a"), (502, "x" * 10, "a")]
+    parts = [p for _, p in rows(m.sample(table(given, "doc_id long, text string, lang string")), "lang", "part")]
+    assert {len(p) for p in parts} == {5, 10} and parts.count("x" * 10) == 2
+    assert len([p for p in parts if p == "é" * 10]) > 100  # most places are within
+    copies = rows(m.sample(table([(i, given[3][1], "a") for i in range(9)], "doc_id long, text string, lang string")), "part")
+    assert len(set(copies)) == 1
+
+
+def test_marks_belong_to_letters():
+    assert m.letters("हिन्दी 12 में") == " हिन्दी में "
+    assert m.letters("\u0301 !") == "" and m.letters("_A1b_") == " a b "
+
+
 def test_samples_are_bounded(table, monkeypatch):
     monkeypatch.setattr(m, "SAMPLE_TEXTS", 7)
     given = [(i, f"text {i}", "big") for i in range(300)] + [(1, "rare one", "rare")]
