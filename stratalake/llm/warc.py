@@ -146,15 +146,18 @@ def _header(head: bytes) -> dict[str, str]:
 
 def inflate(pieces: Iterator[bytes]) -> Iterator[bytes]:
     """The bytes of a gzip file of one or many members, in pieces of bounded size."""
-    decoder = zlib.decompressobj(31)
+    decoder = None
     for piece in pieces:
+        decoder = decoder or zlib.decompressobj(31)
         while piece:
             if decoder.eof:
                 decoder = zlib.decompressobj(31)
             yield decoder.decompress(piece, PIECE)
             piece = decoder.unconsumed_tail or decoder.unused_data
-    if not decoder.eof:
+    if decoder and not decoder.eof:
         yield decoder.flush()
+        if not decoder.eof:
+            raise ValueError("the archive ends within a member of its gzip stream")
 
 
 def _pieces(stream: pa.NativeFile) -> Iterator[bytes]:

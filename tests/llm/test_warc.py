@@ -76,6 +76,16 @@ def test_a_cut_archive_is_an_error():
         list(m.split_records([record[:500]]))
 
 
+def test_a_stream_that_is_cut_between_records_is_an_error():
+    record = m.record(1, None, b"x" * 1000, "00" * 32, None)
+    maker = zlib.compressobj(wbits=31)
+    cut = maker.compress(record) + maker.flush(zlib.Z_FULL_FLUSH)
+    for stream in (cut, gzip.compress(record) + cut):
+        with pytest.raises(ValueError, match="within a member"):
+            list(m.split_records(m.inflate(iter([stream]))))
+    assert list(m.inflate(iter([]))) == []
+
+
 def test_a_changed_payload_is_seen():
     data = m.record(1, None, b"x" * 10, hashlib.sha256(b"x" * 10).hexdigest(), None)
     assert m.parse(data)[-1] is True
