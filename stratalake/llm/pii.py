@@ -8,8 +8,12 @@ identifiers. From each anchor a local parser expands to the boundaries of its ki
 - ``card``: a run of digits, single blanks or hyphens between, 13 to 19 digits with a right check digit (Luhn).
 - ``phone``: from a plus sign, 9 to 15 digits.
 - ``iban``: after its cue, with a right checksum (97).
-- ``account``: after a cue such as "account no", 6 to 20 letters, digits and hyphens, 6 digits at least.
+- ``account``: after a cue such as "account no", 6 to 20 capitals, digits and hyphens, 6 digits at least.
 - ``login``: an address with a scheme and a user's name and password before an at-sign.
+- ``host``, if asked for: the host of an address with a scheme, a name with a dot.
+
+Cues are found in any case; the lists are parameters (``cues``), given in lower case. A cue that goes on
+as a longer word is none.
 
 Of each kind, spans are the leftmost that don't overlap; what matched and was invalid isn't tried
 again from a later start. Each character is looked at a bounded number of times for each kind, so
@@ -30,15 +34,17 @@ from pyspark.sql import functions as F
 from stratalake.llm.shared import lean
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "account", "login")
+KINDS = (*BASE_KINDS, "iban", "account", "login", "host")
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 
-_IBAN_CUES = ("IBAN", "Iban", "iban")
-_ACCOUNT_CUES = (
-    "account no", "account number", "acct no", "acct number", "customer no", "customer number", "passport no",
-    "passport number", "Kontonummer", "kontonummer", "Account no", "Account number", "Customer no",
-    "Customer number", "Passport no", "Passport number", "Acct no", "Acct number",
-)
+Cues = tuple[tuple[str, str], ...]
+#: (kind, cue) of identifiers.
+CUES: Cues = (
+    ("iban", "iban"),
+    *(("account", f"{what} {number}") for what in ("account", "acct", "customer", "passport") for number in ("no", "number")),
+    ("account", "kontonummer"),
+)
+_FOLD = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -46,19 +52,19 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"[\s:.#]{0,4}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
 _ACCOUNT = re.compile(r"[\s:.#]{0,4}([A-Z0-9](?:-?[A-Z0-9]){5,19})(?![A-Za-z0-9-])")
 _LOGIN = re.compile(r"[^\s/@:]{1,64}:[^\s/@]{1,128}@[A-Za-z0-9.-]+")
+_HOST = re.compile(r"(?:[^\s/@]{1,193}@)?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
+_SCHEME_LENGTH = 32
 
 
 @cache
-def _anchors() -> ahocorasick.Automaton:
+def _anchors(cues: Cues) -> ahocorasick.Automaton:
     """Each anchor with its kind and length."""
     found = ahocorasick.Automaton()
-    for word, kind in [("@", "email"), ("+", "phone"), ("://", "login"), *((d, "digit") for d in "0123456789")]:
+    signs = [("email", "@"), ("phone", "+"), ("scheme", "://"), *(("digit", d) for d in "0123456789")]
+    for kind, word in (*signs, *cues):
         found.add_word(word, (kind, len(word)))
-    for kind, cues in (("iban", _IBAN_CUES), ("account", _ACCOUNT_CUES)):
-        for cue in cues:
-            found.add_word(cue, (kind, len(cue)))
     found.make_automaton()
     return found
 
@@ -75,19 +81,24 @@ def _left(text: str, at: int, least: int, allowed: frozenset[str]) -> int:
     return at
 
 
-def find(text: str) -> list[tuple[str, int, int]]:
+def find(text: str, cues: Cues = CUES, hosts: bool = False) -> list[tuple[str, int, int]]:
     """All spans of a text, by kind and then by start."""
     done = dict.fromkeys(KINDS, 0)
     spans: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
     run_end = 0
+    folded = text.lower()
+    if len(folded) != len(text):  # a letter whose lower case is longer
+        folded = text.translate(_FOLD)
 
     def keep(kind: str, start: int, end: int, valid: bool = True) -> None:
         done[kind] = end
         if valid:
             spans[kind].append((start, end))
 
-    for last, (anchor, length) in _anchors().iter(text):
+    for last, (anchor, length) in _anchors(cues).iter(folded):
         at, end = last - length + 1, last + 1
+        if anchor in ("iban", "account") and text[end : end + 1].islower():
+            continue
         if anchor == "digit":
             if at < run_end:
                 continue
@@ -115,19 +126,26 @@ def find(text: str) -> list[tuple[str, int, int]]:
         elif anchor == "account":
             if end >= done["account"] and (m := _ACCOUNT.match(text, end)):
                 keep("account", m.start(1), m.end(1), sum("0" <= c <= "9" for c in m[1]) >= 6)
-        elif m := _LOGIN.match(text, end):
-            start = _left(text, at, done["login"], _SCHEME)
-            keep("login", start, m.end(), start < at)
+        else:
+            start = _left(text, at, max(0, at - _SCHEME_LENGTH), _SCHEME)
+            if m := _LOGIN.match(text, end):
+                begin = max(start, done["login"])
+                keep("login", begin, m.end(), begin < at)
+            if hosts and start < at and end >= done["host"] and (m := _HOST.match(text, end)):
+                keep("host", m.start(1), m.end(1))
     return [(kind, start, end) for kind in KINDS for start, end in spans[kind]]
 
 
-def personal_data(text: Column) -> Column:
+def personal_data(text: Column, cues: Cues = CUES, hosts: bool = False) -> Column:
     """All spans of a text as an array of (kind, start, end), by kind as in ``KINDS``, then by start."""
+    for kind, cue in cues:
+        if kind not in ("iban", "account") or not cue or cue != cue.translate(_FOLD):
+            raise ValueError(f"a cue is iban or account with a text in lower case, not {(kind, cue)!r}")
 
     def of(texts: pa.Array) -> pa.Array:
         kinds, starts, ends, offsets = [], [], [], [0]
         for text in texts:
-            for kind, start, end in find(text.as_py() or ""):
+            for kind, start, end in find(text.as_py() or "", cues, hosts):
                 kinds.append(kind)
                 starts.append(start)
                 ends.append(end)

@@ -47,7 +47,7 @@ def op4_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(shipped(spark), sf_dir, "documents")
-    found = docs.select("doc_id", pii.personal_data(F.col("text")).alias("found"))
+    found = docs.select("doc_id", pii.personal_data(F.col("text"), hosts=True).alias("found"))
 
     def of(*kinds: str) -> Column:
         return F.filter("found", lambda s: s["kind"].isin(*kinds))

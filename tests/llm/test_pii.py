@@ -66,6 +66,54 @@ def test_no_added_spans(text):
     assert [s for s in find(text) if s[0] not in BASE_KINDS] == []
 
 
+@pytest.mark.parametrize(
+    "text, span",
+    [
+        ("Account No: 12-345-678", ("account", 12, 22)),
+        ("ACCOUNT NUMBER 12345678", ("account", 15, 23)),
+        ("Passport No. X1234567", ("account", 13, 21)),
+        ("\u0130 Iban: DE89 3704 0044 0532 0130 00", ("iban", 8, 35)),
+    ],
+)
+def test_cues_in_any_case(text, span):
+    assert find(text) == [span] or span in find(text)
+
+
+def test_cues_that_go_on_are_none():
+    assert [s for s in find("account notes 12345678, Ibanez DE89 3704 0044 0532 0130 00") if s[0] not in BASE_KINDS] == []
+
+
+def test_own_cues(documents):
+    cues = (("account", "konto-nr"), ("iban", "bank code"))
+    assert ("account", 9, 17) in find("Konto-Nr 12345678, account no 7654321", cues)
+    assert len([s for s in find("Konto-Nr 12345678, account no 7654321", cues) if s[0] == "account"]) == 1
+    found = documents(["KONTO-NR 12345678"]).select(F.col("text"), personal_data(F.col("text"), cues).alias("found"))
+    assert [tuple(s) for s in found.first()["found"]] == [("account", 9, 17)]
+    for bad in (("account", "Konto"), ("account", ""), ("email", "mail")):
+        with pytest.raises(ValueError, match="a cue is"):
+            personal_data(F.col("text"), (bad,))
+
+
+@pytest.mark.parametrize(
+    "text, hosts",
+    [
+        ("see https://example.org/a@b, HTTP://u:p@b.co:80 x", ["example.org", "b.co"]),
+        ("http://localhost/ ://a.b http:// http://a..b é://c.d", []),
+        ("http://x.y://z.w", ["x.y", "z.w"]),
+        ("a" * 50 + "://h.i", ["h.i"]),
+    ],
+)
+def test_hosts(text, hosts):
+    spans = [s for s in find(text, hosts=True) if s[0] == "host"]
+    assert [text[a:b] for _, a, b in spans] == hosts
+    assert [s for s in find(text, hosts=True) if s[0] != "host"] == find(text)
+
+
+def test_long_runs_of_schemes_are_linear():
+    for run in ("://" * 100_000, "a://" * 100_000, "a://b" * 100_000, "a.b" * 100_000 + "://", "a://" + "b." * 150_000):
+        find(run, hosts=True)
+
+
 def test_long_runs_are_linear():
     for run in ("a" * 300_000, "1" * 300_000, "1.1" * 100_000, "+1" * 100_000, "@" * 300_000, "a@" * 100_000, "1 " * 150_000):
         find(run)
