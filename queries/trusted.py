@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queries.tables import database, layers, scratch, table
-from stratalake import get_job, load_jobs, run_job, run_raw, run_trusted, save_trusted
+from stratalake import get_job, load_jobs, run_job, run_jobs, run_raw, run_trusted, save_trusted
 from stratalake.operators.transforms import trim
 
 
@@ -135,6 +136,36 @@ def job_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{where['trusted']}/crm/customer")
 
 
+def jobs_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four jobs side by side, one of which fails: what each stored, with the rows that are there afterwards."""
+
+    def job(name: str, file: str, **trusted) -> dict:
+        return {
+            "job_name": name,
+            "source": {"type": "parquet", "path": file},
+            "destination": {"path": f"together/{name}", "trusted": {"ingest_type": "Replace", **trusted}},
+        }
+
+    where = layers(spark, sf_dir)
+    jobs = [
+        job("orders", "orders.parquet", ingest_type="Upsert", key_column="O_ORDERKEY", order_column="DT_IMPORT"),
+        job("absent", "absent.parquet"),
+        job("customer", "customer.parquet", ingest_type="ReplacePartition", partitions=["C_MKTSEGMENT"]),
+        job("events", "events.parquet"),
+    ]
+    outcomes = run_jobs(spark, jobs, where, "20240131", at_once=3, incremental="false")
+    found = [
+        spark.read.parquet(outcome.results[-1].path)
+        .agg(F.count("*").alias("stored"), F.max("DT_IMPORT").cast("string").alias("batch"))
+        .select(F.lit(outcome.job_name).alias("job"), F.lit(outcome.results[-1].rows).cast("long").alias("rows"), "stored", "batch")
+        for outcome in outcomes
+        if outcome.error is None
+    ]
+    failed = [(outcome.job_name, len(outcome.results)) for outcome in outcomes if outcome.error is not None]
+    reported = spark.createDataFrame(failed, "job string, rows long").selectExpr("*", "0L AS stored", "'failed' AS batch")
+    return reduce(DataFrame.union, found, reported)
+
+
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = {
         "job_name": "events",
@@ -173,6 +204,15 @@ _ORDERS = (
 )
 
 CHECKS = {
+    "jobs_parallel": (
+        jobs_parallel,
+        """
+        SELECT 'orders' AS job, count(*) AS rows, count(DISTINCT o_orderkey) AS stored, '20240131' AS batch FROM orders
+        UNION ALL SELECT 'customer', count(*), count(*), '20240131' FROM customer
+        UNION ALL SELECT 'events', count(*), count(*), '20240131' FROM events
+        UNION ALL SELECT 'absent', 0, 0, 'failed'
+        """,
+    ),
     "replace_partition_table": (
         replace_partition_table,
         """

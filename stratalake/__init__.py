@@ -5,6 +5,7 @@ from stratalake.operators.latest import latest_per_key
 from stratalake.operators.transforms import apply_transforms, register_transform
 from stratalake.plans.jobs import get_job, load_jobs, parse_batch_date, parse_incremental, validate_job
 from stratalake.plans.steps import BatchResult, run_job, run_raw, run_trusted
+from stratalake.plans.together import JobOutcome, run_jobs
 from stratalake.sinks.raw import save_raw
 from stratalake.sinks.trusted import save_trusted
 from stratalake.sinks.upsert import upsert
@@ -13,6 +14,7 @@ from stratalake.sources.batches import read_batch
 
 __all__ = [
     "BatchResult",
+    "JobOutcome",
     "apply_transforms",
     "get_job",
     "incremental_filter",
@@ -25,6 +27,7 @@ __all__ = [
     "register_reader",
     "register_transform",
     "run_job",
+    "run_jobs",
     "run_raw",
     "run_trusted",
     "save_raw",
