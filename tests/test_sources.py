@@ -1,10 +1,13 @@
+from datetime import date, datetime
+from decimal import Decimal
 from types import SimpleNamespace
 
+import duckdb
 import pytest
 
 from stratalake import read_source, register_reader
 from stratalake.layers import layer_path
-from stratalake.sources.jdbc import bounds_options, jdbc_options, read_jdbc, split_options
+from stratalake.sources.jdbc import bounds_options, jdbc_options, literal, quantiles_options, range_predicates, read_jdbc, split_options
 from tests.conftest import rows
 
 
@@ -161,6 +164,62 @@ def test_jdbc_split_of_nothing(bounds):
     assert split_options(options, SPLIT, bounds) == options
 
 
+VALUES = {
+    "integer": [1, 1, 1, 1, 1, 1, 1, 5, 9, 900, 10_000, None],
+    "varchar": ["", "o'neil", "'", "a", "a", "a", "B", "é", None, "zz"],
+    "date": [date(2024, 1, 1 + d) for d in range(20)] + [None, None],
+    "timestamp": [datetime(2024, 1, 1, 10, 0, s, 123_456) for s in range(20)] + [None],
+    "decimal(9,3)": [Decimal(n) / 8 for n in range(-9, 9)],
+    "double": [-1e300, 1e-300, 0.5, 0.25, None],
+}
+
+
+@pytest.mark.parametrize("kind", VALUES)
+@pytest.mark.parametrize("parts", [1, 2, 3, 7, 50])
+def test_jdbc_quantiles_leave_no_gap(kind, parts):
+    """The conditions are held against a database within this process: every row meets one."""
+    own = duckdb.connect()
+    own.execute(f"CREATE TABLE t (c {kind})")
+    own.executemany("INSERT INTO t VALUES (?)", [(v,) for v in VALUES[kind]])
+    query = quantiles_options({"dbtable": "t", "url": "u"}, {"column": "c", "partitions": parts})["query"]
+    starts = [row[1] for row in sorted(own.execute(query).fetchall())]
+    found = range_predicates("c", starts)
+    assert len(found) <= parts
+    met = [own.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in found]
+    meets = " + ".join(f"coalesce(({p})::int, 0)" for p in found)
+    assert not found or own.execute(f"SELECT DISTINCT {meets} FROM t").fetchall() == [(1,)]
+    if kind == "date" and parts == 7:
+        assert len(met) == 7 and max(met) <= 5
+
+
+def test_jdbc_quantiles_of_nothing():
+    assert range_predicates("c", []) == range_predicates("c", [3]) == range_predicates("c", [3, 3]) == []
+    assert literal("o'n") == "'o''n'" and literal(date(2024, 2, 1)) == "'2024-02-01'"
+
+
+class _QuantileReader(_Reader):
+    def load(self):
+        return SimpleNamespace(collect=lambda: [(2, 40), (1, 7)])
+
+    def jdbc(self, url, table, predicates, properties):
+        self.asked = (url, table, predicates, properties)
+        return self
+
+
+@pytest.mark.parametrize(("more", "relation"), [({}, "SD2010"), ({"query": "SELECT * FROM T"}, "(SELECT * FROM T) q")])
+def test_jdbc_split_by_quantiles(more, relation):
+    spark = SimpleNamespace(read=_QuantileReader())
+    source = {**SQLSERVER, **more, "split": {**SPLIT, "by": "quantiles"}}
+    read_jdbc(spark, source, {}, lambda _: SECRET)
+    url, table, predicates, properties = spark.read.asked
+    assert table == relation and predicates == ["ROW_NO < 40 OR ROW_NO IS NULL", "ROW_NO >= 40"]
+    assert url.startswith("jdbc:") and not {"url", "dbtable", "query"} & set(properties) and properties["user"]
+    with pytest.raises(ValueError, match="a split is by"):
+        read_jdbc(spark, {**source, "split": {**SPLIT, "by": "luck"}}, {}, lambda _: SECRET)
+
+
 def test_jdbc_split_needs_partitions():
+    with pytest.raises(ValueError, match="one partition"):
+        quantiles_options(jdbc_options(SQLSERVER, SECRET), {"column": "A", "partitions": 0})
     with pytest.raises(ValueError, match="one partition"):
         split_options(jdbc_options(SQLSERVER, SECRET), {"column": "A", "partitions": 0}, (1, 2))
