@@ -119,6 +119,17 @@ def upsert_partition_few(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def upsert_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in files by ranges of both key columns; a batch of a range of customers, some of their orders new."""
+    path = f"{scratch(spark)}/trusted/orders"
+    orders = table(spark, sf_dir, "orders").withColumn("version", F.lit(1))
+    keys, inside = ["o_custkey", "o_orderkey"], "o_custkey BETWEEN 100 AND 200"
+    upsert(orders.filter(f"NOT ({inside} AND o_orderkey % 7 = 1)"), path, keys, ["version"], cluster=True)
+    changed = orders.filter(inside).withColumn("version", F.lit(2)).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    upsert(changed, path, keys, ["version"], cluster=True)
+    return spark.read.parquet(path)
+
+
 def upsert_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with a nested column that gains fields: stored ones lack them, and the merge gives them NULL."""
     path = f"{scratch(spark)}/trusted/orders"
@@ -275,6 +286,13 @@ FROM (SELECT *, o_orderkey % 1000 = 7 OR o_orderkey BETWEEN 100 AND 200 AS chang
 """
 
 CHECKS = {
+    "upsert_clustered": (
+        upsert_clustered,
+        """
+        SELECT * EXCLUDE (hit) REPLACE (o_totalprice + hit::INT AS o_totalprice), 1 + hit::INT AS version
+        FROM (SELECT *, o_custkey BETWEEN 100 AND 200 AS hit FROM orders)
+        """,
+    ),
     "upsert_few": (upsert_few, _FEW_SQL),
     "upsert_partition_few": (upsert_partition_few, _FEW_SQL),
     "upsert_table_switch": (

@@ -19,7 +19,7 @@ from stratalake.sinks.versions import SWITCH, current_version, new_version, swit
 REPLACE = ("Replace", "Full")
 REPLACE_PARTITION = "ReplacePartition"
 UPSERT = "Upsert"
-TUNING = ("broadcast_bytes", "publish", "large_batch_rows")
+TUNING = ("broadcast_bytes", "publish", "large_batch_rows", "cluster")
 INGEST_TYPES = (*REPLACE, REPLACE_PARTITION, UPSERT)
 
 
@@ -34,7 +34,7 @@ def save_trusted(
     """Store a batch the way ``trusted["ingest_type"]`` says and register it if it has a database.
 
     ``rows`` is how many it has, if that is known: see :func:`stratalake.sinks.upsert.upsert`,
-    to which ``broadcast_bytes``, ``publish`` and ``large_batch_rows`` of ``trusted`` go.
+    to which ``broadcast_bytes``, ``publish``, ``large_batch_rows`` and ``cluster`` of ``trusted`` go.
 
     A replaced dataset or partition is written beside its place and moved there, where a
     rename does that: a write that fails leaves the stored rows, and files and table agree. With ``publish``
@@ -101,7 +101,7 @@ def _save_version(df: DataFrame, path: str, trusted: Mapping, name: str, stale:
         if trusted["ingest_type"] == UPSERT:
             stored = current_version(spark, name, path)
             keys, order = as_list(trusted["key_column"]), as_list(trusted["order_column"])
-            tuning = {field: trusted[field] for field in ("broadcast_bytes", "large_batch_rows") if field in trusted}
+            tuning = {field: trusted[field] for field in TUNING if field in trusted and field != "publish"}
             schema = write_version(df, path, stored, version, keys, order, owner, stale, options, rows=rows, **tuning)
         else:
             staging.write_stage(df, version, (), options)

@@ -24,6 +24,7 @@ from pyspark.sql.types import (
 )
 
 from stratalake.functions.names import column, find_name, require_name
+from stratalake.operators.cluster import clustered
 from stratalake.operators.gather import gather
 from stratalake.operators.latest import latest_of_repeated, latest_per_key, repeated_keys
 from stratalake.operators.merge import Rule, kept_keys, known_keys, merge_newest, stored_after
@@ -65,6 +66,7 @@ def upsert(
     publish: str = staging.AUTO,
     rows: int | None = None,
     large_batch_rows: int | None = None,
+    cluster: bool = False,
 ) -> tuple[StructType, list[str]]:
     """Merge ``batch`` into the dataset at ``path``; return its schema and the partitions written.
 
@@ -78,6 +80,10 @@ def upsert(
     for repeated keys before it is shuffled. A batch that does not read the same twice
     should be given without ``rows``.
 
+    With ``cluster`` rows are written in ranges of their keys, see :func:`~stratalake.operators.cluster.clustered`:
+    files that a batch of a key range can't touch are then known by their statistics. This costs a
+    shuffle of what is written.
+
     Structs of the batch may have fields that stored ones lack, and the other way round, at any depth.
 
     One run at a time may write a path, see :mod:`stratalake.sinks.ownership`.
@@ -85,7 +91,7 @@ def upsert(
     with owned(batch.sparkSession, path) as owner:
         large = LARGE_BATCH_ROWS if large_batch_rows is None else large_batch_rows
         repeatable = rows is not None and rows >= large
-        return _upsert(batch, path, keys, order, partitions, stale, options, broadcast_bytes, publish, repeatable, owner)
+        return _upsert(batch, path, keys, order, partitions, stale, options, broadcast_bytes, publish, repeatable, cluster, owner)
 
 
 def _upsert(
@@ -99,6 +105,7 @@ def _upsert(
     broadcast_bytes: int,
     publish: str,
     large: bool,
+    cluster: bool,
     owner: Owner,
 ) -> tuple[StructType, list[str]]:
     spark = batch.sparkSession
@@ -110,7 +117,9 @@ def _upsert(
         # Partitions the batch does not touch are not read, but one dataset has one type for a column.
         _common_schema(spark.read.parquet(file).schema, batch.schema, widen=False)
 
-    staged_at, staged, facts = _staged(batch, rule, path, options, broadcast_bytes, large, owner)
+    # what is staged for partitions that are new, or for the first load, is published as it is
+    as_is = cluster and (bool(partitions) or not file)
+    staged_at, staged, facts = _staged(batch, rule, path, options, broadcast_bytes, large, as_is, owner)
     if not facts["rows"]:
         return batch.schema, []
 
@@ -123,12 +132,14 @@ def _upsert(
     common = _common_schema(target.schema, staged.schema, widen=not partitions)
     small = _small_files(files, storage.files_below(spark, staged_at, len(partitions)))
     if target.schema == common and {f.name for f in staged.schema} == set(common.names):
-        written = _replace_files(target, grown(staged, common), files, small, rule, facts, path, options, broadcast_bytes, publish, owner)
+        written = _replace_files(target, grown(staged, common), files, small, rule, facts, path, options, broadcast_bytes, publish, cluster, owner)
         if written is not None:
             return target.schema, written
     merged, shuffled = _merge(grown(target, common), grown(staged, common), rule, facts, path, broadcast_bytes, owner)
     schema = merged.schema
-    if shuffled or small:
+    if cluster:
+        merged = clustered(merged, rule.keys, partitions)
+    elif shuffled or small:
         # A shuffle by key leaves rows of every partition in every task, and so a file each.
         merged = gather(merged, partitions)
     merged_at = staging.merge_stage(path, owner.suffix)
@@ -151,6 +162,7 @@ def write_version(
     broadcast_bytes: int = BROADCAST_BYTES,
     rows: int | None = None,
     large_batch_rows: int | None = None,
+    cluster: bool = False,
 ) -> StructType | None:
     """Write the rows of ``stored_at``, merged with the batch, to the new directory ``version``; return their schema.
 
@@ -160,14 +172,14 @@ def write_version(
     batch, rule = _checked(batch, keys, order, (), stale)
     staging.recover(spark, path, options, owner=owner)
     large = rows is not None and rows >= (LARGE_BATCH_ROWS if large_batch_rows is None else large_batch_rows)
-    _, merged, facts = _staged(batch, rule, path, options, broadcast_bytes, large, owner)
+    _, merged, facts = _staged(batch, rule, path, options, broadcast_bytes, large, False, owner)
     if not facts["rows"]:
         return None
     if stored_at is not None:
         target = staging.read_typed(spark, [stored_at], stored_at, {})
         common = _common_schema(target.schema, merged.schema, widen=True)
         merged, _ = _merge(grown(target, common), grown(merged, common), rule, facts, path, broadcast_bytes, owner)
-    staging.write_stage(merged, version, (), options)
+    staging.write_stage(clustered(merged, rule.keys) if cluster else merged, version, (), options)
     staging.discard(spark, path, owner)
     return merged.schema
 
@@ -182,12 +194,13 @@ def _checked(batch: DataFrame, keys: Sequence[str], order: Sequence[str], partit
 
 
 def _staged(
-    batch: DataFrame, rule: Rule, path: str, options: Mapping | None, broadcast_bytes: int, large: bool, owner: Owner
+    batch: DataFrame, rule: Rule, path: str, options: Mapping | None, broadcast_bytes: int, large: bool, cluster: bool, owner: Owner
 ) -> tuple[str, DataFrame, dict]:
     """The batch with one row per key, written beside the dataset: where, its rows and their measures."""
     spark, staged_at = batch.sparkSession, staging.batch_stage(path, owner.suffix)
     winners = _one_per_key(batch, rule, path, broadcast_bytes, large, owner)
-    staging.write_stage(gather(winners, rule.partitions), staged_at, rule.partitions, options)
+    laid_out = clustered(winners, rule.keys, rule.partitions) if cluster else gather(winners, rule.partitions)
+    staging.write_stage(laid_out, staged_at, rule.partitions, options)
     staged = staging.read_as(spark, [staged_at], staged_at, batch.schema)
     facts = _measure(staged, rule)
     if facts["null_keys"] or not facts["rows"]:
@@ -208,6 +221,7 @@ def _replace_files(
     options: Mapping | None,
     broadcast_bytes: int,
     publish: str,
+    cluster: bool,
     owner: Owner,
 ) -> list[str] | None:
     """Rewrite only the files that hold keys of the batch, and small ones if they are many; add new rows beside them.
@@ -223,7 +237,7 @@ def _replace_files(
     names = {c: f"__f{i}" for i, c in enumerate(rule.match)}
     wanted = F.broadcast(staged.select(*[column(c).alias(n) for c, n in names.items()]))
     same = reduce(operator.and_, [column(c).eqNullSafe(F.col(n)) for c, n in names.items()])
-    stored = target.select(F.col("_metadata.file_path").alias("__file"), *map(column, rule.match))
+    stored = target.where(_within(target, rule, facts)).select(F.col("_metadata.file_path").alias("__file"), *map(column, rule.match))
     found = stored.join(wanted, same, "left_semi").select("__file").distinct().collect()
     touched = {storage.relative_name(spark, row[0], depth) for row in found}
     replaced = sorted(touched | small)
@@ -235,7 +249,9 @@ def _replace_files(
         merged = merge_newest(part, staged, rule, facts["oldest"], broadcast_known=True)
     merged_at = staging.merge_stage(path, owner.suffix)
     merged = merged.select(*map(column, target.columns))
-    if rule.partitions:
+    if cluster:
+        merged = clustered(merged, rule.keys, rule.partitions)
+    elif rule.partitions:
         merged = gather(merged, rule.partitions)
     elif small:
         merged = merged.hint("rebalance")
@@ -245,6 +261,16 @@ def _replace_files(
     return written if rule.partitions else []
 
 
+def _within(target: DataFrame, rule: Rule, facts: Mapping) -> Column:
+    """What the range of the batch's keys says about stored ones, for the statistics of files."""
+    inside = F.lit(True)
+    for name, (low, high) in facts["ranges"].items():
+        kind = target.schema[name].dataType
+        if name not in rule.partitions and isinstance(kind, _EXACT):
+            inside &= column(name).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+    return inside
+
+
 def _small_files(files: Mapping[str, int], added: Mapping[str, int]) -> set[str]:
     """The small files that are due to be rewritten as fewer, by the sizes of all and of what the batch adds."""
     by_directory: dict[str, list[str]] = {}
@@ -317,6 +343,10 @@ def _aside(df: DataFrame, stage: str) -> DataFrame:
 _PUSHABLE = (IntegralType, DecimalType, StringType, DateType, TimestampType, TimestampNTZType)
 
 
+# Key types that come back from text as they were in any time zone.
+_EXACT = (IntegralType, DecimalType, StringType, DateType, TimestampNTZType)
+
+
 def with_directory_nulls(batch: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Empty text as a partition value is stored in the directory of NULL, so it is NULL."""
     for name in partitions:
@@ -326,18 +356,22 @@ def with_directory_nulls(batch: DataFrame, partitions: Sequence[str]) -> DataFra
 
 
 def _measure(staged: DataFrame, rule: Rule) -> dict:
-    """Rows, NULL keys, the oldest order value and the size of the keys, in one pass over those columns."""
+    """Rows, NULL keys, the oldest order value, the size and ranges of the keys, in one pass over those columns."""
     key_null = reduce(operator.or_, [column(k).isNull() for k in rule.keys])
     first = column(rule.order[0])
     pushable = isinstance(staged.schema[rule.order[0]].dataType, _PUSHABLE)
+    exact = [k for k in rule.keys if isinstance(staged.schema[k].dataType, _EXACT)]
+    ends = [end(column(k)).cast("string").alias(f"{end.__name__}{i}") for i, k in enumerate(exact) for end in (F.min, F.max)]
     facts = staged.agg(
         F.count("*").alias("rows"),
         F.count_if(key_null).alias("null_keys"),
         F.count_if(first.isNull()).alias("null_orders"),
         (F.min(first).cast("string") if pushable else F.lit(None)).alias("oldest"),
         _total_width(staged, [*rule.match, *rule.order]).alias("key_bytes"),
+        *ends,
     ).first()
-    return {**facts.asDict(), "oldest": None if facts["null_orders"] else facts["oldest"]}
+    ranges = {k: (facts[f"min{i}"], facts[f"max{i}"]) for i, k in enumerate(exact)}
+    return {**facts.asDict(), "ranges": ranges, "oldest": None if facts["null_orders"] else facts["oldest"]}
 
 
 def _key_bytes(keys: DataFrame) -> int:
