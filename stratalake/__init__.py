@@ -9,7 +9,7 @@ from stratalake.plans.together import JobOutcome, run_jobs
 from stratalake.sinks.raw import save_raw
 from stratalake.sinks.trusted import save_trusted
 from stratalake.sinks.upsert import upsert
-from stratalake.sources import read_source, register_reader
+from stratalake.sources import read_source, register_reader, register_source
 from stratalake.sources.batches import read_batch
 
 __all__ = [
@@ -25,6 +25,7 @@ __all__ = [
     "read_batch",
     "read_source",
     "register_reader",
+    "register_source",
     "register_transform",
     "run_job",
     "run_jobs",

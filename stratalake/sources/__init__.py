@@ -6,18 +6,37 @@ from collections.abc import Callable, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource
 
-from stratalake.layers import Layers
+from stratalake.layers import Layers, layer_path
+from stratalake.sources.arrow_files import ArrowFiles
 from stratalake.sources.files import read_delimited, read_parquet_source
 from stratalake.sources.jdbc import Credentials, read_jdbc
 
 Reader = Callable[[SparkSession, Mapping, Layers], DataFrame]
 
+_PUSHES = "spark.sql.python.filterPushdown.enabled"
+
+
+def read_own(kind: type[DataSource], spark: SparkSession, source: Mapping, layers: Layers) -> DataFrame:
+    """The rows of a Python data source.
+
+    It gets the job's ``options``; ``path``, under the landing layer, if the job has one; and ``push_filters``, which
+    is ``true`` if the session lets a reader have ``pushFilters``, as Spark refuses such a reader otherwise.
+    """
+    spark.dataSource.register(kind)
+    reader = spark.read.format(kind.name()).options(**source.get("options", {}))
+    if "path" in source:
+        reader = reader.option("path", layer_path(layers, "landing", source["path"]))
+    return reader.option("push_filters", spark.conf.get(_PUSHES, "false")).load()
+
+
 _READERS: dict[str, Reader] = {
     "csv": read_delimited,
     "txt": read_delimited,
     "parquet": read_parquet_source,
     "jdbc": read_jdbc,
+    "arrow": partial(read_own, ArrowFiles),
 }
 
 
@@ -26,6 +45,11 @@ def register_reader(source_type: str, reader: Reader) -> None:
     _READERS[source_type] = reader
 
 
+def register_source(source_type: str, kind: type[DataSource]) -> None:
+    """Offer a Python data source to jobs as ``source_type``: its partitions are read by a task each."""
+    register_reader(source_type, partial(read_own, kind))
+
+
 def require_reader(source_type: str) -> Reader:
     try:
         return _READERS[source_type]
