@@ -32,6 +32,7 @@ rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -144,8 +145,10 @@ def _order(rows: DataFrame) -> np.ndarray:
         return pa.table({"range": table["range"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     kind = "range int, counts binary"
-    # in two steps, so that no group grows with the number of tasks alone
-    parts = rows.where("range is not null").select("range", "counts", F.pmod(F.xxhash64("counts"), F.lit(512)).alias("part"))
+    # in two steps, so that groups grow with the root of the number of tasks
+    parts = rows.where("range is not null").select("range", "counts")
+    groups = math.isqrt(parts.count() * RANGE // BUCKETS) + 1
+    parts = parts.withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(groups)))
     parts = parts.groupBy("range", "part").applyInArrow(summed, kind).groupBy("range").applyInArrow(summed, kind)
     made = np.zeros(BUCKETS, np.int64)
     for row in parts.collect():
