@@ -156,11 +156,11 @@ def _order(rows: DataFrame) -> np.ndarray:
     return np.minimum(np.ceil(4 * np.log2(np.maximum(made, 1))), 255).astype(np.uint8)
 
 
-_ENTRIES = pa.schema([("token", pa.int64()), ("size", pa.int32()), ("at", pa.int32()), ("node", pa.int64())])
+_ENTRIES = pa.schema([("token", pa.int64()), ("place", pa.int64()), ("node", pa.int64())])
 
 
 def _entries(docs: DataFrame, order: np.ndarray, words: int) -> DataFrame:
-    """(token, size, at, node): the first shingles of every set with their positions, once for each task."""
+    """(token, place, node): the first shingles of every set, once for each task; a place is a set's size, then a position."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,11 +180,11 @@ def _entries(docs: DataFrame, order: np.ndarray, words: int) -> DataFrame:
                 at = np.arange(len(found)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 # a bucket of one set has no shingle that two sets share
                 first = np.flatnonzero((at < np.repeat(prefix(sizes), sizes)) & (rank > 0))
-                columns = [found[first].view(np.int64), np.repeat(sizes, sizes)[first].astype(np.int32), at[first].astype(np.int32)]
-                columns.append(np.repeat(nodes, sizes)[first].view(np.int64))
+                places = (np.repeat(sizes, sizes)[first] << 32) | at[first]
+                columns = [found[first].view(np.int64), places, np.repeat(nodes, sizes)[first].view(np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_ENTRIES)
 
-    return docs.mapInArrow(lean(entries), "token long, size int, at int, node long")
+    return docs.mapInArrow(lean(entries), "token long, place long, node long")
 
 
 def _matched(size: np.ndarray, at: np.ndarray, node: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -223,8 +223,8 @@ _MEMBERS = pa.schema([("list", pa.int64()), ("node", pa.int64())])
 
 def _lists_of(rows: pa.Table) -> pa.RecordBatch:
     """(list, node) of whole lists, by what entries can match; equal lists once."""
-    token, size, at, node = (rows[name].to_numpy() for name in ("token", "size", "at", "node"))
-    size, at = size.astype(np.int64), at.astype(np.int64)
+    token, place, node = (rows[name].to_numpy() for name in ("token", "place", "node"))
+    size, at = place >> 32, place & 0xFFFFFFFF
     begins = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
     kept = np.flatnonzero(_matched(size, at, node, begins, np.append(begins[1:], len(token))))
     if not len(kept):
@@ -246,7 +246,7 @@ def _lists_of(rows: pa.Table) -> pa.RecordBatch:
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(list, node) of entries by token, size, position and set."""
+    """(list, node) of entries by token, place and set."""
     held: pa.Table | None = None
     passing = None  # the token of a list that is too long to be held
     for batch in batches:
@@ -280,7 +280,7 @@ def _passed(rows: pa.Table) -> pa.RecordBatch:
 
 def _members(docs: DataFrame, order: np.ndarray, words: int) -> DataFrame:
     """(list, node, members, leader) of all lists; written."""
-    entries = _entries(docs, order, words).repartition("token").sortWithinPartitions("token", "size", "at", "node")
+    entries = _entries(docs, order, words).repartition("token").sortWithinPartitions("token", "place", "node")
     members = written(entries.mapInArrow(lean(_lists), "list long, node long").distinct())
     sizes = written(members.groupBy("list").agg(F.count("*").alias("members")).where("members > 1"))
     sized = written(members.join(sizes, "list"))
