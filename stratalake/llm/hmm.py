@@ -7,9 +7,10 @@ same in all states, so it leaves the recursion and is summed per document by a j
 of all words. Thus the model that is broadcast has a fixed size, while what is counted grows with
 the corpus: all words of all training texts, and the expected counts of every state.
 
-Training: from a random start, ``SAMPLE_ROUNDS`` rounds over a sample of ``SAMPLE_DOCS`` texts and
-then ``FULL_ROUNDS`` rounds over all training texts. In each round every task runs the scaled forward
-and backward recursions over its texts and emits its expected counts, which are added up by symbol.
+Training: from a random start, ``SAMPLE_ROUNDS`` and ``FULL_ROUNDS`` rounds, each over all training texts. In each round every task runs
+the scaled forward and backward recursions over its texts and emits its expected counts, which are added
+up by symbol. A round has ``TASKS_PER_CORE`` tasks a core, so that what is added up follows the cores and not
+the corpus; a task gathers ``POOL_TOKENS`` before it groups texts by length.
 Scoring is the scaled forward recursion alone: the exact likelihood of the whole sequence of tokens.
 Texts are worked on in strips of time of ``STRIP_TOKENS``: scoring hands the states' probabilities from strip to
 strip, training keeps them at the start of each and computes a strip's values again on its way back. So beside its
@@ -26,6 +27,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +40,15 @@ from stratalake.llm.words import Block, blocks
 STATES = 8
 FREQUENT = 1 << 16
 CLASSES = 32
+#: Rounds that once read a sample of so many texts and rounds over all; now all of them read all training texts.
 SAMPLE_DOCS, SAMPLE_ROUNDS, FULL_ROUNDS = 4000, 12, 2
+TASKS_PER_CORE = 2
+#: Tokens of a task that are grouped by length at a time.
+POOL_TOKENS = 1 << 23
 #: Tokens that are worked on together.
-BATCH_TOKENS = 1 << 18
+BATCH_TOKENS = 1 << 19
 #: Tokens whose values are held at a time.
-STRIP_TOKENS = 1 << 18
+STRIP_TOKENS = 1 << 19
 #: Distinct words that a task holds before it emits their counts.
 HELD_WORDS = 1 << 21
 STICKY = 0.9
@@ -184,6 +190,11 @@ class Model:
     def __init__(self, start: np.ndarray, step: np.ndarray, emit: np.ndarray):
         self.start, self.step, self.emit = start, step, emit
 
+    @cached_property
+    def by_state(self) -> np.ndarray:
+        """The probabilities of symbols, those of a state side by side."""
+        return np.ascontiguousarray(self.emit.T)
+
     @classmethod
     def random(cls, symbols: np.ndarray, seed: int = 7) -> Model:
         """Sticky states, whose symbols vary at random around how frequent they are."""
@@ -232,23 +243,23 @@ class Strip:
     def forward(self, model: Model, now: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scaled forward values, their scales, and the probabilities of the symbols, by time and text.
 
-        ``now`` are the probabilities of the states at the first time, before its symbols.
+        ``now`` are the probabilities of the states at the first time, before its symbols. Values have a row
+        for each state, so that each step runs over long rows of texts.
         """
-        emit = model.emit[self.symbols]
-        alpha, scale = np.empty_like(emit), np.empty(len(emit))
-        for t, n in enumerate(self.width):
-            a, b = self.at[t], self.at[t + 1]
+        emit = np.take(model.by_state, self.symbols, axis=1)
+        alpha, scale = np.empty_like(emit), np.empty(emit.shape[1])
+        onward = model.step.T
+        at = self.at.tolist()
+        for t, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
             if t:
-                now = now[:n] @ model.step
-            np.multiply(now, emit[a:b], out=alpha[a:b])
-            scale[a:b] = alpha[a:b].sum(1)
-            now = alpha[a:b]
-            now /= scale[a:b, None]
+                now = np.dot(onward, now[:, : b - a])
+            now = np.multiply(now, emit[:, a:b], out=alpha[:, a:b])
+            now /= np.add.reduce(now, 0, out=scale[a:b])
         return alpha, scale, emit
 
     def last(self, alpha: np.ndarray, texts: int) -> np.ndarray:
         """The values at the last time, of so many texts."""
-        return alpha[self.at[-2] : self.at[-2] + texts].copy()
+        return alpha[:, self.at[-2] : self.at[-2] + texts].copy()
 
 
 class Lattice:
@@ -272,7 +283,7 @@ class Lattice:
         return Strip(self.symbols, self.begins[:n] + t, np.minimum(self.sizes[:n], end) - t)
 
     def _first(self, model: Model) -> np.ndarray:
-        return np.broadcast_to(model.start, (len(self.sizes), len(model.start)))
+        return np.broadcast_to(model.start[:, None], (len(model.start), len(self.sizes)))
 
     def log10(self, model: Model) -> np.ndarray:
         """The log10 probability of each text."""
@@ -281,9 +292,9 @@ class Lattice:
             strip = self._strip(i)
             alpha, scale, _ = strip.forward(model, now)
             text = np.arange(len(scale)) - np.repeat(strip.at[:-1], strip.width)
-            total[: len(now)] += np.bincount(text, np.log10(scale), len(now))
+            total[: now.shape[1]] += np.bincount(text, np.log10(scale), now.shape[1])
             if i + 1 < len(self.starts):
-                now = strip.last(alpha, self._texts(self.starts[i + 1])) @ model.step
+                now = model.step.T @ strip.last(alpha, self._texts(self.starts[i + 1]))
         return total
 
     def add_counts(self, model: Model, counts: np.ndarray) -> None:
@@ -292,26 +303,28 @@ class Lattice:
         for i, t in enumerate(self.starts[1:]):
             strip = self._strip(i)
             before.append(strip.last(strip.forward(model, now)[0], self._texts(t)))
-            now = before[-1] @ model.step
+            now = model.step.T @ before[-1]
         n, states = model.emit.shape
-        beta, steps = np.ones((len(self.sizes), states)), np.zeros_like(model.step)
+        beta, steps = np.ones((states, len(self.sizes))), np.zeros_like(model.step)
         for i in reversed(range(len(self.starts))):
             strip = self._strip(i)
             earlier = before[i - 1] if i else None
-            alpha, scale, emit = strip.forward(model, earlier @ model.step if i else self._first(model))
-            emit /= scale[:, None]
+            alpha, scale, emit = strip.forward(model, model.step.T @ earlier if i else self._first(model))
+            emit /= scale
+            at = strip.at.tolist()
             for t in range(len(strip.width) - 1, -1, -1):
-                a, b, width = strip.at[t], strip.at[t + 1], strip.width[t]
+                a, b = at[t], at[t + 1]
+                width = b - a
                 if i or t:
-                    weight = emit[a:b] * beta[:width]
-                    steps += (alpha[strip.at[t - 1] : strip.at[t - 1] + width] if t else earlier).T @ weight
-                alpha[a:b] *= beta[:width]
+                    weight = emit[:, a:b] * beta[:, :width]
+                    steps += np.dot(alpha[:, at[t - 1] : at[t - 1] + width] if t else earlier, weight.T)
+                alpha[:, a:b] *= beta[:, :width]
                 if i or t:
-                    beta[:width] = weight @ model.step.T
+                    beta[:, :width] = np.dot(model.step, weight)
             for state in range(states):
-                counts[:n, state] += np.bincount(strip.symbols, alpha[:, state], n)
+                counts[:n, state] += np.bincount(strip.symbols, alpha[state], n)
         counts[n : n + states] += steps * model.step
-        counts[n + states] += alpha[: len(self.sizes)].sum(0)
+        counts[n + states] += alpha[:, : len(self.sizes)].sum(1)
 
 
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -320,6 +333,25 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def pools(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The symbols of several batches, of ``POOL_TOKENS`` or one batch more, and where each text begins."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(_lists(batch.column(0)))
+        size += len(held[-1][0])
+        if size >= POOL_TOKENS:
+            made, held, size = _joined(held), [], 0
+            yield made
+    if held:
+        made, held = _joined(held), []
+        yield made
+
+
+def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.concatenate([np.diff(offsets) for _, offsets in parts])
+    return np.concatenate([symbols for symbols, _ in parts]), np.concatenate([[0], np.cumsum(sizes)])
+
+
 def expected_counts(encoded: DataFrame, model: Model) -> np.ndarray:
     """Expected counts over all rows: summed in each task, then by row of the counts."""
     shared = encoded.sparkSession.sparkContext.broadcast(model)
@@ -327,15 +359,15 @@ def expected_counts(encoded: DataFrame, model: Model) -> np.ndarray:
     height = len(model.emit) + STATES + 1
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counts = shared.value, np.zeros((height, STATES))
-        for batch in batches:
-            symbols, offsets = _lists(batch.column(0))
+        own, counts = shared.value, np.zeros((STATES, height)).T
+        for symbols, offsets in pools(batches):
             for group in batches_of(offsets):
                 Lattice(symbols, offsets, group).add_counts(own, counts)
         rows = np.flatnonzero(counts.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(counts[rows, k]) for k in range(STATES))], ["row", *names])
 
-    parts = encoded.select("symbols").mapInArrow(lean(expect), "row long, " + ", ".join(f"{n} double" for n in names))
+    tasks = TASKS_PER_CORE * encoded.sparkSession.sparkContext.defaultParallelism
+    parts = encoded.select("symbols").coalesce(tasks).mapInArrow(lean(expect), "row long, " + ", ".join(f"{n} double" for n in names))
     found = parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     shared.unpersist()
     counts = np.zeros((height, STATES))
@@ -344,17 +376,13 @@ def expected_counts(encoded: DataFrame, model: Model) -> np.ndarray:
 
 
 def train(encoded: DataFrame, vocabulary: Vocabulary) -> Model:
-    """Baum-Welch over the encoded training texts."""
+    """Baum-Welch, every round over all encoded training texts."""
     symbols = vocabulary.symbols
     model = Model.random(symbols)
     if not vocabulary.texts:
         return model
-    part = min(1.0, SAMPLE_DOCS / vocabulary.texts)
-    sample = encoded.where(F.pmod(F.xxhash64("key", "symbols"), F.lit(1 << 30)) < int(part * (1 << 30)))
-    sample = written(sample.select("symbols"))
-    for rows, rounds in ((sample, SAMPLE_ROUNDS), (encoded, FULL_ROUNDS)):
-        for _ in range(rounds):
-            model = model.trained(expected_counts(rows, model), symbols)
+    for _ in range(SAMPLE_ROUNDS + FULL_ROUNDS):
+        model = model.trained(expected_counts(encoded, model), symbols)
     return model
 
 

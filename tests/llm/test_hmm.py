@@ -5,6 +5,7 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import ODD_TEXTS, documents, prose, rows, table  # noqa: F401
 from pyspark.sql import functions as F
@@ -169,3 +170,30 @@ def test_memory_does_not_follow_the_longest_text(monkeypatch):
     trained = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert max(scored, trained) < 10 * len(symbols)  # it was 160 bytes a token
+
+
+def test_every_round_reads_all_training_texts(documents, prose, monkeypatch):
+    """No round of Baum-Welch is over a part of the texts, however many there are."""
+    monkeypatch.setattr(m, "SAMPLE_DOCS", 3)
+    docs = documents([prose(20, i) for i in range(40)]).withColumn("held_out", F.col("doc_id") % 4 == 0)
+    vocabulary = m.Vocabulary(docs.where("not held_out"))
+    read = []
+
+    def counted(encoded, model):
+        read.append(encoded.count())
+        return np.ones((len(model.emit) + m.STATES + 1, m.STATES))
+
+    monkeypatch.setattr(m, "expected_counts", counted)
+    m.train(vocabulary.encode(docs).where("not held_out"), vocabulary)
+    assert read == [30] * (m.SAMPLE_ROUNDS + m.FULL_ROUNDS)
+
+
+@pytest.mark.parametrize("tokens", [1, 5, 1000])
+def test_pools_hold_all_texts_of_a_task(monkeypatch, tokens):
+    monkeypatch.setattr(m, "POOL_TOKENS", tokens)
+    texts = [[1], [2, 3, 4], [], [5, 6], [7], [8, 9, 10, 11]]
+    column = pa.array(texts, pa.list_(pa.int32()))
+    batches = [pa.RecordBatch.from_arrays([column], ["symbols"]).slice(a, n) for a, n in ((0, 2), (2, 0), (2, 3), (5, 1))]
+    made = list(m.pools(iter(batches)))
+    assert [list(symbols[a:b]) for symbols, at in made for a, b in itertools.pairwise(at)] == texts
+    assert list(m.pools(iter([]))) == []
