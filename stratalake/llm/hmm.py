@@ -9,8 +9,8 @@ the corpus: all words of all training texts, and the expected counts of every st
 
 Training: from a random start, ``SAMPLE_ROUNDS`` and ``FULL_ROUNDS`` rounds, each over all training texts. In each round every task runs
 the scaled forward and backward recursions over its texts and emits its expected counts, which are added
-up by symbol. A round has ``TASKS_PER_CORE`` tasks a core, so that what is added up follows the cores and not
-the corpus; a task gathers ``POOL_TOKENS`` before it groups texts by length.
+up by symbol. A round has a task for every ``POOL_TOKENS`` of the corpus, or for each core if those are more, as each emits
+counts of most symbols; a task gathers that many before it groups texts by length.
 Scoring is the scaled forward recursion alone: the exact likelihood of the whole sequence of tokens.
 Texts are worked on in strips of time of ``STRIP_TOKENS``: scoring hands the states' probabilities from strip to
 strip, training keeps them at the start of each and computes a strip's values again on its way back. So beside its
@@ -42,13 +42,14 @@ FREQUENT = 1 << 16
 CLASSES = 32
 #: Rounds that once read a sample of so many texts and rounds over all; now all of them read all training texts.
 SAMPLE_DOCS, SAMPLE_ROUNDS, FULL_ROUNDS = 4000, 12, 2
-TASKS_PER_CORE = 2
-#: Tokens of a task that are grouped by length at a time.
+#: Tokens that are grouped by length at a time, and of a task of a round.
 POOL_TOKENS = 1 << 23
 #: Tokens that are worked on together.
 BATCH_TOKENS = 1 << 19
 #: Tokens whose values are held at a time.
 STRIP_TOKENS = 1 << 19
+#: Times between which values are scaled; they don't fall by more than 1e-38 each.
+SCALED = 8
 #: Distinct words that a task holds before it emits their counts.
 HELD_WORDS = 1 << 21
 STICKY = 0.9
@@ -122,18 +123,23 @@ class Vocabulary:
         """How often each symbol occurs: the frequent words, the end, the classes."""
         return np.concatenate([self.frequent, [self.texts], self.class_tokens]).astype(float)
 
-    def encode(self, docs: DataFrame) -> DataFrame:
-        """``docs`` (doc_id, text, held_out) as symbols, with the words of classes beside; written."""
+    def encode(self, docs: DataFrame, packed: bool = False) -> DataFrame:
+        """``docs`` (doc_id, text, held_out) as symbols, with the words of classes beside; written.
+
+        ``packed`` symbols are bytes, four each, which Spark passes on whole.
+        """
         shared = self.shared
-        schema = "doc_id long, held_out boolean, symbols array<int>, base double, rare array<struct<word: bigint, n: int>>"
+        kind = "binary" if packed else "array<int>"
+        schema = f"doc_id long, held_out boolean, symbols {kind}, base double, rare array<struct<word: bigint, n: int>>"
 
         def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, base = shared.value
             for batch in batches:
                 for block in blocks(batch.column(1)):
                     part = batch.slice(block.first, block.rows)
+                    symbols, *others = _encode_block(block, words, base)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0), part.column(2), *_encode_block(block, words, base)],
+                        [part.column(0), part.column(2), _packed(symbols) if packed else symbols, *others],
                         ["doc_id", "held_out", "symbols", "base", "rare"],
                     )
 
@@ -235,6 +241,7 @@ class Strip:
     def __init__(self, symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray):
         self.width = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")  # parts longer than t
         self.at = np.concatenate([[0], np.cumsum(self.width)])
+        self.ends = self.at[sizes - 1] + np.arange(len(sizes))
         text = np.repeat(np.arange(len(sizes)), sizes)
         time = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         self.symbols = np.empty(len(text), np.int64)
@@ -244,17 +251,19 @@ class Strip:
         """Scaled forward values, their scales, and the probabilities of the symbols, by time and text.
 
         ``now`` are the probabilities of the states at the first time, before its symbols. Values have a row
-        for each state, so that each step runs over long rows of texts.
+        for each state, so that each step runs over long rows of texts. They are scaled to a sum of one at every
+        ``SCALED``-th time only; elsewhere scales are one.
         """
         emit = np.take(model.by_state, self.symbols, axis=1)
-        alpha, scale = np.empty_like(emit), np.empty(emit.shape[1])
+        alpha, scale = np.empty_like(emit), np.ones(emit.shape[1])
         onward = model.step.T
         at = self.at.tolist()
         for t, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
             if t:
                 now = np.dot(onward, now[:, : b - a])
             now = np.multiply(now, emit[:, a:b], out=alpha[:, a:b])
-            now /= np.add.reduce(now, 0, out=scale[a:b])
+            if t % SCALED == 0:
+                now /= np.add.reduce(now, 0, out=scale[a:b])
         return alpha, scale, emit
 
     def last(self, alpha: np.ndarray, texts: int) -> np.ndarray:
@@ -291,10 +300,12 @@ class Lattice:
         for i in range(len(self.starts)):
             strip = self._strip(i)
             alpha, scale, _ = strip.forward(model, now)
-            text = np.arange(len(scale)) - np.repeat(strip.at[:-1], strip.width)
-            total[: now.shape[1]] += np.bincount(text, np.log10(scale), now.shape[1])
-            if i + 1 < len(self.starts):
-                now = model.step.T @ strip.last(alpha, self._texts(self.starts[i + 1]))
+            for a, b in zip(strip.at[:-1:SCALED].tolist(), strip.at[1::SCALED].tolist(), strict=True):
+                total[: b - a] += np.log10(scale[a:b])
+            left = self._texts(self.starts[i + 1]) if i + 1 < len(self.starts) else 0
+            total[left : now.shape[1]] += np.log10(alpha[:, strip.ends[left:]].sum(0))
+            if left:
+                now = model.step.T @ strip.last(alpha, left)
         return total
 
     def add_counts(self, model: Model, counts: np.ndarray) -> None:
@@ -310,13 +321,16 @@ class Lattice:
             strip = self._strip(i)
             earlier = before[i - 1] if i else None
             alpha, scale, emit = strip.forward(model, model.step.T @ earlier if i else self._first(model))
-            emit /= scale
+            left = self._texts(self.starts[i + 1]) if i + 1 < len(self.starts) else 0
+            beta[:, left : len(strip.ends)] = 1 / alpha[:, strip.ends[left:]].sum(0)
             at = strip.at.tolist()
             for t in range(len(strip.width) - 1, -1, -1):
                 a, b = at[t], at[t + 1]
                 width = b - a
                 if i or t:
                     weight = emit[:, a:b] * beta[:, :width]
+                    if t % SCALED == 0:
+                        weight /= scale[a:b]
                     steps += np.dot(alpha[:, at[t - 1] : at[t - 1] + width] if t else earlier, weight.T)
                 alpha[:, a:b] *= beta[:, :width]
                 if i or t:
@@ -327,8 +341,20 @@ class Lattice:
         counts[n + states] += alpha[:, : len(self.sizes)].sum(1)
 
 
+def _packed(lists: pa.ListArray) -> pa.Array:
+    """Lists of 32-bit numbers as their bytes."""
+    offsets = pa.array(lists.offsets.to_numpy().astype(np.int64) * 4)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, offsets.buffers()[1], lists.values.buffers()[1]]).cast(pa.binary())
+
+
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The values of a list column, and where each list begins."""
+    """The values of a column of lists, or of their bytes, and where each list begins."""
+    if not pa.types.is_list(column.type):
+        column = column.cast(pa.large_binary())
+        _, where, data = column.buffers()
+        offsets = np.frombuffer(where, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+        symbols = np.frombuffer(data, np.int32, (offsets[-1] - offsets[0]) // 4, offsets[0]) if offsets[-1] > offsets[0] else np.zeros(0, np.int32)
+        return symbols, (offsets - offsets[0]) // 4
     offsets = column.offsets.to_numpy().astype(np.int64)
     return column.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0]
 
@@ -352,8 +378,8 @@ def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return np.concatenate([symbols for symbols, _ in parts]), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def expected_counts(encoded: DataFrame, model: Model) -> np.ndarray:
-    """Expected counts over all rows: summed in each task, then by row of the counts."""
+def expected_counts(encoded: DataFrame, model: Model, tokens: int = 0) -> np.ndarray:
+    """Expected counts over all rows, of so many tokens: summed in each task, then by row of the counts."""
     shared = encoded.sparkSession.sparkContext.broadcast(model)
     names = [f"s{k}" for k in range(STATES)]
     height = len(model.emit) + STATES + 1
@@ -366,7 +392,7 @@ def expected_counts(encoded: DataFrame, model: Model) -> np.ndarray:
         rows = np.flatnonzero(counts.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(counts[rows, k]) for k in range(STATES))], ["row", *names])
 
-    tasks = TASKS_PER_CORE * encoded.sparkSession.sparkContext.defaultParallelism
+    tasks = max(encoded.sparkSession.sparkContext.defaultParallelism, -(-tokens // POOL_TOKENS))
     parts = encoded.select("symbols").coalesce(tasks).mapInArrow(lean(expect), "row long, " + ", ".join(f"{n} double" for n in names))
     found = parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     shared.unpersist()
@@ -382,7 +408,7 @@ def train(encoded: DataFrame, vocabulary: Vocabulary) -> Model:
     if not vocabulary.texts:
         return model
     for _ in range(SAMPLE_ROUNDS + FULL_ROUNDS):
-        model = model.trained(expected_counts(encoded, model), symbols)
+        model = model.trained(expected_counts(encoded, model, vocabulary.tokens), symbols)
     return model
 
 
@@ -407,7 +433,7 @@ def score(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     vocabulary = Vocabulary(docs.where("not held_out"))
-    encoded = vocabulary.encode(docs)
+    encoded = vocabulary.encode(docs, packed=True)
     model = train(encoded.where("not held_out"), vocabulary)
 
     # words of classes: their counts, by a join on the word

@@ -179,7 +179,7 @@ def test_every_round_reads_all_training_texts(documents, prose, monkeypatch):
     vocabulary = m.Vocabulary(docs.where("not held_out"))
     read = []
 
-    def counted(encoded, model):
+    def counted(encoded, model, *_):
         read.append(encoded.count())
         return np.ones((len(model.emit) + m.STATES + 1, m.STATES))
 
@@ -197,3 +197,14 @@ def test_pools_hold_all_texts_of_a_task(monkeypatch, tokens):
     made = list(m.pools(iter(batches)))
     assert [list(symbols[a:b]) for symbols, at in made for a, b in itertools.pairwise(at)] == texts
     assert list(m.pools(iter([]))) == []
+
+
+def test_packed_symbols_are_those_of_lists(documents, prose, monkeypatch):
+    monkeypatch.setattr(m, "FREQUENT", 50)
+    docs = documents([*ODD_TEXTS, *(prose(30, i) for i in range(5))]).withColumn("held_out", F.lit(False))
+    vocabulary = m.Vocabulary(docs)
+    lists = {r["doc_id"]: r["symbols"] for r in vocabulary.encode(docs).collect()}
+    packed = vocabulary.encode(docs, packed=True).select("doc_id", "symbols").toArrow().combine_chunks().to_batches()[0]
+    for part in (packed, packed.slice(2, 4), packed.slice(0, 0)):
+        symbols, at = m._lists(part.column("symbols"))
+        assert [symbols[a:b].tolist() for a, b in itertools.pairwise(at)] == [lists[i] for i in part.column("doc_id").to_pylist()]
