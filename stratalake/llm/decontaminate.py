@@ -32,6 +32,7 @@ Extra columns are kept by ``decontaminate`` and otherwise ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +53,8 @@ COVER = 0.7
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 5
 #: Pieces of a latent space at most, and spaces that are searched in one pass in expectation.
 GROUP, SPACES = 200, 24
+#: Pieces whose products with a window are bounded together before they are summed.
+BUNDLE = 8
 #: Different tokens of passages whose documents are counted in one scan, in expectation (8 bytes each).
 COUNTED = 1 << 21
 #: Documents found that are joined by broadcast; more are joined by shuffle.
@@ -285,7 +288,7 @@ class Passage:
     """A passage made ready in a task."""
 
     def __init__(self, tokens: np.ndarray):
-        self.size, self.wanted = len(tokens), np.unique(tokens)
+        self.size = len(tokens)
         self.where = _bits(tokens.tolist())
         self.room = -(-self.size // 3)
         self.tail = min(ANSWER, self.size)
@@ -302,13 +305,14 @@ class Passage:
         The whole text of a range bounds what its parts have in common, so most ranges fall at once.
         """
         low, high = max(0, first), max(0, last + self.size + 2 * self.room)
-        at = np.flatnonzero(np.isin(text[low:high], self.wanted)) + low
-        matches = [self.where[token] for token in text[at].tolist()]
+        here = text[low:high].tolist()
+        at = [i for i, token in enumerate(here, low) if token in self.where]
+        matches = [self.where[here[i - low]] for i in at]
         above = self.size - self.tail
         found = None
 
         def of(one: int, two: int) -> tuple[int, bool]:
-            a, b = np.searchsorted(at, [one, two + self.size + 2 * self.room])
+            a, b = bisect_left(at, one), bisect_left(at, two + self.size + 2 * self.room)
             part = matches[a:b]
             n = _common(part, self.size) if len(part) > max(length, self.least - 1) else 0
             if n <= length or n < self.least:
@@ -344,14 +348,28 @@ FOUND = "doc_id long, text_hash long, passage long, cosine double, n_common int,
 
 
 class Searcher:
-    """A space made ready in a task. ``dots`` has the product of each weighted token vector with each piece."""
+    """A space made ready in a task. ``dots`` has the product of each weighted token vector with each piece.
+
+    Pieces lie in bundles of ``BUNDLE``, ordered by their least products. ``bounds`` has for each token and bundle the
+    greatest part of a least product that the token adds to one of its pieces, so that windows whose parts don't
+    sum up to one are no candidates of any of them; all others are summed piece by piece.
+    """
 
     def __init__(self, space: Space):
         self.space, self.members = space, Members(space.vocabulary)
         self.vectors = space.vectors * space.weights[:, None].astype(np.float32)
-        self.dots = self.vectors @ space.pieces.T
+        pieces = len(space.pieces)
+        bundles = -(-pieces // BUNDLE)
+        self.order = np.append(np.argsort(space.least, kind="stable"), np.full(bundles * BUNDLE - pieces, -1))
+        dots = (self.vectors @ space.pieces.T)[:, self.order]
         self.norms = np.linalg.norm(space.pieces, axis=1)
-        self.least = (space.least * (1 - 1e-4)).astype(np.float32)
+        least = (space.least * (1 - 1e-4)).astype(np.float32)[self.order]
+        dots[:, pieces:], least[pieces:] = 0, np.inf
+        self.least = least.reshape(bundles, BUNDLE)
+        parts = np.maximum(dots, 0) / np.maximum(least, 1e-9)
+        self.bounds = np.ascontiguousarray(parts.reshape(-1, bundles, BUNDLE).max(2))
+        # the products of a bundle side by side, those of token t and bundle b in row b * tokens + t
+        self.dots = dots.reshape(-1, bundles, BUNDLE).swapaxes(0, 1).reshape(-1, BUNDLE)
 
     def candidates(self, hashes: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """(text, first token there, passage, cosine) of each candidate of a block.
@@ -377,13 +395,23 @@ class Searcher:
             different = np.unique(np.repeat(np.arange(len(part)), n) * width + token[at])
             of, different = np.divmod(different, width)
             begins = np.searchsorted(of, np.arange(len(part) + 1))
-            dots = np.add.reduceat(self.dots[different], begins[:-1])
-            window, piece = np.nonzero(dots >= self.least)
-            for w, i in zip(window, piece, strict=True):
-                own = self.vectors[different[begins[w] : begins[w + 1]]].sum(0)
-                cosine = dots[w, i] / max(float(np.linalg.norm(own)) * self.norms[i], 1e-9)
+            sums = np.add.reduceat(np.take(self.bounds, different, axis=0), begins[:-1])
+            window, bundle = np.nonzero(sums >= 1 - 1e-3)
+            if not len(window):
+                continue
+            n = np.diff(begins)[window]
+            ends = np.cumsum(n)
+            own = different[np.repeat(begins[window] - ends + n, n) + np.arange(ends[-1])]
+            dots = np.add.reduceat(np.take(self.dots, own + np.repeat(bundle * width, n), axis=0), ends - n)
+            pair, piece = np.nonzero(dots >= self.least[bundle])
+            lengths: dict[int, float] = {}
+            for j, i in zip(pair.tolist(), piece.tolist(), strict=True):
+                w, place = int(window[j]), int(self.order[bundle[j] * BUNDLE + i])
+                if w not in lengths:
+                    lengths[w] = float(np.linalg.norm(self.vectors[different[begins[w] : begins[w + 1]]].sum(0)))
+                cosine = dots[j, i] / max(lengths[w] * self.norms[place], 1e-9)
                 k = part[w]
-                yield int(row[k]), int(starts[k] - firsts[row[k]]), int(self.space.owners[i]), float(cosine)
+                yield int(row[k]), int(starts[k] - firsts[row[k]]), int(self.space.owners[place]), float(cosine)
 
 
 def _leak(passage: Passage, text: np.ndarray, begins: list[int]) -> tuple[int, bool] | None:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -202,6 +203,57 @@ def test_token_vectors_are_singular_vectors(table, prose):
     assert np.allclose((rows_ @ found) @ (rows_ @ found).T, rows_ @ rows_.T, atol=1e-2)
 
 
+def space_of(items, documents_of):
+    """A latent space of the passages, each of its own dimension."""
+    lists = m.token_lists(pa.array(items))
+    vocabulary = np.unique(np.concatenate(lists))
+    weights = np.sqrt(np.log(1000 / documents_of(vocabulary)))
+    at = [np.searchsorted(vocabulary, own) for own in lists]
+    a = np.zeros((len(items), len(vocabulary)))
+    for i, own in enumerate(at):
+        np.add.at(a[i], own, weights[own])
+    vectors = np.linalg.svd(a, full_matrices=False)[2].T.astype(np.float32)
+    pieces = np.array([weights[own] @ vectors[own] for own in at], np.float32)
+    return m.Space(np.arange(len(items)), vocabulary, weights, vectors, pieces, m.least_products([weights[own] for own in at]))
+
+
+def test_bounds_leave_out_no_candidate(prose):
+    """Candidates are those of all products, of passages of many sizes."""
+    items = [prose(5 + i % 44, 1000 + i) for i in range(101)]
+    space = space_of(items, lambda v: 1 + v % np.uint64(900))
+    texts = [f"{prose(30, i)} {changed(x, 0.1 * (i % 6), i)} {prose(90, 50 + i)}" for i, x in enumerate(items)]
+    found, expected = {}, {}
+    vectors = space.vectors * space.weights[:, None].astype(np.float32)
+    for block in m.blocks(pa.array(texts)):
+        hashes, firsts = m.tokens(block)
+        found |= {(row, begin, i): cosine for row, begin, i, cosine in m.Searcher(space).candidates(hashes, firsts)}
+        for row in range(len(texts)):
+            own = hashes[firsts[row] : firsts[row + 1]]
+            for begin in m.piece_starts(len(own))[:-1] + [m.STRIDE * (len(m.piece_starts(len(own))) - 1)]:
+                at = np.flatnonzero(np.isin(space.vocabulary, own[begin : begin + m.WINDOW]))
+                window = vectors[at].sum(0)
+                for i in np.flatnonzero(space.pieces @ window >= space.least * (1 - 1e-4)):
+                    expected[row, begin, int(i)] = space.pieces[i] @ window / np.linalg.norm(space.pieces[i]) / np.linalg.norm(window)
+    assert found.keys() == expected.keys() and len(found) > 100
+    assert all(abs(found[k] - expected[k]) < 1e-5 for k in found)
+
+
+def test_windows_of_other_texts_are_not_summed_piece_by_piece():
+    """Windows with words of many passages, but few of any, are left out by sums over bundles of pieces."""
+    r = random.Random(3)
+    items = [" ".join(f"word{48 * i + j}" for j in range(48)) for i in range(200)]
+    space = space_of(items, lambda v: np.ones(len(v)))
+    texts = [" ".join(f"word{r.randrange(48 * 200)}" for _ in range(2000)) for _ in range(13)]
+    searcher = m.Searcher(space)
+    (block,) = m.blocks(pa.array(texts))
+    hashes, firsts = m.tokens(block)
+    tracemalloc.start()
+    assert list(searcher.candidates(hashes, firsts)) == []
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6  # the products of a thousand windows' tokens with 200 pieces are 39 MB
+
+
 @pytest.mark.parametrize("empty", ["documents", "benchmark"])
 def test_empty_tables(documents, table, prose, empty):
     docs = documents([] if empty == "documents" else [prose(50, 1)])
