@@ -134,10 +134,11 @@ class Vocabulary:
 
         def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, base = shared.value
+            places = Places(words)
             for batch in batches:
                 for block in blocks(batch.column(1)):
                     part = batch.slice(block.first, block.rows)
-                    symbols, *others = _encode_block(block, words, base)
+                    symbols, *others = _encode_block(block, places, base)
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0), part.column(2), _packed(symbols) if packed else symbols, *others],
                         ["doc_id", "held_out", "symbols", "base", "rare"],
@@ -163,10 +164,31 @@ def _log_base(counts: np.ndarray, tokens: int, distinct: int) -> np.ndarray:
     return np.log10((counts + 0.5) / (tokens + 0.5 * (distinct + 1)))
 
 
-def _encode_block(block: Block, words: np.ndarray, base: np.ndarray) -> list[pa.Array]:
+class Places:
+    """Places of keys in a sorted array, as ``np.searchsorted`` gives them, by a table of their highest bits."""
+
+    BITS = 18
+
+    def __init__(self, words: np.ndarray):
+        self.shift = np.uint64(64 - self.BITS)
+        self.words = words
+        self.padded = np.append(words, np.uint64(2**64 - 1))
+        self.first = np.searchsorted(words, np.arange(1 << self.BITS, dtype=np.uint64) << self.shift)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = self.first[(keys >> self.shift).astype(np.int64)]
+        low = np.flatnonzero(self.padded[at] < keys)
+        while len(low):
+            at[low] += 1
+            low = low[self.padded[at[low]] < keys[low]]
+        return at
+
+
+def _encode_block(block: Block, places: Places, base: np.ndarray) -> list[pa.Array]:
+    words = places.words
     keys, firsts = word_keys(block)
     rows = np.repeat(np.arange(block.rows), np.diff(firsts))
-    at = np.minimum(np.searchsorted(words, keys), max(len(words) - 1, 0))
+    at = np.minimum(places.find(keys), max(len(words) - 1, 0))
     known = words[at] == keys if len(words) else np.zeros(len(keys), bool)
     end = len(words)
     symbols = np.where(known, at, end + 1 + (keys & np.uint64(CLASSES - 1)).astype(np.int64))

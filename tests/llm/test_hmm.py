@@ -208,3 +208,11 @@ def test_packed_symbols_are_those_of_lists(documents, prose, monkeypatch):
     for part in (packed, packed.slice(2, 4), packed.slice(0, 0)):
         symbols, at = m._lists(part.column("symbols"))
         assert [symbols[a:b].tolist() for a, b in itertools.pairwise(at)] == [lists[i] for i in part.column("doc_id").to_pylist()]
+
+
+@pytest.mark.parametrize("words", [0, 1, 5, 3000])
+def test_places_are_those_of_a_search(words):
+    r = np.random.default_rng(words)
+    every = np.unique(np.append(r.integers(0, 2**64, words, np.uint64), r.integers(0, 50, words // 2, np.uint64)))
+    keys = np.concatenate([every, every + np.uint64(1), r.integers(0, 2**64, 2000, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+    assert (m.Places(every).find(keys) == np.searchsorted(every, keys)).all()
