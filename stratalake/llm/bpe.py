@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
@@ -28,6 +28,8 @@ from stratalake.llm.shared import lean
 
 #: Longer texts are encoded in parts of about so many characters.
 PART_CHARS = 1 << 16
+#: Columns are worked on in parts of about so many bytes.
+PART_BYTES = 1 << 20
 #: White space is taken out of a text's parts from so many signs in a row on.
 RUN_CHARS = 1 << 14
 # fixed values: the signs of white space that the tiktoken library's patterns know as \s
@@ -49,6 +51,17 @@ class Ranked(tiktoken.Encoding):
         return end, self._encode_single_piece(text[begin:end])
 
 
+def parts_of(batches: Iterator[pa.Array], size: int = PART_BYTES) -> Iterator[pa.Array]:
+    """The rows of each batch in as many even parts as it has so many bytes.
+
+    What is made of a part is passed on before the next, so that ids of a whole batch are never held, here or by Spark.
+    """
+    for batch in batches:
+        rows = max(1, size * len(batch) // max(1, batch.nbytes))
+        for first in range(0, len(batch), rows):
+            yield batch.slice(first, rows)
+
+
 _codecs: dict[tuple[int, str], Ranked] = {}
 
 
@@ -85,11 +98,12 @@ class Codec:
         """array<int>: the ids of a text."""
         load = self._loader()
 
-        def ids(texts: pa.Array) -> pa.Array:
-            codec, made = load(), _Lists()
-            for text in texts:
-                made.add(encode_text(codec, text.as_py() or ""))
-            return made.array()
+        def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in parts_of(batches):
+                codec, made = load(), _Lists()
+                for text in texts:
+                    made.add(encode_text(codec, text.as_py() or ""))
+                yield made.array()
 
         return F.arrow_udf(lean(ids), "array<int>")(text)
 
@@ -97,14 +111,15 @@ class Codec:
         """A struct of the ids of a text, and whether decoding them gives its bytes back."""
         load = self._loader()
 
-        def checked(texts: pa.Array) -> pa.Array:
-            codec, made, same = load(), _Lists(), []
-            for text in texts:
-                own = text.as_py() or ""
-                ids = encode_text(codec, own)
-                made.add(ids)
-                same.append(codec.decode_bytes(ids) == own.encode())
-            return pa.StructArray.from_arrays([made.array(), pa.array(same, pa.bool_())], ["ids", "round_trip"])
+        def checked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in parts_of(batches):
+                codec, made, same = load(), _Lists(), []
+                for text in texts:
+                    own = text.as_py() or ""
+                    ids = encode_text(codec, own)
+                    made.add(ids)
+                    same.append(codec.decode_bytes(ids) == own.encode())
+                yield pa.StructArray.from_arrays([made.array(), pa.array(same, pa.bool_())], ["ids", "round_trip"])
 
         return F.arrow_udf(lean(checked), "struct<ids: array<int>, round_trip: boolean>")(text)
 
@@ -112,9 +127,10 @@ class Codec:
         """binary: the bytes of the ids; no ids or null: empty."""
         load = self._loader()
 
-        def raw(column: pa.Array) -> pa.Array:
-            codec = load()
-            return pa.array([codec.decode_bytes(x.as_py() or []) for x in column], pa.binary())
+        def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for column in parts_of(batches):
+                codec = load()
+                yield pa.array([codec.decode_bytes(x.as_py() or []) for x in column], pa.binary())
 
         return F.arrow_udf(lean(raw), "binary")(ids)
 

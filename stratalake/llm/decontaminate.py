@@ -104,6 +104,8 @@ class Pass:
 
 
 _TOKENS = "token long"
+#: Small tables are made of Arrow ones: lists would be passed through Python workers of their own by every job that reads them.
+_COUNTS = pa.schema([("token", pa.int64()), ("n", pa.int64())])
 
 
 def _distinct_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +120,7 @@ def document_counts(docs: DataFrame, passages: DataFrame) -> tuple[DataFrame, in
     spark = docs.sparkSession
     every = written(passages.select("text").mapInArrow(lean(_distinct_tokens), _TOKENS).distinct())
     scans = max(1, -(-every.count() // COUNTED))
-    found = spark.createDataFrame([], "token long, n long")
+    found = spark.createDataFrame(_COUNTS.empty_table())
     for part in range(scans):
         chosen = every.where(F.pmod(F.xxhash64("token"), F.lit(scans)) == part).toPandas()["token"].to_numpy(np.int64)
         shared = spark.sparkContext.broadcast(np.sort(chosen.view(np.uint64)))
@@ -251,7 +253,7 @@ def build_pass(passages: DataFrame, counts: DataFrame, total: int) -> Pass:
         own_lists = token_lists(pa.array(part, pa.string()))
         vocabulary = np.unique(np.concatenate(own_lists))
         weights = (np.log((1 + total) / (1 + in_docs[np.searchsorted(every, vocabulary)])) + 1e-3) ** 0.5
-        own_rows = spark.createDataFrame([(text,) for text in part], "text string")
+        own_rows = spark.createDataFrame(pa.table({"text": pa.array(part, pa.string())}))
         vectors = token_vectors(own_rows, vocabulary, weights)
         at = [np.searchsorted(vocabulary, own) for own in own_lists]
         pieces = np.array([weights[a] @ vectors[a] for a in at], np.float32)
@@ -484,7 +486,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     passages = written(passages.withColumn("passage", F.xxhash64("text")))
     pieces = passages.agg(F.sum("n").alias("n")).first()["n"] or 0
     passes = max(1, -(-pieces // (GROUP * SPACES)))
-    found = spark.createDataFrame([], FOUND)
+    found = spark.createDataFrame(_FOUND.empty_table())
     counts, total = document_counts(docs, passages) if pieces else (None, 0)
     for part in range(passes if pieces else 0):
         wanted = build_pass(passages.where(F.pmod("passage", F.lit(passes)) == part), counts, total)

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
-from stratalake.llm.shared import free_name, lean, size_bounded, written
+from stratalake.llm.shared import free_name, lean, once, size_bounded, written
 from stratalake.llm.words import Block, blocks, mix
 
 EDITS = 2
@@ -573,4 +573,4 @@ def _without(text: Column, numbers: Column) -> Column:
             made.append(rest)
         return pa.array(made, pa.string())
 
-    return F.arrow_udf(lean(of), "string")(text, numbers)
+    return once(F.arrow_udf(lean(of), "string"))(text, numbers)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.shared import free_name, lean, size_bounded, written
+from stratalake.llm.shared import free_name, lean, once, size_bounded, written
 from stratalake.llm.words import Block, blocks, windows
 
 MIN_WORDS = 20
@@ -118,7 +118,7 @@ def counts(text: Column) -> Column:
         columns = [np.concatenate([np.zeros(0, np.int64), *(part[c] for part in parts)]) for c in COUNTS]
         return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], COUNTS)
 
-    return F.arrow_udf(lean(of), "struct<" + ", ".join(f"{c}: bigint" for c in COUNTS) + ">")(text)
+    return once(F.arrow_udf(lean(of), "struct<" + ", ".join(f"{c}: bigint" for c in COUNTS) + ">"))(text)
 
 
 def measure(docs: DataFrame) -> DataFrame:

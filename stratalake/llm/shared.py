@@ -55,6 +55,11 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def once(function: Callable) -> Callable:
+    """The UDF, for columns that are filtered by: Spark would push the filter below them, and call the UDF for it too."""
+    return function.asNondeterministic()
+
+
 def drop_written(df: DataFrame) -> None:
     """Delete a table that ``written`` made, once no later step reads it."""
     spark = df.sparkSession

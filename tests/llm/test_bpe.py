@@ -1,11 +1,12 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from llm_fixtures import ODD_TEXTS, documents, rows, table  # noqa: F401
 
-from stratalake.llm.bpe import RUN_CHARS, Codec, codec_of, encode_text
+from stratalake.llm.bpe import RUN_CHARS, Codec, codec_of, encode_text, parts_of
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -83,3 +84,10 @@ def test_large_rank_files_are_refused(spark):
 def test_no_documents(spark, documents):
     made = Codec(spark, PATH, public_tokenizers.PATTERN)
     assert documents([]).select(made.encode(F.col("text"))).count() == 0
+
+
+def test_batches_are_passed_on_in_parts():
+    texts = pa.array(["a" * 1000, None, "", "b" * 3000] * 50)
+    parts = list(parts_of([texts, texts.slice(0, 0), texts.slice(3)], 4096))
+    assert max(map(len, parts)) <= 10 and min(map(len, parts)) > 0
+    assert [x for part in parts for x in part.to_pylist()] == texts.to_pylist() + texts.to_pylist()[3:]

@@ -260,3 +260,10 @@ def test_empty_tables(documents, table, prose, empty):
     bench = table([] if empty == "benchmark" else [(1, prose(50, 1))], "item_id long, text string")
     assert m.contamination(docs, bench).count() == 0
     assert m.decontaminate(docs, bench).count() == docs.count()
+
+
+def test_small_tables_need_no_python_workers(documents, prose):
+    docs = documents([prose(30, 1)])
+    counts, _ = m.document_counts(docs, docs.select("text"))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "RDD" not in plan and counts.count() > 0

@@ -88,3 +88,11 @@ def test_quartiles_are_close(table):
     fence = found.first()["fence_symbols"]
     q1, q3 = sorted(values)[49], sorted(values)[149]
     assert abs(fence - (q3 + q.FENCE * (q3 - q1))) <= (1 + q.FENCE) * q3 / 8
+
+
+def test_texts_are_counted_once_for_a_verdict(documents, prose):
+    """One Python worker for each task, also where rows are filtered by what it returns."""
+    docs = documents([prose(30, 1)])
+    for made in (q.quality(docs).where("kept"), q.sketch(q.measure(docs))):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
