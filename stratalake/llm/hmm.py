@@ -9,8 +9,8 @@ the corpus: all words of all training texts, and the expected counts of every st
 
 Training: from a random start, ``SAMPLE_ROUNDS`` and ``FULL_ROUNDS`` rounds, each over all training texts. In each round every task runs
 the scaled forward and backward recursions over its texts and emits its expected counts, which are added
-up by symbol. A round has a task for every ``POOL_TOKENS`` of the corpus, or for each core if those are more, as each emits
-counts of most symbols; a task gathers that many before it groups texts by length.
+up by symbol. A round has a task for every ``TASK_TOKENS`` of the corpus, or for each core if those are more, as each emits
+counts of most symbols; a task gathers ``POOL_TOKENS`` before it groups texts by length.
 Scoring is the scaled forward recursion alone: the exact likelihood of the whole sequence of tokens.
 Texts are worked on in strips of time of ``STRIP_TOKENS``: scoring hands the states' probabilities from strip to
 strip, training keeps them at the start of each and computes a strip's values again on its way back. So beside its
@@ -42,8 +42,10 @@ FREQUENT = 1 << 16
 CLASSES = 32
 #: Rounds that once read a sample of so many texts and rounds over all; now all of them read all training texts.
 SAMPLE_DOCS, SAMPLE_ROUNDS, FULL_ROUNDS = 4000, 12, 2
-#: Tokens that are grouped by length at a time, and of a task of a round.
+#: Tokens that are grouped by length at a time.
 POOL_TOKENS = 1 << 23
+#: Tokens of a task of a round, which emits counts of most symbols.
+TASK_TOKENS = 1 << 25
 #: Tokens that are worked on together.
 BATCH_TOKENS = 1 << 19
 #: Tokens whose values are held at a time.
@@ -113,7 +115,7 @@ class Vocabulary:
         self.shared = spark.sparkContext.broadcast((self.words, self.base))
 
         kind = F.pmod("word", F.lit(CLASSES))
-        rare = self.counts.join(F.broadcast(spark.createDataFrame(top[["word"]], "word long")), "word", "left_anti")
+        rare = self.counts.join(F.broadcast(spark.createDataFrame(pa.table({"word": pa.array(top["word"], pa.int64())}))), "word", "left_anti")
         by_class = {r["kind"]: r for r in rare.groupBy(kind.alias("kind")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
         self.class_tokens = np.array([by_class[k]["n"] if k in by_class else 0 for k in range(CLASSES)], np.int64)
         self.class_words = np.array([by_class[k]["v"] if k in by_class else 0 for k in range(CLASSES)], np.int64)
@@ -257,6 +259,19 @@ def batches_of(offsets: np.ndarray) -> Iterator[np.ndarray]:
         first = last
 
 
+class Room:
+    """Memory for values by state, used again by one strip after the other: to get it anew costs as much as a pass over it."""
+
+    def __init__(self) -> None:
+        self._held: dict[str, np.ndarray] = {}
+
+    def array(self, name: str, states: int, tokens: int) -> np.ndarray:
+        if len(self._held.get(name, ())) < states * tokens:
+            self._held.pop(name, None)
+            self._held[name] = np.empty(states * tokens)
+        return self._held[name][: states * tokens].reshape(states, tokens)
+
+
 class Strip:
     """Parts of texts, longest first, with the symbols of one time side by side."""
 
@@ -269,15 +284,18 @@ class Strip:
         self.symbols = np.empty(len(text), np.int64)
         self.symbols[self.at[time] + text] = symbols[np.repeat(begins, sizes) + time]
 
-    def forward(self, model: Model, now: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def forward(self, model: Model, now: np.ndarray, room: Room | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scaled forward values, their scales, and the probabilities of the symbols, by time and text.
 
         ``now`` are the probabilities of the states at the first time, before its symbols. Values have a row
         for each state, so that each step runs over long rows of texts. They are scaled to a sum of one at every
-        ``SCALED``-th time only; elsewhere scales are one.
+        ``SCALED``-th time only; elsewhere scales are one. The values lie in ``room``, until it is used again.
         """
-        emit = np.take(model.by_state, self.symbols, axis=1)
-        alpha, scale = np.empty_like(emit), np.ones(emit.shape[1])
+        room, states, tokens = room or Room(), len(model.by_state), len(self.symbols)
+        emit, alpha = room.array("emit", states, tokens), room.array("alpha", states, tokens)
+        for own, to in zip(model.by_state, emit, strict=True):
+            np.take(own, self.symbols, out=to, mode="clip")  # all are within; other modes copy once more
+        scale = np.ones(tokens)
         onward = model.step.T
         at = self.at.tolist()
         for t, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
@@ -296,7 +314,8 @@ class Strip:
 class Lattice:
     """A group of texts, longest first, worked on in strips of time."""
 
-    def __init__(self, symbols: np.ndarray, offsets: np.ndarray, group: np.ndarray):
+    def __init__(self, symbols: np.ndarray, offsets: np.ndarray, group: np.ndarray, room: Room | None = None):
+        self.room = room or Room()
         self.symbols, self.begins, self.sizes = symbols, offsets[group], np.diff(offsets)[group]
         self.starts, t = [], 0
         while t < self.sizes[0]:
@@ -321,7 +340,7 @@ class Lattice:
         total, now = np.zeros(len(self.sizes)), self._first(model)
         for i in range(len(self.starts)):
             strip = self._strip(i)
-            alpha, scale, _ = strip.forward(model, now)
+            alpha, scale, _ = strip.forward(model, now, self.room)
             for a, b in zip(strip.at[:-1:SCALED].tolist(), strip.at[1::SCALED].tolist(), strict=True):
                 total[: b - a] += np.log10(scale[a:b])
             left = self._texts(self.starts[i + 1]) if i + 1 < len(self.starts) else 0
@@ -335,14 +354,14 @@ class Lattice:
         now, before = self._first(model), []  # the values at the end of each strip but the last
         for i, t in enumerate(self.starts[1:]):
             strip = self._strip(i)
-            before.append(strip.last(strip.forward(model, now)[0], self._texts(t)))
+            before.append(strip.last(strip.forward(model, now, self.room)[0], self._texts(t)))
             now = model.step.T @ before[-1]
         n, states = model.emit.shape
         beta, steps = np.ones((states, len(self.sizes))), np.zeros_like(model.step)
         for i in reversed(range(len(self.starts))):
             strip = self._strip(i)
             earlier = before[i - 1] if i else None
-            alpha, scale, emit = strip.forward(model, model.step.T @ earlier if i else self._first(model))
+            alpha, scale, emit = strip.forward(model, model.step.T @ earlier if i else self._first(model), self.room)
             left = self._texts(self.starts[i + 1]) if i + 1 < len(self.starts) else 0
             beta[:, left : len(strip.ends)] = 1 / alpha[:, strip.ends[left:]].sum(0)
             at = strip.at.tolist()
@@ -350,7 +369,7 @@ class Lattice:
                 a, b = at[t], at[t + 1]
                 width = b - a
                 if i or t:
-                    weight = emit[:, a:b] * beta[:, :width]
+                    weight = np.multiply(emit[:, a:b], beta[:, :width], out=emit[:, a:b])
                     if t % SCALED == 0:
                         weight /= scale[a:b]
                     steps += np.dot(alpha[:, at[t - 1] : at[t - 1] + width] if t else earlier, weight.T)
@@ -407,14 +426,14 @@ def expected_counts(encoded: DataFrame, model: Model, tokens: int = 0) -> np.nda
     height = len(model.emit) + STATES + 1
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counts = shared.value, np.zeros((STATES, height)).T
+        own, counts, room = shared.value, np.zeros((STATES, height)).T, Room()
         for symbols, offsets in pools(batches):
             for group in batches_of(offsets):
-                Lattice(symbols, offsets, group).add_counts(own, counts)
+                Lattice(symbols, offsets, group, room).add_counts(own, counts)
         rows = np.flatnonzero(counts.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(counts[rows, k]) for k in range(STATES))], ["row", *names])
 
-    tasks = max(encoded.sparkSession.sparkContext.defaultParallelism, -(-tokens // POOL_TOKENS))
+    tasks = max(encoded.sparkSession.sparkContext.defaultParallelism, -(-tokens // TASK_TOKENS))
     parts = encoded.select("symbols").coalesce(tasks).mapInArrow(lean(expect), "row long, " + ", ".join(f"{n} double" for n in names))
     found = parts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     shared.unpersist()
@@ -436,12 +455,12 @@ def train(encoded: DataFrame, vocabulary: Vocabulary) -> Model:
 
 def forward_score(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model.value
+        own, room = model.value, Room()
         for batch in batches:
             symbols, offsets = _lists(batch.column(0))
             found = np.zeros(len(batch))
             for group in batches_of(offsets):
-                found[group] = Lattice(symbols, offsets, group).log10(own)
+                found[group] = Lattice(symbols, offsets, group, room).log10(own)
             columns = [*batch.columns[1:], pa.array(np.diff(offsets)), pa.array(found)]
             yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "held_out", "base", "n_tokens", "forward"])
 

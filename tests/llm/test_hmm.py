@@ -216,3 +216,21 @@ def test_places_are_those_of_a_search(words):
     every = np.unique(np.append(r.integers(0, 2**64, words, np.uint64), r.integers(0, 50, words // 2, np.uint64)))
     keys = np.concatenate([every, every + np.uint64(1), r.integers(0, 2**64, 2000, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
     assert (m.Places(every).find(keys) == np.searchsorted(every, keys)).all()
+
+
+def test_strips_lie_in_the_same_memory():
+    """Values of the next strip take the place of the last one's, and are those of a strip with memory of its own."""
+    r = np.random.default_rng(3)
+    model, room = m.Model.random(np.ones(40), seed=5), m.Room()
+    before = None
+    for sizes in ([9, 7, 7, 2], [8, 8, 1], [30]):
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        symbols, group = r.integers(0, 40, offsets[-1]), np.arange(len(sizes))
+        alone, shared = np.zeros((40 + m.STATES + 1, m.STATES)), np.zeros((40 + m.STATES + 1, m.STATES))
+        m.Lattice(symbols, offsets, group).add_counts(model, alone)
+        m.Lattice(symbols, offsets, group, room).add_counts(model, shared)
+        assert (alone == shared).all()
+        assert (m.Lattice(symbols, offsets, group).log10(model) == m.Lattice(symbols, offsets, group, room).log10(model)).all()
+        held = room.array("alpha", m.STATES, 1)
+        assert before is None or sizes == [30] or np.shares_memory(before, held)
+        before = held
