@@ -14,7 +14,9 @@ lists of one entry with them. Lists that hold the same sets are one list.
 
 Skipping between sets: each list has a leader, the set that meets most others in lists. Every set
 is compared in full with the leader of its longest list, then with leaders of its other lists that are not in its
-component by that; a bit for each of some hash buckets bounds what two sets have in common, and spares most of those that aren't linked. What is then still apart in a list is compared as differences from the leader, which are short for similar sets: with leader L, and M and
+component by that; a bit for each of some hash buckets bounds what two sets have in common, and spares most of those that aren't linked. Those bits
+also say which sets of a list may be linked with one of another component: sets that only share a passage mostly go by that, before any of
+their shingles are moved. What is then still apart in a list is compared as differences from the leader, which are short for similar sets: with leader L, and M and
 E what L has more and less than a set,
 
     common(X, Y) = size(L) - size(MX) - size(MY) + common(MX, MY) + common(EX, EY),
@@ -33,7 +35,7 @@ rows. Extra columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.components import components
 from stratalake.llm.minhash import shingle_sets, shingles
-from stratalake.llm.shared import drop_written, lean, size_bounded, written
+from stratalake.llm.shared import drop_written, lean, once, size_bounded, written
 from stratalake.llm.words import blocks, mix
 
 SHINGLE = 5
@@ -57,6 +59,8 @@ CHUNK = 1024
 HELD = 1 << 16
 #: More rows than this are joined by shuffle, fewer by broadcast (16 bytes each).
 BROADCAST_ROWS = 500_000
+#: A filter of documents has so many bits for each wanted one, and so many at most.
+FILTER_BITS, FILTER_MOST = 16, 1 << 26
 #: Lists of so many entries are compared entry by entry, longer ones block by block.
 _SHORT = 16
 _MARK = np.uint64(0x2545F4914F6CDD1D)
@@ -99,6 +103,19 @@ class _Seen:
         return made
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest takes, byte by byte, compressed."""
+    width = next(w for w in (1, 2, 4, 8) if int(counts.max(initial=0)) < 1 << 8 * w)
+    planes = counts.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    width = packed[0]
+    planes = np.frombuffer(pa.decompress(packed[1:], RANGE * width, "zstd"), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
+
+
 _ROWS = "doc_id long, text_hash long, size long, node long, range int, counts binary"
 _ROW_SCHEMA = pa.schema(
     [
@@ -128,10 +145,10 @@ def _read(docs: DataFrame, words: int) -> DataFrame:
             none = pa.nulls(len(batch))
             columns = [*batch.columns[:2], pa.array(np.concatenate(sizes)), pa.array(np.concatenate(nodes).view(np.int64))]
             yield pa.RecordBatch.from_arrays([*columns, none.cast(pa.int32()), none.cast(pa.binary())], schema=_ROW_SCHEMA)
-        parts = np.minimum(total, 65535).astype(np.uint16).reshape(-1, RANGE)
+        parts = np.minimum(total, 65535).reshape(-1, RANGE)
         at = np.flatnonzero(parts.any(1))
         empty = pa.nulls(len(at), pa.int64())
-        counts = pa.array([part.tobytes() for part in parts[at]], pa.binary())
+        counts = pa.array([_packed(part) for part in parts[at]], pa.binary())
         yield pa.RecordBatch.from_arrays([empty] * 4 + [pa.array(at, pa.int32()), counts], schema=_ROW_SCHEMA)
 
     return written(docs.mapInArrow(lean(read), _ROWS))
@@ -141,8 +158,8 @@ def _order(rows: DataFrame) -> np.ndarray:
     """One byte for each bucket, which grows with the logarithm of its count; 0 for a bucket of one set at most."""
 
     def summed(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), np.uint16 if len(x.as_py()) == 2 * RANGE else np.int64).astype(np.int64) for x in table["counts"])
-        return pa.table({"range": table["range"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+        total = sum(_unpacked(x.as_py()) for x in table["counts"])
+        return pa.table({"range": table["range"][:1], "counts": pa.array([_packed(total)], pa.binary())})
 
     kind = "range int, counts binary"
     # in two steps, so that groups grow with the root of the number of tasks
@@ -152,7 +169,7 @@ def _order(rows: DataFrame) -> np.ndarray:
     parts = parts.groupBy("range", "part").applyInArrow(summed, kind).groupBy("range").applyInArrow(summed, kind)
     made = np.zeros(BUCKETS, np.int64)
     for row in parts.collect():
-        made[row["range"] * RANGE : (row["range"] + 1) * RANGE] = np.frombuffer(row["counts"], np.int64)
+        made[row["range"] * RANGE : (row["range"] + 1) * RANGE] = _unpacked(bytes(row["counts"]))
     return np.minimum(np.ceil(4 * np.log2(np.maximum(made, 1))), 255).astype(np.uint8)
 
 
@@ -292,8 +309,49 @@ def _members(docs: DataFrame, order: np.ndarray, words: int) -> DataFrame:
     return led
 
 
-def _sets(docs: DataFrame, rows: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """(node, leaders, shingles) of all sets in lists, each from one document; written.
+def _places(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, doc_id, text_hash) of one document for each set in lists; written."""
+    places = rows.where("size > 0").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("place"))
+    return written(places.join(members.select("node").distinct(), "node").select("node", "place.*"))
+
+
+def _wanted(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(_id, _hash, text) of all documents in ``places``, and few others.
+
+    A bit for each hash of an id and a text is what all tasks get, so that other texts aren't moved, however many places there are.
+    """
+    bits = 64
+    while bits < min(FILTER_BITS * places.count(), FILTER_MOST):
+        bits *= 2
+    at = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(bits))
+    words = places.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word"))
+    words = words.agg(F.expr("bit_or(shiftleft(1L, cast(at % 64 as int)))").alias("bits")).toArrow()
+    made = np.zeros(bits // 64, np.int64)
+    made[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(made)
+
+    def of(places: pa.Array) -> pa.Array:
+        at = places.to_numpy()
+        return pa.array((shared.value[at >> 6] >> (at & 63) & 1).astype(bool))
+
+    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "text")
+    return texts.where(once(F.arrow_udf(lean(of), "boolean"))(F.pmod(F.xxhash64("_id", "_hash"), F.lit(bits))))
+
+
+def _placed(texts: DataFrame, places: DataFrame) -> DataFrame:
+    same = texts["_id"].eqNullSafe(places["doc_id"]) & (texts["_hash"] == places["text_hash"])
+    return texts.join(size_bounded(places, BROADCAST_ROWS), same).drop("_id", "_hash", "doc_id", "text_hash")
+
+
+def _known(docs: DataFrame, places: DataFrame, words: int) -> DataFrame:
+    """(node, size, bits) of all sets in lists; written."""
+    found = _wanted(docs, places).select("_id", "_hash", shingle_sets(F.col("text"), words).alias("shingles"))
+    found = found.select("_id", "_hash", F.size("shingles").cast("long").alias("size"), _bits(F.col("shingles")).alias("bits"))
+    return written(_placed(found, places).dropDuplicates(["node"]))
+
+
+def _sets(docs: DataFrame, places: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of these sets, each from one document; written.
 
     Repeated rows of a document give its set once for each task.
     """
@@ -302,17 +360,11 @@ def _sets(docs: DataFrame, rows: DataFrame, members: DataFrame, words: int) -> D
         seen = _Seen()
         for batch in batches:
             new = pa.array(seen.new(batch.column("node").to_numpy().view(np.uint64)))
-            yield batch.select(["node", "leaders", "text"]).filter(new)
+            yield batch.filter(new)
 
-    other = F.when(F.col("node") != F.col("leader"), F.col("leader"))
-    leaders = members.groupBy("node").agg(F.collect_set(other).alias("leaders"))
-    places = rows.where("size > 0").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("place"))
-    places = size_bounded(written(places.join(leaders, "node").select("node", "leaders", "place.*")), BROADCAST_ROWS)
-    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "text")
-    chosen = texts.join(places, texts["_id"].eqNullSafe(places["doc_id"]) & (texts["_hash"] == places["text_hash"]))
-    chosen = chosen.select("node", "leaders", "text").mapInArrow(lean(sets), "node long, leaders array<long>, text string")
-    made = chosen.select("node", "leaders", shingle_sets(F.col("text"), words).alias("shingles"))
-    return written(made.withColumn("bits", _bits(F.col("shingles"))))
+    places = written(places.join(nodes.select("node").distinct(), "node"))
+    chosen = _placed(_wanted(docs, places), places).select("node", "text").mapInArrow(lean(sets), "node long, text string")
+    return written(chosen.select("node", shingle_sets(F.col("text"), words).alias("shingles")))
 
 
 def _bits(sets: Column) -> Column:
@@ -334,10 +386,16 @@ def _bits(sets: Column) -> Column:
 def _may_link(one: tuple[Column, Column], two: tuple[Column, Column]) -> Column:
     """Whether sets, by (size, bits), can be linked: what only one has in a bucket is not common."""
 
+    def folded(own: Column, other: Column) -> Column:
+        half = F.size(other)
+        halves = F.zip_with(F.slice(own, F.lit(1), half), F.slice(own, half + 1, half), lambda x, y: x.bitwiseOR(y))
+        return F.when(F.size(own) == 2 * half, halves).otherwise(own)
+
     def most(own: tuple[Column, Column], other: tuple[Column, Column]) -> Column:
-        alone = F.zip_with(own[1], other[1], lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+        mine, its = folded(own[1], other[1]), folded(other[1], own[1])
+        alone = F.zip_with(mine, its, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
         missing = F.aggregate(alone, F.lit(0), lambda total, n: total + n)
-        return own[0] - F.when(F.size(own[1]) == F.size(other[1]), missing).otherwise(0)
+        return own[0] - F.when(F.size(mine) == F.size(its), missing).otherwise(0)
 
     common = F.least(most(one, two), most(two, one))
     return 100 * common >= SIMILAR_PERCENT * (one[0] + two[0] - common)
@@ -348,8 +406,7 @@ def _with_leader(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     counts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
     counts = size_bounded(written(counts), BROADCAST_ROWS)
     many = size_bounded(counts.where("chunks > 1"), BROADCAST_ROWS)
-    own = sets.select("node", F.explode("leaders").alias("leader"), F.col("shingles").alias("own"))
-    own = own.join(size_bounded(pairs, BROADCAST_ROWS), ["node", "leader"], "left_semi")
+    own = sets.select("node", F.col("shingles").alias("own")).join(size_bounded(pairs, BROADCAST_ROWS), "node")
     chunk = F.pmod(F.xxhash64("node"), F.coalesce("chunks", F.lit(1).cast("long")))
     own = own.join(many, "leader", "left").withColumn("chunk", chunk).drop("chunks")
     leaders = sets.select(F.col("node").alias("leader"), F.col("shingles").alias("led")).join(counts, "leader")
@@ -365,16 +422,16 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(found.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
 
 
-def _led(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _led(members: DataFrame, known: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, component) by links with leaders: first of each set with the leader of its longest list, then with
     leaders that are not in its component by that; written. Pairs whose sizes or bits bound them below a link go before."""
-    known = written(sets.select("node", F.size("shingles").cast("long").alias("size"), "bits").dropDuplicates(["node"]))
     pairs = members.where("node <> leader").groupBy("node", "leader").agg(F.max("members").alias("members"))
     pairs = pairs.join(known, "node")
     pairs = pairs.join(known.select(F.col("node").alias("leader"), F.col("size").alias("led"), F.col("bits").alias("of_led")), "leader")
     fits = 100 * F.least("size", "led") >= SIMILAR_PERCENT * F.greatest("size", "led")
     fits &= _may_link((F.col("size"), F.col("bits")), (F.col("led"), F.col("of_led")))
     pairs = written(pairs.where(fits).select("node", "leader", "members"))
+    sets = sets_of(pairs.select("node").union(pairs.select("leader")))
     best = pairs.groupBy("node").agg(F.max_by("leader", F.struct("members", "leader")).alias("leader"))
     first = _linked(written(best), sets)
     near = components(first)
@@ -383,23 +440,41 @@ def _led(members: DataFrame, sets: DataFrame) -> DataFrame:
         rest = rest.join(near.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}")), side, "left")
     apart = F.coalesce("of_node", "node") != F.coalesce("of_leader", "leader")
     second = _linked(written(rest.where(apart).select("node", "leader")), sets)
+    drop_written(sets)
     return components(first.union(second))
 
 
-def _rest_links(members: DataFrame, near: DataFrame, sets: DataFrame) -> DataFrame:
+def _sides(rows: DataFrame) -> DataFrame:
+    """Blocks (list, i, j) of what a list has outside its largest component, ``left``, and of all it has."""
+    counts = rows.groupBy("list").agg(F.count_if("other").alias("others"), F.count("*").alias("members"))
+    rows = rows.join(size_bounded(written(counts), BROADCAST_ROWS), "list")
+    hashed = F.xxhash64("node")
+    n_left, n_right = (F.ceil(F.col(c) / BLOCK).cast("long") for c in ("others", "members"))
+    left = rows.where("other").withColumn("i", F.pmod(hashed, n_left)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), n_right - 1)))
+    right = rows.where("others > 0").withColumn("j", F.pmod(hashed, n_right))
+    right = right.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), n_left - 1)))
+    columns = ["list", "i", "j", "component", "node", "leader"]
+    return left.select(*columns, F.lit(True).alias("left")).union(right.select(*columns, F.lit(False).alias("left")))
+
+
+def _rest_links(members: DataFrame, near: DataFrame, known: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links between components that meet in a list, as links of components; written."""
     placed = members.join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = written(placed.where("members > 2"))
     parts = placed.groupBy("list", "component").agg(F.count("*").alias("n"))
     open_ = parts.groupBy("list").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
-    open_ = size_bounded(written(open_.where("most < all").select("list", "main", (F.col("all") - F.col("most")).alias("others"))), BROADCAST_ROWS)
+    open_ = size_bounded(written(open_.where("most < all").select("list", "main")), BROADCAST_ROWS)
     rows = written(placed.join(open_, "list").withColumn("other", F.col("component") != F.col("main")))
+    rows = rows.select("list", "component", "node", "leader", "other")
+    may = _sides(rows).join(known, "node").groupBy("list", "i", "j").applyInArrow(_may_meet, "list long, node long").distinct()
+    rows = written(rows.join(written(may), ["list", "node"]))
     missing, extra = F.array_except("led", "own"), F.array_except("own", "led")
+    sets = sets_of(rows.select("node").union(rows.select("leader")))
     pairs = written(rows.where("node <> leader").select("node", "leader").distinct())
     apart = _with_leader(sets, pairs).select(
         "node", "leader", F.size("own").alias("size"), F.size("led").alias("led"), F.size(missing).alias("missing"), F.concat(missing, extra).alias("apart")
     )
-    led = size_bounded(written(pairs.select(F.col("leader").alias("node")).distinct()), BROADCAST_ROWS)
+    led = size_bounded(written(rows.select(F.col("leader").alias("node")).distinct()), BROADCAST_ROWS)
     size = F.size("shingles")
     selves = sets.join(led, "node", "left_semi").select(
         "node", F.col("node").alias("leader"), size.alias("size"), size.alias("led"), F.lit(0).alias("missing"), F.slice("shingles", 1, 0).alias("apart")
@@ -408,14 +483,45 @@ def _rest_links(members: DataFrame, near: DataFrame, sets: DataFrame) -> DataFra
     if sets.count() > sets.select("node").distinct().count():  # repeated rows gave a set more than once
         apart = apart.dropDuplicates(["node", "leader"])
     apart = written(apart)
-    hashed = F.xxhash64("node")
-    n_left, n_right = (F.ceil(F.col(c) / BLOCK).cast("long") for c in ("others", "members"))
-    left = rows.where("other").withColumn("i", F.pmod(hashed, n_left)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), n_right - 1)))
-    right = rows.withColumn("j", F.pmod(hashed, n_right)).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), n_left - 1)))
-    columns = ["list", "i", "j", "component", "node", "leader"]
-    sides = left.select(*columns, F.lit(True).alias("left")).union(right.select(*columns, F.lit(False).alias("left")))
-    found = sides.join(apart, ["node", "leader"]).groupBy("list", "i", "j").applyInArrow(_compare, "a long, b long")
-    return written(found.distinct())
+    found = _sides(rows).join(apart, ["node", "leader"]).groupBy("list", "i", "j").applyInArrow(_compare, "a long, b long")
+    found = written(found.distinct())
+    for old in (sets, apart):
+        drop_written(old)
+    return found
+
+
+def may_link(size: np.ndarray, bits: np.ndarray, one_size: int, one_bits: np.ndarray) -> np.ndarray:
+    """Which sets, rows of bits as wide as those of one set, can be linked with that, by the same bound as between columns."""
+    both = np.bitwise_count(bits & one_bits).sum(1, dtype=np.int64)
+    alone, one_alone = np.bitwise_count(bits).sum(1, dtype=np.int64) - both, int(np.bitwise_count(one_bits).sum(dtype=np.int64)) - both
+    common = np.minimum(size - alone, one_size - one_alone)
+    return 100 * common >= SIMILAR_PERCENT * (size + one_size - common)
+
+
+def _may_meet(table: pa.Table) -> pa.Table:
+    """(list, node) of what may be linked with a set of another component on the other side of a block."""
+    component, side, size, node = (table[c].to_numpy(zero_copy_only=False) for c in ("component", "left", "size", "node"))
+    lists = table["bits"].combine_chunks()
+    begins, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+    words = np.diff(begins)
+    bits, rows = {}, {}
+    for n in np.unique(words).tolist():
+        rows[n] = np.flatnonzero(words == n)
+        bits[n] = values[begins[:-1][rows[n]][:, None] + np.arange(n)]
+    made = np.zeros(len(node), bool)
+    for n, own in rows.items():
+        left = np.flatnonzero(side[own])
+        for m in (n // 2, n, 2 * n):  # linked sets are not more apart in width
+            right = np.flatnonzero(~side[rows[m]]) if m in rows else np.zeros(0, np.int64)
+            if not len(right):
+                continue
+            mine, its, at = bits[n][left], bits[m][right], rows[m][right]
+            mine, its = (x[:, : min(n, m)] | x[:, x.shape[1] - min(n, m) :] for x in (mine, its))
+            for row, one in zip(own[left].tolist(), mine, strict=True):
+                near = at[may_link(size[at], its, int(size[row]), one) & (component[at] != component[row])]
+                made[near] = True
+                made[row] |= len(near) > 0
+    return pa.table({"list": table["list"].filter(pa.array(made)), "node": pa.array(node[made])})
 
 
 def common_by_leader(led: int, missing: np.ndarray, lists: pa.ListArray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -469,9 +575,14 @@ def jaccard_classes(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     every = _read(docs, words)
     rows = every.where("range is null").drop("range", "counts")
     members = _members(docs, _order(every), words)
-    sets = _sets(docs, rows, members, words)
-    near = _led(members, sets)
-    joined = components(_rest_links(members, near, sets))
+    places = _places(rows, members)
+    known = _known(docs, places, words)
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        return _sets(docs, places, nodes, words)
+
+    near = _led(members, known, sets_of)
+    joined = components(_rest_links(members, near, known, sets_of))
     outer = joined.select(F.col("node").alias("component"), F.col("component").alias("outer"))
     inner = near.join(outer, "component", "left").select("node", F.coalesce("outer", "component").alias("component"))
     found = inner.union(joined.join(near, "node", "left_anti").select("node", "component"))

@@ -97,6 +97,85 @@ def test_bits_rule_out_no_link(table):
     assert len(found - linked) < 0.2 * len(sets) ** 2 / 2
 
 
+def test_sets_that_only_share_a_passage_are_not_moved(documents, prose, monkeypatch):
+    """Full sets, and differences from leaders, are made of what may be linked, not of all that meets in a list."""
+    made = []
+    write = s.written
+
+    def written(df):
+        found = write(df)
+        if {"shingles", "apart"} & set(df.columns):
+            made.append(found.count())
+        return found
+
+    monkeypatch.setattr(s, "written", written)
+    # as over many documents, where all buckets are full and a passage comes as early as what is rare
+    monkeypatch.setattr(s, "_order", lambda rows: np.ones(s.BUCKETS, np.uint8))
+    r = random.Random(6)
+    passage, base = prose(30, 88), prose(150, 5)
+    texts = [f"{passage} {prose(150, 300 + i)}" for i in range(40)] + [edited(base, 0.01, r) for _ in range(3)]
+    found = s.jaccard_classes(documents(texts))
+    assert sorted(rows(found)) == [row[:3] for row in brute(texts, 5)]
+    assert made and max(made) <= 10
+
+
+@pytest.mark.parametrize("most", [1 << 26, 64])
+def test_classes_without_broadcast(documents, prose, monkeypatch, most):
+    """Many places are joined by shuffle, of the wanted texts and few others; a filter that is too small lets more pass."""
+    monkeypatch.setattr(s, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(s, "FILTER_MOST", most)
+    r = random.Random(9)
+    base = prose(90, 4)
+    passage = prose(30, 5)
+    texts = [*ODD_TEXTS, base, base, *(edited(base, 0.03, r) for _ in range(12)), *(f"{passage} {prose(30, 50 + i)}" for i in range(12))]
+    texts += [prose(60, 100 + i) for i in range(60)]
+    assert sorted(rows(s.jaccard_classes(documents(texts)))) == [row[:3] for row in brute(texts, 5)]
+
+
+def test_filter_keeps_wanted_texts_and_few_others(table):
+    docs = table([(i if i % 7 else None, i * 31, f"t{i}") for i in range(2000)], "doc_id long, text_hash long, text string")
+    places = docs.where("text_hash % 5 = 0").select("doc_id", "text_hash").withColumn("node", F.col("text_hash"))
+    found = s._wanted(docs, places)
+    assert found.columns == ["_id", "_hash", "text"]
+    kept = {row["_hash"] for row in found.collect()}
+    wanted = {i * 31 for i in range(2000) if i % 5 == 0}
+    assert wanted <= kept and len(kept - wanted) < 320
+    assert s._wanted(docs, places.where("false")).count() == 0
+
+
+def test_bits_of_arrays_bound_as_those_of_columns(table):
+    """A set and one of its copies may be linked across widths of bits too; unrelated ones of any width may not."""
+    r = random.Random(4)
+    one, other = ([r.getrandbits(63) for _ in range(300)] for _ in range(2))
+    sets = [one[:250], one[:262], other[:250], other[:262], one[:100]]
+    bits = [row["b"] for row in table([(i, x) for i, x in enumerate(sets)], "i int, s array<long>").select("i", s._bits(F.col("s")).alias("b")).orderBy("i").collect()]
+    assert len(bits[1]) == 2 * len(bits[0])
+    met = pa.table(
+        {
+            "list": [7] * 6,
+            "component": [0, 1, 2, 3, 0, 4],
+            "node": [0, 1, 2, 3, 0, 4],
+            "left": [True, False, False, False, False, False],
+            "size": [len(sets[i]) for i in (0, 1, 2, 3, 0, 4)],
+            "bits": pa.array([bits[i] for i in (0, 1, 2, 3, 0, 4)], pa.list_(pa.int64())),
+        }
+    )
+    assert set(s._may_meet(met)["node"].to_pylist()) == {0, 1}
+    assert s._may_meet(met.filter(pa.array([True, False, True, True, True, True]))).num_rows == 0
+    sized = table([(i, len(x), b) for i, (x, b) in enumerate(zip(sets, bits, strict=True))], "i int, n int, b array<long>")
+    two = sized.toDF("j", "m", "c")
+    may = s._may_link((F.col("n"), F.col("b")), (F.col("m"), F.col("c")))
+    assert {(x["i"], x["j"]) for x in sized.join(two, F.col("i") < F.col("j")).where(may).collect()} == {(0, 1), (2, 3)}
+
+
+@pytest.mark.parametrize("most", [1, 3, 300, 70000, 1 << 40])
+def test_packed_counts_come_back(most):
+    r = np.random.default_rng(1)
+    counts = r.integers(0, most + 1, s.RANGE)
+    assert (s._unpacked(s._packed(counts)) == counts).all()
+    assert len(s._packed(r.poisson(2, s.RANGE))) < 0.4 * s.RANGE
+
+
 def test_prefix_is_the_least_that_suffices():
     sizes = np.arange(1, 400)
     assert (s.prefix(sizes) == [n - -(-4 * n // 5) + 1 for n in sizes.tolist()]).all()
