@@ -16,7 +16,7 @@ Skipping between sets: each list has a leader, the set that meets most others in
 is compared in full with the leader of its longest list, then with leaders of its other lists that are not in its
 component by that; a bit for each of some hash buckets bounds what two sets have in common, and spares most of those that aren't linked. Those bits
 also say which sets of a list may be linked with one of another component: sets that only share a passage mostly go by that, before any of
-their shingles are moved. What is then still apart in a list is compared as differences from the leader, which are short for similar sets: with leader L, and M and
+their shingles are moved. Lists of the same leader, which mostly hold the same sets, are one for that. What is then still apart in a list is compared as differences from the leader, which are short for similar sets: with leader L, and M and
 E what L has more and less than a set,
 
     common(X, Y) = size(L) - size(MX) - size(MY) + common(MX, MY) + common(EX, EY),
@@ -457,10 +457,23 @@ def _sides(rows: DataFrame) -> DataFrame:
     return left.select(*columns, F.lit(True).alias("left")).union(right.select(*columns, F.lit(False).alias("left")))
 
 
+def _merged(placed: DataFrame) -> DataFrame:
+    """Rows (list, node, leader, component) with lists of the same leader as one, where that makes no list much longer.
+
+    Such lists mostly hold what a passage is in, each for another of its shingles, so that a set is in many of them.
+    """
+    once_each = placed.groupBy("leader", "node").agg(F.max("members").alias("longest"))
+    by = once_each.groupBy("leader").agg(F.count("*").alias("n"), F.max("longest").alias("longest"))
+    by = written(by.select("leader", (F.col("n") <= F.greatest(F.lit(BLOCK), 2 * F.col("longest"))).alias("one")))
+    merged = placed.join(size_bounded(by, BROADCAST_ROWS), "leader")
+    merged = merged.withColumn("list", F.when(F.col("one"), F.col("leader")).otherwise(F.col("list")))
+    return written(merged.select("list", "node", "leader", "component").distinct())
+
+
 def _rest_links(members: DataFrame, near: DataFrame, known: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links between components that meet in a list, as links of components; written."""
     placed = members.join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = written(placed.where("members > 2"))
+    placed = _merged(written(placed.where("members > 2")))
     parts = placed.groupBy("list", "component").agg(F.count("*").alias("n"))
     open_ = parts.groupBy("list").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
     open_ = size_bounded(written(open_.where("most < all").select("list", "main")), BROADCAST_ROWS)

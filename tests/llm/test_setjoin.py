@@ -168,6 +168,17 @@ def test_bits_of_arrays_bound_as_those_of_columns(table):
     assert {(x["i"], x["j"]) for x in sized.join(two, F.col("i") < F.col("j")).where(may).collect()} == {(0, 1), (2, 3)}
 
 
+def test_lists_of_a_leader_are_one_unless_much_longer(table, monkeypatch):
+    """Nested lists become one; many different short ones of a leader stay, where they would make a long one."""
+    monkeypatch.setattr(s, "BLOCK", 4)
+    nested = [(k, n, 8 - k, 0, n) for k in range(5) for n in range(8 - k)]
+    short = [(10 + k, n, 3, 100, n) for k in range(6) for n in (100, 101 + 2 * k, 102 + 2 * k)]
+    few = [(20 + k, n, 3, 200, n) for k in range(2) for n in (200, 201, 202 + k)]
+    found = rows(s._merged(table(nested + short + few, "list long, node long, members long, leader long, component long")), "list", "node", "leader")
+    wanted = [(0, n, 0) for n in range(8)] + [(k, n, 100) for k, n, *_ in short] + [(200, n, 200) for n in (200, 201, 202, 203)]
+    assert sorted(found) == sorted(wanted)
+
+
 @pytest.mark.parametrize("most", [1, 3, 300, 70000, 1 << 40])
 def test_packed_counts_come_back(most):
     r = np.random.default_rng(1)
